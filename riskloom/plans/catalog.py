@@ -10,11 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.plans import events_drift
+from riskloom.plans import events_drift, score_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = [events_drift]
+_MODULES = [events_drift, score_queries]
 
 
 def queries() -> dict[str, Query]:
