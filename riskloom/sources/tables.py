@@ -62,3 +62,38 @@ def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxic").cast("int").alias("y"),
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.log1p(F.col("n_chars").cast("double")) + F.lit(7.0)))).alias("p"),
     )
+
+
+# Orders x customer: a mixed-type modelling table with a noisy label.
+# Fixed values of the label rule: price cut and the md5 first-hex-digit that flips it.
+ORDER_PRICE_CUT = 420000.0
+ORDER_FLIP_DIGIT = "0"
+
+
+def order_label() -> Column:
+    base = F.col("o_totalprice") > F.lit(ORDER_PRICE_CUT)
+    flip = F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 1) == F.lit(ORDER_FLIP_DIGIT)
+    return (base != flip).cast("int")
+
+
+def order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` joined to its ``customer`` row, with label ``y``.
+
+    Customer is the dimension side; with AQE Spark broadcasts it only when its
+    runtime size is under the broadcast threshold, otherwise both sides are shuffled
+    on the customer key.
+    """
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner").drop("c_custkey", "o_custkey")
+    return j.withColumn("y", order_label())
+
+
+ORDER_FRAME_SQL = (
+    "frame AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority, "
+    "c.c_nationkey, c.c_acctbal, c.c_mktsegment, "
+    "CAST(((o.o_totalprice > 420000.0) <> (substr(md5(CAST(o.o_orderkey AS VARCHAR)), 1, 1) = '0')) AS INTEGER) AS y "
+    "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"
+)
