@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import ks_pvalue, nan_to_null
@@ -62,7 +62,13 @@ def union_sides(reference: DataFrame, current: DataFrame, features: Sequence[str
 
 @dataclass
 class DriftAnalysis:
-    """Lazy drift tables over a ``(side, feature, x)`` long frame."""
+    """Drift tables over a ``(side, feature, x)`` long frame.
+
+    The distinct-value table with both running counts is built once and cached. Two
+    small, bounded results are then collected as literals: the per-feature sample
+    sizes and the reference quantiles (``features x (bins + 1)`` numbers). Everything
+    after that is one aggregate per output over the cached table.
+    """
 
     long: DataFrame
     bins: int = DEFAULT_BINS
@@ -77,15 +83,57 @@ class DriftAnalysis:
         self.cum = cumulative(
             counts, ["x"], ["c_ref", "c_cur"], group_cols=["feature"], keep_bucket=True
         ).persist()
-        self.sizes = self.cum.groupBy("feature").agg(
-            F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur")
-        )
+        self._sizes: dict[str, tuple[int, int]] | None = None
+        self._edges: dict[str, list[float]] | None = None
 
     @classmethod
     def from_tables(cls, reference: DataFrame, current: DataFrame, features: Sequence[str], **kw) -> DriftAnalysis:
         stacked = union_sides(reference, current, features)
         return cls(long_values(stacked, [f for f in features if f in stacked.columns]), **kw)
 
+    # -- bounded driver-side facts ---------------------------------------------------
+    @property
+    def sizes(self) -> DataFrame:
+        return self.cum.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
+
+    def size_map(self) -> dict[str, tuple[int, int]]:
+        if self._sizes is None:
+            self._sizes = {r["feature"]: (int(r["n_ref"]), int(r["n_cur"])) for r in self.sizes.collect()}
+        return self._sizes
+
+    def edge_map(self) -> dict[str, list[float]]:
+        """Reference quantiles per feature (``bins + 1`` values, not de-duplicated)."""
+        if self._edges is None:
+            got: dict[str, list] = {}
+            for r in self.quantile_edges().collect():
+                got.setdefault(r["feature"], []).append((r["q_index"], r["quantile"]))
+            self._edges = {f: [v for _, v in sorted(vals)] for f, vals in got.items()}
+        return self._edges
+
+    def _spark(self):
+        return self.cum.sparkSession
+
+    def _per_feature(self, values: dict[str, object], default=None) -> Column:
+        expr = None
+        for f, v in values.items():
+            cond = F.col("feature") == F.lit(f)
+            expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
+        return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+    def _bin_column(self) -> Column:
+        """Bin = number of inner unique edges <= x, per feature (literal edges)."""
+        expr = None
+        for f, q in self.edge_map().items():
+            u = sorted(set(q))
+            inner = u[1:-1] if len(u) >= 3 else []
+            b = sum(((F.col("x") >= F.lit(e)).cast("int") for e in inner), F.lit(0))
+            cond = F.col("feature") == F.lit(f)
+            expr = F.when(cond, b) if expr is None else expr.when(cond, b)
+        return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
+
+    def _n_bins(self) -> dict[str, int]:
+        return {f: len(set(q)) - 1 for f, q in self.edge_map().items()}
+
     # -- quantile edges and bins -------------------------------------------------
     def quantile_edges(self) -> DataFrame:
         """Reference-side quantiles at ``0, 1/bins, ..., 1`` (before de-duplication)."""
@@ -93,35 +141,20 @@ class DriftAnalysis:
             self.cum, "x", "c_ref", quantile_points(self.bins), group_cols=["feature"], cum_col="cum_c_ref"
         )
 
-    def unique_edges(self) -> DataFrame:
-        e = self.quantile_edges().groupBy("feature").agg(
-            F.array_sort(F.array_distinct(F.collect_list("quantile"))).alias("edges")
-        )
-        m = F.size("edges")
-        return e.select(
-            "feature",
-            m.alias("m"),
-            F.when(m >= 3, F.slice("edges", 2, m - 2)).otherwise(F.array().cast("array<double>")).alias("inner"),
-        )
-
-    def psi_bins(self) -> DataFrame:
-        """Full grid ``(feature, bin, n_ref, n_cur)`` of counts per reference bin."""
-        edges = self.unique_edges()
-        bin_id = sum(
-            (F.coalesce((F.col("x") >= F.try_element_at("inner", F.lit(i))).cast("int"), F.lit(0)) for i in range(1, self.bins)),
-            F.lit(0),
-        )
-        binned = (
+    def _binned_counts(self) -> DataFrame:
+        return (
             self.cum.select("feature", "x", "c_ref", "c_cur")
-            .join(F.broadcast(edges), "feature", "inner")
-            .withColumn("bin", bin_id)
+            .where(F.col("feature").isin(list(self.edge_map())))
+            .withColumn("bin", self._bin_column())
             .groupBy("feature", "bin")
             .agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
         )
-        grid = edges.where(F.col("m") >= 2).select(
-            "feature", F.explode(F.sequence(F.lit(0), F.col("m") - 2)).alias("bin")
-        )
-        return grid.join(binned, ["feature", "bin"], "left").select(
+
+    def psi_bins(self) -> DataFrame:
+        """Full grid ``(feature, bin, n_ref, n_cur)`` of counts per reference bin."""
+        grid_rows = [(f, b) for f, k in self._n_bins().items() for b in range(max(k, 0))]
+        grid = self._spark().createDataFrame(grid_rows, "feature string, bin int")
+        return grid.join(self._binned_counts(), ["feature", "bin"], "left").select(
             "feature",
             "bin",
             F.coalesce("n_ref", F.lit(0)).cast("long").alias("n_ref"),
@@ -129,34 +162,43 @@ class DriftAnalysis:
         )
 
     def psi(self) -> DataFrame:
-        """``(feature, psi)``; 0 for a constant reference, NULL for an empty side."""
-        sizes = self.sizes.withColumnRenamed("n_ref", "tot_ref").withColumnRenamed("n_cur", "tot_cur")
-        b = self.psi_bins().join(F.broadcast(sizes), "feature")
-        e = F.greatest(F.col("n_ref") / F.col("tot_ref"), F.lit(PSI_EPS))
-        a = F.greatest(F.col("n_cur") / F.col("tot_cur"), F.lit(PSI_EPS))
-        terms = b.where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0)).select(
-            "feature", ((a - e) * F.log(a / e)).alias("term")
+        """``(feature, psi)``; 0 for a constant reference, NULL for an empty side.
+
+        Bins empty on both sides contribute exactly 0 (both proportions clip to 1e-6),
+        so only the bins present in the data are summed.
+        """
+        sizes = self.size_map()
+        n_ref = self._per_feature({f: n[0] for f, n in sizes.items()}, 0)
+        n_cur = self._per_feature({f: n[1] for f, n in sizes.items()}, 0)
+        e = F.greatest(F.try_divide(F.col("n_ref").cast("double"), n_ref), F.lit(PSI_EPS))
+        a = F.greatest(F.try_divide(F.col("n_cur").cast("double"), n_cur), F.lit(PSI_EPS))
+        per = self._binned_counts().groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi_sum"))
+        base = self._spark().createDataFrame(
+            [(f, n[0], n[1], self._n_bins().get(f, 0)) for f, n in sizes.items()],
+            "feature string, n_ref long, n_cur long, n_bins int",
         )
-        per = terms.groupBy("feature").agg(F.sum("term").alias("psi_grid"))
-        return (
-            self.sizes.join(per, "feature", "left")
-            .select(
-                "feature",
-                F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(None).cast("double"))
-                .otherwise(F.coalesce("psi_grid", F.lit(0.0)))
-                .alias("psi"),
-            )
+        psi = (
+            F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(None).cast("double"))
+            .when(F.col("n_bins") < 1, F.lit(0.0))
+            .otherwise(F.coalesce("psi_sum", F.lit(0.0)))
         )
+        return base.join(per, "feature", "left").select("feature", psi.alias("psi"))
 
     # -- KS ---------------------------------------------------------------------
     def ks(self) -> DataFrame:
         """``(feature, ks_stat, ks_pvalue, n_ref, n_cur)``."""
-        c = self.cum.join(F.broadcast(self.sizes), "feature")
-        gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
-        stat = c.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).groupBy("feature").agg(
-            F.max(gap).alias("ks_stat")
+        sizes = self.size_map()
+        n_ref = self._per_feature({f: n[0] for f, n in sizes.items()}, 0)
+        n_cur = self._per_feature({f: n[1] for f, n in sizes.items()}, 0)
+        gap = F.abs(
+            F.try_divide(F.col("cum_c_ref").cast("double"), n_ref) - F.try_divide(F.col("cum_c_cur").cast("double"), n_cur)
+        )
+        both = [f for f, n in sizes.items() if n[0] > 0 and n[1] > 0]
+        stat = self.cum.where(F.col("feature").isin(both)).groupBy("feature").agg(F.max(gap).alias("ks_stat"))
+        base = self._spark().createDataFrame(
+            [(f, n[0], n[1]) for f, n in sizes.items()], "feature string, n_ref long, n_cur long"
         )
-        out = self.sizes.join(stat, "feature", "left")
+        out = base.join(stat, "feature", "left")
         return out.select(
             "feature",
             "ks_stat",

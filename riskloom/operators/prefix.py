@@ -79,6 +79,26 @@ def _sort_tuple(t: tuple) -> tuple:
     return tuple((v is None, v if v is not None else 0) for v in t)
 
 
+APPROX_ACCURACY = 10_000
+_APPROX_TYPES = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _n_buckets(df: DataFrame, total: int, n_buckets: int | None) -> int:
+    if n_buckets is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n_buckets = max(parts, math.ceil(total / DEFAULT_ROWS_PER_BUCKET))
+    return max(1, min(MAX_BUCKETS, n_buckets))
+
+
+def _thin(values: list, k: int) -> list:
+    """``k - 1`` evenly spaced picks of a sorted list of ``MAX_BUCKETS - 1`` quantiles."""
+    if k <= 1 or not values:
+        return []
+    step = len(values) / (k - 1) if k - 1 < len(values) else 1.0
+    picks = [values[min(len(values) - 1, int(i * step))] for i in range(k - 1)] if k - 1 < len(values) else values
+    return picks
+
+
 def bucket_expression(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -86,52 +106,80 @@ def bucket_expression(
     *,
     n_buckets: int | None = None,
     seed: int = 17,
-) -> tuple[Column, int]:
-    """Column computing the bucket of each row, and the number of groups seen.
-
-    Two bounded actions: a per-group count and a seeded sample of at most
-    ``~50 x buckets`` keys per group.
+) -> tuple[Column, dict[tuple, int]]:
+    """Column computing the bucket of each row, and the row count per group.
+
+    Fast path (first order key numeric, date or timestamp): one aggregate per group of
+    ``count`` and ``percentile_approx`` at ``1023`` ranks; boundaries on the first key
+    alone are enough unless one first-key value is hot (it then repeats among the
+    quantiles), in which case that group falls back to composite boundaries from a
+    seeded sample of at most ``~50 x buckets`` keys.
     """
-    counts = {
-        tuple(r[:-1]): r[-1]
-        for r in df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()
-    }
-    total = sum(counts.values())
-    if total == 0:
-        return F.lit(0), 0
-    if n_buckets is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n_buckets = max(parts, math.ceil(total / DEFAULT_ROWS_PER_BUCKET))
-    n_buckets = max(1, min(MAX_BUCKETS, n_buckets))
-    target = 50 * n_buckets
-    # per-group fractions keep small groups represented
-    fractions = {g: min(1.0, target / max(1, n)) for g, n in counts.items()}
-    frac_expr = None
-    for g, frac in fractions.items():
-        cond = _group_match(group_cols, g)
-        frac_expr = F.when(cond, F.lit(frac)) if frac_expr is None else frac_expr.when(cond, F.lit(frac))
-    frac_expr = frac_expr.otherwise(F.lit(1.0))
-    sample = (
-        df.select(*group_cols, *order_cols)
-        .where(F.rand(seed) < frac_expr)
-        .collect()
-    )
-    ng = len(group_cols)
-    by_group: dict[tuple, list[tuple]] = {}
-    for r in sample:
-        by_group.setdefault(tuple(r[:ng]), []).append(tuple(r[ng:]))
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     key_cols = [F.col(c) for c in order_cols]
+    # a leading NULL flag (see ``splits``) is handled outside the binary search: flagged
+    # rows sort last, so they get the bucket after every boundary.
+    flag = None
+    lead = 0
+    if order_cols[0].startswith("_rl_null_") and len(order_cols) > 1 and order_cols[1] == order_cols[0][9:]:
+        flag, lead = order_cols[0], 1
+    first = order_cols[lead]
+    bounds_by_group: dict[tuple, tuple[list[Column], list[list[Column]]]] = {}
+    fallback: list[tuple] = []
+    if isinstance(dtypes[first], _APPROX_TYPES):
+        probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+        rows = df.groupBy(*group_cols).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx(F.col(first), probs, APPROX_ACCURACY).alias("_q"),
+        ).collect()
+        counts = {tuple(r[:-2]): int(r["_n"]) for r in rows}
+        total = sum(counts.values())
+        nb = _n_buckets(df, total, n_buckets)
+        for r in rows:
+            g = tuple(r[:-2])
+            picks = _thin([v for v in (r["_q"] or []) if v is not None], nb)
+            distinct = sorted(set(picks))
+            if len(order_cols) > lead + 1 and len(distinct) < len(picks):
+                fallback.append(g)
+                continue
+            lit_bounds = [[_literal(v, dtypes[first])] for v in distinct]
+            bounds_by_group[g] = ([key_cols[lead]], lit_bounds)
+    else:
+        counts = {
+            tuple(r[:-1]): int(r[-1])
+            for r in df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()
+        }
+        total = sum(counts.values())
+        nb = _n_buckets(df, total, n_buckets)
+        fallback = list(counts)
+    if total == 0:
+        return F.lit(0), counts
+    if fallback:
+        target = 50 * nb
+        frac_expr = None
+        for g in fallback:
+            frac = min(1.0, target / max(1, counts[g]))
+            cond = _group_match(group_cols, g)
+            frac_expr = F.when(cond, F.lit(frac)) if frac_expr is None else frac_expr.when(cond, F.lit(frac))
+        sample = df.select(*group_cols, *order_cols).where(F.rand(seed) < frac_expr).collect()
+        ng = len(group_cols)
+        by_group: dict[tuple, list[tuple]] = {}
+        for r in sample:
+            by_group.setdefault(tuple(r[:ng]), []).append(tuple(r[ng:]))
+        for g, keys in by_group.items():
+            bounds = _pick_bounds(keys, nb)
+            bounds_by_group[g] = (key_cols, [[_literal(v, dtypes[c]) for v, c in zip(b, order_cols)] for b in bounds])
     expr = None
-    for g, keys in by_group.items():
-        per_group = max(1, min(n_buckets, math.ceil(counts.get(g, 1) / 1)))
-        bounds = _pick_bounds(keys, per_group)
-        lit_bounds = [[_literal(v, dtypes[c]) for v, c in zip(b, order_cols)] for b in bounds]
-        body = _count_le(key_cols, lit_bounds, 0, len(lit_bounds))
+    for g, (cols, lit_bounds) in bounds_by_group.items():
+        body = _count_le(cols, lit_bounds, 0, len(lit_bounds))
+        if flag is not None and len(cols) == 1:
+            body = F.when(F.col(flag) == 1, F.lit(len(lit_bounds) + 1)).otherwise(body)
+        if len(bounds_by_group) == 1 and len(counts) == 1:
+            return body, counts
         cond = _group_match(group_cols, g)
         expr = F.when(cond, body) if expr is None else expr.when(cond, body)
     expr = F.lit(0) if expr is None else expr.otherwise(F.lit(0))
-    return expr, len(counts)
+    return expr, counts
 
 
 def _group_match(group_cols: Sequence[str], values: tuple) -> Column:
@@ -151,6 +199,7 @@ def cumulative(
     n_buckets: int | None = None,
     prefix: str = "cum_",
     keep_bucket: bool = False,
+    stats: dict | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` over ``order_cols``.
 
@@ -164,7 +213,10 @@ def cumulative(
         base = base.withColumn(GROUP_ALL, F.lit(0))
         group_cols = [GROUP_ALL]
     base = base.persist()
-    bucket_expr, n_groups = bucket_expression(base, order_cols, group_cols, n_buckets=n_buckets)
+    bucket_expr, counts = bucket_expression(base, order_cols, group_cols, n_buckets=n_buckets)
+    n_groups = len(counts)
+    if stats is not None:
+        stats.update(counts)
     if descending:
         bucket_expr = F.lit(MAX_BUCKETS) - bucket_expr
     keyed = base.withColumn(BUCKET, bucket_expr.cast("int"))
@@ -198,10 +250,15 @@ def cumulative(
     return out.drop(*drop)
 
 
-def row_index(df: DataFrame, order_cols: Sequence[str], *, name: str = "row_idx") -> DataFrame:
-    """0-based global position under ``order_cols`` (which must be unique together)."""
+def row_index(
+    df: DataFrame, order_cols: Sequence[str], *, name: str = "row_idx", stats: dict | None = None
+) -> DataFrame:
+    """0-based global position under ``order_cols`` (which must be unique together).
+
+    ``stats``, when given, receives the row count (key ``()``) from the planning action.
+    """
     one = "_rl_one"
-    out = cumulative(df.withColumn(one, F.lit(1).cast("long")), order_cols, [one])
+    out = cumulative(df.withColumn(one, F.lit(1).cast("long")), order_cols, [one], stats=stats)
     return out.withColumn(name, F.col(f"cum_{one}") - F.lit(1)).drop(one, f"cum_{one}")
 
 

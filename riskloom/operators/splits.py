@@ -36,10 +36,12 @@ def _null_safe_order(df: DataFrame, order_cols: Sequence[str]) -> tuple[DataFram
     return out, cols
 
 
-def with_position(df: DataFrame, order_cols: Sequence[str], name: str = "row_idx") -> DataFrame:
+def with_position(
+    df: DataFrame, order_cols: Sequence[str], name: str = "row_idx", stats: dict | None = None
+) -> DataFrame:
     """0-based position under ``order_cols`` (nulls last); keys must be unique together."""
     keyed, cols = _null_safe_order(df, order_cols)
-    out = row_index(keyed, cols, name=name)
+    out = row_index(keyed, cols, name=name, stats=stats)
     return out.drop(*[c for c in cols if c.startswith("_rl_null_")])
 
 
@@ -66,17 +68,17 @@ def ordered_split(
     """Label rows ``[0, int(f1 n))``, ``[int(f1 n), int(f2 n))``, ... by global position."""
     if len(labels) != len(fractions) + 1:
         raise ValueError("need one more label than cut fraction")
-    n = df.count()
-    cuts = cut_points(n, fractions)
-    indexed = with_position(df, order_cols, name=index_col)
+    stats: dict = {}
+    indexed = with_position(df, order_cols, name=index_col, stats=stats)
+    cuts = cut_points(sum(stats.values()), fractions)
     return indexed.withColumn(split_col, label_by_position(F.col(index_col), cuts, labels))
 
 
 def reference_current(df: DataFrame, order_cols: Sequence[str], fraction: float = REFERENCE_FRACTION) -> DataFrame:
     """``side`` 0 for the first ``int(fraction n)`` rows by order, 1 for the rest."""
-    n = df.count()
-    (cut,) = cut_points(n, [fraction])
-    indexed = with_position(df, order_cols, name="_rl_pos")
+    stats: dict = {}
+    indexed = with_position(df, order_cols, name="_rl_pos", stats=stats)
+    (cut,) = cut_points(sum(stats.values()), [fraction])
     return indexed.withColumn("side", (F.col("_rl_pos") >= F.lit(cut)).cast("int")).drop("_rl_pos")
 
 
