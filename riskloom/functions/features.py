@@ -36,6 +36,17 @@ def parse_timestamp(text: Column, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(text) if fmt is None else F.try_to_timestamp(text, F.lit(fmt))
 
 
+def epoch_seconds_ntz(ts: Column) -> Column:
+    """Seconds since 1970-01-01 of a wall-clock (``TIMESTAMP_NTZ``) value, independent of
+    the session time zone."""
+    return (
+        F.unix_date(F.to_date(ts)).cast("long") * F.lit(86400)
+        + F.hour(ts) * F.lit(3600)
+        + F.minute(ts) * F.lit(60)
+        + F.second(ts)
+    )
+
+
 def nullif_sentinel(c: Column, sentinel: str = "?") -> Column:
     return F.nullif(c, F.lit(sentinel))
 

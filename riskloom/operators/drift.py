@@ -137,8 +137,10 @@ class DriftAnalysis:
     # -- quantile edges and bins -------------------------------------------------
     def quantile_edges(self) -> DataFrame:
         """Reference-side quantiles at ``0, 1/bins, ..., 1`` (before de-duplication)."""
+        sizes = {(f,): n[0] for f, n in self.size_map().items()}
         return quantiles_from_cumulative(
-            self.cum, "x", "c_ref", quantile_points(self.bins), group_cols=["feature"], cum_col="cum_c_ref"
+            self.cum, "x", "c_ref", quantile_points(self.bins), group_cols=["feature"], cum_col="cum_c_ref",
+            sizes=sizes,
         )
 
     def _binned_counts(self) -> DataFrame:

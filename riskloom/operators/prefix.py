@@ -45,9 +45,8 @@ def _literal(value, dtype: T.DataType) -> Column:
 
 def _key_ge(cols: Sequence[Column], vals: Sequence[Column]) -> Column:
     """Lexicographic ``cols >= vals``."""
-    head = cols[0] >= vals[0] if len(cols) == 1 else None
     if len(cols) == 1:
-        return head
+        return cols[0] >= vals[0]
     return (cols[0] > vals[0]) | ((cols[0] == vals[0]) & _key_ge(cols[1:], vals[1:]))
 
 
@@ -307,6 +306,8 @@ def lookup_ranks(
     cum_col = cum_col or f"cum_{count_col}"
     t = targets if group_cols else targets.withColumn(GROUP_ALL, F.lit(0))
     cum = cum.withColumn("_rl_before", F.col(cum_col) - F.col(count_col))
+    # spans: one row per (group, bucket), at most groups x MAX_BUCKETS rows; targets are
+    # a handful of ranks per group. Both sides of the joins below are bounded that way.
     spans = cum.groupBy(*cg, BUCKET).agg(
         F.min("_rl_before").alias("_rl_lo"), F.max(cum_col).alias("_rl_hi")
     )

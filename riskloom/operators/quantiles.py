@@ -9,10 +9,12 @@ statistics around ``h = (n - 1) q`` are looked up by rank. The result equals
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.prefix import GROUP_ALL, cumulative, lookup_ranks
 
@@ -47,6 +49,14 @@ def interpolate(looked: DataFrame, value_col: str, group_cols: Sequence[str]) ->
     return piv.select(*group_cols, "q_index", "q", edge.alias("quantile"))
 
 
+# Target ranks handled by one literal filter scan; more go through the join-based lookup.
+MAX_LITERAL_TARGETS = 4096
+
+
+def _interp(v_lo: float, v_hi: float, frac: float) -> float:
+    return v_lo if frac == 0 else v_lo + (v_hi - v_lo) * frac
+
+
 def quantiles_from_cumulative(
     cum: DataFrame,
     value_col: str,
@@ -55,15 +65,75 @@ def quantiles_from_cumulative(
     *,
     group_cols: Sequence[str] = (),
     cum_col: str | None = None,
+    sizes: dict | None = None,
 ) -> DataFrame:
-    """Quantiles from :func:`cumulative` output (``keep_bucket=True``)."""
+    """Quantiles from :func:`cumulative` output (``keep_bucket=True``).
+
+    Two bounded actions: the per-group sizes (unless given) and one filter scan that
+    keeps only the distinct values whose rank span holds a target rank (at most two per
+    quantile). Interpolation of those few values happens on the driver, with the same
+    double arithmetic as the SQL engines.
+    """
     cg = list(group_cols) or [GROUP_ALL]
-    ns = cum.groupBy(*cg).agg(F.sum(count_col).alias("_n"))
-    targets = quantile_targets(ns, "_n", probs, cg)
-    looked = lookup_ranks(
-        cum, value_col, count_col, targets, group_cols=cg, rank_col="rank", cum_col=cum_col
+    cum_col = cum_col or f"cum_{count_col}"
+    spark = cum.sparkSession
+    if sizes is None:
+        sizes = {tuple(r[:-1]): int(r[-1] or 0) for r in cum.groupBy(*cg).agg(F.sum(count_col)).collect()}
+    targets: dict[tuple, list[tuple[int, float, float, int, int]]] = {}
+    for g, n in sizes.items():
+        if n <= 0:
+            continue
+        for qi, q in enumerate(probs):
+            h = (n - 1) * float(q)
+            lo = math.floor(h)
+            targets.setdefault(g, []).append((qi, float(q), h - lo, lo, min(lo + 1, n - 1)))
+    n_targets = sum(len(v) for v in targets.values())
+    if n_targets > MAX_LITERAL_TARGETS:
+        t = quantile_targets(
+            spark.createDataFrame([(*g, n) for g, n in sizes.items()], [*cg, "_n"]), "_n", probs, cg
+        )
+        looked = lookup_ranks(cum, value_col, count_col, t, group_cols=cg, rank_col="rank", cum_col=cum_col)
+        out = interpolate(looked, value_col, cg)
+        return out if group_cols else out.drop(GROUP_ALL)
+    before = F.col(cum_col) - F.col(count_col)
+    cond = None
+    for g, ts in targets.items():
+        ranks = sorted({r for t in ts for r in (t[3], t[4])})
+        hit = None
+        for r in ranks:
+            c = (before <= F.lit(r)) & (F.col(cum_col) > F.lit(r))
+            hit = c if hit is None else hit | c
+        gm = F.lit(True)
+        for col, v in zip(cg, g):
+            gm = gm & (F.col(col) == F.lit(v))
+        cond = F.when(gm, hit) if cond is None else cond.when(gm, hit)
+    rows = []
+    if cond is not None:
+        hits = cum.where(cond.otherwise(F.lit(False))).select(
+            *cg, value_col, before.alias("_b"), F.col(cum_col).alias("_c")
+        ).collect()
+        by_group: dict[tuple, list] = {}
+        for h in hits:
+            by_group.setdefault(tuple(h[: len(cg)]), []).append((h["_b"], h["_c"], h[value_col]))
+        for g, ts in targets.items():
+            spans = by_group.get(g, [])
+
+            def at(rank: int):
+                for b0, c0, v in spans:
+                    if b0 <= rank < c0:
+                        return v
+                return None
+
+            for qi, q, frac, lo, hi in ts:
+                v_lo, v_hi = at(lo), at(hi)
+                val = None if v_lo is None or v_hi is None else _interp(float(v_lo), float(v_hi), frac)
+                rows.append((*g, qi, q, val))
+    schema = T.StructType(
+        [cum.schema[c] for c in cg]
+        + [T.StructField("q_index", T.IntegerType()), T.StructField("q", T.DoubleType()),
+           T.StructField("quantile", T.DoubleType())]
     )
-    out = interpolate(looked, value_col, cg)
+    out = spark.createDataFrame(rows, schema)
     return out if group_cols else out.drop(GROUP_ALL)
 
 

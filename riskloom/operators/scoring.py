@@ -51,10 +51,13 @@ class ScoringModel:
             s = self.posterior.score(df, keep, level).drop("mu", "sd")
         else:
             feats, _ = build_features(self.spec, df, keep=keep, strict_names=False)
-            raw = gbt_score(self.pipeline, feats, out="_p_raw")
-            cal = self.calibrator.column(F.col("_p_raw")) if self.calibrator else F.col("_p_raw")
-            s = raw.select(*[_q(k) for k in keep], cal.alias("probability")).select(
-                "*", F.lit(None).cast("double").alias("ci_low"), F.lit(None).cast("double").alias("ci_high")
+            raw = gbt_score(self.pipeline, feats, out="_p_raw").select(*[_q(k) for k in keep], "_p_raw")
+            cal = self.calibrator.transform(raw, "_p_raw", "probability") if self.calibrator else raw.withColumn(
+                "probability", F.col("_p_raw")
+            )
+            s = cal.select(
+                *[_q(k) for k in keep], "probability",
+                F.lit(None).cast("double").alias("ci_low"), F.lit(None).cast("double").alias("ci_high"),
             )
         return s.select(
             *[_q(k) for k in keep],

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.features import day_of_week, haversine_km, hour, month, parse_timestamp
+from riskloom.functions.features import day_of_week, epoch_seconds_ntz, haversine_km, hour, month, parse_timestamp
 from riskloom.functions.stats import round6
 from riskloom.operators.encode import encode_categories, fit_categories, fit_design
 from riskloom.operators.features import build_features
@@ -125,10 +125,10 @@ def event_coordinates() -> list[Column]:
 def q_parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "props")
     text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    parsed = parse_timestamp(text)
+    parsed = parse_timestamp(text).cast("timestamp_ntz")
     return ev.select(
         "event_id",
-        F.unix_seconds(parsed).alias("ts_epoch"),
+        epoch_seconds_ntz(parsed).alias("ts_epoch"),
         parse_timestamp(F.col("props")).isNull().alias("bad_text_is_null"),
     )
 

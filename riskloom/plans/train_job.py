@@ -122,10 +122,10 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
     test = scored.where(F.col("split") == "test").select(F.col(key), F.col(target).alias("y"), F.col("p_raw").alias("p"))
     choose = test if select_on == "test" else cal
     calibrator, method, _ = fit_best_calibrator(cal, choose, spec.calibration.method)
-    test_cal = test.withColumn("p_cal", calibrator.column(F.col("p"))).persist()
+    test_cal = calibrator.transform(test, "p", "p_cal").persist()
     raw = score_summary(test_cal, "p", "y")
     calib = score_summary(test_cal, "p_cal", "y")
-    thr_src = test_cal if select_on == "test" else cal.withColumn("p_cal", calibrator.column(F.col("p")))
+    thr_src = test_cal if select_on == "test" else calibrator.transform(cal, "p", "p_cal")
     thr_curve = calib["curve"] if select_on == "test" else ScoreCurve(thr_src.select("y", F.col("p_cal").alias("p")))
     threshold, reachable, point = threshold_and_point(thr_curve, test_cal, spec.evaluation.target_precision, "p_cal", "y")
     counts = test_cal.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")).first()
