@@ -126,14 +126,24 @@ def bucket_expression(
     bounds_by_group: dict[tuple, tuple[list[Column], list[list[Column]]]] = {}
     fallback: list[tuple] = []
     if isinstance(dtypes[first], _APPROX_TYPES):
-        probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-        rows = df.groupBy(*group_cols).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx(F.col(first), probs, APPROX_ACCURACY).alias("_q"),
-        ).collect()
+        # a small rank grid first; a finer one only when the row count asks for more
+        # buckets than the grid holds (large inputs, where one more pass is cheap)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        grid = max(2, min(MAX_BUCKETS, n_buckets or 4 * parts))
+
+        def approx(k: int):
+            probs = [i / k for i in range(1, k)]
+            return df.groupBy(*group_cols).agg(
+                F.count(F.lit(1)).alias("_n"),
+                F.percentile_approx(F.col(first), probs, APPROX_ACCURACY).alias("_q"),
+            ).collect()
+
+        rows = approx(grid)
         counts = {tuple(r[:-2]): int(r["_n"]) for r in rows}
         total = sum(counts.values())
         nb = _n_buckets(df, total, n_buckets)
+        if nb > grid:
+            rows = approx(nb)
         for r in rows:
             g = tuple(r[:-2])
             picks = _thin([v for v in (r["_q"] or []) if v is not None], nb)
