@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.prefix import cumulative, row_index
@@ -45,6 +45,120 @@ def with_position(
     return out.drop(*[c for c in cols if c.startswith("_rl_null_")])
 
 
+def _ranks_to_values(df: DataFrame, col: str, ranks: list[int]) -> dict[int, tuple]:
+    """For each 0-based rank among the non-null values of ``col`` (ascending): the value
+    there and the offset of the rank inside that value's run of equal rows.
+
+    Counts per distinct value (map-side combined, so a hot value is one row per task),
+    a two-level running count, then one literal filter scan that keeps only the distinct
+    values whose rank span holds a requested rank.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rl_c"))
+    cum = cumulative(counts, [col], ["_rl_c"])
+    before = F.col("cum__rl_c") - F.col("_rl_c")
+    cond = None
+    for r in ranks:
+        c = (before <= F.lit(r)) & (F.col("cum__rl_c") > F.lit(r))
+        cond = c if cond is None else cond | c
+    hits = cum.where(cond).select(col, before.alias("_b"), F.col("cum__rl_c").alias("_e")).collect()
+    out = {}
+    for r in ranks:
+        for h in hits:
+            if h["_b"] <= r < h["_e"]:
+                out[r] = (h[col], r - h["_b"], h["_e"] - h["_b"])
+    return out
+
+
+def key_at_rank(df: DataFrame, order_cols: Sequence[str], rank: int) -> tuple:
+    """The ``order_cols`` key of the row at 0-based ``rank`` (ascending, NULLs last).
+
+    Level by level: the first key's value comes from a rank lookup over its distinct
+    values; the rank inside that value's run then recurses on the rows holding it. A
+    hot first-key value therefore costs one extra lookup over that value's rows only.
+    """
+    col, rest = order_cols[0], list(order_cols[1:])
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(col)).alias("nn")).first()
+    n_nonnull = int(row["nn"])
+    if rank >= n_nonnull:  # the rank falls among the NULL keys, which sort last
+        value, offset = None, rank - n_nonnull
+        sub = df.where(F.col(col).isNull())
+    else:
+        value, offset, _size = _ranks_to_values(df, col, [rank])[rank]
+        sub = df.where(F.col(col) == F.lit(value))
+    if not rest:
+        return (value,)
+    return (value, *key_at_rank(sub, rest, offset))
+
+
+def key_less(order_cols: Sequence[str], key: tuple | None) -> Column:
+    """Lexicographic ``(order_cols) < key`` with NULLs last; ``key=None`` means +inf."""
+    if key is None:
+        return F.lit(True)
+    out = F.lit(False)
+    eq = F.lit(True)
+    for c, v in zip(order_cols, key):
+        col = F.col(c)
+        if v is None:
+            lt = col.isNotNull()
+            same = col.isNull()
+        else:
+            lt = col.isNotNull() & (col < F.lit(v))
+            same = col.isNotNull() & (col == F.lit(v))
+        out = out | (eq & lt)
+        eq = eq & same
+    return out
+
+
+# Runs of equal first keys up to this size finish the search with one bounded window.
+SMALL_RUN = 100_000
+
+
+def _key_in_run(sub: DataFrame, cols: Sequence[str], offset: int, size: int) -> tuple:
+    if size <= SMALL_RUN:
+        w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+        hit = sub.select(*cols).withColumn("_rl_rn", F.row_number().over(w)).where(F.col("_rl_rn") == offset + 1)
+        r = hit.first()
+        return tuple(r[c] for c in cols)
+    return key_at_rank(sub, cols, offset)
+
+
+def split_by_cut_keys(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    fractions: Sequence[float],
+    labels: Sequence[str],
+    *,
+    split_col: str = "split",
+) -> DataFrame:
+    """Same labels as :func:`ordered_split` without a global position: the keys at the
+    cut ranks are found by rank lookup, then each row is labelled by comparing its key
+    with them (a narrow projection, no shuffle of the rows themselves)."""
+    keys_df = df.select(*order_cols)
+    first, rest = order_cols[0], list(order_cols[1:])
+    row = keys_df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(first)).alias("nn")).first()
+    n, nn = int(row["n"]), int(row["nn"])
+    ranks = cut_points(n, fractions)
+    looked = _ranks_to_values(keys_df, first, sorted({r for r in ranks if r < nn})) if any(r < nn for r in ranks) else {}
+    keys: list[tuple | None] = []
+    for r in ranks:
+        if r >= n:
+            keys.append(None)
+            continue
+        if r >= nn:
+            value, offset, size = None, r - nn, n - nn
+            sub = keys_df.where(F.col(first).isNull())
+        else:
+            value, offset, size = looked[r]
+            sub = keys_df.where(F.col(first) == F.lit(value))
+        keys.append((value, *(_key_in_run(sub, rest, offset, size) if rest else ())))
+    expr = None
+    for key, lab in zip(keys, labels):
+        cond = key_less(order_cols, key)
+        expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
+    expr = expr.otherwise(F.lit(labels[len(keys)])) if expr is not None else F.lit(labels[0])
+    return df.withColumn(split_col, expr)
+
+
 def cut_points(n: int, fractions: Sequence[float]) -> list[int]:
     return [int(n * f) for f in fractions]
 
@@ -75,11 +189,13 @@ def ordered_split(
 
 
 def reference_current(df: DataFrame, order_cols: Sequence[str], fraction: float = REFERENCE_FRACTION) -> DataFrame:
-    """``side`` 0 for the first ``int(fraction n)`` rows by order, 1 for the rest."""
-    stats: dict = {}
-    indexed = with_position(df, order_cols, name="_rl_pos", stats=stats)
-    (cut,) = cut_points(sum(stats.values()), [fraction])
-    return indexed.withColumn("side", (F.col("_rl_pos") >= F.lit(cut)).cast("int")).drop("_rl_pos")
+    """``side`` 0 for the first ``int(fraction n)`` rows by order, 1 for the rest.
+
+    Found through the cut key (see :func:`split_by_cut_keys`), so the rows are labelled
+    in place and never shuffled for it.
+    """
+    out = split_by_cut_keys(df, order_cols, [fraction], ["0", "1"], split_col="_rl_side")
+    return out.withColumn("side", F.col("_rl_side").cast("int")).drop("_rl_side")
 
 
 def shuffle_key(key_col: str, seed: int = SHUFFLE_SEED) -> Column:

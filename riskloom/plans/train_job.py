@@ -19,7 +19,7 @@ from riskloom.operators.features import build_features
 from riskloom.operators.metrics import ScoreCurve, metrics_at_threshold
 from riskloom.operators.models import fit_gbt, fit_posterior, gbt_score
 from riskloom.operators.scoring import ScoringModel
-from riskloom.operators.splits import ordered_split, shuffle_split
+from riskloom.operators.splits import shuffle_key, split_by_cut_keys
 from riskloom.session import checkpoint_root
 from riskloom.sources.runlog import log_run
 from riskloom.spec import DomainSpec
@@ -44,8 +44,9 @@ def split_frame(spec: DomainSpec, df: DataFrame, fractions, labels) -> DataFrame
         raise ValueError("spec.columns.key (a unique tie key) is required for ordered splits")
     order = spec.order_column
     if order and order in df.columns:
-        return ordered_split(df, [order, key], fractions, labels)
-    return shuffle_split(df, key, fractions, labels)
+        return split_by_cut_keys(df, [order, key], fractions, labels)
+    keyed = df.withColumn("_rl_shuffle", shuffle_key(key))
+    return split_by_cut_keys(keyed, ["_rl_shuffle", key], fractions, labels).drop("_rl_shuffle")
 
 
 def score_summary(scores: DataFrame, p: str, y: str) -> dict[str, float]:

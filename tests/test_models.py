@@ -128,3 +128,20 @@ def test_stratified_sample_counts(spark):
     n_pos = min(500, int(1000 * 0.1) + 1)
     assert counts == {1: n_pos, 0: 1000 - n_pos}
     assert math.isclose(sum(counts.values()), 1000)
+
+
+def test_cut_key_split_equals_positional_split(spark):
+    from riskloom.operators.splits import split_by_cut_keys
+
+    # a hot first key (a third of the rows) and NULL keys, which sort last
+    df = spark.range(3000).select(
+        F.col("id").alias("key"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 50)
+        .alias("t"),
+    )
+    a = ordered_split(df, ["t", "key"]).select("key", "split")
+    b = split_by_cut_keys(df, ["t", "key"], (0.7, 0.85), ("train", "cal", "test")).select(
+        "key", F.col("split").alias("s2")
+    )
+    assert a.join(b, "key").where(F.col("split") != F.col("s2")).count() == 0
+    assert b.groupBy("s2").count().count() == 3
