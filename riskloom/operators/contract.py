@@ -34,8 +34,10 @@ CASE_TYPE = T.StructType(
         T.StructField("column", T.StringType()),
         T.StructField("check", T.StringType()),
         T.StructField("failure_case", T.StringType()),
+        T.StructField("label", T.StringType()),
     ]
 )
+EMPTY_CASES = T.ArrayType(CASE_TYPE)
 
 # Dtype names used in the check labels, per declared type.
 DTYPE_LABEL = {"long": "int64", "double": "float64", "string": "str", "timestamp": "datetime64[ns]"}
@@ -151,14 +153,29 @@ class Validation:
     checked: DataFrame  # coerced columns + pass-through + ``_rl_cases`` array
     missing: list[str] = field(default_factory=list)
 
+    INTERNAL = ("_rl_cases",)
+
     @property
     def coerced(self) -> DataFrame:
-        return self.checked.drop("_rl_cases")
+        return self.checked.drop(*self.INTERNAL)
+
+    @staticmethod
+    def has_failure() -> Column:
+        return F.size("_rl_cases") > 0
+
+    @staticmethod
+    def n_failed() -> Column:
+        return F.size("_rl_cases")
+
+    @staticmethod
+    def reasons() -> Column:
+        return F.concat_ws("; ", F.sort_array(F.col("_rl_cases")["label"]))
 
     def failure_cases(self, keys: Sequence[str] = ()) -> DataFrame:
         """Long table ``(keys..., column, check, failure_case)``; one row per failing cell."""
-        per_row = self.checked.select(*[q(k) for k in keys], F.explode("_rl_cases").alias("c")).select(
-            *[q(k) for k in keys], "c.column", "c.check", "c.failure_case"
+        per_row = (
+            self.checked.select(*[q(k) for k in keys], F.explode("_rl_cases").alias("c"))
+            .select(*[q(k) for k in keys], "c.column", "c.check", "c.failure_case")
         )
         if not self.missing:
             return per_row
@@ -174,8 +191,8 @@ class Validation:
         """One aggregate: rows, failing rows, failure cases (cases, not rows)."""
         r = self.checked.agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum((F.size("_rl_cases") > 0).cast("long")).alias("n_bad_rows"),
-            F.sum(F.size("_rl_cases")).alias("n_cases"),
+            F.sum(self.has_failure().cast("long")).alias("n_bad_rows"),
+            F.sum(self.n_failed()).alias("n_cases"),
         ).first()
         return {
             "n_rows": int(r["n_rows"]),
@@ -189,23 +206,17 @@ class Validation:
 
     def quarantine(self) -> tuple[DataFrame, DataFrame]:
         """``(accepted, rejected)``; rejected rows carry sorted ``reasons``."""
-        good = self.checked.where(F.size("_rl_cases") == 0).drop("_rl_cases")
-        bad = self.checked.where(F.size("_rl_cases") > 0).withColumn(
-            "reasons",
-            F.array_join(
-                F.array_sort(F.transform("_rl_cases", lambda x: F.concat_ws(":", x["column"], x["check"]))), "; "
-            ),
-        ).drop("_rl_cases")
+        good = self.checked.where(~self.has_failure()).drop(*self.INTERNAL)
+        bad = self.checked.where(self.has_failure()).withColumn("reasons", self.reasons()).drop(*self.INTERNAL)
         return good, bad
 
     def with_status(self) -> DataFrame:
         """Every row with ``status`` (accepted/rejected) and ``reasons`` ('' when accepted)."""
-        reasons = F.array_join(
-            F.array_sort(F.transform("_rl_cases", lambda x: F.concat_ws(":", x["column"], x["check"]))), "; "
-        )
-        return self.checked.withColumn(
-            "status", F.when(F.size("_rl_cases") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
-        ).withColumn("reasons", reasons).drop("_rl_cases")
+        return self.checked.select(
+            "*",
+            F.when(self.has_failure(), F.lit("rejected")).otherwise(F.lit("accepted")).alias("status"),
+            self.reasons().alias("reasons"),
+        ).drop(*self.INTERNAL)
 
 
 def summarize_cases(cases: DataFrame, max_rows: int = 10) -> DataFrame:
@@ -213,22 +224,29 @@ def summarize_cases(cases: DataFrame, max_rows: int = 10) -> DataFrame:
     return g.orderBy(F.desc("n_cases"), F.asc_nulls_last("column"), F.asc_nulls_last("check")).limit(max_rows)
 
 
+def _case(cond: Column, column: str, check: str, text: Column) -> Column:
+    """One-element array when ``cond`` holds, else an empty array."""
+    item = F.struct(F.lit(column), F.lit(check), text.cast("string"), F.lit(f"{column}:{check}")).cast(CASE_TYPE)
+    return F.when(F.coalesce(cond, F.lit(False)), F.array(item)).otherwise(F.array().cast(EMPTY_CASES))
+
+
 def validate(df: DataFrame, contract: Contract) -> Validation:
-    """Check ``df`` against ``contract`` lazily; see the module docstring."""
+    """Check ``df`` against ``contract`` lazily; see the module docstring.
+
+    One projection adds ``_rl_cases``: the ``concat`` of one-element-or-empty arrays, so
+    it holds exactly the failing checks of the row. Consumers need no higher-order
+    function (which would leave whole-stage codegen) and no filter over the exploded
+    cases (whose constraint inference grows exponentially with the number of rules):
+    ``explode`` gives the case table, ``size`` the counts, ``sort_array`` of the label
+    field the reasons.
+    """
     present = set(df.columns)
     missing = [r.column for r in contract.rules if r.column not in present]
-    if contract.strict:
-        extra = [c for c in df.columns if c not in set(contract.columns)]
-        missing = missing + []  # strict mode reports extras below
-    else:
-        extra = []
+    declared = {r.column for r in contract.rules}
+    extra = [c for c in df.columns if c not in declared] if contract.strict else []
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    out_cols: list[Column] = []
+    out_cols: list[Column] = [q(n) for n in df.columns if n not in declared]
     cases: list[Column] = []
-    declared = {r.column for r in contract.rules}
-    for name in df.columns:
-        if name not in declared:
-            out_cols.append(q(name))
     for rule in contract.rules:
         if rule.column not in present:
             continue
@@ -237,27 +255,17 @@ def validate(df: DataFrame, contract: Contract) -> Validation:
         v, bad_cast = _coerce(rule, raw, src, contract.truncate)
         is_missing = raw.isNull() | (F.isnan(raw) if isinstance(src, (T.DoubleType, T.FloatType)) else F.lit(False))
         out_cols.append(v.alias(rule.column))
-        cases.append(
-            F.when(bad_cast, F.struct(F.lit(rule.column), F.lit(rule.coerce_check), raw.cast("string")))
-        )
+        if rule.dtype in ("long", "double", "timestamp"):
+            cases.append(_case(bad_cast, rule.column, rule.coerce_check, raw.cast("string")))
         if not rule.nullable:
-            cases.append(
-                F.when(is_missing, F.struct(F.lit(rule.column), F.lit("not_nullable"), F.lit(None).cast("string")))
-            )
+            cases.append(_case(is_missing, rule.column, "not_nullable", F.lit(None).cast("string")))
         check = rule.value_check
         if check is not None:
             target_type = {"long": T.LongType(), "double": T.DoubleType()}.get(rule.dtype, src)
-            cases.append(
-                F.when(
-                    v.isNotNull() & ~_value_ok(rule, v),
-                    F.struct(F.lit(rule.column), F.lit(check), _text(v, target_type)),
-                )
-            )
+            cases.append(_case(v.isNotNull() & ~_value_ok(rule, v), rule.column, check, _text(v, target_type)))
     for name in extra:
-        cases.append(F.struct(F.lit(name), F.lit("column_in_schema"), F.lit(None).cast("string")))
-    arr = F.filter(F.array(*[c.cast(CASE_TYPE) for c in cases]), lambda x: x.isNotNull()) if cases else F.array().cast(
-        T.ArrayType(CASE_TYPE)
-    )
+        cases.append(_case(F.lit(True), name, "column_in_schema", F.lit(None).cast("string")))
+    arr = F.concat(*cases) if cases else F.array().cast(EMPTY_CASES)
     checked = df.select(*out_cols, arr.alias("_rl_cases"))
     return Validation(contract, checked, missing)
 
@@ -287,9 +295,10 @@ def validate_or_raise(df: DataFrame, contract: Contract, *, lazy: bool = True, k
         if counts["n_failures"]:
             raise DataValidationError(contract.name, counts, v.failure_cases(keys))
         return v.coerced
-    first = v.checked.where(F.size("_rl_cases") > 0).limit(1).collect()
+    first = v.checked.where(v.has_failure()).select(v.n_failed().alias("_n")).limit(1).collect()
     if first or v.missing:
-        counts = {"n_rows": -1, "n_bad_rows": 1 if first else 0, "n_failures": (len(first[0]["_rl_cases"]) if first else 0) + len(v.missing)}
+        counts = {"n_rows": -1, "n_bad_rows": 1 if first else 0,
+                  "n_failures": (first[0]["_n"] if first else 0) + len(v.missing)}
         raise DataValidationError(contract.name, counts, v.failure_cases(keys).limit(counts["n_failures"]))
     return v.coerced
 
