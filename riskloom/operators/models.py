@@ -6,12 +6,12 @@ Boosted trees: ``StringIndexer`` (alphabetical codes, unseen/NULL -> one extra i
 ``n_neg / n_pos`` on positives.
 
 Posterior: priors intercept ~ N(0, 2^2), slopes ~ N(0, 1) on the standardised design
-matrix, Bernoulli likelihood. The MAP starts from Spark's ``LogisticRegression`` with
-``regParam = 1 / n`` (the slope prior; the intercept is unpenalised there) and is
-finished by Newton steps on the exact objective. Each Newton step is one aggregate over
-all rows: gradient (d sums) and Hessian (d (d + 1) / 2 sums), map-side combined; the
-driver only solves a d x d system. The posterior covariance is the inverse Hessian at
-the MAP. Scoring needs no draws: ``mu = x'm`` and ``s^2 = x' S x`` per row, the
+matrix, Bernoulli likelihood. The MAP comes from damped Newton steps started at the
+prevalence logit. The log posterior is strictly concave, since the prior adds its
+precision to the Hessian. Each step is one aggregate over all rows: the gradient
+(d sums), the Hessian (d (d + 1) / 2 sums) and the log-likelihood, all map-side
+combined. The driver only solves a d x d system. The posterior covariance is the
+inverse Hessian at the MAP. Scoring needs no draws: ``mu = x'm`` and ``s^2 = x' S x`` per row, the
 posterior mean of the sigmoid by 20-point Gauss-Hermite quadrature and the equal-tail
 interval as ``sigmoid(mu +- z s)`` (the sigmoid is monotone), all Column expressions.
 """
@@ -24,7 +24,7 @@ from statistics import NormalDist
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.stats import sigmoid
 from riskloom.operators.encode import DesignModel, fit_design
+from riskloom.session import spread
 
 # Prior scales of intercept and slopes, quadrature order, Newton settings.
 PRIOR_SD_INTERCEPT = 2.0
@@ -102,7 +103,7 @@ def fit_gbt(
 ) -> PipelineModel:
     params = dict(params or {})
     balance = balance or bool(params.pop("is_unbalance", False))
-    data = train.withColumn(label, q(label).cast("double"))
+    data = spread(train.withColumn(label, q(label).cast("double")))
     weight = None
     if balance:
         data, weight = with_balance_weight(data, label)
@@ -180,13 +181,21 @@ class PosteriorModel:
 
 
 def _newton_sums(design: DataFrame, cols: list[str], beta: np.ndarray, label: str) -> tuple[np.ndarray, np.ndarray, float]:
-    """One aggregate: gradient, Hessian and log-likelihood of the Bernoulli part."""
+    """One aggregate: gradient, Hessian and log-likelihood of the Bernoulli part.
+
+    The coefficients enter as a one-row table joined by broadcast, not as literals, so
+    every Newton step runs the same generated code (no recompilation per step).
+    """
+    from riskloom.operators.metrics import with_totals
+
+    d = len(cols) + 1
+    coef = design.sparkSession.createDataFrame([tuple(float(b) for b in beta)], [f"_rl_b{i}" for i in range(d)])
     xs = [F.lit(1.0)] + [q(c) for c in cols]
-    eta = sum((F.lit(float(b)) * x for b, x in zip(beta, xs)), F.lit(0.0))
-    staged = design.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], q(label).cast("double").alias("_y"), eta.alias("_eta"))
+    joined = with_totals(design, coef)
+    eta = sum((F.col(f"_rl_b{i}") * x for i, x in enumerate(xs)), F.lit(0.0))
+    staged = joined.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], q(label).cast("double").alias("_y"), eta.alias("_eta"))
     mu = sigmoid(F.col("_eta"))
     w = mu * (F.lit(1.0) - mu)
-    d = len(xs)
     aggs = [F.sum((mu - F.col("_y")) * F.col(f"_x{i}")).alias(f"g{i}") for i in range(d)]
     aggs += [F.sum(w * F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"h{i}_{j}") for i in range(d) for j in range(i, d)]
     # log-likelihood: y*eta - log(1 + e^eta), computed stably
@@ -212,28 +221,36 @@ def fit_posterior(
     """Laplace posterior of the Bayesian logistic regression on all rows of ``df``."""
     design_model = fit_design(df, numeric, categorical)
     cols = design_model.output_columns
-    design = design_model.transform(df, keep=[label]).where(q(label).isNotNull()).persist()
+    design = spread(design_model.transform(df, keep=[label]).where(q(label).isNotNull())).persist()
     n = design.count()
     d = len(cols) + 1
     prior_prec = np.array([1.0 / PRIOR_SD_INTERCEPT**2] + [1.0 / PRIOR_SD_SLOPE**2] * (d - 1))
+    # Start at the prevalence logit; the log posterior is strictly concave (the prior
+    # adds its precision to the Hessian), so damped Newton converges in a few aggregates.
+    pos = float(design.agg(F.sum(q(label))).first()[0] or 0.0)
+    rate = min(max(pos / n, 1e-6), 1 - 1e-6) if n else 0.5
     beta = np.zeros(d)
-    if cols and n > 0:
-        vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(design)
-        lr = LogisticRegression(
-            featuresCol="_v", labelCol=label, regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
-            fitIntercept=True, maxIter=100, tol=1e-8,
-        ).fit(vec.withColumn(label, q(label).cast("double")))
-        beta = np.array([lr.intercept, *lr.coefficients.toArray()])
-    h_post = np.diag(prior_prec)
+    beta[0] = math.log(rate / (1.0 - rate))
+
+    def log_post(g_ll: float, b: np.ndarray) -> float:
+        return g_ll - 0.5 * float(np.sum(prior_prec * b * b))
+
+    g, h, ll = _newton_sums(design, cols, beta, label)
+    current = log_post(ll, beta)
     for _ in range(NEWTON_MAX_STEPS):
-        g, h, _ll = _newton_sums(design, cols, beta, label)
-        g_post = g + prior_prec * beta
-        h_post = h + np.diag(prior_prec)
-        step = np.linalg.solve(h_post, g_post)
-        beta = beta - step
-        if float(np.max(np.abs(step))) < NEWTON_TOL:
+        grad = g + prior_prec * beta
+        step = np.linalg.solve(h + np.diag(prior_prec), grad)
+        if 0.5 * float(grad @ step) < NEWTON_TOL:  # Newton decrement: converged
             break
-    g, h, _ll = _newton_sums(design, cols, beta, label)
+        t = 1.0
+        while True:
+            cand = beta - t * step
+            g_c, h_c, ll_c = _newton_sums(design, cols, cand, label)
+            value = log_post(ll_c, cand)
+            if value >= current - 1e-9 * max(1.0, abs(current)) or t < 1e-4:
+                break
+            t /= 2.0
+        beta, g, h, current = cand, g_c, h_c, value
     h_post = h + np.diag(prior_prec)
     cov = np.linalg.inv(h_post)
     cov = (cov + cov.T) / 2.0

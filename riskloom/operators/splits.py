@@ -133,7 +133,8 @@ def split_by_cut_keys(
     """Same labels as :func:`ordered_split` without a global position: the keys at the
     cut ranks are found by rank lookup, then each row is labelled by comparing its key
     with them (a narrow projection, no shuffle of the rows themselves)."""
-    keys_df = df.select(*order_cols)
+    # the few small lookups below all read the key columns: cache that narrow projection
+    keys_df = df.select(*order_cols).persist()
     first, rest = order_cols[0], list(order_cols[1:])
     row = keys_df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(first)).alias("nn")).first()
     n, nn = int(row["n"]), int(row["nn"])
@@ -151,6 +152,7 @@ def split_by_cut_keys(
             value, offset, size = looked[r]
             sub = keys_df.where(F.col(first) == F.lit(value))
         keys.append((value, *(_key_in_run(sub, rest, offset, size) if rest else ())))
+    keys_df.unpersist()
     expr = None
     for key, lab in zip(keys, labels):
         cond = key_less(order_cols, key)
@@ -203,6 +205,21 @@ def shuffle_key(key_col: str, seed: int = SHUFFLE_SEED) -> Column:
     return F.md5(F.concat(F.col(key_col).cast("string"), F.lit(f":{seed}")))
 
 
+def shuffle_order(df: DataFrame, key_col: str, seed: int = SHUFFLE_SEED) -> tuple[DataFrame, list[str]]:
+    """Columns ordering rows like ``md5(key || ':' || seed)``, led by a numeric key.
+
+    The first 15 hex digits of the digest as a BIGINT sort exactly like the digest text
+    (fixed width, 0-9 < a-f), so the order is unchanged while the bucket boundaries of
+    the running counts can come from ``percentile_approx``; the full digest and the key
+    break the (rare) ties.
+    """
+    h = shuffle_key(key_col, seed)
+    out = df.withColumn("_rl_shuffle", h).withColumn(
+        "_rl_shuffle_hi", F.conv(F.substring(F.col("_rl_shuffle"), 1, 15), 16, 10).cast("long")
+    )
+    return out, ["_rl_shuffle_hi", "_rl_shuffle", key_col]
+
+
 def shuffle_split(
     df: DataFrame,
     key_col: str,
@@ -214,9 +231,9 @@ def shuffle_split(
     index_col: str = "row_idx",
 ) -> DataFrame:
     """Split in seeded random order (used when there is no time column)."""
-    keyed = df.withColumn("_rl_shuffle", shuffle_key(key_col, seed))
-    out = ordered_split(keyed, ["_rl_shuffle", key_col], fractions, labels, split_col=split_col, index_col=index_col)
-    return out.drop("_rl_shuffle")
+    keyed, order = shuffle_order(df, key_col, seed)
+    out = ordered_split(keyed, order, fractions, labels, split_col=split_col, index_col=index_col)
+    return out.drop("_rl_shuffle", "_rl_shuffle_hi")
 
 
 def stratified_sample(
@@ -245,11 +262,8 @@ def stratified_sample(
         return df
     n_pos = min(pos, int(sample_size * (pos / n)) + 1)
     n_neg = min(sample_size - n_pos, neg)
-    keyed = (
-        df.where(F.col(label_col).isin(0, 1))
-        .withColumn("_rl_shuffle", shuffle_key(key_col, seed))
-        .withColumn("_rl_one", F.lit(1).cast("long"))
-    )
-    cum = cumulative(keyed, ["_rl_shuffle", key_col], ["_rl_one"], group_cols=[label_col])
+    keyed, order = shuffle_order(df.where(F.col(label_col).isin(0, 1)), key_col, seed)
+    keyed = keyed.withColumn("_rl_one", F.lit(1).cast("long"))
+    cum = cumulative(keyed, order, ["_rl_one"], group_cols=[label_col])
     keep = F.when(F.col(label_col) == 1, F.col("cum__rl_one") <= n_pos).otherwise(F.col("cum__rl_one") <= n_neg)
-    return cum.where(keep).drop("_rl_shuffle", "_rl_one", "cum__rl_one")
+    return cum.where(keep).drop("_rl_shuffle", "_rl_shuffle_hi", "_rl_one", "cum__rl_one")

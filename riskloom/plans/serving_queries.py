@@ -16,6 +16,7 @@ from riskloom.plans.train_job import train_model
 from riskloom.session import scratch_path
 from riskloom.sources.files import materialize, write_csv
 from riskloom.spec import Columns, DomainSpec, DriftSpec, EvaluationSpec, ModelSpec
+from riskloom.sources.records import parse_records, request_schema, to_json_records
 from riskloom.streaming.score_stream import request_split, start_scoring_stream
 
 # The fraud domain spec (columns as in the fraud contract).
@@ -42,7 +43,11 @@ def fraud_model(spark: SparkSession, sf_dir: str):
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fraud_frame(spark, sf_dir).select(*REQUEST_COLUMNS)
+    """Request records as a client sends them: one JSON document per event, parsed back
+    with the request schema (datetime as text, checked by the contract)."""
+    bodies = to_json_records(fraud_frame(spark, sf_dir), REQUEST_COLUMNS)
+    schema = request_schema(REQUEST, ("event_id", T.LongType()), text_cols=("trans_date_trans_time",))
+    return parse_records(bodies, "body", schema)
 
 
 def q_request_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,8 @@ from riskloom.operators.features import build_features
 from riskloom.operators.metrics import ScoreCurve, metrics_at_threshold
 from riskloom.operators.models import fit_gbt, fit_posterior, gbt_score
 from riskloom.operators.scoring import ScoringModel
-from riskloom.operators.splits import shuffle_key, split_by_cut_keys
-from riskloom.session import checkpoint_root
+from riskloom.operators.splits import shuffle_order, split_by_cut_keys
+from riskloom.session import checkpoint_root, spread
 from riskloom.sources.runlog import log_run
 from riskloom.spec import DomainSpec
 
@@ -45,8 +45,8 @@ def split_frame(spec: DomainSpec, df: DataFrame, fractions, labels) -> DataFrame
     order = spec.order_column
     if order and order in df.columns:
         return split_by_cut_keys(df, [order, key], fractions, labels)
-    keyed = df.withColumn("_rl_shuffle", shuffle_key(key))
-    return split_by_cut_keys(keyed, ["_rl_shuffle", key], fractions, labels).drop("_rl_shuffle")
+    keyed, order = shuffle_order(df, key)
+    return split_by_cut_keys(keyed, order, fractions, labels).drop("_rl_shuffle", "_rl_shuffle_hi")
 
 
 def score_summary(scores: DataFrame, p: str, y: str) -> dict[str, float]:
@@ -115,7 +115,7 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
     key, target = spec.columns.key, spec.target
     split = split_frame(spec, df, TREE_CUTS, ("train", "cal", "test"))
     feats, layout = build_features(spec, split, keep=[key, "split"])
-    feats = feats.persist()
+    feats = spread(feats).persist()
     train = feats.where(F.col("split") == "train")
     pipeline = fit_gbt(train, layout.continuous, layout.categorical, target, dict(spec.model.params))
     scored = gbt_score(pipeline, feats.where(F.col("split") != "train"), out="p_raw").persist()

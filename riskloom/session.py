@@ -60,3 +60,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never a machine-local tmp)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """At least one partition per core for a table that iterative fits read many times.
+
+    AQE coalesces small shuffle outputs (often to a single partition), which would run
+    every Newton step or tree level in one task. Larger inputs already have more
+    partitions than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
