@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.prefix import cumulative, row_index
+from riskloom.operators.prefix import _literal, cumulative, row_index
 
 # Fractions of the ordered 3-way split (train / calibration / test),
 # the reference share of the drift split and the default shuffle seed.
@@ -84,16 +84,21 @@ def key_at_rank(df: DataFrame, order_cols: Sequence[str], rank: int) -> tuple:
         sub = df.where(F.col(col).isNull())
     else:
         value, offset, _size = _ranks_to_values(df, col, [rank])[rank]
-        sub = df.where(F.col(col) == F.lit(value))
+        sub = df.where(F.col(col) == _literal(value, df.schema[col].dataType))
     if not rest:
         return (value,)
     return (value, *key_at_rank(sub, rest, offset))
 
 
-def key_less(order_cols: Sequence[str], key: tuple | None) -> Column:
-    """Lexicographic ``(order_cols) < key`` with NULLs last; ``key=None`` means +inf."""
+def key_less(order_cols: Sequence[str], key: tuple | None, dtypes: dict | None = None) -> Column:
+    """Lexicographic ``(order_cols) < key`` with NULLs last; ``key=None`` means +inf.
+
+    Literals take the column's exact type (``TIMESTAMP_NTZ`` through its text form), so
+    the comparison does not depend on the session time zone.
+    """
     if key is None:
         return F.lit(True)
+    dtypes = dtypes or {}
     out = F.lit(False)
     eq = F.lit(True)
     for c, v in zip(order_cols, key):
@@ -102,8 +107,9 @@ def key_less(order_cols: Sequence[str], key: tuple | None) -> Column:
             lt = col.isNotNull()
             same = col.isNull()
         else:
-            lt = col.isNotNull() & (col < F.lit(v))
-            same = col.isNotNull() & (col == F.lit(v))
+            lit = _literal(v, dtypes[c]) if c in dtypes else F.lit(v)
+            lt = col.isNotNull() & (col < lit)
+            same = col.isNotNull() & (col == lit)
         out = out | (eq & lt)
         eq = eq & same
     return out
@@ -135,6 +141,7 @@ def split_by_cut_keys(
     with them (a narrow projection, no shuffle of the rows themselves)."""
     # the few small lookups below all read the key columns: cache that narrow projection
     keys_df = df.select(*order_cols).persist()
+    dtypes = {f.name: f.dataType for f in keys_df.schema.fields}
     first, rest = order_cols[0], list(order_cols[1:])
     row = keys_df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(first)).alias("nn")).first()
     n, nn = int(row["n"]), int(row["nn"])
@@ -150,12 +157,12 @@ def split_by_cut_keys(
             sub = keys_df.where(F.col(first).isNull())
         else:
             value, offset, size = looked[r]
-            sub = keys_df.where(F.col(first) == F.lit(value))
+            sub = keys_df.where(F.col(first) == _literal(value, dtypes[first]))
         keys.append((value, *(_key_in_run(sub, rest, offset, size) if rest else ())))
     keys_df.unpersist()
     expr = None
     for key, lab in zip(keys, labels):
-        cond = key_less(order_cols, key)
+        cond = key_less(order_cols, key, dtypes)
         expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
     expr = expr.otherwise(F.lit(labels[len(keys)])) if expr is not None else F.lit(labels[0])
     return df.withColumn(split_col, expr)
