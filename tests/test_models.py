@@ -145,3 +145,19 @@ def test_cut_key_split_equals_positional_split(spark):
     )
     assert a.join(b, "key").where(F.col("split") != F.col("s2")).count() == 0
     assert b.groupBy("s2").count().count() == 3
+
+
+def test_cut_key_split_independent_of_session_time_zone(spark):
+    from riskloom.operators.splits import split_by_cut_keys
+
+    df = spark.range(500).select(
+        F.col("id").alias("key"),
+        F.expr("timestamp_ntz '2024-03-10 01:00:00' + make_interval(0, 0, 0, 0, 0, cast(id % 120 as int), 0)").alias("t"),
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        b = split_by_cut_keys(df, ["t", "key"], (0.7,), ("a", "b")).groupBy("split").count().collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert {r["split"]: r["count"] for r in b} == {"a": 350, "b": 150}
