@@ -50,3 +50,13 @@ def safe_ratio(num: Column, den: Column, default: float = 0.0) -> Column:
 
 def round6(c: Column) -> Column:
     return F.round(c.cast("double"), 6)
+
+
+def balanced_sum(terms: list[Column]) -> Column:
+    """Sum as a balanced tree (depth log2 n): long left-nested sums overflow the
+    analyzer's recursion for a few hundred terms."""
+    if not terms:
+        return F.lit(0.0)
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]

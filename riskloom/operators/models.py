@@ -30,7 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.stats import sigmoid
+from riskloom.functions.stats import balanced_sum, sigmoid
 from riskloom.operators.encode import DesignModel, fit_design
 from riskloom.session import spread
 
@@ -135,7 +135,7 @@ class PosteriorModel:
 
     def linear(self, xs: list[Column] | None = None) -> Column:
         xs = xs or self._x()
-        return sum((F.lit(float(m)) * x for m, x in zip(self.mean, xs)), F.lit(0.0))
+        return balanced_sum([F.lit(float(m)) * x for m, x in zip(self.mean, xs)])
 
     def variance(self, xs: list[Column] | None = None) -> Column:
         xs = xs or self._x()
@@ -146,7 +146,7 @@ class PosteriorModel:
                 c = self.cov[i][j] * (1.0 if i == j else 2.0)
                 if c != 0.0:
                     terms.append(F.lit(c) * xs[i] * xs[j])
-        return F.greatest(sum(terms, F.lit(0.0)), F.lit(0.0))
+        return F.greatest(balanced_sum(terms), F.lit(0.0))
 
     def score(self, df: DataFrame, keep: list[str], level: float | None = None) -> DataFrame:
         """``keep + (probability, ci_low, ci_high, mu, sd)``: posterior mean and interval."""
@@ -157,10 +157,9 @@ class PosteriorModel:
         staged = wide.select(*[q(k) for k in keep], mu.alias("mu"), sd.alias("sd"))
         z = NormalDist().inv_cdf(1.0 - (1.0 - level) / 2.0)
         nodes, weights = np.polynomial.hermite.hermgauss(GAUSS_HERMITE_POINTS)
-        mean = sum(
-            (F.lit(float(w / math.sqrt(math.pi))) * sigmoid(F.col("mu") + F.lit(float(math.sqrt(2.0) * t)) * F.col("sd"))
-             for t, w in zip(nodes, weights)),
-            F.lit(0.0),
+        mean = balanced_sum(
+            [F.lit(float(w / math.sqrt(math.pi))) * sigmoid(F.col("mu") + F.lit(float(math.sqrt(2.0) * t)) * F.col("sd"))
+             for t, w in zip(nodes, weights)]
         )
         return staged.select(
             *[q(k) for k in keep],
@@ -210,6 +209,38 @@ def _newton_sums(design: DataFrame, cols: list[str], beta: np.ndarray, label: st
     return g, h, float(r["ll"] or 0.0)
 
 
+def _partition_sums(packed: DataFrame, d: int, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradient, Hessian and log-likelihood at ``beta``: numpy per partition (one BLAS
+    product per Arrow batch), then a Spark sum per entry. The shuffle carries
+    ``partitions x (d^2 + d + 1)`` numbers, independent of the row count."""
+    b = np.asarray(beta, dtype=float)
+    size = d * d + d + 1
+
+    def part(batches):
+        import pandas as pd
+
+        g = np.zeros(d)
+        h = np.zeros((d, d))
+        ll = 0.0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf["x"].to_numpy())
+            y = pdf["y"].to_numpy(dtype=float)
+            eta = x @ b
+            mu = 1.0 / (1.0 + np.exp(-eta))
+            g += x.T @ (mu - y)
+            h += x.T @ (x * (mu * (1.0 - mu))[:, None])
+            ll += float(np.sum(y * eta - np.logaddexp(0.0, eta)))
+        yield pd.DataFrame({"i": np.arange(size), "v": np.concatenate([h.ravel(), g, [ll]])})
+
+    rows = packed.mapInPandas(part, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    v = np.zeros(size)
+    for r in rows:
+        v[r["i"]] = r["v"]
+    return v[d * d : d * d + d], v[: d * d].reshape(d, d), float(v[-1])
+
+
 def fit_posterior(
     df: DataFrame,
     numeric: list[str],
@@ -221,13 +252,16 @@ def fit_posterior(
     """Laplace posterior of the Bayesian logistic regression on all rows of ``df``."""
     design_model = fit_design(df, numeric, categorical)
     cols = design_model.output_columns
-    design = spread(design_model.transform(df, keep=[label]).where(q(label).isNotNull())).persist()
-    n = design.count()
+    design = spread(design_model.transform(df, keep=[label]).where(q(label).isNotNull()))
+    packed = design.select(
+        F.array(F.lit(1.0), *[q(c).cast("double") for c in cols]).alias("x"), q(label).cast("double").alias("y")
+    ).persist()
+    n = packed.count()
     d = len(cols) + 1
     prior_prec = np.array([1.0 / PRIOR_SD_INTERCEPT**2] + [1.0 / PRIOR_SD_SLOPE**2] * (d - 1))
     # Start at the prevalence logit; the log posterior is strictly concave (the prior
     # adds its precision to the Hessian), so damped Newton converges in a few aggregates.
-    pos = float(design.agg(F.sum(q(label))).first()[0] or 0.0)
+    pos = float(packed.agg(F.sum("y")).first()[0] or 0.0)
     rate = min(max(pos / n, 1e-6), 1 - 1e-6) if n else 0.5
     beta = np.zeros(d)
     beta[0] = math.log(rate / (1.0 - rate))
@@ -235,7 +269,7 @@ def fit_posterior(
     def log_post(g_ll: float, b: np.ndarray) -> float:
         return g_ll - 0.5 * float(np.sum(prior_prec * b * b))
 
-    g, h, ll = _newton_sums(design, cols, beta, label)
+    g, h, ll = _partition_sums(packed, d, beta)
     current = log_post(ll, beta)
     for _ in range(NEWTON_MAX_STEPS):
         grad = g + prior_prec * beta
@@ -245,7 +279,7 @@ def fit_posterior(
         t = 1.0
         while True:
             cand = beta - t * step
-            g_c, h_c, ll_c = _newton_sums(design, cols, cand, label)
+            g_c, h_c, ll_c = _partition_sums(packed, d, cand)
             value = log_post(ll_c, cand)
             if value >= current - 1e-9 * max(1.0, abs(current)) or t < 1e-4:
                 break
@@ -254,5 +288,5 @@ def fit_posterior(
     h_post = h + np.diag(prior_prec)
     cov = np.linalg.inv(h_post)
     cov = (cov + cov.T) / 2.0
-    design.unpersist()
+    packed.unpersist()
     return PosteriorModel(design_model, [float(b) for b in beta], cov.tolist(), ci_level, n)
