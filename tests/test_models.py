@@ -161,3 +161,16 @@ def test_cut_key_split_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert {r["split"]: r["count"] for r in b} == {"a": 350, "b": 150}
+
+
+def test_partition_newton_sums_equal_jvm_aggregate(spark):
+    from riskloom.operators.models import _newton_sums, _partition_sums
+
+    rng = np.random.default_rng(9)
+    rows = [(float(a), float(b), int(c)) for a, b, c in zip(rng.normal(size=300), rng.normal(size=300), rng.random(300) < 0.3)]
+    design = spark.createDataFrame(rows, "a double, b double, y int").repartition(3)
+    packed = design.select(F.array(F.lit(1.0), F.col("a"), F.col("b")).alias("x"), F.col("y").cast("double").alias("y"))
+    beta = np.array([-0.5, 0.3, -0.2])
+    g1, h1, l1 = _partition_sums(packed, 3, beta)
+    g2, h2, l2 = _newton_sums(design, ["a", "b"], beta, "y")
+    assert np.allclose(g1, g2, atol=1e-9) and np.allclose(h1, h2, atol=1e-9) and l1 == pytest.approx(l2, abs=1e-8)
