@@ -34,9 +34,10 @@ def order_id(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
 
 
-def original_id(column: str) -> Column:
+def original_id(column: str | Column) -> Column:
     """Undo ``order_id``."""
-    return F.when(F.col(column) != NULL_ID, F.col(column))
+    column = F.col(column) if isinstance(column, str) else column
+    return F.when(column != NULL_ID, column)
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:

@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import suffix_dedup
+from riskloom.llm import bpe_trie, ngram_join, suffix_dedup
 from riskloom.llm.common import load
 
 
+def tokenizer_file() -> str:
+    """The public byte-level BPE vocabulary of the box."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.encode(load(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(load(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_suffix_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_bpe_trie, op5_ngram_join, op8_suffix_dedup)}
 ORACLES: dict[str, str] = {}
