@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe_trie, ngram_join, suffix_dedup
+from riskloom.llm import bpe_trie, decontaminate, langid, ngram_join, suffix_dedup
 from riskloom.llm.common import load
 
 
@@ -27,5 +27,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_trie, op5_ngram_join, op8_suffix_dedup)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(load(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe_trie, op5_ngram_join, op8_suffix_dedup, op9_language_id, op10_decontamination)}
 ORACLES: dict[str, str] = {}
