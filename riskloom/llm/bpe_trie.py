@@ -198,7 +198,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
         out = {"doc_id": batch.column("doc_id"), "n_tokens": [len(x) for x in ids], "ids_sha256": [digest(",".join(map(str, x))) for x in ids], "decoded_sha256": [digest(x) for x in decoded]}
         return out | ({"ids": ids, "decoded": decoded} if with_ids else {})
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>, decoded string" * with_ids
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
     return map_batches(id_and_text(docs), run, schema)
 
 

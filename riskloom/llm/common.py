@@ -63,6 +63,17 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, keep) -> DataFrame:
+    """The rows of ``df`` for which ``keep(batch)`` gives True, all columns as they are: no join, no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 _ARROW = {
     "long": pa.int64(),
     "int": pa.int32(),
@@ -71,6 +82,7 @@ _ARROW = {
     "string": pa.string(),
     "binary": pa.binary(),
     "array<long>": pa.list_(pa.int64()),
+    "array<int>": pa.list_(pa.int32()),
 }
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, cut, id_and_text, map_batches, order_id, original_id, record_batch
+from riskloom.llm.common import arrow_schema, cut, filter_rows, id_and_text, map_batches, order_id, original_id, record_batch
 from riskloom.llm.textbytes import many_word_hashes
 
 PIECE_WORDS, LEAST_WORDS = 48, 8
@@ -194,6 +194,26 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[Block]]:
         yield [b for b in spaces if b is not None]
 
 
+def _found(batch: pa.RecordBatch, blocks: list[Block]) -> tuple[list[set[int]], list[float]]:
+    """Items and best share of each text of a batch."""
+    items: list[set[int]] = [set() for _ in range(batch.num_rows)]
+    best = [0.0] * batch.num_rows
+    words, counts = many_word_hashes([plain(t) for t in batch.column("text").to_pylist()])
+    for block in blocks:
+        for r, item, share in _matches(words, counts, block):
+            items[r].add(item)
+            best[r] = max(best[r], share)
+    return items, best
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no item, all columns as they are."""
+    for blocks in _blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(blocks)
+        docs = filter_rows(docs, lambda batch, shared=shared: [not x for x in _found(batch, shared.value)[0]])
+    return docs
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, contaminated, n_items, item_ids, best_share)``, one row per input row.
 
@@ -210,13 +230,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(blocks)  # at most BLOCKS_AT_ONCE x BLOCK_PIECES x PIECE_WORDS x RANK numbers
 
         def run(batch: pa.RecordBatch, shared=shared) -> dict:
-            items: list[set[int]] = [set() for _ in range(batch.num_rows)]
-            best = [0.0] * batch.num_rows
-            words, counts = many_word_hashes([plain(t) for t in batch.column("text").to_pylist()])
-            for block in shared.value:
-                for r, item, share in _matches(words, counts, block):
-                    items[r].add(item)
-                    best[r] = max(best[r], share)
+            items, best = _found(batch, shared.value)
             return {"doc_id": batch.column("doc_id"), "items": [sorted(x) for x in items], "best_share": best}
 
         passes.append(map_batches(texts, run, schema))

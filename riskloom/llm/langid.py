@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, id_and_text, map_batches, record_batch
+from riskloom.llm.common import arrow_schema, filter_rows, id_and_text, map_batches, record_batch
 
 #: Dimensions, centroids per language, training texts per language for the centroids, k-means rounds.
 DIMS = 1 << 14
@@ -183,28 +183,37 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size, see the head of the module
 
     def run(batch: pa.RecordBatch) -> dict:
-        m = shared.value
-        texts = batch.column("text").to_pylist()
-        langs, scores, rejected = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
-        for i, text in enumerate(texts):
-            if m is not None and text and has_letter(text):
-                k, scores[i] = m.predict(text)
-                langs[i], rejected[i] = m.languages[k], scores[i] < float(m.limits[k])
-        return {"doc_id": batch.column("doc_id"), "lang_pred": langs, "score": scores, "rejected": rejected}
+        found = [judge(t, shared.value) for t in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id")} | {name: [f[k] for f in found] for k, name in enumerate(("lang_pred", "score", "rejected"))}
 
     return map_batches(id_and_text(docs), run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def judge(text: str | None, model: Model | None) -> tuple[str, float, bool]:
+    """Language, score and whether it is rejected, of one text."""
+    if model is None or not text or not has_letter(text):
+        return "und", 0.0, True
+    k, score = model.predict(text)
+    return model.languages[k], score, score < float(model.limits[k])
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda batch: [not judge(t, shared.value)[2] for t in batch.column("text").to_pylist()])
+
+
 def held_out(column: str = "doc_id"):
     """Rows that are never learnt from: crc32 of the id as text leaves 1 when divided by 3. False for a null id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """Fit on the rows that are not held out, predict all: ``(doc_id, held_out, lang_pred, score, rejected)``.
-
-    A row with a null id is predicted but not learnt from.
-    """
+def fit_documents(docs: DataFrame) -> Model | None:
+    """Fit on the rows of ``documents`` that are not held out; a row with a null id is not learnt from."""
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    model = fit(typed.filter(~held_out() & F.col("doc_id").isNotNull()).select("text", "lang"))
-    return predict(typed, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+    return fit(typed.filter(~held_out() & F.col("doc_id").isNotNull()).select("text", "lang"))
+
+
+def identify(docs: DataFrame) -> DataFrame:
+    """Fit on the rows that are not held out, predict all: ``(doc_id, held_out, lang_pred, score, rejected)``."""
+    return predict(docs, fit_documents(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")

@@ -222,3 +222,14 @@ def _rows(texts: DataFrame, member: DataFrame, good: DataFrame, roots: DataFrame
         F.coalesce(F.col("copies"), F.lit(1)).cast("long").alias("n_copies"),
         original_id(F.coalesce("rep", "doc")).alias("rep_id"),
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those of whose class a smaller id stays; of equal rows one stays. All columns as they are.
+
+    A null id is smaller than every other, so its row stays.
+    """
+    gone = similar(docs).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_gone"))
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    ids = docs.select("doc_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).first()
+    return left if ids["n"] == ids["d"] else left.dropDuplicates()

@@ -1,10 +1,14 @@
-"""The queries of this subpackage, as ``(spark, sf_dir) -> DataFrame``."""
+"""The queries of this subpackage, as ``(spark, sf_dir) -> DataFrame``.
+
+None has an oracle in SQL: each result carries a column that only its method gives (a compression verdict, a
+learnt label, token ids, hashes of texts). Their tests hold them against plain versions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe_trie, decontaminate, langid, ngram_join, suffix_dedup
+from riskloom.llm import bpe_trie, compression, decontaminate, langid, license_rules, ngram_join, pii, secret_scan, suffix_dedup, url_trees
 from riskloom.llm.common import load
 
 
@@ -15,14 +19,34 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.quality(load(spark, sf_dir, "documents"))
+
+
 def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.encode(load(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op3_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(load(spark, sf_dir, "documents"))
+
+
+def op4_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trees.judge(load(spark, sf_dir, "pages"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(load(spark, sf_dir, "documents"))
 
 
+def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(load(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(load(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
 
@@ -35,5 +59,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_trie, op5_ngram_join, op8_suffix_dedup, op9_language_id, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_compression_bands,
+        op2_bpe_trie,
+        op3_weak_pii,
+        op4_url_trees,
+        op5_ngram_join,
+        op6_license_rules,
+        op7_secret_scan,
+        op8_suffix_dedup,
+        op9_language_id,
+        op10_decontamination,
+    )
+}
 ORACLES: dict[str, str] = {}
