@@ -22,11 +22,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import ks_pvalue, nan_to_null
-from riskloom.operators.prefix import cumulative
+from riskloom.operators.prefix import cumulative, cut
 from riskloom.operators.quantiles import quantiles_from_cumulative
 
 # Clip floor for bin proportions and default bin count.
@@ -64,10 +64,10 @@ def union_sides(reference: DataFrame, current: DataFrame, features: Sequence[str
 class DriftAnalysis:
     """Drift tables over a ``(side, feature, x)`` long frame.
 
-    The distinct-value table with both running counts is built once and cached. Two
-    small, bounded results are then collected as literals: the per-feature sample
-    sizes and the reference quantiles (``features x (bins + 1)`` numbers). Everything
-    after that is one aggregate per output over the cached table.
+    The distinct-value table with both running counts is built once and checkpointed. One
+    bounded result is then read back: per feature the two sizes and the reference quantiles
+    (``features x (bins + 1)`` numbers). Everything after that is one aggregate per output over
+    the checkpointed table.
     """
 
     long: DataFrame
@@ -80,83 +80,63 @@ class DriftAnalysis:
             F.sum((F.col("side") == REFERENCE).cast("long")).alias("c_ref"),
             F.sum((F.col("side") == CURRENT).cast("long")).alias("c_cur"),
         )
-        self.cum = cumulative(
-            counts, ["x"], ["c_ref", "c_cur"], group_cols=["feature"], keep_bucket=True
-        ).persist()
-        self._sizes: dict[str, tuple[int, int]] | None = None
-        self._edges: dict[str, list[float]] | None = None
+        self.cum = cut(cumulative(counts, ["x"], ["c_ref", "c_cur"], group_cols=["feature"], keep_bucket=True))
+        self._facts: dict[str, tuple[int, int, list[float]]] | None = None
 
     @classmethod
     def from_tables(cls, reference: DataFrame, current: DataFrame, features: Sequence[str], **kw) -> DriftAnalysis:
         stacked = union_sides(reference, current, features)
         return cls(long_values(stacked, [f for f in features if f in stacked.columns]), **kw)
 
-    # -- bounded driver-side facts ---------------------------------------------------
-    @property
-    def sizes(self) -> DataFrame:
-        return self.cum.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
-
-    def size_map(self) -> dict[str, tuple[int, int]]:
-        if self._sizes is None:
-            self._sizes = {r["feature"]: (int(r["n_ref"]), int(r["n_cur"])) for r in self.sizes.collect()}
-        return self._sizes
-
-    def edge_map(self) -> dict[str, list[float]]:
-        """Reference quantiles per feature (``bins + 1`` values, not de-duplicated)."""
-        if self._edges is None:
-            got: dict[str, list] = {}
-            for r in self.quantile_edges().collect():
-                got.setdefault(r["feature"], []).append((r["q_index"], r["quantile"]))
-            self._edges = {f: [v for _, v in sorted(vals)] for f, vals in got.items()}
-        return self._edges
-
-    def _spark(self):
-        return self.cum.sparkSession
-
-    def _per_feature(self, values: dict[str, object], default=None) -> Column:
-        expr = None
-        for f, v in values.items():
-            cond = F.col("feature") == F.lit(f)
-            expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-        return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
-
-    def _bin_column(self) -> Column:
-        """Bin = number of inner unique edges <= x, per feature (literal edges)."""
-        expr = None
-        for f, q in self.edge_map().items():
-            u = sorted(set(q))
-            inner = u[1:-1] if len(u) >= 3 else []
-            b = sum(((F.col("x") >= F.lit(e)).cast("int") for e in inner), F.lit(0))
-            cond = F.col("feature") == F.lit(f)
-            expr = F.when(cond, b) if expr is None else expr.when(cond, b)
-        return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
-
-    def _n_bins(self) -> dict[str, int]:
-        return {f: len(set(q)) - 1 for f, q in self.edge_map().items()}
-
-    # -- quantile edges and bins -------------------------------------------------
+    # -- bounded facts -----------------------------------------------------------------
     def quantile_edges(self) -> DataFrame:
         """Reference-side quantiles at ``0, 1/bins, ..., 1`` (before de-duplication)."""
-        sizes = {(f,): n[0] for f, n in self.size_map().items()}
         return quantiles_from_cumulative(
-            self.cum, "x", "c_ref", quantile_points(self.bins), group_cols=["feature"], cum_col="cum_c_ref",
-            sizes=sizes,
+            self.cum, "x", "c_ref", quantile_points(self.bins), group_cols=["feature"], cum_col="cum_c_ref"
         )
 
+    def facts(self) -> dict[str, tuple[int, int, list[float]]]:
+        """Per feature: reference size, current size, reference quantiles (none for an empty reference)."""
+        if self._facts is None:
+            sizes = self.cum.groupBy("feature").agg(F.max("cum_c_ref").alias("n_ref"), F.max("cum_c_cur").alias("n_cur"))
+            edges = self.quantile_edges().groupBy("feature").agg(
+                F.array_sort(F.collect_list(F.struct("q_index", "quantile"))).alias("e")
+            )
+            rows = sizes.join(edges, "feature", "left").collect()
+            self._facts = {r["feature"]: (int(r["n_ref"]), int(r["n_cur"]), [x["quantile"] for x in r["e"] or []]) for r in rows}
+        return self._facts
+
+    def _features(self) -> DataFrame:
+        """One row per feature: sizes and the inner edges of its bins, ascending."""
+        rows = []
+        for f, (n_ref, n_cur, q) in self.facts().items():
+            u = sorted(set(q))
+            rows.append((f, n_ref, n_cur, max(len(u) - 1, 0), u[1:-1]))
+        schema = "feature string, n_ref long, n_cur long, n_bins int, inner_edges array<double>"
+        return self.cum.sparkSession.createDataFrame(rows, schema)
+
+    def _with_features(self) -> DataFrame:
+        """The distinct values with their feature's row: one row per feature, broadcast."""
+        totals = self._features().withColumnsRenamed({"n_ref": "total_ref", "n_cur": "total_cur"})
+        return self.cum.join(F.broadcast(totals), "feature")
+
+    # -- quantile bins -------------------------------------------------------------------
     def _binned_counts(self) -> DataFrame:
+        """Bin = number of inner edges <= x; features without a reference have no bins."""
+        reached = F.aggregate("inner_edges", F.lit(0), lambda n, e: n + (e <= F.col("x")).cast("int"))
         return (
-            self.cum.select("feature", "x", "c_ref", "c_cur")
-            .where(F.col("feature").isin(list(self.edge_map())))
-            .withColumn("bin", self._bin_column())
-            .groupBy("feature", "bin")
+            self._with_features()
+            .where(F.col("total_ref") > 0)
+            .groupBy("feature", "total_ref", "total_cur", reached.alias("bin"))
             .agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
         )
 
     def psi_bins(self) -> DataFrame:
         """Full grid ``(feature, bin, n_ref, n_cur)`` of counts per reference bin."""
-        grid_rows = [(f, b) for f, k in self._n_bins().items() for b in range(max(k, 0))]
-        grid = self._spark().createDataFrame(grid_rows, "feature string, bin int")
-        return grid.join(self._binned_counts(), ["feature", "bin"], "left").select(
+        grid = self._features().where(F.col("n_bins") > 0).select(
+            "feature", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin")
+        )
+        return grid.join(self._binned_counts().drop("total_ref", "total_cur"), ["feature", "bin"], "left").select(
             "feature",
             "bin",
             F.coalesce("n_ref", F.lit(0)).cast("long").alias("n_ref"),
@@ -169,38 +149,24 @@ class DriftAnalysis:
         Bins empty on both sides contribute exactly 0 (both proportions clip to 1e-6),
         so only the bins present in the data are summed.
         """
-        sizes = self.size_map()
-        n_ref = self._per_feature({f: n[0] for f, n in sizes.items()}, 0)
-        n_cur = self._per_feature({f: n[1] for f, n in sizes.items()}, 0)
-        e = F.greatest(F.try_divide(F.col("n_ref").cast("double"), n_ref), F.lit(PSI_EPS))
-        a = F.greatest(F.try_divide(F.col("n_cur").cast("double"), n_cur), F.lit(PSI_EPS))
+        e = F.greatest(F.try_divide(F.col("n_ref").cast("double"), F.col("total_ref")), F.lit(PSI_EPS))
+        a = F.greatest(F.try_divide(F.col("n_cur").cast("double"), F.col("total_cur")), F.lit(PSI_EPS))
         per = self._binned_counts().groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi_sum"))
-        base = self._spark().createDataFrame(
-            [(f, n[0], n[1], self._n_bins().get(f, 0)) for f, n in sizes.items()],
-            "feature string, n_ref long, n_cur long, n_bins int",
-        )
         psi = (
             F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(None).cast("double"))
             .when(F.col("n_bins") < 1, F.lit(0.0))
             .otherwise(F.coalesce("psi_sum", F.lit(0.0)))
         )
-        return base.join(per, "feature", "left").select("feature", psi.alias("psi"))
+        return self._features().join(per, "feature", "left").select("feature", psi.alias("psi"))
 
     # -- KS ---------------------------------------------------------------------
     def ks(self) -> DataFrame:
         """``(feature, ks_stat, ks_pvalue, n_ref, n_cur)``."""
-        sizes = self.size_map()
-        n_ref = self._per_feature({f: n[0] for f, n in sizes.items()}, 0)
-        n_cur = self._per_feature({f: n[1] for f, n in sizes.items()}, 0)
-        gap = F.abs(
-            F.try_divide(F.col("cum_c_ref").cast("double"), n_ref) - F.try_divide(F.col("cum_c_cur").cast("double"), n_cur)
-        )
-        both = [f for f, n in sizes.items() if n[0] > 0 and n[1] > 0]
-        stat = self.cum.where(F.col("feature").isin(both)).groupBy("feature").agg(F.max(gap).alias("ks_stat"))
-        base = self._spark().createDataFrame(
-            [(f, n[0], n[1]) for f, n in sizes.items()], "feature string, n_ref long, n_cur long"
-        )
-        out = base.join(stat, "feature", "left")
+        share = lambda c, n: F.try_divide(F.col(c).cast("double"), F.col(n))
+        gap = F.abs(share("cum_c_ref", "total_ref") - share("cum_c_cur", "total_cur"))
+        both = self._with_features().where((F.col("total_ref") > 0) & (F.col("total_cur") > 0))
+        stat = both.groupBy("feature").agg(F.max(gap).alias("ks_stat"))
+        out = self._features().join(stat, "feature", "left")
         return out.select(
             "feature",
             "ks_stat",
@@ -210,13 +176,21 @@ class DriftAnalysis:
         )
 
     # -- report -----------------------------------------------------------------
+    def tests(self) -> DataFrame:
+        """``(feature, psi, ks_stat, ks_pvalue, psi_drifted, ks_drifted)``: each test with its own flag."""
+        both = self.psi().join(self.ks(), "feature", "full")
+        return both.select(
+            "feature",
+            "psi",
+            "ks_stat",
+            "ks_pvalue",
+            (F.col("psi") > F.lit(self.psi_threshold)).alias("psi_drifted"),
+            (F.col("ks_pvalue") < F.lit(self.ks_pvalue_threshold)).alias("ks_drifted"),
+        )
+
     def report(self) -> DataFrame:
         """``(feature, psi, ks_stat, ks_pvalue, drifted)``, one row per feature."""
-        r = self.psi().join(self.ks(), "feature", "full")
-        drifted = (F.col("psi") > F.lit(self.psi_threshold)) | (
-            F.col("ks_pvalue") < F.lit(self.ks_pvalue_threshold)
-        )
-        return r.select("feature", "psi", "ks_stat", "ks_pvalue", drifted.alias("drifted"))
+        return self.tests().select("feature", "psi", "ks_stat", "ks_pvalue", (F.col("psi_drifted") | F.col("ks_drifted")).alias("drifted"))
 
     def rollup(self) -> DataFrame:
         """One row: any drift, counts, sorted list of drifted features and a summary."""

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import safe_ratio
-from riskloom.operators.prefix import GROUP_ALL, cumulative
+from riskloom.operators.prefix import GROUP_ALL, cumulative, cut
 from riskloom.operators.quantiles import exact_quantiles
 
 
@@ -49,16 +49,12 @@ class ScoreCurve:
     def __post_init__(self) -> None:
         s = self.scores.select(F.col(self.y).cast("long").alias("y"), F.col(self.p).cast("double").alias("p"))
         self.rows = s.where(F.col("p").isNotNull() & F.col("y").isNotNull())
-        groups = self.rows.groupBy("p").agg(
-            F.sum("y").alias("pos_here"), F.count(F.lit(1)).alias("n_here")
-        )
-        self.totals = groups.agg(
-            F.sum("pos_here").alias("n_pos"), (F.sum("n_here") - F.sum("pos_here")).alias("n_neg")
-        )
+        groups = self.rows.groupBy("p").agg(F.sum("y").alias("pos_here"), F.count(F.lit(1)).alias("n_here"))
         cum = cumulative(groups, ["p"], ["pos_here", "n_here"], descending=True)
-        self.table = with_totals(cum, self.totals).withColumnRenamed("cum_pos_here", "tp").withColumnRenamed(
-            "cum_n_here", "flagged"
-        ).persist()
+        cum = cut(cum.withColumnsRenamed({"cum_pos_here": "tp", "cum_n_here": "flagged"}))
+        # The last running sums are the totals.
+        self.totals = cum.agg(F.max("tp").alias("n_pos"), (F.max("flagged") - F.max("tp")).alias("n_neg"))
+        self.table = with_totals(cum, self.totals)
 
     def pr_curve(self) -> DataFrame:
         """``(threshold, tp, n_flagged, precision, recall)`` per distinct score."""

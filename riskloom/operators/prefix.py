@@ -4,38 +4,36 @@ A window with ``orderBy`` but no ``partitionBy`` runs in a single task. Everythi
 ordered in this package (curves over scores, KS, exact quantiles, ordered splits) goes
 through :func:`cumulative` instead:
 
-1. A bounded, seeded sample of the order keys is collected; its sorted quantiles become
-   bucket boundaries (per group). The bucket of a row is a binary search over those
-   literals, written as nested ``CASE WHEN`` so it stays inside whole-stage codegen, and
-   is a non-decreasing function of the key: equal keys share a bucket, buckets are
-   contiguous key ranges.
-2. Bucket totals (groups x buckets rows) get exclusive running offsets from a window over
-   that small table; the offsets are broadcast back (their size is checked).
+1. The rows are range-partitioned by ``(group, key)`` and written once to the checkpoint
+   folder, with the number of their range as bucket. Spark samples the ranges over the whole
+   key, so a hot first key is split by the keys behind it, any number of groups shares
+   the ranges, and there are as many buckets as partitions were asked for.
+2. Bucket totals (at most buckets + groups rows) get exclusive running offsets from a window
+   over that small table. How the offsets are joined back is left to Spark, which knows
+   their size.
 3. ``Window.partitionBy(group, bucket).orderBy(key)`` gives the local running sum.
 
-The work is one shuffle of the input rows on ``(group, bucket)`` plus aggregates over at
-most ``groups x buckets`` rows. Keys must be unique within a group (pre-aggregate or add a
-tie key): rows with equal keys would get an arbitrary order among themselves.
+The checkpoint fixes the ranges: a task that is run again after the loss of an executor
+reads the same bucket numbers. Keys must be unique within a group (pre-aggregate or add a tie
+key): rows with equal keys would get an arbitrary order among themselves.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import checkpoint_root
+
 GROUP_ALL = "_rl_all"
 BUCKET = "_rl_bucket"
-# Broadcast of the offsets table is only used below this many rows.
-MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
 
 
-def _literal(value, dtype: T.DataType) -> Column:
+def literal(value, dtype: T.DataType) -> Column:
+    """A literal of exactly the column's type, whatever the session time zone."""
     if value is None:
         return F.lit(None).cast(dtype)
     if isinstance(dtype, T.TimestampNTZType):
@@ -43,159 +41,17 @@ def _literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def _key_ge(cols: Sequence[Column], vals: Sequence[Column]) -> Column:
-    """Lexicographic ``cols >= vals``."""
-    if len(cols) == 1:
-        return cols[0] >= vals[0]
-    return (cols[0] > vals[0]) | ((cols[0] == vals[0]) & _key_ge(cols[1:], vals[1:]))
-
-
-def _count_le(cols: Sequence[Column], bounds: list[list[Column]], lo: int, hi: int) -> Column:
-    """Number of boundaries in ``bounds[lo:hi]`` that are <= key, plus ``lo``."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_key_ge(cols, bounds[mid]), _count_le(cols, bounds, mid + 1, hi)).otherwise(
-        _count_le(cols, bounds, lo, mid)
-    )
-
-
-def _pick_bounds(keys: list[tuple], n_buckets: int) -> list[tuple]:
-    keys = sorted(set(keys), key=_sort_tuple)
-    if n_buckets <= 1 or len(keys) < 2:
-        return []
-    step = len(keys) / n_buckets
-    out: list[tuple] = []
-    for i in range(1, n_buckets):
-        k = keys[min(len(keys) - 1, int(round(i * step)))]
-        if not out or _sort_tuple(k) > _sort_tuple(out[-1]):
-            out.append(k)
-    return out
-
-
-def _sort_tuple(t: tuple) -> tuple:
-    # nulls last within each position
-    return tuple((v is None, v if v is not None else 0) for v in t)
-
-
-APPROX_ACCURACY = 10_000
-_APPROX_TYPES = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
-
-
-def _n_buckets(df: DataFrame, total: int, n_buckets: int | None) -> int:
-    if n_buckets is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n_buckets = max(parts, math.ceil(total / DEFAULT_ROWS_PER_BUCKET))
-    return max(1, min(MAX_BUCKETS, n_buckets))
-
-
-def _thin(values: list, k: int) -> list:
-    """``k - 1`` evenly spaced picks of a sorted list of ``MAX_BUCKETS - 1`` quantiles."""
-    if k <= 1 or not values:
-        return []
-    step = len(values) / (k - 1) if k - 1 < len(values) else 1.0
-    picks = [values[min(len(values) - 1, int(i * step))] for i in range(k - 1)] if k - 1 < len(values) else values
-    return picks
-
-
-def bucket_expression(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    group_cols: Sequence[str],
-    *,
-    n_buckets: int | None = None,
-    seed: int = 17,
-) -> tuple[Column, dict[tuple, int]]:
-    """Column computing the bucket of each row, and the row count per group.
-
-    Fast path (first order key numeric, date or timestamp): one aggregate per group of
-    ``count`` and ``percentile_approx`` at ``1023`` ranks; boundaries on the first key
-    alone are enough unless one first-key value is hot (it then repeats among the
-    quantiles), in which case that group falls back to composite boundaries from a
-    seeded sample of at most ``~50 x buckets`` keys.
-    """
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    key_cols = [F.col(c) for c in order_cols]
-    # a leading NULL flag (see ``splits``) is handled outside the binary search: flagged
-    # rows sort last, so they get the bucket after every boundary.
-    flag = None
-    lead = 0
-    if order_cols[0].startswith("_rl_null_") and len(order_cols) > 1 and order_cols[1] == order_cols[0][9:]:
-        flag, lead = order_cols[0], 1
-    first = order_cols[lead]
-    bounds_by_group: dict[tuple, tuple[list[Column], list[list[Column]]]] = {}
-    fallback: list[tuple] = []
-    if isinstance(dtypes[first], _APPROX_TYPES):
-        # a small rank grid first; a finer one only when the row count asks for more
-        # buckets than the grid holds (large inputs, where one more pass is cheap)
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        grid = max(2, min(MAX_BUCKETS, n_buckets or 4 * parts))
-
-        def approx(k: int):
-            probs = [i / k for i in range(1, k)]
-            return df.groupBy(*group_cols).agg(
-                F.count(F.lit(1)).alias("_n"),
-                F.percentile_approx(F.col(first), probs, APPROX_ACCURACY).alias("_q"),
-            ).collect()
-
-        rows = approx(grid)
-        counts = {tuple(r[:-2]): int(r["_n"]) for r in rows}
-        total = sum(counts.values())
-        nb = _n_buckets(df, total, n_buckets)
-        if nb > grid:
-            rows = approx(nb)
-        for r in rows:
-            g = tuple(r[:-2])
-            picks = _thin([v for v in (r["_q"] or []) if v is not None], nb)
-            distinct = sorted(set(picks))
-            if len(order_cols) > lead + 1 and len(distinct) < len(picks):
-                fallback.append(g)
-                continue
-            lit_bounds = [[_literal(v, dtypes[first])] for v in distinct]
-            bounds_by_group[g] = ([key_cols[lead]], lit_bounds)
-    else:
-        counts = {
-            tuple(r[:-1]): int(r[-1])
-            for r in df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()
-        }
-        total = sum(counts.values())
-        nb = _n_buckets(df, total, n_buckets)
-        fallback = list(counts)
-    if total == 0:
-        return F.lit(0), counts
-    if fallback:
-        target = 50 * nb
-        frac_expr = None
-        for g in fallback:
-            frac = min(1.0, target / max(1, counts[g]))
-            cond = _group_match(group_cols, g)
-            frac_expr = F.when(cond, F.lit(frac)) if frac_expr is None else frac_expr.when(cond, F.lit(frac))
-        sample = df.select(*group_cols, *order_cols).where(F.rand(seed) < frac_expr).collect()
-        ng = len(group_cols)
-        by_group: dict[tuple, list[tuple]] = {}
-        for r in sample:
-            by_group.setdefault(tuple(r[:ng]), []).append(tuple(r[ng:]))
-        for g, keys in by_group.items():
-            bounds = _pick_bounds(keys, nb)
-            bounds_by_group[g] = (key_cols, [[_literal(v, dtypes[c]) for v, c in zip(b, order_cols)] for b in bounds])
-    expr = None
-    for g, (cols, lit_bounds) in bounds_by_group.items():
-        body = _count_le(cols, lit_bounds, 0, len(lit_bounds))
-        if flag is not None and len(cols) == 1:
-            body = F.when(F.col(flag) == 1, F.lit(len(lit_bounds) + 1)).otherwise(body)
-        if len(bounds_by_group) == 1 and len(counts) == 1:
-            return body, counts
-        cond = _group_match(group_cols, g)
-        expr = F.when(cond, body) if expr is None else expr.when(cond, body)
-    expr = F.lit(0) if expr is None else expr.otherwise(F.lit(0))
-    return expr, counts
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder: computed once, survives executors, not cached."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
 
 
-def _group_match(group_cols: Sequence[str], values: tuple) -> Column:
-    cond = F.lit(True)
-    for c, v in zip(group_cols, values):
-        cond = cond & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-    return cond
+def ranged(df: DataFrame, order: Sequence[Column], group_cols: Sequence[str], n_buckets: int | None = None) -> DataFrame:
+    """``df`` with ``BUCKET``: contiguous ranges of ``(group, order)``, numbered in that order."""
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *[F.col(c) for c in group_cols], *order)
+    return cut(dealt.withColumn(BUCKET, F.spark_partition_id()))
 
 
 def cumulative(
@@ -208,50 +64,36 @@ def cumulative(
     n_buckets: int | None = None,
     prefix: str = "cum_",
     keep_bucket: bool = False,
-    stats: dict | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` over ``order_cols``.
 
-    The order is ascending (or descending) lexicographic over ``order_cols`` within each
-    group of ``group_cols``. The input is persisted because the bucket boundaries need
-    two small actions over it.
+    The order is ascending (or descending) lexicographic over ``order_cols``, nulls last, within
+    each group of ``group_cols``. ``n_buckets`` defaults to the session's shuffle partitions.
     """
     order_cols, sum_cols, group_cols = list(order_cols), list(sum_cols), list(group_cols)
     base = df
     if not group_cols:
         base = base.withColumn(GROUP_ALL, F.lit(0))
         group_cols = [GROUP_ALL]
-    base = base.persist()
-    bucket_expr, counts = bucket_expression(base, order_cols, group_cols, n_buckets=n_buckets)
-    n_groups = len(counts)
-    if stats is not None:
-        stats.update(counts)
-    if descending:
-        bucket_expr = F.lit(MAX_BUCKETS) - bucket_expr
-    keyed = base.withColumn(BUCKET, bucket_expr.cast("int"))
+    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order_cols]
+    keyed = ranged(base, order, group_cols, n_buckets)
 
-    totals = keyed.groupBy(*group_cols, BUCKET).agg(
-        *[F.sum(c).alias(f"_rl_t_{c}") for c in sum_cols]
-    )
-    w_off = Window.partitionBy(*group_cols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    totals = keyed.groupBy(*group_cols, BUCKET).agg(*[F.sum(c).alias(f"_rl_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(*group_cols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group_cols,
-        BUCKET,
-        *[F.coalesce(F.sum(f"_rl_t_{c}").over(w_off), F.lit(0)).alias(f"_rl_o_{c}") for c in sum_cols],
+        *[F.col(c).alias(f"_rl_g_{c}") for c in group_cols],
+        F.col(BUCKET).alias("_rl_g_bucket"),
+        *[F.coalesce(F.sum(f"_rl_t_{c}").over(before), F.lit(0)).alias(f"_rl_o_{c}") for c in sum_cols],
     )
-    if n_groups * (MAX_BUCKETS + 1) <= MAX_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    joined = keyed.join(offsets, [*group_cols, BUCKET], "inner")
+    same = F.col(BUCKET) == F.col("_rl_g_bucket")
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_rl_g_{c}"))
+    joined = keyed.join(offsets, same, "inner")
 
-    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order_cols]
-    w_loc = (
-        Window.partitionBy(*group_cols, BUCKET)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    here = Window.partitionBy(*group_cols, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined.select(
-        *[F.col(c) for c in keyed.columns],
-        *[(F.col(f"_rl_o_{c}") + F.sum(c).over(w_loc)).alias(f"{prefix}{c}") for c in sum_cols],
+        *[F.col(f"`{c}`") for c in keyed.columns],
+        *[(F.col(f"_rl_o_{c}") + F.sum(c).over(here)).alias(f"{prefix}{c}") for c in sum_cols],
     )
     drop = [] if keep_bucket else [BUCKET]
     if GROUP_ALL in out.columns and GROUP_ALL not in df.columns and not keep_bucket:
@@ -259,75 +101,30 @@ def cumulative(
     return out.drop(*drop)
 
 
-def row_index(
-    df: DataFrame, order_cols: Sequence[str], *, name: str = "row_idx", stats: dict | None = None
-) -> DataFrame:
-    """0-based global position under ``order_cols`` (which must be unique together).
-
-    ``stats``, when given, receives the row count (key ``()``) from the planning action.
-    """
+def row_index(df: DataFrame, order_cols: Sequence[str], *, name: str = "row_idx") -> DataFrame:
+    """0-based global position under ``order_cols`` (which must be unique together)."""
     one = "_rl_one"
-    out = cumulative(df.withColumn(one, F.lit(1).cast("long")), order_cols, [one], stats=stats)
+    out = cumulative(df.withColumn(one, F.lit(1).cast("long")), order_cols, [one])
     return out.withColumn(name, F.col(f"cum_{one}") - F.lit(1)).drop(one, f"cum_{one}")
 
 
 def values_at_ranks(
-    counts: DataFrame,
-    value_col: str,
-    count_col: str,
-    targets: DataFrame,
-    *,
-    group_cols: Sequence[str] = (),
-    rank_col: str = "rank",
-) -> DataFrame:
-    """Value at each 0-based ``rank`` of the sorted multiset ``(value, count)``.
-
-    ``counts`` holds one row per distinct value (per group); ``targets`` holds
-    ``(group..., rank, ...)`` rows, a small table. Returns the target rows with
-    ``value_col`` attached.
-    """
-    group_cols = list(group_cols)
-    cg = group_cols or [GROUP_ALL]
-    c = counts if group_cols else counts.withColumn(GROUP_ALL, F.lit(0))
-    cum = cumulative(c, [value_col], [count_col], group_cols=cg, keep_bucket=True)
-    out = lookup_ranks(cum, value_col, count_col, targets, group_cols=group_cols, rank_col=rank_col)
-    return out
-
-
-def lookup_ranks(
     cum: DataFrame,
     value_col: str,
     count_col: str,
-    targets: DataFrame,
+    ranks: Column,
     *,
     group_cols: Sequence[str] = (),
-    rank_col: str = "rank",
     cum_col: str | None = None,
 ) -> DataFrame:
-    """Rank lookup on the output of :func:`cumulative` called with ``keep_bucket=True``.
+    """``(group..., value, rank fields...)`` for each wanted rank of the sorted multiset ``(value, count)``.
 
-    A target rank ``r`` hits the distinct value whose span ``[cum - count, cum)`` holds
-    it. Targets first find their bucket in the ``groups x buckets`` span table, then an
-    equi-join on ``(group, bucket)`` against the distinct values finishes the search, so
-    no row meets more than its own bucket's targets.
+    ``cum`` is the output of :func:`cumulative` over the distinct values, ``ranks`` an array of structs with
+    a 0-based ``rank`` per row (it may depend on columns of the row, such as the group's size). A
+    distinct value answers the ranks in its span ``[cum - count, cum)``, so every rank is answered by one
+    row; the only rows left are those that answer something.
     """
-    group_cols = list(group_cols)
-    cg = group_cols or [GROUP_ALL]
-    cum_col = cum_col or f"cum_{count_col}"
-    t = targets if group_cols else targets.withColumn(GROUP_ALL, F.lit(0))
-    cum = cum.withColumn("_rl_before", F.col(cum_col) - F.col(count_col))
-    # spans: one row per (group, bucket), at most groups x MAX_BUCKETS rows; targets are
-    # a handful of ranks per group. Both sides of the joins below are bounded that way.
-    spans = cum.groupBy(*cg, BUCKET).agg(
-        F.min("_rl_before").alias("_rl_lo"), F.max(cum_col).alias("_rl_hi")
-    )
-    located = t.join(F.broadcast(spans), cg, "inner").where(
-        (F.col(rank_col) >= F.col("_rl_lo")) & (F.col(rank_col) < F.col("_rl_hi"))
-    ).drop("_rl_lo", "_rl_hi")
-    hit = F.broadcast(located).join(
-        cum.select(*cg, BUCKET, value_col, "_rl_before", cum_col), [*cg, BUCKET], "inner"
-    ).where((F.col(rank_col) >= F.col("_rl_before")) & (F.col(rank_col) < F.col(cum_col)))
-    out = hit.drop(BUCKET, "_rl_before", cum_col)
-    if not group_cols:
-        out = out.drop(GROUP_ALL)
-    return out
+    upper = F.col(cum_col or f"cum_{count_col}")
+    lower = upper - F.col(count_col)
+    mine = F.filter(ranks, lambda r: (r["rank"] >= lower) & (r["rank"] < upper))
+    return cum.select(*group_cols, value_col, F.explode(mine).alias("_rl_hit")).select(*group_cols, value_col, "_rl_hit.*")

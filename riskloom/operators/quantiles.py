@@ -3,58 +3,30 @@
 ``percentile`` keeps every value of a group in one aggregation buffer, which does not
 survive a feature with billions of rows. Here the values are first counted per distinct
 value, a running count gives every distinct value its rank span, and the two order
-statistics around ``h = (n - 1) q`` are looked up by rank. The result equals
+statistics around ``h = (n - 1) q`` are the values whose spans hold these ranks. The result equals
 ``numpy.quantile`` / DuckDB ``quantile_cont`` (``x_lo + (h - lo) * (x_hi - x_lo)``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskloom.operators.prefix import GROUP_ALL, cumulative, lookup_ranks
+from riskloom.operators.prefix import GROUP_ALL, cumulative, values_at_ranks
 
 
-def quantile_targets(ns: DataFrame, n_col: str, probs: Sequence[float], group_cols: Sequence[str]) -> DataFrame:
-    """Rows ``(group, q_index, q, frac, which, rank)``: two ranks per requested quantile."""
-    probs_arr = F.array(*[F.lit(float(q)) for q in probs])
-    t = ns.where(F.col(n_col) > 0).select(*group_cols, n_col, F.posexplode(probs_arr).alias("q_index", "q"))
-    t = t.withColumn("_h", (F.col(n_col) - F.lit(1)).cast("double") * F.col("q"))
-    t = t.withColumn("_lo", F.floor("_h").cast("long")).withColumn("frac", F.col("_h") - F.col("_lo"))
-    t = t.select(
-        *group_cols,
-        "q_index",
-        "q",
-        "frac",
-        F.posexplode(F.array(F.col("_lo"), F.least(F.col("_lo") + F.lit(1), F.col(n_col) - F.lit(1)))).alias(
-            "which", "rank"
-        ),
-    )
-    return t
-
-
-def interpolate(looked: DataFrame, value_col: str, group_cols: Sequence[str]) -> DataFrame:
-    v = F.col(value_col)
-    piv = looked.groupBy(*group_cols, "q_index", "q", "frac").agg(
-        F.max(F.when(F.col("which") == 0, v)).alias("_v_lo"),
-        F.max(F.when(F.col("which") == 1, v)).alias("_v_hi"),
-    )
-    edge = F.when(F.col("frac") == 0, F.col("_v_lo")).otherwise(
-        F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * F.col("frac")
-    )
-    return piv.select(*group_cols, "q_index", "q", edge.alias("quantile"))
-
-
-# Target ranks handled by one literal filter scan; more go through the join-based lookup.
-MAX_LITERAL_TARGETS = 4096
-
-
-def _interp(v_lo: float, v_hi: float, frac: float) -> float:
-    return v_lo if frac == 0 else v_lo + (v_hi - v_lo) * frac
+def _targets(n: Column, probs: Sequence[float]) -> Column:
+    """Two ranks for each quantile of ``n`` values: ``array<struct<q_index, q, frac, which, rank>>``."""
+    items = []
+    for k, q in enumerate(probs):
+        h = (n - F.lit(1)).cast("double") * F.lit(float(q))
+        low = F.floor(h).cast("long")
+        common = [F.lit(k).alias("q_index"), F.lit(float(q)).alias("q"), (h - low).alias("frac")]
+        items.append(F.struct(*common, F.lit(0).alias("which"), low.alias("rank")))
+        items.append(F.struct(*common, F.lit(1).alias("which"), F.least(low + F.lit(1), n - F.lit(1)).alias("rank")))
+    return F.array(*items)
 
 
 def quantiles_from_cumulative(
@@ -65,75 +37,22 @@ def quantiles_from_cumulative(
     *,
     group_cols: Sequence[str] = (),
     cum_col: str | None = None,
-    sizes: dict | None = None,
 ) -> DataFrame:
-    """Quantiles from :func:`cumulative` output (``keep_bucket=True``).
+    """``(group..., q_index, q, quantile)`` from :func:`cumulative` output; groups without a value are left out.
 
-    Two bounded actions: the per-group sizes (unless given) and one filter scan that
-    keeps only the distinct values whose rank span holds a target rank (at most two per
-    quantile). Interpolation of those few values happens on the driver, with the same
-    double arithmetic as the SQL engines.
+    One row per group with its size is joined on; Spark broadcasts it by its measured size.
     """
     cg = list(group_cols) or [GROUP_ALL]
     cum_col = cum_col or f"cum_{count_col}"
-    spark = cum.sparkSession
-    if sizes is None:
-        sizes = {tuple(r[:-1]): int(r[-1] or 0) for r in cum.groupBy(*cg).agg(F.sum(count_col)).collect()}
-    targets: dict[tuple, list[tuple[int, float, float, int, int]]] = {}
-    for g, n in sizes.items():
-        if n <= 0:
-            continue
-        for qi, q in enumerate(probs):
-            h = (n - 1) * float(q)
-            lo = math.floor(h)
-            targets.setdefault(g, []).append((qi, float(q), h - lo, lo, min(lo + 1, n - 1)))
-    n_targets = sum(len(v) for v in targets.values())
-    if n_targets > MAX_LITERAL_TARGETS:
-        t = quantile_targets(
-            spark.createDataFrame([(*g, n) for g, n in sizes.items()], [*cg, "_n"]), "_n", probs, cg
-        )
-        looked = lookup_ranks(cum, value_col, count_col, t, group_cols=cg, rank_col="rank", cum_col=cum_col)
-        out = interpolate(looked, value_col, cg)
-        return out if group_cols else out.drop(GROUP_ALL)
-    before = F.col(cum_col) - F.col(count_col)
-    cond = None
-    for g, ts in targets.items():
-        ranks = sorted({r for t in ts for r in (t[3], t[4])})
-        hit = None
-        for r in ranks:
-            c = (before <= F.lit(r)) & (F.col(cum_col) > F.lit(r))
-            hit = c if hit is None else hit | c
-        gm = F.lit(True)
-        for col, v in zip(cg, g):
-            gm = gm & (F.col(col) == F.lit(v))
-        cond = F.when(gm, hit) if cond is None else cond.when(gm, hit)
-    rows = []
-    if cond is not None:
-        hits = cum.where(cond.otherwise(F.lit(False))).select(
-            *cg, value_col, before.alias("_b"), F.col(cum_col).alias("_c")
-        ).collect()
-        by_group: dict[tuple, list] = {}
-        for h in hits:
-            by_group.setdefault(tuple(h[: len(cg)]), []).append((h["_b"], h["_c"], h[value_col]))
-        for g, ts in targets.items():
-            spans = by_group.get(g, [])
-
-            def at(rank: int):
-                for b0, c0, v in spans:
-                    if b0 <= rank < c0:
-                        return v
-                return None
-
-            for qi, q, frac, lo, hi in ts:
-                v_lo, v_hi = at(lo), at(hi)
-                val = None if v_lo is None or v_hi is None else _interp(float(v_lo), float(v_hi), frac)
-                rows.append((*g, qi, q, val))
-    schema = T.StructType(
-        [cum.schema[c] for c in cg]
-        + [T.StructField("q_index", T.IntegerType()), T.StructField("q", T.DoubleType()),
-           T.StructField("quantile", T.DoubleType())]
-    )
-    out = spark.createDataFrame(rows, schema)
+    src = cum if group_cols or GROUP_ALL in cum.columns else cum.withColumn(GROUP_ALL, F.lit(0))
+    sizes = src.groupBy(*cg).agg(F.max(cum_col).alias("_rl_n")).where(F.col("_rl_n") > 0)
+    sized = src.join(sizes, cg).withColumn("_rl_targets", _targets(F.col("_rl_n"), probs))
+    hits = values_at_ranks(sized, value_col, count_col, F.col("_rl_targets"), group_cols=cg, cum_col=cum_col)
+    v = F.col(value_col)
+    low, high = F.max(F.when(F.col("which") == 0, v)), F.max(F.when(F.col("which") == 1, v))
+    out = hits.groupBy(*cg, "q_index", "q", "frac").agg(low.alias("_rl_lo"), high.alias("_rl_hi"))
+    value = F.when(F.col("frac") == 0, F.col("_rl_lo")).otherwise(F.col("_rl_lo") + (F.col("_rl_hi") - F.col("_rl_lo")) * F.col("frac"))
+    out = out.select(*cg, "q_index", "q", value.cast("double").alias("quantile"))
     return out if group_cols else out.drop(GROUP_ALL)
 
 
@@ -145,14 +64,9 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
 ) -> DataFrame:
     """``(group..., q_index, q, quantile)`` for the non-null values of ``value_col``."""
-    group_cols = list(group_cols)
-    cg = group_cols or [GROUP_ALL]
+    cg = list(group_cols) or [GROUP_ALL]
     src = df if group_cols else df.withColumn(GROUP_ALL, F.lit(0))
-    counts = (
-        src.where(F.col(value_col).isNotNull())
-        .groupBy(*cg, value_col)
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
+    counts = src.where(F.col(value_col).isNotNull()).groupBy(*cg, value_col).agg(F.count(F.lit(1)).alias("_c"))
     cum = cumulative(counts, [value_col], ["_c"], group_cols=cg, keep_bucket=True)
     out = quantiles_from_cumulative(cum, value_col, "_c", probs, group_cols=cg)
     return out if group_cols else out.drop(GROUP_ALL)

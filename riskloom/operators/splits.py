@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.prefix import _literal, cumulative, row_index
+from riskloom.operators.prefix import cumulative, literal, row_index, values_at_ranks
 
 # Fractions of the ordered 3-way split (train / calibration / test),
 # the reference share of the drift split and the default shuffle seed.
@@ -23,71 +23,62 @@ REFERENCE_FRACTION = 0.70
 SHUFFLE_SEED = 42
 
 
-def _null_safe_order(df: DataFrame, order_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Put NULL keys last by prefixing a 0/1 null flag to each nullable key."""
-    out, cols = df, []
-    nullable = {f.name: f.nullable for f in df.schema.fields}
-    for c in order_cols:
-        if nullable.get(c, True):
-            flag = f"_rl_null_{c}"
-            out = out.withColumn(flag, F.col(c).isNull().cast("int"))
-            cols.append(flag)
-        cols.append(c)
-    return out, cols
+def with_position(df: DataFrame, order_cols: Sequence[str], name: str = "row_idx") -> DataFrame:
+    """0-based position under ``order_cols`` (nulls last); keys must be unique together.
 
-
-def with_position(
-    df: DataFrame, order_cols: Sequence[str], name: str = "row_idx", stats: dict | None = None
-) -> DataFrame:
-    """0-based position under ``order_cols`` (nulls last); keys must be unique together."""
-    keyed, cols = _null_safe_order(df, order_cols)
-    out = row_index(keyed, cols, name=name, stats=stats)
-    return out.drop(*[c for c in cols if c.startswith("_rl_null_")])
+    This moves whole rows, as every row gets its place; where only the cut matters, use
+    :func:`split_by_cut_keys`.
+    """
+    return row_index(df, order_cols, name=name)
 
 
-def _ranks_to_values(df: DataFrame, col: str, ranks: list[int]) -> dict[int, tuple]:
-    """For each 0-based rank among the non-null values of ``col`` (ascending): the value
-    there and the offset of the rank inside that value's run of equal rows.
+def _ranks_to_values(df: DataFrame, order_cols: Sequence[str], ranks: list[int]) -> dict[int, tuple]:
+    """For each 0-based rank among the non-null values of the first key (ascending): the value
+    there, the offset of the rank inside that value's run of equal rows, the run's size and the least rest of its keys.
 
     Counts per distinct value (map-side combined, so a hot value is one row per task),
-    a two-level running count, then one literal filter scan that keeps only the distinct
-    values whose rank span holds a requested rank.
+    a two-level running count, and the rows whose rank span holds a requested rank.
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rl_c"))
-    cum = cumulative(counts, [col], ["_rl_c"])
-    before = F.col("cum__rl_c") - F.col("_rl_c")
-    cond = None
-    for r in ranks:
-        c = (before <= F.lit(r)) & (F.col("cum__rl_c") > F.lit(r))
-        cond = c if cond is None else cond | c
-    hits = cum.where(cond).select(col, before.alias("_b"), F.col("cum__rl_c").alias("_e")).collect()
-    out = {}
-    for r in ranks:
-        for h in hits:
-            if h["_b"] <= r < h["_e"]:
-                out[r] = (h[col], r - h["_b"], h["_e"] - h["_b"])
-    return out
+    col = order_cols[0]
+    rest = F.min(F.struct(F.lit(0).alias("_rl_0"), *order_cols[1:])).alias("_rl_rest")
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rl_c"), rest)
+    cum = cumulative(counts, [col], ["_rl_c"]).withColumn("_rl_b", F.col("cum__rl_c") - F.col("_rl_c"))
+    wanted = F.array(*[F.struct(F.lit(r).cast("long").alias("rank")) for r in ranks])
+    keep = cum.withColumn("_rl_v", F.struct(F.col(col).alias("value"), F.col("_rl_b").alias("before"), F.col("_rl_c").alias("size"), "_rl_rest"))
+    hits = values_at_ranks(keep, "_rl_v", "_rl_c", wanted).collect()
+    return {h["rank"]: (h["_rl_v"]["value"], h["rank"] - h["_rl_v"]["before"], h["_rl_v"]["size"], tuple(h["_rl_v"]["_rl_rest"])[1:]) for h in hits}
 
 
-def key_at_rank(df: DataFrame, order_cols: Sequence[str], rank: int) -> tuple:
-    """The ``order_cols`` key of the row at 0-based ``rank`` (ascending, NULLs last).
+def keys_at_ranks(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int]) -> tuple[int, list[tuple | None]]:
+    """Number of rows, and for each 0-based rank the ``order_cols`` key of the row there (ascending, NULLs last; None beyond the end).
 
     Level by level: the first key's value comes from a rank lookup over its distinct
-    values; the rank inside that value's run then recurses on the rows holding it. A
+    values; the rank inside a run of several rows is then looked up among the rows of that run. A
     hot first-key value therefore costs one extra lookup over that value's rows only.
     """
     col, rest = order_cols[0], list(order_cols[1:])
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(col)).alias("nn")).first()
-    n_nonnull = int(row["nn"])
-    if rank >= n_nonnull:  # the rank falls among the NULL keys, which sort last
-        value, offset = None, rank - n_nonnull
-        sub = df.where(F.col(col).isNull())
-    else:
-        value, offset, _size = _ranks_to_values(df, col, [rank])[rank]
-        sub = df.where(F.col(col) == _literal(value, df.schema[col].dataType))
-    if not rest:
-        return (value,)
-    return (value, *key_at_rank(sub, rest, offset))
+    n, filled = int(row["n"]), int(row["nn"])
+    wanted = sorted({r for r in ranks if r < filled})
+    looked = _ranks_to_values(df, order_cols, wanted) if wanted else {}
+    keys: list[tuple | None] = []
+    for r in ranks:
+        if r >= n:
+            keys.append(None)
+            continue
+        if r >= filled:  # among the NULL keys, which sort last
+            value, offset, size, least = None, r - filled, n - filled, ()
+            run = df.where(F.col(col).isNull())
+        else:
+            value, offset, size, least = looked[r]
+            run = df.where(F.col(col) == literal(value, df.schema[col].dataType))
+        if not rest:
+            keys.append((value,))
+        elif size == 1 and value is not None:
+            keys.append((value, *least))
+        else:
+            keys.append((value, *keys_at_ranks(run, rest, [offset])[1][0]))
+    return n, keys
 
 
 def key_less(order_cols: Sequence[str], key: tuple | None, dtypes: dict | None = None) -> Column:
@@ -107,7 +98,7 @@ def key_less(order_cols: Sequence[str], key: tuple | None, dtypes: dict | None =
             lt = col.isNotNull()
             same = col.isNull()
         else:
-            lit = _literal(v, dtypes[c]) if c in dtypes else F.lit(v)
+            lit = literal(v, dtypes[c]) if c in dtypes else F.lit(v)
             lt = col.isNotNull() & (col < lit)
             same = col.isNotNull() & (col == lit)
         out = out | (eq & lt)
@@ -115,17 +106,10 @@ def key_less(order_cols: Sequence[str], key: tuple | None, dtypes: dict | None =
     return out
 
 
-# Runs of equal first keys up to this size finish the search with one bounded window.
-SMALL_RUN = 100_000
-
-
-def _key_in_run(sub: DataFrame, cols: Sequence[str], offset: int, size: int) -> tuple:
-    if size <= SMALL_RUN:
-        w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
-        hit = sub.select(*cols).withColumn("_rl_rn", F.row_number().over(w)).where(F.col("_rl_rn") == offset + 1)
-        r = hit.first()
-        return tuple(r[c] for c in cols)
-    return key_at_rank(sub, cols, offset)
+def keys_at_fractions(df: DataFrame, order_cols: Sequence[str], fractions: Sequence[float]) -> tuple[int, list[tuple | None]]:
+    """As :func:`keys_at_ranks`, for the cuts ``int(n * fraction)``."""
+    n = df.count()
+    return keys_at_ranks(df, order_cols, cut_points(n, fractions))
 
 
 def split_by_cut_keys(
@@ -139,27 +123,9 @@ def split_by_cut_keys(
     """Same labels as :func:`ordered_split` without a global position: the keys at the
     cut ranks are found by rank lookup, then each row is labelled by comparing its key
     with them (a narrow projection, no shuffle of the rows themselves)."""
-    # the few small lookups below all read the key columns: cache that narrow projection
-    keys_df = df.select(*order_cols).persist()
-    dtypes = {f.name: f.dataType for f in keys_df.schema.fields}
-    first, rest = order_cols[0], list(order_cols[1:])
-    row = keys_df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(first)).alias("nn")).first()
-    n, nn = int(row["n"]), int(row["nn"])
-    ranks = cut_points(n, fractions)
-    looked = _ranks_to_values(keys_df, first, sorted({r for r in ranks if r < nn})) if any(r < nn for r in ranks) else {}
-    keys: list[tuple | None] = []
-    for r in ranks:
-        if r >= n:
-            keys.append(None)
-            continue
-        if r >= nn:
-            value, offset, size = None, r - nn, n - nn
-            sub = keys_df.where(F.col(first).isNull())
-        else:
-            value, offset, size = looked[r]
-            sub = keys_df.where(F.col(first) == _literal(value, dtypes[first]))
-        keys.append((value, *(_key_in_run(sub, rest, offset, size) if rest else ())))
-    keys_df.unpersist()
+    narrow = df.select(*order_cols)
+    dtypes = {f.name: f.dataType for f in narrow.schema.fields}
+    _, keys = keys_at_fractions(narrow, order_cols, fractions)
     expr = None
     for key, lab in zip(keys, labels):
         cond = key_less(order_cols, key, dtypes)
@@ -191,9 +157,8 @@ def ordered_split(
     """Label rows ``[0, int(f1 n))``, ``[int(f1 n), int(f2 n))``, ... by global position."""
     if len(labels) != len(fractions) + 1:
         raise ValueError("need one more label than cut fraction")
-    stats: dict = {}
-    indexed = with_position(df, order_cols, name=index_col, stats=stats)
-    cuts = cut_points(sum(stats.values()), fractions)
+    cuts = cut_points(df.count(), fractions)
+    indexed = with_position(df, order_cols, name=index_col)
     return indexed.withColumn(split_col, label_by_position(F.col(index_col), cuts, labels))
 
 
@@ -255,22 +220,21 @@ def stratified_sample(
 
     ``n_pos = min(P, int(sample_size * mean(y)) + 1)`` positives and
     ``min(sample_size - n_pos, N)`` negatives, each the first by the seeded shuffle key.
-    A label has only two values, so a ``row_number`` window per label would sort a whole
-    class in one task; the position inside each class comes from the two-level running
-    count instead (balanced buckets per class), and the cut is a plain filter.
+    Rows with another label, or none, are left out whatever the size. Per class the key at the cut is found
+    by rank lookup over the key columns; the rows themselves are only filtered.
     """
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum((F.col(label_col) == 1).cast("long")).alias("p"),
-        F.sum((F.col(label_col) == 0).cast("long")).alias("neg"),
-    ).first()
-    n, pos, neg = int(stats["n"]), int(stats["p"] or 0), int(stats["neg"] or 0)
+    labelled = df.where(F.col(label_col).isin(0, 1))
+    stats = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label_col).cast("long")).alias("p")).first()
+    n, pos = int(stats["n"]), int(stats["p"] or 0)
     if n <= sample_size:
-        return df
+        return labelled
     n_pos = min(pos, int(sample_size * (pos / n)) + 1)
-    n_neg = min(sample_size - n_pos, neg)
-    keyed, order = shuffle_order(df.where(F.col(label_col).isin(0, 1)), key_col, seed)
-    keyed = keyed.withColumn("_rl_one", F.lit(1).cast("long"))
-    cum = cumulative(keyed, order, ["_rl_one"], group_cols=[label_col])
-    keep = F.when(F.col(label_col) == 1, F.col("cum__rl_one") <= n_pos).otherwise(F.col("cum__rl_one") <= n_neg)
-    return cum.where(keep).drop("_rl_shuffle", "_rl_shuffle_hi", "_rl_one", "cum__rl_one")
+    wanted = {1: n_pos, 0: min(sample_size - n_pos, n - pos)}
+    keyed, order = shuffle_order(labelled, key_col, seed)
+    dtypes = {f.name: f.dataType for f in keyed.schema.fields}
+    keep = F.lit(False)
+    for label, size in wanted.items():
+        mine = keyed.where(F.col(label_col) == label).select(*order)
+        key = keys_at_ranks(mine, order, [size])[1][0]
+        keep = keep | ((F.col(label_col) == label) & key_less(order, key, dtypes))
+    return keyed.where(keep).drop("_rl_shuffle", "_rl_shuffle_hi")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.metrics import with_totals
-from riskloom.operators.prefix import values_at_ranks
+from riskloom.operators.prefix import cumulative, cut, values_at_ranks
 
 # Fixed value: denominator guard of the z-score.
 Z_EPS = 1e-9
@@ -30,24 +30,21 @@ def with_zscores(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> Data
     return out.drop(*[f"_rl_{k}_{c}" for c in cols for k in ("m", "s")])
 
 
-def kth_largest(df: DataFrame, score_col: str, k: int, n: int) -> DataFrame:
-    """One-row frame ``(threshold)`` = k-th largest non-null score (rank ``n - k`` ascending)."""
+def topk_threshold(df: DataFrame, score_col: str, rate: float) -> DataFrame:
+    """One-row frame ``(threshold)``: the k-th largest non-null score, ``k = max(1, int(n * rate))``; no row if there is none."""
     counts = df.where(F.col(score_col).isNotNull()).groupBy(score_col).agg(F.count(F.lit(1)).alias("_c"))
-    target = df.sparkSession.range(1).select(F.lit(n - k).cast("long").alias("rank"))
-    hit = values_at_ranks(counts, score_col, "_c", target, rank_col="rank")
-    return hit.select(F.col(score_col).alias("threshold"))
+    cum = cut(cumulative(counts, [score_col], ["_c"], descending=True))
+    sized = with_totals(cum, cum.agg(F.max("cum__c").alias("_n")))
+    k = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(rate)))
+    rank = F.array(F.struct((k - F.lit(1)).alias("rank")))
+    return values_at_ranks(sized, score_col, "_c", rank).select(F.col(score_col).alias("threshold"))
 
 
 def topk_label(df: DataFrame, score_col: str, rate: float, label_col: str = "label") -> DataFrame:
-    n = df.where(F.col(score_col).isNotNull()).count()
-    if n == 0:
-        return df.withColumn(label_col, F.lit(0))
-    k = max(1, int(n * rate))
-    thr = kth_largest(df, score_col, k, n)
-    out = with_totals(df, thr)
-    return out.withColumn(label_col, F.coalesce(F.col(score_col) >= F.col("threshold"), F.lit(False)).cast("int")).drop(
-        "threshold"
-    )
+    """Label 1 for a score at or above the k-th largest. ``df`` is read twice: its scores, then its rows."""
+    threshold = topk_threshold(df.select(score_col), score_col, rate)
+    out = with_totals(df, threshold.agg(F.max("threshold").alias("threshold")))
+    return out.withColumn(label_col, F.coalesce(F.col(score_col) >= F.col("threshold"), F.lit(False)).cast("int")).drop("threshold")
 
 
 def weighted_score(terms: Sequence[tuple[float, Column]]) -> Column:

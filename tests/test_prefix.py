@@ -46,8 +46,8 @@ def test_values_at_ranks(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     counts = df.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
     ranks = [0, 17, 250, 499]
-    targets = spark.createDataFrame([(r,) for r in ranks], "rank long")
-    got = {r["rank"]: r["x"] for r in values_at_ranks(counts, "x", "c", targets).collect()}
+    wanted = F.array(*[F.struct(F.lit(r).alias("rank")) for r in ranks])
+    got = {r["rank"]: r["x"] for r in values_at_ranks(cumulative(counts, ["x"], ["c"]), "x", "c", wanted).collect()}
     s = np.sort(vals)
     assert got == {r: float(s[r]) for r in ranks}
 
@@ -60,3 +60,30 @@ def test_exact_quantiles_match_numpy(spark):
     got = sorted(exact_quantiles(df, "x", probs).collect(), key=lambda r: r["q_index"])
     exp = np.quantile(vals, probs)
     assert np.allclose([r["quantile"] for r in got], exp, rtol=0, atol=1e-12)
+
+
+def test_many_buckets_and_groups(spark):
+    df = spark.range(40_000).select((F.col("id") % 10).alias("g"), F.xxhash64("id").alias("k"), F.lit(1).cast("long").alias("one"))
+    got = cumulative(df, ["k"], ["one"], group_cols=["g"], n_buckets=2_000, keep_bucket=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN" not in plan
+    row = got.groupBy("g").agg(F.max("cum_one").alias("m"), F.countDistinct("cum_one").alias("d")).agg(F.min("m"), F.max("m"), F.min("d")).first()
+    assert tuple(row) == (4_000, 4_000, 4_000)
+    assert got.select("_rl_bucket").distinct().count() > 1_000
+
+
+def test_nothing_stays_cached(spark):
+    from riskloom.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    for name in ("psi_report", "score_metrics", "topk_label", "stratified_sample"):
+        catalog.queries()[name](spark, SF_SMALL).collect()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+
+
+def test_nulls_come_last(spark):
+    df = spark.createDataFrame([(3, 1), (None, 2), (1, 3), (None, 4)], "k int, tie int")
+    got = {r["tie"]: r["row_idx"] for r in row_index(df, ["k", "tie"], name="row_idx").collect()}
+    assert got == {3: 0, 1: 1, 2: 2, 4: 3}
