@@ -10,9 +10,9 @@ Semantics (chosen to match a coercing, open-schema contract):
 
 * a declared column that is missing is one table-level case ``column_in_dataframe``;
 * coercion uses ``try_cast``: a non-null input whose cast is NULL fails
-  ``coerce_dtype``; an integer column only accepts integral values (``x = floor(x)``
-  after a cast to double, so text ``1.5`` and double ``1.5`` get the same verdict);
-  ``truncate=True`` keeps the truncating behaviour instead;
+  ``coerce_dtype``; an integer column only accepts integral values (text ``1.5`` and
+  double ``1.5`` both fail, 64-bit integers keep every digit); ``truncate=True`` cuts the
+  fraction off instead;
 * NaN counts as missing; a NULL input fails ``not_nullable`` unless the rule allows it;
 * value checks run on non-null coerced values (NULL passes them);
 * undeclared columns pass through untouched (``strict=False``).
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,23 +118,34 @@ def _coerce(rule: Rule, c: Column, src: T.DataType, truncate: bool) -> tuple[Col
         else:
             v = F.try_to_timestamp(c.cast("string"))
         return v, c.isNotNull() & v.isNull()
-    as_double = nan_to_null(c.try_cast("double")) if not isinstance(src, T.StringType) else nan_to_null(
-        c.try_cast("double")
-    )
-    nan_in = (
-        F.isnan(c) if isinstance(src, (T.DoubleType, T.FloatType)) else F.lit(False)
-    )
+    floating = isinstance(src, (T.DoubleType, T.FloatType))
+    nan_in = F.isnan(c) if floating else F.lit(False)
     if rule.dtype == "double":
-        return as_double, c.isNotNull() & ~nan_in & as_double.isNull()
-    # long
-    if truncate:
-        v = as_double.try_cast("long")
-        return v, c.isNotNull() & ~nan_in & v.isNull()
-    integral = as_double == F.floor(as_double)
-    v = F.when(integral, as_double.try_cast("long"))
+        v = nan_to_null(c.try_cast("double"))
+    else:
+        v = _as_long(c, src, truncate)
     return v, c.isNotNull() & ~nan_in & v.isNull()
 
 
+def _as_long(c: Column, src: T.DataType, truncate: bool) -> Column:
+    """A 64-bit integer without a detour over doubles, which hold 53 bits only.
+
+    Integers pass through. Text and decimals go by exact decimals, so ``1.0`` and ``1e3`` count as
+    integers. Only floating sources are judged as doubles. NULL if the value is no integer (unless
+    truncated) or does not fit.
+    """
+    if isinstance(src, T.IntegralType):
+        return c.cast("long")
+    if isinstance(src, (T.DoubleType, T.FloatType)):
+        exact = nan_to_null(c.cast("double"))
+        plain = F.lit(None).cast("long")
+    else:
+        exact = c.try_cast("decimal(38,18)")
+        plain = c.try_cast("long") if isinstance(src, T.StringType) else F.lit(None).cast("long")
+    whole = exact if truncate else F.when(exact == F.floor(exact), exact)
+    return F.coalesce(plain, whole.try_cast("long"))
+
+
 def _value_ok(rule: Rule, v: Column) -> Column:
     ok = F.lit(True)
     if rule.isin is not None:
@@ -150,14 +163,25 @@ class Validation:
     """Lazy result of checking a DataFrame against a contract."""
 
     contract: Contract
-    checked: DataFrame  # coerced columns + pass-through + ``_rl_cases`` array
+    source: DataFrame
+    columns: list[Column]  # coerced columns and those that pass through
+    checks: list[tuple[str, str, Column, Column]]  # column, check, "fails" (never null), failing value as text
     missing: list[str] = field(default_factory=list)
 
+    @property
+    def checked(self) -> DataFrame:
+        """The coerced rows with ``_rl_cases``, the array of their failing checks."""
+        cases = [_case(fails, column, check, text) for column, check, fails, text in self.checks]
+        return self.source.select(*self.columns, (F.concat(*cases) if cases else F.array().cast(EMPTY_CASES)).alias("_rl_cases"))
+
+    def _fails(self) -> Column:
+        return reduce(or_, [fails for _, _, fails, _ in self.checks], F.lit(False))
+
     INTERNAL = ("_rl_cases",)
 
     @property
     def coerced(self) -> DataFrame:
-        return self.checked.drop(*self.INTERNAL)
+        return self.source.select(*self.columns)
 
     @staticmethod
     def has_failure() -> Column:
@@ -189,10 +213,9 @@ class Validation:
 
     def counts(self) -> dict[str, int]:
         """One aggregate: rows, failing rows, failure cases (cases, not rows)."""
-        r = self.checked.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(self.has_failure().cast("long")).alias("n_bad_rows"),
-            F.sum(self.n_failed()).alias("n_cases"),
+        total = reduce(add, [fails.cast("long") for _, _, fails, _ in self.checks], F.lit(0).cast("long"))
+        r = self.source.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(self._fails().cast("long")).alias("n_bad_rows"), F.sum(total).alias("n_cases")
         ).first()
         return {
             "n_rows": int(r["n_rows"]),
@@ -201,8 +224,15 @@ class Validation:
         }
 
     def summary(self, max_rows: int = 10) -> DataFrame:
-        """Cases per ``(column, check)`` (NULL keys kept), most frequent first, top ``max_rows``."""
-        return summarize_cases(self.failure_cases(), max_rows)
+        """Cases per ``(column, check)``, most frequent first, top ``max_rows``: one aggregate, a sum for each check."""
+        names = [(c, k) for c, k, _, _ in self.checks] + [(m, "column_in_dataframe") for m in self.missing]
+        sums = [F.coalesce(F.sum(fails.cast("long")), F.lit(0).cast("long")) for _, _, fails, _ in self.checks] + [F.lit(1).cast("long")] * len(self.missing)
+        if not names:
+            return self.source.sparkSession.createDataFrame([], "column string, check string, n_cases long")
+        one = self.source.agg(*[s.alias(f"_rl_{i}") for i, s in enumerate(sums)])
+        rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("check"), F.col(f"_rl_{i}").alias("n_cases")) for i, (c, k) in enumerate(names)])
+        found = one.select(F.explode(rows).alias("r")).select("r.*").where(F.col("n_cases") > 0)
+        return found.orderBy(F.desc("n_cases"), "column", "check").limit(max_rows)
 
     def quarantine(self) -> tuple[DataFrame, DataFrame]:
         """``(accepted, rejected)``; rejected rows carry sorted ``reasons``."""
@@ -219,15 +249,10 @@ class Validation:
         ).drop(*self.INTERNAL)
 
 
-def summarize_cases(cases: DataFrame, max_rows: int = 10) -> DataFrame:
-    g = cases.groupBy("column", "check").agg(F.count(F.lit(1)).alias("n_cases"))
-    return g.orderBy(F.desc("n_cases"), F.asc_nulls_last("column"), F.asc_nulls_last("check")).limit(max_rows)
-
-
 def _case(cond: Column, column: str, check: str, text: Column) -> Column:
-    """One-element array when ``cond`` holds, else an empty array."""
+    """One-element array when ``cond`` (never null) holds, else an empty array."""
     item = F.struct(F.lit(column), F.lit(check), text.cast("string"), F.lit(f"{column}:{check}")).cast(CASE_TYPE)
-    return F.when(F.coalesce(cond, F.lit(False)), F.array(item)).otherwise(F.array().cast(EMPTY_CASES))
+    return F.when(cond, F.array(item)).otherwise(F.array().cast(EMPTY_CASES))
 
 
 def validate(df: DataFrame, contract: Contract) -> Validation:
@@ -246,7 +271,8 @@ def validate(df: DataFrame, contract: Contract) -> Validation:
     extra = [c for c in df.columns if c not in declared] if contract.strict else []
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     out_cols: list[Column] = [q(n) for n in df.columns if n not in declared]
-    cases: list[Column] = []
+    checks: list[tuple[str, str, Column, Column]] = []
+    nothing = F.lit(None).cast("string")
     for rule in contract.rules:
         if rule.column not in present:
             continue
@@ -256,18 +282,17 @@ def validate(df: DataFrame, contract: Contract) -> Validation:
         is_missing = raw.isNull() | (F.isnan(raw) if isinstance(src, (T.DoubleType, T.FloatType)) else F.lit(False))
         out_cols.append(v.alias(rule.column))
         if rule.dtype in ("long", "double", "timestamp"):
-            cases.append(_case(bad_cast, rule.column, rule.coerce_check, raw.cast("string")))
+            checks.append((rule.column, rule.coerce_check, bad_cast, raw.cast("string")))
         if not rule.nullable:
-            cases.append(_case(is_missing, rule.column, "not_nullable", F.lit(None).cast("string")))
+            checks.append((rule.column, "not_nullable", is_missing, nothing))
         check = rule.value_check
         if check is not None:
             target_type = {"long": T.LongType(), "double": T.DoubleType()}.get(rule.dtype, src)
-            cases.append(_case(v.isNotNull() & ~_value_ok(rule, v), rule.column, check, _text(v, target_type)))
+            checks.append((rule.column, check, v.isNotNull() & ~_value_ok(rule, v), _text(v, target_type)))
     for name in extra:
-        cases.append(_case(F.lit(True), name, "column_in_schema", F.lit(None).cast("string")))
-    arr = F.concat(*cases) if cases else F.array().cast(EMPTY_CASES)
-    checked = df.select(*out_cols, arr.alias("_rl_cases"))
-    return Validation(contract, checked, missing)
+        checks.append((name, "column_in_schema", F.lit(True), nothing))
+    checks = [(c, k, F.coalesce(fails, F.lit(False)), text) for c, k, fails, text in checks]
+    return Validation(contract, df, out_cols, checks, missing)
 
 
 class DataValidationError(Exception):

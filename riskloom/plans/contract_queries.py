@@ -172,6 +172,78 @@ def q_contract_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _domain_failures(dropout_frame(spark, sf_dir), DROPOUT, "o_orderkey")
 
 
+# -- text and 64-bit columns: coercion failures, missing values, an absent column -------------
+# Fixed value: the first integer above 2^53 that a double cannot hold.
+BIG = 9007199254740993
+TYPED = Contract(
+    "typed_lineitem",
+    [
+        Rule("big_text", "long"),
+        Rule("big_number", "long", ge=BIG + 2),
+        Rule("amount", "double", ge=0),
+        Rule("shipped", "timestamp"),
+        Rule("channel", "string"),
+    ],
+)
+
+
+def typed_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as text: some ids unparseable, fractional, missing or above 2^53; no column ``channel``."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    big = (key.cast("long") + F.lit(BIG)).cast("string")
+    odd = (key + line) % 6
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        line.cast("long").alias("l_linenumber"),
+        F.when(odd == 0, F.lit(None).cast("string")).when(odd == 1, "n/a").when(odd == 2, F.concat(key.cast("string"), F.lit(".5"))).otherwise(big).alias("big_text"),
+        (key.cast("long") + F.lit(BIG)).alias("big_number"),
+        F.when(odd == 3, "1,5").when(odd == 4, "-2.5").otherwise(F.col("l_quantity").cast("string")).alias("amount"),
+        F.when(odd == 5, "soon").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("shipped"),
+    )
+
+
+def q_contract_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases = validate(typed_lineitem(spark, sf_dir), TYPED).failure_cases(["l_orderkey", "l_linenumber"])
+    return cases.select("l_orderkey", "l_linenumber", "column", "check", "failure_case")
+
+
+def q_contract_types_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, bad = validate(typed_lineitem(spark, sf_dir), TYPED).quarantine()
+    rows = good.withColumn("reasons", F.lit("")).unionByName(bad)
+    return rows.select(
+        "l_orderkey", "l_linenumber", "big_text", "big_number", "amount", F.date_format("shipped", "yyyy-MM-dd").alias("shipped"), "reasons"
+    )
+
+
+TYPED_SQL = f"""src AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+ CASE (l_orderkey + l_linenumber) % 6 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' WHEN 2 THEN CAST(l_orderkey AS VARCHAR) || '.5'
+   ELSE CAST(l_orderkey + {BIG} AS VARCHAR) END AS big_text,
+ l_orderkey + {BIG} AS big_number,
+ (l_orderkey + l_linenumber) % 6 AS odd, l_quantity, l_shipdate FROM lineitem),
+facts AS (SELECT *, CASE WHEN odd IN (0, 1, 2) THEN NULL ELSE CAST(big_text AS BIGINT) END AS big_value,
+ CASE odd WHEN 3 THEN NULL WHEN 4 THEN -2.5 ELSE CAST(l_quantity AS DOUBLE) END AS amount_value FROM src)"""
+
+CONTRACT_TYPES_SQL = f"""WITH {TYPED_SQL}
+SELECT l_orderkey, l_linenumber, 'big_text' AS "column", 'coerce_dtype(''int64'')' AS "check", big_text AS failure_case FROM facts WHERE odd IN (1, 2)
+UNION ALL SELECT l_orderkey, l_linenumber, 'big_text', 'not_nullable', NULL FROM facts WHERE odd = 0
+UNION ALL SELECT l_orderkey, l_linenumber, 'big_number', 'greater_than_or_equal_to({BIG + 2})', CAST(big_number AS VARCHAR) FROM facts WHERE big_number < {BIG + 2}
+UNION ALL SELECT l_orderkey, l_linenumber, 'amount', 'coerce_dtype(''float64'')', '1,5' FROM facts WHERE odd = 3
+UNION ALL SELECT l_orderkey, l_linenumber, 'amount', 'greater_than_or_equal_to(0)', '-2.500000' FROM facts WHERE odd = 4
+UNION ALL SELECT l_orderkey, l_linenumber, 'shipped', 'coerce_dtype(''datetime64[ns]'')', 'soon' FROM facts WHERE odd = 5
+UNION ALL SELECT NULL, NULL, 'channel', 'column_in_dataframe', 'channel'"""
+
+CONTRACT_TYPES_VALUES_SQL = f"""WITH {TYPED_SQL}
+SELECT l_orderkey, l_linenumber, big_value AS big_text, big_number, amount_value AS amount,
+ CASE WHEN odd <> 5 THEN strftime(l_shipdate, '%Y-%m-%d') END AS shipped,
+ array_to_string(list_sort(list_filter([
+  CASE WHEN odd IN (1, 2) THEN 'big_text:coerce_dtype(''int64'')' END,
+  CASE WHEN odd = 0 THEN 'big_text:not_nullable' END,
+  CASE WHEN big_number < {BIG + 2} THEN 'big_number:greater_than_or_equal_to({BIG + 2})' END,
+  CASE WHEN odd = 3 THEN 'amount:coerce_dtype(''float64'')' END,
+  CASE WHEN odd = 4 THEN 'amount:greater_than_or_equal_to(0)' END,
+  CASE WHEN odd = 5 THEN 'shipped:coerce_dtype(''datetime64[ns]'')' END], lambda x: x IS NOT NULL)), '; ') AS reasons FROM facts"""
+
+
 # -- oracle SQL: an independent re-statement of the check semantics in DuckDB -------------
 def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -307,6 +379,8 @@ DROPOUT_TYPES = {r.column: r.dtype for r in DROPOUT.rules}
 _FAIL_SELECT = " SELECT {keys}, \"column\", \"check\", failure_case FROM cases"
 
 ORACLES = {
+    "contract_types": CONTRACT_TYPES_SQL,
+    "contract_types_values": CONTRACT_TYPES_VALUES_SQL,
     "contract_failures": failure_sql(LINEITEM_SRC, LINEITEM, ["l_orderkey", "l_linenumber"], LINEITEM_TYPES)
     + " SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, \"column\", \"check\", failure_case FROM cases",
     "contract_summary": failure_sql(LINEITEM_SRC, LINEITEM, ["l_orderkey", "l_linenumber"], LINEITEM_TYPES)
@@ -327,6 +401,8 @@ ORACLES = {
 }
 
 QUERIES = {
+    "contract_types": q_contract_types,
+    "contract_types_values": q_contract_types_values,
     "contract_failures": q_contract_failures,
     "contract_summary": q_contract_summary,
     "contract_coerce": q_contract_coerce,

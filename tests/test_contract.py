@@ -106,3 +106,32 @@ def test_summary_and_quarantine(spark):
 def test_unknown_domain(spark):
     with pytest.raises(KeyError, match="Known"):
         get_contract("nope")
+
+
+def test_integers_above_2_53_keep_every_digit(spark):
+    big = 9007199254740993
+    rows = [(str(big), big, 1.0, "7"), ("9223372036854775807", -big, 2.5, "1.0"), ("9223372036854775808", 0, float("nan"), "1e3"), ("x", None, 3.0, "2.5")]
+    df = spark.createDataFrame(rows, "a string, b long, c double, d string")
+    v = validate(df, Contract("t", [Rule(x, "long") for x in "abcd"]))
+    got = [tuple(r) for r in v.coerced.collect()]
+    assert got == [(big, big, 1, 7), (9223372036854775807, -big, None, 1), (None, 0, None, 1000), (None, None, 3, None)]
+    cases = sorted((r["column"], r["check"]) for r in v.failure_cases().collect())
+    assert cases == [("a", "coerce_dtype('int64')")] * 2 + [("b", "not_nullable"), ("c", "coerce_dtype('int64')"), ("c", "not_nullable"), ("d", "coerce_dtype('int64')")]
+    assert v.counts() == {"n_rows": 4, "n_bad_rows": 3, "n_failures": 6}
+
+
+def test_summary_counts_equal_the_cases(spark):
+    rows = fraud_rows(20)
+    rows[0] = (rows[0][0], -1.0, "crypto") + rows[0][3:]
+    rows[1] = (rows[1][0], -1.0) + rows[1][2:]
+    v = validate(spark.createDataFrame(rows, SCHEMA).drop("state"), FRAUD)
+    plain = {(r["column"], r["check"]): r["count"] for r in v.failure_cases().groupBy("column", "check").count().collect()}
+    assert {(r["column"], r["check"]): r["n_cases"] for r in v.summary().collect()} == plain
+    assert plain[("state", "column_in_dataframe")] == 1 and len(v.summary(1).collect()) == 1
+
+
+def test_first_failure_stops_early(spark):
+    bad = spark.createDataFrame([(r[0], -1.0) + r[2:] for r in fraud_rows(5)], SCHEMA)
+    with pytest.raises(DataValidationError) as e:
+        validate_or_raise(bad, FRAUD, lazy=False)
+    assert e.value.counts["n_failures"] == 1 and e.value.cases.count() == 1
