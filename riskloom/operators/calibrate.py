@@ -1,14 +1,18 @@
-"""Probability calibration with Spark ML: isotonic, sigmoid (Platt), identity.
+"""Probability calibration as fitted score maps.
 
-* isotonic: ``ml.regression.IsotonicRegression`` (parallel pool-adjacent-violators;
-  tied scores pooled; prediction is linear between knots and clipped at the ends);
-* sigmoid: logistic regression on the raw score with an L2 penalty equivalent to
-  ``C = 1`` on the summed loss, i.e. ``regParam = 1 / n``, unpenalised intercept,
-  no standardisation; applied as the Column ``sigmoid(a * p + b)``;
-* identity: pass-through. ``none`` is accepted as an alias of identity.
+A slice of scored rows is first reduced to one row per distinct score, with the number of rows and of
+positives (map-side combined, so a tie held by a third of the rows is one row per task). Everything
+here works on that table:
 
-Selection fits every candidate on one slice and keeps the lowest Brier score on another
-(first candidate wins ties); both Brier scores come from one aggregate.
+* isotonic: ``ml.regression.IsotonicRegression`` on the positive rate per score, weighted by rows
+  (parallel pool-adjacent-violators; linear between knots, clipped at the ends); applied by the fitted
+  Spark model, a binary search in the JVM;
+* sigmoid: logistic regression on the score with an L2 penalty equal to ``C = 1`` on the summed
+  loss, ``regParam = 1 / n``, unpenalised intercept, no standardisation; applied as a Column;
+* identity: the score itself.
+
+``choose_map`` deals the distinct scores' rows into a fitting part and a holdout part, compares all kinds by their
+Brier score on the holdout in one aggregate, and fits the winner anew on everything.
 """
 
 from __future__ import annotations
@@ -18,115 +22,93 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import sigmoid
 
-METHODS = ("isotonic", "sigmoid")
-# Above this many knots the isotonic map is applied by the fitted Spark model (a JVM
-# binary search) instead of a literal CASE WHEN tree.
-MAX_LITERAL_KNOTS = 1024
-ALIASES = {"none": "identity"}
+#: Names of the maps (fixed values); "none" stands for identity, "auto" for a choice.
+KINDS = ("isotonic", "sigmoid", "identity")
+#: Share of the rows that fit the candidates; the rest judges them.
+FIT_SHARE = 0.5
+
+
+@dataclass(frozen=True)
+class IdentityMap:
+    kind: str = "identity"
+
+    def apply(self, df: DataFrame, p: str, out: str) -> DataFrame:
+        return df.withColumn(out, F.col(p))
+
+
+@dataclass(frozen=True)
+class SigmoidMap:
+    slope: float
+    offset: float
+    kind: str = "sigmoid"
+
+    def apply(self, df: DataFrame, p: str, out: str) -> DataFrame:
+        return df.withColumn(out, sigmoid(F.lit(self.slope) * F.col(p) + F.lit(self.offset)))
+
+
+@dataclass(frozen=True)
+class IsotonicMap:
+    model: IsotonicRegressionModel
+    kind: str = "isotonic"
+
+    def apply(self, df: DataFrame, p: str, out: str) -> DataFrame:
+        return self.model.copy({self.model.featuresCol: p, self.model.predictionCol: out}).transform(df)
+
+
+ScoreMap = IdentityMap | SigmoidMap | IsotonicMap
 
 
-@dataclass
-class Calibrator:
-    method: str = "isotonic"
-    isotonic: IsotonicRegressionModel | None = None
-    coef: float | None = None
-    intercept: float | None = None
+def by_score(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
+    """``(score, n, pos)`` per distinct score; rows without score or label are left out."""
+    rows = df.select(F.col(p).cast("double").alias("score"), F.col(y).cast("double").alias("_y")).where("score IS NOT NULL AND _y IS NOT NULL")
+    return rows.groupBy("score").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("_y").alias("pos"))
 
-    def __post_init__(self) -> None:
-        self.method = ALIASES.get(self.method, self.method)
-        if self.method not in (*METHODS, "identity"):
-            raise ValueError(f"invalid calibration method: {self.method!r}")
 
-    def fit(self, df: DataFrame, p: str = "p", y: str = "y") -> Calibrator:
-        data = df.select(F.col(p).cast("double").alias("_p"), F.col(y).cast("double").alias("_y")).where(
-            F.col("_p").isNotNull() & F.col("_y").isNotNull()
+def fit_map(kind: str, counts: DataFrame) -> ScoreMap:
+    """Fit one kind of map on a table of :func:`by_score`."""
+    if kind == "isotonic":
+        rates = counts.select("score", (F.col("pos") / F.col("n")).alias("rate"), "n")
+        regression = IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="n", predictionCol="_rl_cal", isotonic=True)
+        return IsotonicMap(regression.fit(rates))
+    if kind == "sigmoid":
+        total = counts.agg(F.sum("n")).first()[0] or 1.0
+        sides = F.array(F.struct(F.lit(1.0).alias("label"), F.col("pos").alias("w")), F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("pos")).alias("w")))
+        rows = counts.select("score", F.explode(sides).alias("s")).select("score", "s.label", "s.w").where("w > 0")
+        regression = LogisticRegression(
+            featuresCol="_v", labelCol="label", weightCol="w", regParam=1.0 / total, elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-10
         )
-        if self.method == "isotonic":
-            self.isotonic = IsotonicRegression(
-                featuresCol="_p", labelCol="_y", predictionCol="_cal", isotonic=True
-            ).fit(data)
-        elif self.method == "sigmoid":
-            n = data.count()
-            vec = VectorAssembler(inputCols=["_p"], outputCol="_v").transform(data)
-            lr = LogisticRegression(
-                featuresCol="_v", labelCol="_y", regParam=1.0 / max(n, 1), elasticNetParam=0.0,
-                standardization=False, fitIntercept=True, maxIter=200, tol=1e-10,
-            ).fit(vec)
-            self.coef = float(lr.coefficients[0])
-            self.intercept = float(lr.intercept)
-        return self
-
-    @property
-    def literal_ok(self) -> bool:
-        return self.method != "isotonic" or len(self.isotonic.boundaries) <= MAX_LITERAL_KNOTS
-
-    def transform(self, df: DataFrame, p: str = "p", out: str = "p_cal") -> DataFrame:
-        if self.method == "isotonic" and not self.literal_ok:
-            m = self.isotonic.copy({self.isotonic.featuresCol: p, self.isotonic.predictionCol: out})
-            return m.transform(df)
-        return df.withColumn(out, self.column(F.col(p)))
-
-    def column(self, p: Column) -> Column:
-        """Calibration as a Column (sigmoid / identity, and isotonic from its knots)."""
-        if self.method == "sigmoid":
-            return sigmoid(F.lit(self.coef) * p + F.lit(self.intercept))
-        if self.method == "identity":
-            return p
-        return isotonic_column(p, list(self.isotonic.boundaries), list(self.isotonic.predictions))
-
-    def to_dict(self) -> dict:
-        d = {"method": self.method, "coef": self.coef, "intercept": self.intercept}
-        if self.isotonic is not None:
-            d["boundaries"] = list(self.isotonic.boundaries)
-            d["predictions"] = list(self.isotonic.predictions)
-        return d
-
-
-def isotonic_column(p: Column, xs: list[float], ys: list[float]) -> Column:
-    """Piecewise-linear interpolation between knots, clipped; a binary search as nested
-    ``CASE WHEN`` over literal knots (stays in codegen; depth log2(knots))."""
-    if not xs:
-        return F.lit(None).cast("double")
-    if len(xs) == 1:
-        return F.lit(float(ys[0]))
-
-    def seg(lo: int, hi: int) -> Column:  # p in [xs[lo], xs[hi]], hi = lo + 1 at the leaves
-        if hi - lo == 1:
-            x0, x1, y0, y1 = xs[lo], xs[hi], ys[lo], ys[hi]
-            if x1 == x0:
-                return F.lit(float(y1))
-            return F.lit(y0) + F.lit(y1 - y0) * (p - F.lit(x0)) / F.lit(x1 - x0)
-        mid = (lo + hi) // 2
-        return F.when(p < F.lit(xs[mid]), seg(lo, mid)).otherwise(seg(mid, hi))
-
-    return (
-        F.when(p.isNull(), F.lit(None).cast("double"))
-        .when(p <= F.lit(xs[0]), F.lit(float(ys[0])))
-        .when(p >= F.lit(xs[-1]), F.lit(float(ys[-1])))
-        .otherwise(seg(0, len(xs) - 1))
-    )
-
-
-def brier_of(df: DataFrame, p: Column, y: str = "y") -> Column:
-    return F.avg(F.pow(p - F.col(y).cast("double"), 2))
-
-
-def fit_best_calibrator(
-    cal: DataFrame, evaluation: DataFrame, method: str = "auto", p: str = "p", y: str = "y"
-) -> tuple[Calibrator, str, dict[str, float]]:
-    """Fit candidates on ``cal``; keep the lowest Brier on ``evaluation``."""
-    method = ALIASES.get(method, method)
-    candidates = list(METHODS) if method == "auto" else [method]
-    fitted = {m: Calibrator(m).fit(cal, p, y) for m in candidates}
-    scored = evaluation.select(F.col(p), F.col(y))
-    for m in candidates:
-        scored = fitted[m].transform(scored, p, f"_cal_{m}")
-    row = scored.agg(*[brier_of(scored, F.col(f"_cal_{m}"), y).alias(m) for m in candidates]).first()
-    scores = {m: float(row[m]) if row[m] is not None else float("inf") for m in candidates}
-    best = min(candidates, key=lambda m: scores[m])
-    return fitted[best], best, scores
+        model = regression.fit(VectorAssembler(inputCols=["score"], outputCol="_v").transform(rows))
+        return SigmoidMap(float(model.coefficients[0]), float(model.intercept))
+    if kind in ("identity", "none"):
+        return IdentityMap()
+    raise ValueError(f"no score map of kind {kind!r}")
+
+
+def brier_scores(counts: DataFrame, maps: dict[str, ScoreMap]) -> dict[str, float]:
+    """Brier score of each map on a table of :func:`by_score`, all in one aggregate."""
+    mapped = counts
+    for name, m in maps.items():
+        mapped = m.apply(mapped, "score", f"_rl_{name}")
+    lost = lambda c: F.col("n") * F.col(c) * F.col(c) - 2 * F.col("pos") * F.col(c) + F.col("pos")
+    row = mapped.agg(*[(F.sum(lost(f"_rl_{name}")) / F.sum("n")).alias(name) for name in maps]).first()
+    return {name: float("inf") if row[name] is None else float(row[name]) for name in maps}
+
+
+def choose_map(rows: DataFrame, kind: str = "auto", p: str = "p", y: str = "y") -> tuple[ScoreMap, dict[str, float]]:
+    """The map of ``kind``, or with ``auto`` the better of isotonic and sigmoid; and the Brier scores it was judged by.
+
+    Judged on a holdout that the candidates have not seen, dealt by a hash of score and label; the winner is fitted on all rows.
+    """
+    everything = by_score(rows, p, y)
+    if kind != "auto":
+        fitted = fit_map(kind, everything)
+        return fitted, brier_scores(everything, {fitted.kind: fitted})
+    fitting = F.pmod(F.xxhash64(p, y, F.lit("map")), F.lit(1000)) < F.lit(int(1000 * FIT_SHARE))
+    part, holdout = by_score(rows.where(fitting), p, y), by_score(rows.where(~fitting), p, y)
+    scores = brier_scores(holdout, {k: fit_map(k, part) for k in ("isotonic", "sigmoid")})
+    return fit_map(min(scores, key=scores.get), everything), scores

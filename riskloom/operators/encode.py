@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,14 +105,9 @@ class DesignModel:
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return df.select(*[q(k) for k in keep], *self.columns())
 
-    def assemble(self, df: DataFrame, keep: Sequence[str] = (), output: str = "features") -> DataFrame:
-        """Design columns packed into one ``VectorUDT`` column."""
-        wide = self.transform(df, keep)
-        cols = self.output_columns
-        if not cols:
-            return wide.withColumn(output, F.array().cast("array<double>"))
-        va = VectorAssembler(inputCols=cols, outputCol=output)
-        return va.transform(wide).select(*[q(k) for k in keep], output)
+    def packed(self) -> Column:
+        """Intercept and design columns as one ``array<double>``."""
+        return F.array(F.lit(1.0), *[c.cast("double") for c in self.columns()])
 
     def to_dict(self) -> dict:
         return {

@@ -1,89 +1,32 @@
-"""Spec-driven feature projection (the same code path for training and scoring).
-
-Engineered columns are added only when their inputs exist: date parts when the spec's
-datetime column is present, the great-circle distance when all four coordinates are.
-The feature list is numeric -> engineered -> categorical, first occurrence kept. One
-``select``; no data leaves the executors.
-"""
+"""Projection of a table onto the features a spec declares: one ``select``, the same for training and scoring."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from riskloom.functions.features import day_of_week, haversine_km, hour, month, parse_timestamp
-from riskloom.spec import DomainSpec
-
-# Engineered feature names and the coordinate columns of the distance.
-ENGINEERED = ["hour", "dayofweek", "month", "geo_distance_km"]
-GEO_COLS = ("lat", "long", "merch_lat", "merch_long")
-
-
-@dataclass
-class FeatureLayout:
-    numeric: list[str]
-    engineered: list[str]
-    categorical: list[str]
 
-    @property
-    def columns(self) -> list[str]:
-        return list(dict.fromkeys([*self.numeric, *self.engineered, *self.categorical]))
+from riskloom.spec import JobSpec
 
-    @property
-    def continuous(self) -> list[str]:
-        cats = set(self.categorical)
-        return [c for c in self.columns if c not in cats]
 
-
-def q(name: str) -> F.Column:
+def q(name: str) -> Column:
     """Column by name, safe for spaces, slashes and parentheses."""
     return F.col(f"`{name}`")
 
 
-def _as_timestamp(df: DataFrame, name: str) -> F.Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return q(name)
-    return parse_timestamp(q(name).cast("string"))
-
-
-def build_features(
-    spec: DomainSpec,
-    df: DataFrame,
-    *,
-    keep: Sequence[str] = (),
-    strict_names: bool = True,
-) -> tuple[DataFrame, FeatureLayout]:
-    """``(frame, layout)``: ``keep`` columns, features in layout order, target if present.
+def project(spec: JobSpec, df: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, list[str], list[str]]:
+    """``(frame, numbers, categories)``: ``keep`` columns, the features that ``df`` can give, the target if it is there.
 
-    A raw column named like an engineered one would be overwritten silently; with
-    ``strict_names`` that is an error instead.
+    Numbers and categories are the names of the features in the frame. A derived feature whose name the table
+    already uses for something else is an error, as one of the two would be lost.
     """
-    cols = set(df.columns)
-    extra: dict[str, F.Column] = {}
-    dtc = spec.columns.datetime
-    if dtc and dtc in cols:
-        ts = _as_timestamp(df, dtc)
-        extra.update({"hour": hour(ts), "dayofweek": day_of_week(ts), "month": month(ts)})
-    if set(GEO_COLS).issubset(cols):
-        lat, lon, mlat, mlon = (q(c).cast("double") for c in GEO_COLS)
-        extra["geo_distance_km"] = haversine_km(lat, lon, mlat, mlon)
-    clash = sorted(set(extra) & cols)
-    if clash and strict_names:
-        raise ValueError(f"raw columns clash with engineered features: {clash}")
-
-    numeric = [c for c in spec.columns.numeric if c in cols]
-    engineered = [c for c in ENGINEERED if c in extra or (c in cols and not strict_names)]
-    categorical = [c for c in spec.columns.categorical if c in cols]
-    layout = FeatureLayout(numeric, engineered, categorical)
-
-    out_cols = [q(k) for k in keep if k not in layout.columns]
-    for c in layout.columns:
-        out_cols.append(extra[c].alias(c) if c in extra else q(c))
-    if spec.target in cols:
-        out_cols.append(q(spec.target).cast("int").alias(spec.target))
-    return df.select(*out_cols), layout
+    given = [f for f in spec.features if set(f.needs) <= set(df.columns)]
+    taken = [f.name for f in given if f.name not in f.needs and f.name in df.columns and f.name not in keep]
+    if taken:
+        raise ValueError(f"features clash with columns of the table: {taken}")
+    names = {f.name for f in given}
+    columns = [q(k) for k in keep if k not in names] + [f.column(df).alias(f.name) for f in given]
+    if spec.target in df.columns:
+        columns.append(q(spec.target).cast("int").alias(spec.target))
+    return df.select(*columns), [f.name for f in given if not f.categorical], [f.name for f in given if f.categorical]

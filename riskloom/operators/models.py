@@ -1,38 +1,38 @@
 """Distributed model fits: boosted trees (Spark ML) and a Laplace-approximate
 Bayesian logistic regression.
 
-Boosted trees: ``StringIndexer`` (alphabetical codes, unseen/NULL -> one extra index)
--> ``VectorAssembler`` -> ``GBTClassifier``; an imbalance flag becomes a weight column
-``n_neg / n_pos`` on positives.
+Boosted trees: missing numbers filled and marked -> ``StringIndexer`` (alphabetical codes, unseen/NULL -> one
+extra index, bins for every level) -> ``VectorAssembler`` -> ``GBTClassifier``; an imbalance flag
+becomes a weight column ``n_neg / n_pos`` on positives.
 
 Posterior: priors intercept ~ N(0, 2^2), slopes ~ N(0, 1) on the standardised design
 matrix, Bernoulli likelihood. The MAP comes from damped Newton steps started at the
 prevalence logit. The log posterior is strictly concave, since the prior adds its
-precision to the Hessian. Each step is one aggregate over all rows: the gradient
-(d sums), the Hessian (d (d + 1) / 2 sums) and the log-likelihood, all map-side
-combined. The driver only solves a d x d system. The posterior covariance is the
-inverse Hessian at the MAP. Scoring needs no draws: ``mu = x'm`` and ``s^2 = x' S x`` per row, the
-posterior mean of the sigmoid by 20-point Gauss-Hermite quadrature and the equal-tail
-interval as ``sigmoid(mu +- z s)`` (the sigmoid is monotone), all Column expressions.
+precision to the Hessian. Each step is one pass over all rows that leaves a packed row of sums per
+task, added up before they reach the driver, which only solves a d x d system; a fit that does not settle is an
+error. The posterior covariance is the inverse Hessian at the MAP. Scoring needs no draws: ``mu`` and
+``sd`` per row, the posterior mean of the sigmoid by 20-point Gauss-Hermite quadrature and the equal-tail
+interval as ``sigmoid(mu +- z sd)`` (the sigmoid is monotone).
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 from statistics import NormalDist
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.stats import balanced_sum, sigmoid
+from riskloom.functions.stats import balanced_sum, nan_to_null, sigmoid
 from riskloom.operators.encode import DesignModel, fit_design
-from riskloom.session import spread
 
 # Prior scales of intercept and slopes, quadrature order, Newton settings.
 PRIOR_SD_INTERCEPT = 2.0
@@ -40,6 +40,9 @@ PRIOR_SD_SLOPE = 1.0
 GAUSS_HERMITE_POINTS = 20
 NEWTON_MAX_STEPS = 25
 NEWTON_TOL = 1e-10
+# Tasks that add up the partial sums of a step; widest design that is fitted.
+SUM_TASKS = 8
+MAX_COLUMNS = 2_000
 
 
 def q(name: str) -> Column:
@@ -55,33 +58,37 @@ GBT_PARAM_MAP = {
 }
 
 
+_GBT_NAMES = ("maxIter", "maxDepth", "stepSize", "subsamplingRate", "maxBins", "minInstancesPerNode", "seed")
+
+
 def gbt_params(params: dict) -> dict:
-    """Translate spec params to ``GBTClassifier`` params; unknown keys are ignored."""
+    """Translate spec params to ``GBTClassifier`` params; a key that means nothing to it is reported."""
     out = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 42}
-    gbt_names = {"maxIter", "maxDepth", "stepSize", "subsamplingRate", "maxBins", "minInstancesPerNode", "seed"}
+    foreign = []
     for k, v in params.items():
         name = GBT_PARAM_MAP.get(k, k)
-        if name in gbt_names:
+        if name in _GBT_NAMES:
             out[name] = v
+        else:
+            foreign.append(k)
+    if foreign:
+        warnings.warn(f"parameters without a counterpart are left out: {', '.join(sorted(foreign))}", stacklevel=2)
     return out
 
 
-def gbt_pipeline(continuous: list[str], categorical: list[str], params: dict, weight_col: str | None, label: str) -> Pipeline:
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"_idx_{c}", stringOrderType="alphabetAsc", handleInvalid="keep")
-        for c in categorical
-    ]
-    assembler = VectorAssembler(
-        inputCols=[*continuous, *[f"_idx_{c}" for c in categorical]], outputCol="_features", handleInvalid="keep"
-    )
-    p = gbt_params(params)
-    gbt = GBTClassifier(featuresCol="_features", labelCol=label, predictionCol="_pred", **p)
-    gbt.setProbabilityCol("_prob").setRawPredictionCol("_raw")
-    if weight_col:
-        gbt.setWeightCol(weight_col)
-    if categorical:
-        gbt.setMaxBins(max(32, p.get("maxBins", 32)))
-    return Pipeline(stages=[*indexers, assembler, gbt])
+def _missing_stage(train: DataFrame, continuous: list[str]) -> SQLTransformer:
+    """Stage that fills missing numbers with the training mean and marks where it did.
+
+    The learner takes no NULL or NaN; a tree can split on the mark instead. The means are learnt here
+    and stored in the stage, so scoring fills with the same numbers.
+    """
+    number = lambda c: nan_to_null(q(c).cast("double"))
+    means = train.agg(*[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(continuous)]).first() if continuous else ()
+    parts = ["*"]
+    for i, c in enumerate(continuous):
+        v = f"nullif(CAST(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE))"
+        parts += [f"coalesce({v}, {float(means[i] or 0.0)!r}D) AS `_num_{i}`", f"CAST({v} IS NULL AS DOUBLE) AS `_gap_{i}`"]
+    return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
 
 
 def with_balance_weight(df: DataFrame, label: str, weight_col: str = "_w") -> tuple[DataFrame, str]:
@@ -103,25 +110,40 @@ def fit_gbt(
 ) -> PipelineModel:
     params = dict(params or {})
     balance = balance or bool(params.pop("is_unbalance", False))
-    data = spread(train.withColumn(label, q(label).cast("double")))
+    data = train.withColumn(label, q(label).cast("double"))
     weight = None
     if balance:
         data, weight = with_balance_weight(data, label)
-    return gbt_pipeline(continuous, categorical, params, weight, label).fit(data)
+    stages = [_missing_stage(data, continuous)]
+    inputs = [f"_{kind}_{i}" for i in range(len(continuous)) for kind in ("num", "gap")]
+    p = gbt_params(params)
+    if categorical:
+        indexer = StringIndexer(
+            inputCols=categorical, outputCols=[f"_idx_{c}" for c in categorical], stringOrderType="alphabetAsc", handleInvalid="keep"
+        ).fit(data)  # all columns in one pass
+        stages.append(indexer)
+        inputs += [f"_idx_{c}" for c in categorical]
+        # A category needs a bin for each of its levels and one for unseen ones.
+        p["maxBins"] = max(p.get("maxBins", 32), max(len(levels) for levels in indexer.labelsArray) + 1)
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
+    gbt = GBTClassifier(featuresCol="_features", labelCol=label, predictionCol="_pred", **p)
+    gbt.setProbabilityCol("_prob").setRawPredictionCol("_raw")
+    if weight:
+        gbt.setWeightCol(weight)
+    prepared = data
+    for stage in stages:
+        prepared = stage.transform(prepared)
+    return PipelineModel([*stages, gbt.fit(prepared)])
 
 
 def gbt_score(model: PipelineModel, df: DataFrame, out: str = "p_raw") -> DataFrame:
     """Positive-class probability of a fitted pipeline, internal columns dropped."""
     scored = model.transform(df)
-    internal = [c for c in scored.columns if c.startswith("_idx_") or c in ("_features", "_raw", "_prob", "_pred")]
+    internal = [c for c in scored.columns if c.startswith(("_idx_", "_num_", "_gap_")) or c in ("_features", "_raw", "_prob", "_pred")]
     return scored.withColumn(out, vector_to_array("_prob")[1]).drop(*internal)
 
 
 # -- Laplace posterior --------------------------------------------------------------------
-def _design_columns(model: DesignModel) -> list[Column]:
-    return [F.lit(1.0)] + model.columns()
-
-
 @dataclass
 class PosteriorModel:
     design: DesignModel
@@ -130,31 +152,22 @@ class PosteriorModel:
     ci_level: float = 0.90
     n_train: int = 0
 
-    def _x(self) -> list[Column]:
-        return _design_columns(self.design)
+    def score(self, df: DataFrame, keep: list[str], level: float | None = None) -> DataFrame:
+        """``keep + (probability, ci_low, ci_high, mu, sd)``: posterior mean and interval.
 
-    def linear(self, xs: list[Column] | None = None) -> Column:
-        xs = xs or self._x()
-        return balanced_sum([F.lit(float(m)) * x for m, x in zip(self.mean, xs)])
+        ``mu = x'm`` and ``sd = |L'x|`` with ``L`` the Cholesky factor of the covariance, one matrix product
+        per Arrow batch; the rest are Column expressions.
+        """
+        level = level or self.ci_level
+        mean_, factor = np.array(self.mean), np.linalg.cholesky(np.array(self.cov))
 
-    def variance(self, xs: list[Column] | None = None) -> Column:
-        xs = xs or self._x()
-        d = len(xs)
-        terms = []
-        for i in range(d):
-            for j in range(i, d):
-                c = self.cov[i][j] * (1.0 if i == j else 2.0)
-                if c != 0.0:
-                    terms.append(F.lit(c) * xs[i] * xs[j])
-        return F.greatest(balanced_sum(terms), F.lit(0.0))
+        @F.pandas_udf("mu double, sd double")
+        def linear(x: pd.Series) -> pd.DataFrame:
+            m = np.stack(x.to_numpy()) if len(x) else np.zeros((0, len(mean_)))
+            return pd.DataFrame({"mu": m @ mean_, "sd": np.linalg.norm(m @ factor, axis=1)})
 
-    def score(self, df: DataFrame, keep: list[str], level: float | None = None) -> DataFrame:
-        """``keep + (probability, ci_low, ci_high, mu, sd)``: posterior mean and interval."""
-        level = level or self.ci_level
-        wide = df.select(*[q(k) for k in keep], *[c for c in self.design.columns()])
-        xs = [F.lit(1.0)] + [q(c) for c in self.design.output_columns]
-        mu, sd = self.linear(xs), F.sqrt(self.variance(xs))
-        staged = wide.select(*[q(k) for k in keep], mu.alias("mu"), sd.alias("sd"))
+        packed = df.select(*[q(k) for k in keep], self.design.packed().alias("_rl_x"))
+        staged = packed.select(*[q(k) for k in keep], linear("_rl_x").alias("_rl_l")).select(*[q(k) for k in keep], "_rl_l.mu", "_rl_l.sd")
         z = NormalDist().inv_cdf(1.0 - (1.0 - level) / 2.0)
         nodes, weights = np.polynomial.hermite.hermgauss(GAUSS_HERMITE_POINTS)
         mean = balanced_sum(
@@ -179,49 +192,17 @@ class PosteriorModel:
         return cls(DesignModel.from_dict(d["design"]), d["mean"], d["cov"], d["ci_level"], d.get("n_train", 0))
 
 
-def _newton_sums(design: DataFrame, cols: list[str], beta: np.ndarray, label: str) -> tuple[np.ndarray, np.ndarray, float]:
-    """One aggregate: gradient, Hessian and log-likelihood of the Bernoulli part.
+def _partition_sums(packed: DataFrame, d: int, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradient, Hessian and log-likelihood at ``beta``.
 
-    The coefficients enter as a one-row table joined by broadcast, not as literals, so
-    every Newton step runs the same generated code (no recompilation per step).
+    One BLAS product per Arrow batch, one packed row of ``d^2 + d + 1`` numbers per task; these rows are added
+    up by ``SUM_TASKS`` tasks, so the driver gets that many rows however many tasks there were.
     """
-    from riskloom.operators.metrics import with_totals
-
-    d = len(cols) + 1
-    coef = design.sparkSession.createDataFrame([tuple(float(b) for b in beta)], [f"_rl_b{i}" for i in range(d)])
-    xs = [F.lit(1.0)] + [q(c) for c in cols]
-    joined = with_totals(design, coef)
-    eta = sum((F.col(f"_rl_b{i}") * x for i, x in enumerate(xs)), F.lit(0.0))
-    staged = joined.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], q(label).cast("double").alias("_y"), eta.alias("_eta"))
-    mu = sigmoid(F.col("_eta"))
-    w = mu * (F.lit(1.0) - mu)
-    aggs = [F.sum((mu - F.col("_y")) * F.col(f"_x{i}")).alias(f"g{i}") for i in range(d)]
-    aggs += [F.sum(w * F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"h{i}_{j}") for i in range(d) for j in range(i, d)]
-    # log-likelihood: y*eta - log(1 + e^eta), computed stably
-    ll = F.col("_y") * F.col("_eta") - (F.greatest(F.col("_eta"), F.lit(0.0)) + F.log1p(F.exp(-F.abs(F.col("_eta")))))
-    aggs.append(F.sum(ll).alias("ll"))
-    r = staged.agg(*aggs).first()
-    g = np.array([r[f"g{i}"] or 0.0 for i in range(d)])
-    h = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            h[i, j] = h[j, i] = r[f"h{i}_{j}"] or 0.0
-    return g, h, float(r["ll"] or 0.0)
-
-
-def _partition_sums(packed: DataFrame, d: int, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Gradient, Hessian and log-likelihood at ``beta``: numpy per partition (one BLAS
-    product per Arrow batch), then a Spark sum per entry. The shuffle carries
-    ``partitions x (d^2 + d + 1)`` numbers, independent of the row count."""
     b = np.asarray(beta, dtype=float)
     size = d * d + d + 1
 
     def part(batches):
-        import pandas as pd
-
-        g = np.zeros(d)
-        h = np.zeros((d, d))
-        ll = 0.0
+        total = np.zeros(size)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -229,18 +210,26 @@ def _partition_sums(packed: DataFrame, d: int, beta: np.ndarray) -> tuple[np.nda
             y = pdf["y"].to_numpy(dtype=float)
             eta = x @ b
             mu = 1.0 / (1.0 + np.exp(-eta))
-            g += x.T @ (mu - y)
-            h += x.T @ (x * (mu * (1.0 - mu))[:, None])
-            ll += float(np.sum(y * eta - np.logaddexp(0.0, eta)))
-        yield pd.DataFrame({"i": np.arange(size), "v": np.concatenate([h.ravel(), g, [ll]])})
-
-    rows = packed.mapInPandas(part, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    v = np.zeros(size)
-    for r in rows:
-        v[r["i"]] = r["v"]
+            h = x.T @ (x * (mu * (1.0 - mu))[:, None])
+            total += np.concatenate([h.ravel(), x.T @ (mu - y), [np.sum(y * eta - np.logaddexp(0.0, eta))]])
+        yield pd.DataFrame({"v": [total.tobytes()]})
+
+    def added(batches):
+        total = np.zeros(size)
+        for pdf in batches:
+            for v in pdf["v"]:
+                total += np.frombuffer(v)
+        yield pd.DataFrame({"v": [total.tobytes()]})
+
+    rows = packed.mapInPandas(part, "v binary").repartition(SUM_TASKS).mapInPandas(added, "v binary").collect()
+    v = np.sum([np.frombuffer(r["v"]) for r in rows], axis=0) if rows else np.zeros(size)
     return v[d * d : d * d + d], v[: d * d].reshape(d, d), float(v[-1])
 
 
+class NotConverged(RuntimeError):
+    """The Newton steps of the posterior fit did not settle."""
+
+
 def fit_posterior(
     df: DataFrame,
     numeric: list[str],
@@ -248,16 +237,21 @@ def fit_posterior(
     label: str,
     *,
     ci_level: float = 0.90,
+    partitions: int | None = None,
 ) -> PosteriorModel:
-    """Laplace posterior of the Bayesian logistic regression on all rows of ``df``."""
+    """Laplace posterior of the Bayesian logistic regression on all rows of ``df``.
+
+    ``partitions`` deals the rows out before the steps; by default they stay as they are.
+    """
     design_model = fit_design(df, numeric, categorical)
-    cols = design_model.output_columns
-    design = spread(design_model.transform(df, keep=[label]).where(q(label).isNotNull()))
-    packed = design.select(
-        F.array(F.lit(1.0), *[q(c).cast("double") for c in cols]).alias("x"), q(label).cast("double").alias("y")
-    ).persist()
+    d = len(design_model.output_columns) + 1
+    if d > MAX_COLUMNS:
+        raise ValueError(f"{d} design columns; the driver solves a dense system of at most {MAX_COLUMNS}")
+    labelled = df.where(q(label).isNotNull())
+    if partitions:
+        labelled = labelled.repartition(partitions)
+    packed = labelled.select(design_model.packed().alias("x"), q(label).cast("double").alias("y")).persist()
     n = packed.count()
-    d = len(cols) + 1
     prior_prec = np.array([1.0 / PRIOR_SD_INTERCEPT**2] + [1.0 / PRIOR_SD_SLOPE**2] * (d - 1))
     # Start at the prevalence logit; the log posterior is strictly concave (the prior
     # adds its precision to the Hessian), so damped Newton converges in a few aggregates.
@@ -285,6 +279,9 @@ def fit_posterior(
                 break
             t /= 2.0
         beta, g, h, current = cand, g_c, h_c, value
+    else:
+        packed.unpersist()
+        raise NotConverged(f"no convergence in {NEWTON_MAX_STEPS} steps")
     h_post = h + np.diag(prior_prec)
     cov = np.linalg.inv(h_post)
     cov = (cov + cov.T) / 2.0

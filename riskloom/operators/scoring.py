@@ -9,17 +9,17 @@ batch ``transform`` and a streaming micro-batch run the same code.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.calibrate import Calibrator
-from riskloom.operators.features import build_features
+from riskloom.operators.calibrate import IdentityMap, IsotonicMap, ScoreMap, SigmoidMap
+from riskloom.operators.features import project
 from riskloom.operators.metrics import decide
 from riskloom.operators.models import PosteriorModel, gbt_score
-from riskloom.spec import DomainSpec
+from riskloom.spec import JobSpec
 
 OUTPUT_COLUMNS = ["probability", "decision", "threshold", "domain", "ci_low", "ci_high"]
 
@@ -30,11 +30,11 @@ def _q(name: str):
 
 @dataclass
 class ScoringModel:
-    spec: DomainSpec
+    spec: JobSpec
     kind: str  # gbt | bayesian
     threshold: float
     reachable: bool = True
-    calibrator: Calibrator | None = None
+    calibrator: ScoreMap | None = None
     pipeline: PipelineModel | None = None
     posterior: PosteriorModel | None = None
     continuous: list[str] = field(default_factory=list)
@@ -50,11 +50,9 @@ class ScoringModel:
         if self.is_bayesian:
             s = self.posterior.score(df, keep, level).drop("mu", "sd")
         else:
-            feats, _ = build_features(self.spec, df, keep=keep, strict_names=False)
+            feats, _, _ = project(self.spec, df, keep=keep)
             raw = gbt_score(self.pipeline, feats, out="_p_raw").select(*[_q(k) for k in keep], "_p_raw")
-            cal = self.calibrator.transform(raw, "_p_raw", "probability") if self.calibrator else raw.withColumn(
-                "probability", F.col("_p_raw")
-            )
+            cal = (self.calibrator or IdentityMap()).apply(raw, "_p_raw", "probability")
             s = cal.select(
                 *[_q(k) for k in keep], "probability",
                 F.lit(None).cast("double").alias("ci_low"), F.lit(None).cast("double").alias("ci_high"),
@@ -69,20 +67,15 @@ class ScoringModel:
             "ci_high",
         )
 
-    def raw_score(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        """Uncalibrated tree score (``p_raw``) with ``keep`` columns."""
-        feats, _ = build_features(self.spec, df, keep=keep, strict_names=False)
-        return gbt_score(self.pipeline, feats, out="p_raw").select(*[_q(k) for k in keep], "p_raw")
-
     # -- persistence ------------------------------------------------------------------
     def save(self, path: str) -> str:
         spark = SparkSession.getActiveSession()
         meta = {
-            "spec": _spec_dict(self.spec),
+            "spec": self.spec.to_dict(),
             "kind": self.kind,
             "threshold": self.threshold,
             "reachable": self.reachable,
-            "calibrator": self.calibrator.to_dict() if self.calibrator else None,
+            "calibrator": _map_dict(self.calibrator),
             "posterior": self.posterior.to_dict() if self.posterior else None,
             "continuous": self.continuous,
             "categorical": self.categorical,
@@ -92,8 +85,8 @@ class ScoringModel:
         )
         if self.pipeline is not None:
             self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        if self.calibrator is not None and self.calibrator.isotonic is not None:
-            self.calibrator.isotonic.write().overwrite().save(f"{path}/isotonic")
+        if isinstance(self.calibrator, IsotonicMap):
+            self.calibrator.model.write().overwrite().save(f"{path}/isotonic")
         return path
 
     @classmethod
@@ -102,18 +95,22 @@ class ScoringModel:
 
         spark = SparkSession.getActiveSession()
         meta = json.loads(spark.read.json(f"{path}/metadata").first()["meta"])
-        spec = DomainSpec.from_dict(meta["spec"])
+        spec = JobSpec.from_dict(meta["spec"])
         cal = None
         if meta["calibrator"]:
             c = meta["calibrator"]
-            cal = Calibrator(c["method"], coef=c.get("coef"), intercept=c.get("intercept"))
-            if cal.method == "isotonic":
-                cal.isotonic = IsotonicRegressionModel.load(f"{path}/isotonic")
+            if c["kind"] == "isotonic":
+                cal = IsotonicMap(IsotonicRegressionModel.load(f"{path}/isotonic"))
+            else:
+                cal = SigmoidMap(c["slope"], c["offset"]) if c["kind"] == "sigmoid" else IdentityMap()
         pipeline = PipelineModel.load(f"{path}/pipeline") if meta["kind"] != "bayesian" else None
         post = PosteriorModel.from_dict(meta["posterior"]) if meta["posterior"] else None
         return cls(spec, meta["kind"], meta["threshold"], meta["reachable"], cal, pipeline, post,
                    meta["continuous"], meta["categorical"])
 
 
-def _spec_dict(spec: DomainSpec) -> dict:
-    return asdict(spec)
+def _map_dict(m: ScoreMap | None) -> dict | None:
+    """A score map as JSON; the isotonic model is saved beside it."""
+    if m is None:
+        return None
+    return {"kind": m.kind} | ({"slope": m.slope, "offset": m.offset} if isinstance(m, SigmoidMap) else {})

@@ -12,24 +12,22 @@ from pyspark.sql import functions as F
 from riskloom.functions.features import day_of_week, epoch_seconds_ntz, haversine_km, hour, month, parse_timestamp
 from riskloom.functions.stats import round6
 from riskloom.operators.encode import encode_categories, fit_categories, fit_design
-from riskloom.operators.features import build_features
+from riskloom.operators.features import project
 from riskloom.operators.splits import ordered_split, shuffle_split, stratified_sample
 from riskloom.operators.topk import topk_label, weighted_score, with_zscores
 from riskloom.sources.tables import ORDER_FRAME_SQL, order_frame, table
-from riskloom.spec import Columns, DomainSpec, EvaluationSpec, ModelSpec
+from riskloom.spec import JobSpec, Trees, categories, date_parts, numbers
 
 # Fixed values of the orders domain.
-ORDERS_SPEC = DomainSpec(
+ORDERS_NUMBERS = ["o_totalprice", "c_acctbal", "c_nationkey"]
+ORDERS_SPEC = JobSpec(
     domain="orders",
     target="y",
-    columns=Columns(
-        datetime="o_orderdate",
-        numeric=["o_totalprice", "c_acctbal", "c_nationkey"],
-        categorical=["o_orderstatus", "o_orderpriority", "c_mktsegment"],
-        key="o_orderkey",
-    ),
-    model=ModelSpec(type="gbt", params={"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}, time_split_column="o_orderdate"),
-    evaluation=EvaluationSpec(target_precision=0.5, ci_level=0.9),
+    key="o_orderkey",
+    features=(*numbers(*ORDERS_NUMBERS), *date_parts("o_orderdate"), *categories("o_orderstatus", "o_orderpriority", "c_mktsegment")),
+    time="o_orderdate",
+    learner=Trees({"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}),
+    precision=0.5,
 )
 STRATIFIED_SAMPLE_SIZE = 2000
 TOPK_RATE = 0.05
@@ -43,7 +41,7 @@ def _long_ints(df: DataFrame, names) -> DataFrame:
 
 
 def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, layout = build_features(ORDERS_SPEC, order_frame(spark, sf_dir), keep=["o_orderkey"])
+    frame, _, _ = project(ORDERS_SPEC, order_frame(spark, sf_dir), keep=["o_orderkey"])
     out = _long_ints(frame, ["hour", "dayofweek", "month", "c_nationkey", "y"])
     return out.withColumn("o_totalprice", round6(F.col("o_totalprice"))).withColumn(
         "c_acctbal", round6(F.col("c_acctbal"))
@@ -60,20 +58,20 @@ def category_table(df: DataFrame, columns) -> DataFrame:
 
 
 def q_category_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = category_table(order_frame(spark, sf_dir), ORDERS_SPEC.columns.categorical)
+    t = category_table(order_frame(spark, sf_dir), ORDERS_SPEC.names(categorical=True))
     return t.withColumn("n_levels", F.col("n_levels").cast("long"))
 
 
 def q_category_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = order_frame(spark, sf_dir)
-    cats = ORDERS_SPEC.columns.categorical
+    cats = ORDERS_SPEC.names(categorical=True)
     codes = encode_categories(fit_categories(frame, cats))
     return frame.select("o_orderkey", *[codes[c].cast("long").alias(f"code_{c}") for c in cats])
 
 
 def q_design_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = order_frame(spark, sf_dir)
-    model = fit_design(frame, ORDERS_SPEC.columns.numeric, ORDERS_SPEC.columns.categorical)
+    model = fit_design(frame, ORDERS_NUMBERS, ORDERS_SPEC.names(categorical=True))
     out = model.transform(frame, keep=["o_orderkey"])
     return out.select("o_orderkey", *[round6(F.col(f"`{c}`")).alias(c) for c in model.output_columns])
 
@@ -165,7 +163,7 @@ _LEVELS = {
 
 def _design_sql() -> str:
     z = []
-    for c in ORDERS_SPEC.columns.numeric:
+    for c in ORDERS_NUMBERS:
         z.append(
             f"round((coalesce(CAST({c} AS DOUBLE), 0.0) - (SELECT avg(coalesce(CAST({c} AS DOUBLE), 0.0)) FROM frame)) / "
             f"(SELECT CASE WHEN coalesce(stddev_samp(coalesce(CAST({c} AS DOUBLE), 0.0)), 0) = 0 THEN 1.0 "
@@ -193,7 +191,7 @@ ORACLES = {
     "SELECT column_name AS \"column\", CAST(count(*) AS BIGINT) AS n_levels, "
     "array_to_string(list_sort(list(value)), '|') AS levels FROM l WHERE value IS NOT NULL GROUP BY column_name",
     "category_encode": f"WITH {ORDER_FRAME_SQL} SELECT o_orderkey, "
-    + ", ".join(_code_sql(c) for c in ORDERS_SPEC.columns.categorical)
+    + ", ".join(_code_sql(c) for c in ORDERS_SPEC.names(categorical=True))
     + " FROM frame",
     "design_matrix": _design_sql(),
     "shuffle_split": f"WITH {ORDER_FRAME_SQL}, r AS (SELECT o_orderkey, "

@@ -15,24 +15,24 @@ from riskloom.plans.contract_queries import FRAUD_SRC, FRAUD_TYPES, fraud_frame,
 from riskloom.plans.train_job import train_model
 from riskloom.session import scratch_path
 from riskloom.sources.files import materialize, write_csv
-from riskloom.spec import Columns, DomainSpec, DriftSpec, EvaluationSpec, ModelSpec
-from riskloom.sources.records import parse_records, request_schema, to_json_records
-from riskloom.streaming.score_stream import request_split, start_scoring_stream
+from riskloom.spec import MERCHANT_DISTANCE, JobSpec, Number, Trees, categories, date_parts, numbers
+from riskloom.sources.records import parse_records, to_json_records
+from riskloom.streaming.score_stream import judged, request_split, start_scoring_stream
 
 # The fraud domain spec (columns as in the fraud contract).
-FRAUD_SPEC = DomainSpec(
+FRAUD_SPEC = JobSpec(
     domain="fraud",
     target="is_fraud",
-    columns=Columns(
-        datetime="trans_date_trans_time",
-        categorical=["category", "gender", "state"],
-        numeric=["amt", "city_pop", "lat", "long", "merch_lat", "merch_long"],
-        key="event_id",
+    key="event_id",
+    features=(
+        *numbers("amt", "city_pop", "lat", "long", "merch_lat", "merch_long"),
+        *date_parts("trans_date_trans_time"),
+        MERCHANT_DISTANCE,
+        *categories("category", "gender", "state"),
     ),
-    model=ModelSpec(type="gbt", params={"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "is_unbalance": True},
-                    time_split_column="trans_date_trans_time"),
-    evaluation=EvaluationSpec(target_precision=0.5),
-    drift=DriftSpec(psi_threshold=0.2, ks_pvalue_threshold=0.05),
+    time="trans_date_trans_time",
+    learner=Trees({"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "is_unbalance": True}),
+    precision=0.5,
 )
 REQUEST_COLUMNS = ["event_id", *[r.column for r in REQUEST.rules]]
 
@@ -42,17 +42,31 @@ def fraud_model(spark: SparkSession, sf_dir: str):
     return train_model(FRAUD_SPEC, accepted, artifacts_dir=scratch_path(spark, "artifacts"), log=False).model
 
 
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request bodies as a client sends them: one JSON document per event."""
+    return to_json_records(fraud_frame(spark, sf_dir), REQUEST_COLUMNS)
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request records as a client sends them: one JSON document per event, parsed back
-    with the request schema (datetime as text, checked by the contract)."""
-    bodies = to_json_records(fraud_frame(spark, sf_dir), REQUEST_COLUMNS)
-    schema = request_schema(REQUEST, ("event_id", T.LongType()), text_cols=("trans_date_trans_time",))
-    return parse_records(bodies, "body", schema)
+    return parse_records(request_bodies(spark, sf_dir), REQUEST, "event_id")
 
 
 def q_request_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = validate(requests(spark, sf_dir), REQUEST).with_status()
-    return s.select("event_id", "status", "reasons")
+    return judged(requests(spark, sf_dir), REQUEST).select("event_id", "status", "reasons")
+
+
+def q_request_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies damaged by event: cut off, a word for the amount, an array for the state."""
+    eid, body = F.col("event_id"), F.col("body")
+    sent = fraud_frame(spark, sf_dir).where("amt >= 0 and state is not null and is_fraud in (0, 1) and category <> 'crypto' and gender <> 'X' and city_pop >= 0")
+    opts = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    bodies = sent.select("event_id", F.to_json(F.struct(*[F.col(f"`{c}`") for c in REQUEST_COLUMNS]), opts).alias("body"))
+    damaged = F.when(eid % 3 == 0, F.concat(F.lit('{"event_id":'), eid.cast("string"), F.lit(',"amt":1.5,"cat'))).when(
+        eid % 3 == 1, F.regexp_replace(body, '"amt":[^,]+', '"amt":"abc"')
+    )
+    return judged(parse_records(bodies.select(F.coalesce(damaged, body).alias("body")), REQUEST, "event_id"), REQUEST).select(
+        "event_id", F.when(F.col("reasons").contains("amt:coerce_dtype"), "amt").when(F.col("malformed"), F.col("reasons")).otherwise("other").alias("reason")
+    )
 
 
 def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,22 +76,14 @@ def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests land as JSON files (several, to make several micro-batches); the stream
+    """Requests land as files of JSON lines (several, to make several micro-batches); the stream
     scores them with ``availableNow`` and the scored sink is read back."""
     model = fraud_model(spark, sf_dir)
     base = scratch_path(spark, "score_stream")
-    reqs = requests(spark, sf_dir).withColumn(
-        "trans_date_trans_time", F.date_format("trans_date_trans_time", "yyyy-MM-dd HH:mm:ss")
-    )
-    reqs.repartition(4, "event_id").write.mode("overwrite").json(f"{base}/in")
-    schema = T.StructType(
-        [T.StructField("event_id", T.LongType())]
-        + [T.StructField(f.name, T.StringType() if f.name == "trans_date_trans_time" else f.dataType) for f in
-           schema_of(REQUEST).fields]
-    )
+    request_bodies(spark, sf_dir).repartition(4, "body").write.text(f"{base}/in")
     q = start_scoring_stream(
-        spark, f"{base}/in", schema, REQUEST, model, ["event_id"],
-        scored_dir=f"{base}/scored", rejected_dir=f"{base}/rejected", checkpoint_dir=f"{base}/_checkpoint",
+        spark, f"{base}/in", REQUEST, model, "event_id",
+        scored_dir=f"{base}/scored", rejected_dir=f"{base}/rejected", checkpoint_dir=f"{base}/_checkpoint", max_files_per_trigger=2,
     )
     q.awaitTermination()
     return spark.read.parquet(f"{base}/scored").select(
@@ -103,9 +109,9 @@ def q_end_to_end_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = accepted.persist()
     res = train_model(FRAUD_SPEC, accepted, artifacts_dir=f"{base}/artifacts", log=True)
     sided = reference_current(accepted, ["trans_date_trans_time", "event_id"])
-    drift = DriftAnalysis(long_values(sided, FRAUD_SPEC.columns.numeric),
-                          psi_threshold=FRAUD_SPEC.drift.psi_threshold,
-                          ks_pvalue_threshold=FRAUD_SPEC.drift.ks_pvalue_threshold)
+    drift = DriftAnalysis(long_values(sided, [f.name for f in FRAUD_SPEC.features if type(f) is Number]),
+                          psi_threshold=FRAUD_SPEC.psi_limit,
+                          ks_pvalue_threshold=FRAUD_SPEC.ks_limit)
     report = drift.report().collect()
     rows = [("contract", k, float(v_), None) for k, v_ in counts.items()]
     rows += [("train", k, float(v_), None) for k, v_ in res.metrics.items()]
@@ -117,11 +123,15 @@ def q_end_to_end_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES = {
+    "request_malformed": f"""WITH {FRAUD_SRC}
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'body:malformed' WHEN 1 THEN 'amt' ELSE 'other' END AS reason FROM src
+WHERE amt >= 0 AND state IS NOT NULL AND is_fraud IN (0, 1) AND category <> 'crypto' AND gender <> 'X' AND city_pop >= 0""",
     "request_split": status_sql(FRAUD_SRC, REQUEST, ["event_id"], FRAUD_TYPES, []),
 }
 
 QUERIES = {
     "request_split": q_request_split,
+    "request_malformed": q_request_malformed,
     "score_requests": q_score_requests,
     "score_stream": q_score_stream,
     "end_to_end_report": q_end_to_end_report,

@@ -2,7 +2,7 @@
 
 One driver function over DataFrames that stay on the cluster; the split frame is cached
 once and each stage reads it. Only metrics (scalars) and model parameters reach the
-driver. Two paths, chosen by ``spec.model.type``: boosted trees with a fitted calibrator,
+driver. Two paths, chosen by ``spec.learner``: boosted trees with a fitted calibrator,
 or the Laplace posterior (calibrated by construction, with credible intervals).
 """
 
@@ -14,18 +14,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.calibrate import fit_best_calibrator
-from riskloom.operators.features import build_features
+from riskloom.operators.calibrate import choose_map
+from riskloom.operators.features import project
 from riskloom.operators.metrics import ScoreCurve, metrics_at_threshold
 from riskloom.operators.models import fit_gbt, fit_posterior, gbt_score
 from riskloom.operators.scoring import ScoringModel
 from riskloom.operators.splits import shuffle_order, split_by_cut_keys
-from riskloom.session import checkpoint_root, spread
+from riskloom.session import checkpoint_root
 from riskloom.sources.runlog import log_run
-from riskloom.spec import DomainSpec
-
-# Fractions of the ordered train / calibration / test split.
-TREE_CUTS = (0.70, 0.85)
+from riskloom.spec import JobSpec, Posterior
 
 
 @dataclass
@@ -38,11 +35,8 @@ class TrainResult:
     run_id: str | None = None
 
 
-def split_frame(spec: DomainSpec, df: DataFrame, fractions, labels) -> DataFrame:
-    key = spec.columns.key
-    if key is None:
-        raise ValueError("spec.columns.key (a unique tie key) is required for ordered splits")
-    order = spec.order_column
+def split_frame(spec: JobSpec, df: DataFrame, fractions, labels) -> DataFrame:
+    key, order = spec.key, spec.time
     if order and order in df.columns:
         return split_by_cut_keys(df, [order, key], fractions, labels)
     keyed, order = shuffle_order(df, key)
@@ -75,19 +69,19 @@ def threshold_and_point(curve: ScoreCurve, scores: DataFrame, target: float, p:
 
 
 def train_model(
-    spec: DomainSpec,
+    spec: JobSpec,
     df: DataFrame,
     *,
     artifacts_dir: str | None = None,
     log: bool = True,
-    select_on: str = "test",
+    select_on: str = "cal",
 ) -> TrainResult:
     """Fit, calibrate, evaluate, persist and log one model for ``spec``.
 
-    ``select_on="test"`` picks the calibrator and the threshold on the test slice, as the
-    original job does; ``"cal"`` picks both on the calibration slice instead.
+    Calibrator and threshold come from the calibration slice, the calibrator judged on a part of it that it was not
+    fitted on; ``select_on="test"`` takes the threshold from the test slice, as the original job does.
     """
-    if spec.model.type == "bayesian":
+    if isinstance(spec.learner, Posterior):
         return _train_posterior(spec, df, artifacts_dir=artifacts_dir, log=log)
     return _train_trees(spec, df, artifacts_dir=artifacts_dir, log=log, select_on=select_on)
 
@@ -112,23 +106,23 @@ def df_spark(model: ScoringModel):
 
 
 def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
-    key, target = spec.columns.key, spec.target
-    split = split_frame(spec, df, TREE_CUTS, ("train", "cal", "test"))
-    feats, layout = build_features(spec, split, keep=[key, "split"])
-    feats = spread(feats).persist()
+    key, target = spec.key, spec.target
+    split = split_frame(spec, df, spec.learner.cuts, ("train", "cal", "test"))
+    feats, continuous, categorical = project(spec, split, keep=[key, "split"])
+    feats = feats.persist()
     train = feats.where(F.col("split") == "train")
-    pipeline = fit_gbt(train, layout.continuous, layout.categorical, target, dict(spec.model.params))
+    pipeline = fit_gbt(train, continuous, categorical, target, dict(spec.learner.params))
     scored = gbt_score(pipeline, feats.where(F.col("split") != "train"), out="p_raw").persist()
     cal = scored.where(F.col("split") == "cal").select(F.col(target).alias("y"), F.col("p_raw").alias("p"))
     test = scored.where(F.col("split") == "test").select(F.col(key), F.col(target).alias("y"), F.col("p_raw").alias("p"))
-    choose = test if select_on == "test" else cal
-    calibrator, method, _ = fit_best_calibrator(cal, choose, spec.calibration.method)
-    test_cal = calibrator.transform(test, "p", "p_cal").persist()
+    calibrator, _ = choose_map(cal, spec.learner.score_map)
+    method = calibrator.kind
+    test_cal = calibrator.apply(test, "p", "p_cal").persist()
     raw = score_summary(test_cal, "p", "y")
     calib = score_summary(test_cal, "p_cal", "y")
-    thr_src = test_cal if select_on == "test" else calibrator.transform(cal, "p", "p_cal")
+    thr_src = test_cal if select_on == "test" else calibrator.apply(cal, "p", "p_cal")
     thr_curve = calib["curve"] if select_on == "test" else ScoreCurve(thr_src.select("y", F.col("p_cal").alias("p")))
-    threshold, reachable, point = threshold_and_point(thr_curve, test_cal, spec.evaluation.target_precision, "p_cal", "y")
+    threshold, reachable, point = threshold_and_point(thr_curve, test_cal, spec.precision, "p_cal", "y")
     counts = test_cal.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")).first()
     metrics = {
         "pr_auc_raw": raw["average_precision"],
@@ -142,8 +136,8 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
         "n_test": float(counts["n"]),
         "positives_test": float(counts["pos"] or 0),
     }
-    model = ScoringModel(spec, "gbt", threshold, reachable, calibrator, pipeline, None, layout.continuous, layout.categorical)
-    path, run_id = _save_and_log(spec, model, dict(spec.model.params), method, threshold, metrics, artifacts_dir, log)
+    model = ScoringModel(spec, "gbt", threshold, reachable, calibrator, pipeline, None, continuous, categorical)
+    path, run_id = _save_and_log(spec, model, dict(spec.learner.params), method, threshold, metrics, artifacts_dir, log)
     feats.unpersist()
     scored.unpersist()
     test_cal.unpersist()
@@ -151,16 +145,16 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
 
 
 def _train_posterior(spec, df, *, artifacts_dir, log) -> TrainResult:
-    key, target = spec.columns.key, spec.target
-    cut = 1.0 - spec.model.valid_fraction
+    key, target = spec.key, spec.target
+    cut = spec.learner.cut
     split = split_frame(spec, df, (cut,), ("train", "test")).persist()
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
-    post = fit_posterior(train, spec.columns.numeric, spec.columns.categorical, target, ci_level=spec.evaluation.ci_level)
+    post = fit_posterior(train, spec.names(False), spec.names(True), target, ci_level=spec.learner.interval)
     scored = post.score(test, [key, target]).persist()
     s = scored.select(F.col(target).alias("y"), F.col("probability").alias("p"), "ci_low", "ci_high")
     summ = score_summary(s, "p", "y")
-    threshold, reachable, point = threshold_and_point(summ["curve"], s, spec.evaluation.target_precision, "p", "y")
+    threshold, reachable, point = threshold_and_point(summ["curve"], s, spec.precision, "p", "y")
     cov = interval_coverage(s).first()
     counts = s.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")).first()
     metrics = {
@@ -175,7 +169,7 @@ def _train_posterior(spec, df, *, artifacts_dir, log) -> TrainResult:
         "positives_test": float(counts["pos"] or 0),
     }
     model = ScoringModel(spec, "bayesian", threshold, reachable, None, None, post)
-    path, run_id = _save_and_log(spec, model, dict(spec.model.params), "bayesian_posterior", threshold, metrics, artifacts_dir, log)
+    path, run_id = _save_and_log(spec, model, {"cut": cut}, "bayesian_posterior", threshold, metrics, artifacts_dir, log)
     split.unpersist()
     scored.unpersist()
     return TrainResult(model, metrics, threshold, "bayesian_posterior", path, run_id)

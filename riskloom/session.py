@@ -43,14 +43,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written artefacts.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names a shared
-    file system). Only when nothing is configured, as in a bare test session, a scratch
-    folder is created and registered.
+    file system). Where nothing is configured, a local session, as in tests, gets a scratch
+    folder of its own; on a cluster that is an error, as executors would write to their own disks.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskloom-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
@@ -60,16 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never a machine-local tmp)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df):
-    """At least one partition per core for a table that iterative fits read many times.
-
-    AQE coalesces small shuffle outputs (often to a single partition), which would run
-    every Newton step or tree level in one task. Larger inputs already have more
-    partitions than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

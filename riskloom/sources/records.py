@@ -1,41 +1,41 @@
-"""Scoring-record source: JSON text -> typed rows (batch column, files or a stream).
+"""Scoring-record source: JSON text -> one column per declared field, as text.
 
-The request schema comes from the request contract, with the datetime kept as text so
-that a malformed timestamp becomes a contract failure instead of a parse error.
+Every field is taken as the text that was sent, so that a value of the wrong type fails the contract's coercion under its
+own name instead of turning into a NULL. The body stays with the row, whatever becomes of
+it, and a body that is no JSON object is marked ``malformed``; its key is then looked for in the text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.contract import Contract, schema_of
+from riskloom.operators.contract import Contract
 
+BODY, MALFORMED = "body", "malformed"
+_CORRUPT = "_rl_corrupt"
 
-def request_schema(contract: Contract, key: tuple[str, T.DataType] | None = None, text_cols=()) -> T.StructType:
-    fields = [] if key is None else [T.StructField(key[0], key[1])]
-    for f in schema_of(contract).fields:
-        fields.append(T.StructField(f.name, T.StringType() if f.name in text_cols else f.dataType))
-    return T.StructType(fields)
 
-
-def to_json_records(df: DataFrame, columns: list[str], out: str = "body") -> DataFrame:
+def to_json_records(df: DataFrame, columns: list[str], out: str = BODY) -> DataFrame:
     """Serialise rows to one JSON document per row (what a client would send)."""
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # keep microseconds
     opts = {"timestampFormat": fmt, "timestampNTZFormat": fmt}
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), opts).alias(out))
 
 
-def parse_records(df: DataFrame, json_col: str, schema: T.StructType) -> DataFrame:
-    """JSON column -> typed columns (``from_json``; unparseable fields become NULL)."""
-    parsed: Column = F.from_json(F.col(json_col), schema)
-    return df.select(parsed.alias("_rl_rec")).select("_rl_rec.*")
-
-
-def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
-def stream_records(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+def parse_records(bodies: DataFrame, contract: Contract, key: str, json_col: str = BODY) -> DataFrame:
+    """``(key, fields as text, body, malformed)`` from a column of JSON documents."""
+    names = [key, *contract.columns]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _CORRUPT)])
+    body = F.col(json_col)
+    rec = F.from_json(body, schema, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+    rows = bodies.select(rec.alias("_rl_rec"), body.alias(BODY))
+    malformed = F.col("_rl_rec").isNull() | F.col(f"_rl_rec.{_CORRUPT}").isNotNull()
+    found = F.coalesce(F.col(f"_rl_rec.`{key}`"), F.nullif(F.regexp_extract(BODY, f'"{key}"\\s*:\\s*"?([^",}}\\s]+)', 1), F.lit("")))
+    return rows.select(
+        found.try_cast("long").alias(key),
+        *[F.col(f"_rl_rec.`{n}`").alias(n) for n in contract.columns],
+        BODY,
+        malformed.alias(MALFORMED),
+    )

@@ -1,59 +1,69 @@
 """Streaming scorer: request records in, scored records and rejections out.
 
-``readStream`` (JSON files with an explicit schema) -> the request contract splits each
+``readStream`` (one JSON document per line) -> the request contract splits each
 micro-batch into accepted and rejected rows -> accepted rows are scored by the same
 stateless ``ScoringModel.score`` used in batch -> both go to Parquet sinks from
-``foreachBatch``. The query is stateless, so restarts replay from the checkpoint of the
-file source; batch ids make the sink writes idempotent (each batch writes its own
-folder, a replayed batch overwrites it).
+``foreachBatch``. A batch is parsed and checked once and held until both sinks are written. Rejected rows keep
+key, reasons and the body as it was sent, so nothing is lost. The query is stateless, so restarts replay
+from the checkpoint of the file source; batch ids make the sink writes idempotent (each batch writes its own
+partition ``batch_id=...``, a replayed batch overwrites it).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from riskloom.operators.contract import Contract, validate
 from riskloom.operators.scoring import ScoringModel
+from riskloom.sources.records import BODY, MALFORMED, parse_records
 
 
-def request_split(requests: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """``(accepted, rejected)``: one pass of the contract; rejected rows carry reasons."""
-    v = validate(requests, contract)
-    return v.quarantine()
+def judged(records: DataFrame, contract: Contract) -> DataFrame:
+    """Coerced records with ``status`` and ``reasons``; a malformed body has that one reason."""
+    rows = validate(records, contract).with_status()
+    return rows.withColumns(
+        {
+            "status": F.when(F.col(MALFORMED), "rejected").otherwise(F.col("status")),
+            "reasons": F.when(F.col(MALFORMED), "body:malformed").otherwise(F.col("reasons")),
+        }
+    )
 
 
-def score_requests(requests: DataFrame, contract: Contract, model: ScoringModel, keep: list[str]) -> DataFrame:
-    accepted, _ = request_split(requests, contract)
-    return model.score(accepted, keep=keep)
+def request_split(records: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """``(accepted, rejected)`` of parsed records; rejected rows carry body and reasons."""
+    rows = judged(records, contract)
+    return rows.where(F.col("status") == "accepted").drop("status", "reasons", BODY, MALFORMED), rows.where(F.col("status") == "rejected").drop("status")
 
 
 def start_scoring_stream(
     spark: SparkSession,
     source_dir: str,
-    schema: T.StructType,
     contract: Contract,
     model: ScoringModel,
-    keep: list[str],
+    key: str,
     *,
     scored_dir: str,
     rejected_dir: str,
     checkpoint_dir: str,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
 ):
-    """Start the streaming query; returns the ``StreamingQuery``."""
-    stream = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).json(source_dir)
-    )
+    """Start the streaming query; returns the ``StreamingQuery``. A trigger takes all new files unless told otherwise."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.text(source_dir).withColumnRenamed("value", BODY)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        accepted, rejected = request_split(batch, contract)
-        scored = model.score(accepted, keep=keep)
-        scored.write.mode("overwrite").parquet(f"{scored_dir}/batch_id={batch_id}")
-        rejected.select(*keep, "reasons").write.mode("overwrite").parquet(
-            f"{rejected_dir}/batch_id={batch_id}"
-        )
+        rows = judged(parse_records(batch, contract, key), contract).persist()
+        try:
+            accepted = rows.where(F.col("status") == "accepted").drop("status", "reasons", BODY, MALFORMED)
+            model.score(accepted, keep=[key]).write.mode("overwrite").parquet(f"{scored_dir}/batch_id={batch_id}")
+            rejected = rows.where(F.col("status") == "rejected").select(key, "reasons", BODY)
+            rejected.write.mode("overwrite").parquet(f"{rejected_dir}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.contracts import FRAUD, get_contract
+from riskloom.contracts import CONTRACTS, FRAUD, UnknownDomain
 from riskloom.operators.contract import Contract, DataValidationError, Rule, validate, validate_or_raise
 
 
@@ -105,7 +105,7 @@ def test_summary_and_quarantine(spark):
 
 def test_unknown_domain(spark):
     with pytest.raises(KeyError, match="Known"):
-        get_contract("nope")
+        CONTRACTS["nope"]
 
 
 def test_integers_above_2_53_keep_every_digit(spark):

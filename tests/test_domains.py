@@ -10,7 +10,7 @@ from riskloom.operators.contract import validate
 from riskloom.operators.drift import DriftAnalysis
 from riskloom.operators.encode import fit_design
 from riskloom.plans.train_job import train_model
-from riskloom.spec import CalibrationSpec, Columns, DomainSpec, EvaluationSpec, ModelSpec
+from riskloom.spec import JobSpec, Posterior, Trees, categories, numbers
 
 READ_NUMERIC = ["time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
                 "number_outpatient", "number_emergency", "number_inpatient", "number_diagnoses"]
@@ -51,12 +51,8 @@ def test_readmission_contract_and_constant_medications(spark):
 
 
 def test_bayesian_train_path(spark, tmp_path):
-    spec = DomainSpec(
-        domain="readmission", target="readmitted_30d",
-        columns=Columns(numeric=READ_NUMERIC, categorical=READ_CATEGORICAL, key="pid"),
-        model=ModelSpec(type="bayesian", valid_fraction=0.2),
-        calibration=CalibrationSpec("none"),
-        evaluation=EvaluationSpec(target_precision=0.6, ci_level=0.9),
+    spec = JobSpec(
+        "readmission", "readmitted_30d", "pid", (*numbers(*READ_NUMERIC), *categories(*READ_CATEGORICAL)), learner=Posterior(0.8, 0.9), precision=0.6
     )
     df = spark.createDataFrame(readmission_rows(60, copies=5), READ_SCHEMA)
     res = train_model(spec, df, artifacts_dir=str(tmp_path), log=False)
@@ -97,10 +93,7 @@ def test_dropout_contract_shuffled_gbt_and_cohort_drift(spark, tmp_path):
                "Curricular units 1st sem (approved)", "Curricular units 2nd sem (approved)",
                "Curricular units 1st sem (grade)", "Curricular units 2nd sem (grade)",
                "Unemployment rate", "Inflation rate", "GDP"]
-    spec = DomainSpec(
-        domain="dropout", target="dropout", columns=Columns(numeric=numeric, key="sid"),
-        model=ModelSpec(type="gbt", params={"maxIter": 5, "maxDepth": 3}), evaluation=EvaluationSpec(target_precision=0.65),
-    )
+    spec = JobSpec("dropout", "dropout", "sid", numbers(*numeric), learner=Trees({"maxIter": 5, "maxDepth": 3}), precision=0.65)
     res = train_model(spec, df, artifacts_dir=str(tmp_path), log=False)
     assert res.metrics["roc_auc"] > 0.7
     cohort = df.withColumn("Unemployment rate", F.col("Unemployment rate") * 2 + 10).withColumn("GDP", F.col("GDP") - 5)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.contracts import REQUEST
 from riskloom.operators.encode import encode_categories, fit_categories, fit_design
-from riskloom.operators.features import build_features
+from riskloom.operators.features import project
 from riskloom.plans.serving_queries import FRAUD_SPEC
-from riskloom.spec import DomainSpec, SpecError
+from riskloom.spec import JobSpec, Posterior, SpecError, Trees, from_config, numbers
 
 RECORD = [(dt.datetime(2020, 6, 1, 12, 30), 125.5, "grocery_pos", "F", "CA", 50000, 37.77, -122.41, 37.80, -122.30)]
 RSCHEMA = ("trans_date_trans_time timestamp, amt double, category string, gender string, state string, city_pop long, "
@@ -18,19 +18,19 @@ RSCHEMA = ("trans_date_trans_time timestamp, amt double, category string, gender
 
 def test_engineered_features_scoring_record(spark):
     df = spark.createDataFrame(RECORD, RSCHEMA).withColumn("event_id", F.lit(1))
-    feats, layout = build_features(FRAUD_SPEC, df, keep=["event_id"])
+    feats, numeric, levels = project(FRAUD_SPEC, df, keep=["event_id"])
     r = feats.first()
     assert (r["hour"], r["dayofweek"], r["month"]) == (12, 0, 6)
     assert r["geo_distance_km"] == pytest.approx(10.226, abs=1e-3)
     assert "is_fraud" not in feats.columns  # scoring without target
-    assert layout.columns[:6] == FRAUD_SPEC.columns.numeric
-    assert layout.engineered == ["hour", "dayofweek", "month", "geo_distance_km"]
+    assert numeric[6:] == ["hour", "dayofweek", "month", "geo_distance_km"] and levels == ["category", "gender", "state"]
+    assert project(FRAUD_SPEC, df.drop("merch_lat"))[1][5:] == ["hour", "dayofweek", "month"]
 
 
 def test_name_clash_is_an_error(spark):
     df = spark.createDataFrame(RECORD, RSCHEMA).withColumn("hour", F.lit(3))
     with pytest.raises(ValueError, match="clash"):
-        build_features(FRAUD_SPEC, df)
+        project(FRAUD_SPEC, df)
 
 
 def test_unseen_category_encodes_to_null(spark):
@@ -55,13 +55,22 @@ def test_design_matrix_drop_first_and_constant_columns(spark):
     assert (r["c_x"], r["c_y"]) == (0.0, 0.0)
 
 
-def test_spec_validation_and_dedup():
-    s = DomainSpec.from_dict({"domain": "d", "target": "t", "columns": {"numeric": ["a", "b"], "categorical": ["b", "c"]}})
-    assert s.feature_columns == ["a", "b", "c"]
+def test_spec_from_a_configuration():
+    raw = {"domain": "d", "target": "t", "columns": {"numeric": ["a", "b"], "categorical": ["b", "c"], "amount": "a", "key": "k"}, "data": {"raw_path": "x"}}
+    with pytest.warns(UserWarning, match="columns.amount, data.raw_path"):
+        s = from_config(raw)
+    assert [f.name for f in s.features] == ["a", "b", "c", "geo_distance_km"] and s.names(True) == ["b", "c"]
+    assert JobSpec.from_dict(s.to_dict()) == s
+    b = from_config({"domain": "d", "target": "t", "model": {"type": "bayesian", "valid_fraction": 0.3}}, key="k")
+    assert isinstance(b.learner, Posterior) and b.learner.cut == pytest.approx(0.7)
+
+
+@pytest.mark.parametrize("wrong", [{"domain": ""}, {"precision": 0}, {"features": numbers("a", "a")}, {"learner": Trees(cuts=(0.9, 0.5))}, {"learner": Trees(score_map="x")}])
+def test_spec_is_checked_when_made(wrong):
     with pytest.raises(SpecError):
-        DomainSpec.from_dict({"domain": "d", "target": "t", "model": {"type": "nope"}})
+        JobSpec(**({"domain": "d", "target": "t", "key": "k", "features": numbers("a")} | wrong))
     with pytest.raises(SpecError):
-        DomainSpec.from_dict({"domain": "d", "target": "t", "bogus": 1})
+        from_config({"domain": "d", "target": "t", "model": {"type": "nope"}}, key="k")
 
 
 def test_request_contract_rejects_bad_records(spark):

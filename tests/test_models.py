@@ -6,12 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.calibrate import Calibrator, fit_best_calibrator
+from riskloom.operators.calibrate import IdentityMap, by_score, choose_map, fit_map
 from riskloom.operators.models import fit_posterior
 from riskloom.operators.scoring import ScoringModel
 from riskloom.operators.splits import ordered_split, shuffle_split, stratified_sample
 from riskloom.plans.train_job import train_model
-from riskloom.spec import Columns, DomainSpec, ModelSpec
+from riskloom.spec import JobSpec, Trees, categories, numbers
 
 
 def miscalibrated(spark, n=4000, seed=0):
@@ -28,18 +28,24 @@ def brier(df, col):
 
 def test_isotonic_lowers_brier_and_is_monotone(spark):
     df = miscalibrated(spark)
-    cal = Calibrator("isotonic").fit(df)
-    out = cal.transform(df, "p", "p_cal")
+    out = fit_map("isotonic", by_score(df)).apply(df, "p", "p_cal")
     assert brier(out, "p_cal") < brier(df, "p")
     pts = sorted((r["p"], r["p_cal"]) for r in out.select("p", "p_cal").collect())
     assert all(b[1] >= a[1] - 1e-12 for a, b in zip(pts, pts[1:]))
-    col = out.withColumn("c2", cal.column(F.col("p")))
-    assert col.where(F.abs(F.col("c2") - F.col("p_cal")) > 1e-9).count() == 0
+    # the min-max formula at every score
+    by_p = sorted((r["score"], r["n"], r["pos"]) for r in by_score(df.where("k < 300")).collect())
+    few = fit_map("isotonic", by_score(df.where("k < 300"))).apply(df.where("k < 300"), "p", "c").select("p", "c").collect()
+    n, pos = (np.concatenate([[0], np.cumsum([x[j] for x in by_p])]) for j in (1, 2))
+    at = {x[0]: i for i, x in enumerate(by_p)}
+    for r in few:
+        i = at[r["p"]]
+        low = max(min((pos[k + 1] - pos[j]) / (n[k + 1] - n[j]) for k in range(i, len(by_p))) for j in range(i + 1))
+        assert r["c"] == pytest.approx(low, abs=1e-9)
 
 
 def test_sigmoid_matches_newton_on_same_objective(spark):
     df = miscalibrated(spark, 1500, 1)
-    cal = Calibrator("sigmoid").fit(df)
+    cal = fit_map("sigmoid", by_score(df))
     rows = df.collect()
     x = np.array([r["p"] for r in rows])
     y = np.array([r["y"] for r in rows])
@@ -50,17 +56,17 @@ def test_sigmoid_matches_newton_on_same_objective(spark):
         g = X.T @ (mu - y) + np.array([w[0], 0.0])
         h = X.T @ (X * (mu * (1 - mu))[:, None]) + np.diag([1.0, 0.0])
         w = w - np.linalg.solve(h, g)
-    assert cal.coef == pytest.approx(w[0], abs=1e-4) and cal.intercept == pytest.approx(w[1], abs=1e-4)
+    assert cal.slope == pytest.approx(w[0], abs=1e-4) and cal.offset == pytest.approx(w[1], abs=1e-4)
 
 
 def test_selection_no_worse_than_raw_and_bad_name(spark):
     df = miscalibrated(spark, 3000, 2)
     a, b = df.where(F.col("k") % 2 == 0), df.where(F.col("k") % 2 == 1)
-    best, method, scores = fit_best_calibrator(a, b)
-    assert method in ("isotonic", "sigmoid") and scores[method] <= brier(b, "p")
+    best, scores = choose_map(a)
+    assert best.kind == min(scores, key=scores.get) and brier(best.apply(b, "p", "c"), "c") <= brier(b, "p")
     with pytest.raises(ValueError):
-        Calibrator("bogus")
-    assert Calibrator("none").method == "identity"
+        fit_map("bogus", by_score(df))
+    assert isinstance(fit_map("none", by_score(df)), IdentityMap)
 
 
 def synthetic(spark, n=4000, seed=11):
@@ -74,11 +80,7 @@ def synthetic(spark, n=4000, seed=11):
 
 
 def test_train_trees_learns_signal_and_reload_is_identical(spark, tmp_path):
-    spec = DomainSpec(
-        domain="synthetic", target="y",
-        columns=Columns(datetime="ts", numeric=["a", "b"], categorical=["c"], key="key"),
-        model=ModelSpec(type="gbt", params={"maxIter": 10, "maxDepth": 3}, time_split_column="ts"),
-    )
+    spec = JobSpec("synthetic", "y", "key", (*numbers("a", "b"), *categories("c")), time="ts", learner=Trees({"maxIter": 10, "maxDepth": 3}))
     df = synthetic(spark)
     res = train_model(spec, df, artifacts_dir=str(tmp_path), log=False)
     assert res.metrics["pr_auc_raw"] > 0.5
@@ -163,14 +165,42 @@ def test_cut_key_split_independent_of_session_time_zone(spark):
     assert {r["split"]: r["count"] for r in b} == {"a": 350, "b": 150}
 
 
-def test_partition_newton_sums_equal_jvm_aggregate(spark):
-    from riskloom.operators.models import _newton_sums, _partition_sums
+def test_newton_sums_equal_the_plain_formula(spark):
+    from riskloom.operators.models import _partition_sums
 
     rng = np.random.default_rng(9)
-    rows = [(float(a), float(b), int(c)) for a, b, c in zip(rng.normal(size=300), rng.normal(size=300), rng.random(300) < 0.3)]
-    design = spark.createDataFrame(rows, "a double, b double, y int").repartition(3)
-    packed = design.select(F.array(F.lit(1.0), F.col("a"), F.col("b")).alias("x"), F.col("y").cast("double").alias("y"))
+    x = np.column_stack([np.ones(300), rng.normal(size=(300, 2))])
+    y = (rng.random(300) < 0.3).astype(float)
+    packed = spark.createDataFrame([(r.tolist(), float(b)) for r, b in zip(x, y)], "x array<double>, y double").repartition(30)
     beta = np.array([-0.5, 0.3, -0.2])
-    g1, h1, l1 = _partition_sums(packed, 3, beta)
-    g2, h2, l2 = _newton_sums(design, ["a", "b"], beta, "y")
-    assert np.allclose(g1, g2, atol=1e-9) and np.allclose(h1, h2, atol=1e-9) and l1 == pytest.approx(l2, abs=1e-8)
+    mu = 1 / (1 + np.exp(-x @ beta))
+    g, h, ll = _partition_sums(packed, 3, beta)
+    assert np.allclose(g, x.T @ (mu - y), atol=1e-9) and np.allclose(h, x.T @ (x * (mu * (1 - mu))[:, None]), atol=1e-9)
+    assert ll == pytest.approx(float(np.sum(y * np.log(mu) + (1 - y) * np.log(1 - mu))), abs=1e-8)
+
+
+def test_wide_posterior(spark):
+    rng = np.random.default_rng(2)
+    levels = [f"l{i:03d}" for i in range(200)]
+    rows = [(levels[i % 200], int(rng.random() < (0.7 if i % 2 else 0.2))) for i in range(4000)]
+    post = fit_posterior(spark.createDataFrame(rows, "c string, y int"), [], ["c"], "y")
+    assert len(post.mean) == 200
+    got = post.score(spark.createDataFrame([(x,) for x in levels], "c string"), ["c"]).collect()
+    odd = [r["probability"] for r in got if int(r["c"][1:]) % 2]
+    even = [r["probability"] for r in got if not int(r["c"][1:]) % 2]
+    assert min(odd) > np.mean(even) and all(r["ci_low"] < r["probability"] < r["ci_high"] for r in got)
+
+
+def test_trees_take_many_levels_and_missing_numbers(spark):
+    from riskloom.operators.models import fit_gbt, gbt_score
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(1500):
+        missing = rng.random() < 0.3
+        rows.append((None if missing else float("nan") if i % 50 == 0 else float(rng.normal()), f"s{i % 50}", int(missing or rng.random() < 0.1)))
+    df = spark.createDataFrame(rows, "a double, state string, y int")
+    model = fit_gbt(df, ["a"], ["state"], "y", {"maxIter": 5, "maxDepth": 3})
+    new = spark.createDataFrame([(None, "s1", 1), (0.1, "s2", 0), (0.1, None, 0), (float("nan"), "unseen", 1)], "a double, state string, y int")
+    p = [r["p_raw"] for r in gbt_score(model, new).orderBy("y").collect()]
+    assert max(p[:2]) < 0.5 < min(p[2:])
