@@ -10,10 +10,11 @@ similarity of their n-gram sets is at least ``SIMILARITY``.
 2. *Bands.* Representatives are shuffled on ``(band, hash)``. ``choose_bands`` takes the cheapest
    bands x rows whose chance to miss a pair at the threshold is at most ``1 - RECALL``.
 3. *Links.* In a bucket each member is paired with the bucket's least member, its hub, never all with all.
-   A member fails the check against its hub in a bucket at distance d > 0.2. As Jaccard distance is a metric,
-   it can only be linked to members whose own distance to that hub is at least d - 0.2; these
-   pairs (and those among members that failed) are checked too, so no candidate that could join two classes is lost.
-   Candidates inside one component are not checked again, as they cannot change it.
+   A member that is not in its hub's component after these checks is at a distance d > 0.2 from the hub. As
+   Jaccard distance is a metric, it can only be linked to members whose own distance to the hub differs from d by at
+   most 0.2; these pairs are checked too if they lie in two components and agree in enough MinHash values (2 bits of
+   each; a linked pair falls short with a chance under 1e-5), so that texts which only share a
+   passage are not checked pair by pair. Candidates inside one component cannot change it.
 4. *Check.* The texts of the hub and of its members meet under the hub's id, dealt over as many salts as the
    number of members asks for; the hub's row comes first and its members are streamed past it.
 5. *Classes.* Connected components of the links.
@@ -38,6 +39,8 @@ SIMILARITY = 0.8
 RECALL = 0.9995
 #: Members that share a salt of their hub.
 PER_SALT = 500
+#: Standard deviations below the expected agreement of two linked texts' MinHash values at which a pair is given up unchecked.
+SLACK = 4.5
 
 _CHAIN = np.uint64(0xD6E8FEB86659FD93)
 _MEMBER = "hub long, salt long, doc long, hubs long"
@@ -56,6 +59,14 @@ def choose_bands(similarity: float, recall: float, most_hashes: int = 160) -> tu
 
 
 BANDS, ROWS = choose_bands(SIMILARITY, RECALL)
+
+
+def most_differing(similarity: float) -> int:
+    """Differing 2-bit MinHash values, of BANDS x ROWS, up to which two texts may still be linked."""
+    differ = 0.75 * (1 - similarity)
+    return int(BANDS * ROWS * differ + SLACK * (BANDS * ROWS * differ * (1 - differ)) ** 0.5)
+
+
 _rng = np.random.default_rng(11)
 _A = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -96,17 +107,20 @@ def _signatures(batch: pa.RecordBatch) -> dict:
     sizes = np.bincount(r, minlength=len(raws))
     at = (np.cumsum(sizes) - sizes)[some]
     bands = np.empty((len(some), BANDS), np.uint64)
+    bits = np.zeros((len(some), -(-BANDS * ROWS // 32)), np.uint64)  # two bits of each MinHash value
     set1 = set2 = np.zeros(0, np.uint64)
     if len(some):
         for b in range(BANDS):
             h = np.full(len(some), b, np.uint64)
             for k in range(b * ROWS, (b + 1) * ROWS):
                 v = g * _A[k] + _B[k]
-                h = mix(h ^ np.minimum.reduceat(v ^ (v >> np.uint64(32)), at))
+                least = mix(np.minimum.reduceat(v ^ (v >> np.uint64(32)), at))
+                h = mix(h ^ least)
+                bits[:, k // 32] |= (least & np.uint64(3)) << np.uint64(2 * (k % 32))
             bands[:, b] = h
         set1 = np.add.reduceat(mix(g ^ np.uint64(0x1234567)), at)
         set2 = np.add.reduceat(mix(g * _CHAIN), at)
-    return {"doc": docs[some], "set1": set1.view(np.int64), "set2": set2.view(np.int64), "n": sizes[some], "bands": list(bands.view(np.int64))}
+    return {"doc": docs[some], "set1": set1.view(np.int64), "set2": set2.view(np.int64), "n": sizes[some], "bands": list(bands.view(np.int64)), "bits": list(bits.view(np.int64))}
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,15 +172,15 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = id_and_text(docs).select(order_id().alias("doc"), "text")
-    signatures = cut(map_batches(texts, _signatures, "doc long, set1 long, set2 long, n long, bands array<long>"), "signatures")
+    signatures = cut(map_batches(texts, _signatures, "doc long, set1 long, set2 long, n long, bands array<long>, bits array<long>"), "signatures")
     sets = signatures.groupBy("set1", "set2").agg(F.min("doc").alias("rep"), F.countDistinct("doc").alias("copies"))
     member = signatures.select("doc", "set1", "set2").join(sets, ["set1", "set2"]).select("doc", "rep", "copies")
     member = cut(member.groupBy("doc").agg(F.min(F.struct("rep", "copies")).alias("x")).select("doc", "x.rep", "x.copies"), "members")
 
     reps = signatures.join(member.filter(F.col("doc") == F.col("rep")).select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
-    banded = reps.select("doc", F.posexplode("bands").alias("band", "hash"))
+    banded = reps.select("doc", "n", "bits", F.posexplode("bands").alias("band", "hash"))
     hubs = banded.groupBy("band", "hash").agg(F.min("doc").alias("hub"), F.count("*").alias("size")).filter(F.col("size") > 1)
-    buckets = cut(banded.join(hubs, ["band", "hash"]).filter(F.col("doc") != F.col("hub")).select("band", "hash", "hub", "doc"), "buckets")
+    buckets = cut(banded.join(hubs, ["band", "hash"]).filter(F.col("doc") != F.col("hub")).select("band", "hash", "hub", "doc", "n", "bits"), "buckets")
     pairs = buckets.select("hub", "doc").distinct()
 
     own = texts.groupBy("doc").agg(F.min("text").alias("text")) if _repeats(signatures) else texts
@@ -178,7 +192,7 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     good = checked.filter(F.col("similarity") >= similarity)
     roots = components(good.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
 
-    more = cut(check_pairs(own, _outside(_second_look(buckets, checked, similarity), roots), parts), "checked")
+    more = cut(check_pairs(own, _second_look(buckets, checked, roots, similarity), parts), "checked")
     found = more.filter(F.col("similarity") >= similarity)
     if not found.isEmpty():
         good = good.unionByName(found)
@@ -191,20 +205,36 @@ def _repeats(signatures: DataFrame) -> bool:
     return row["n"] != row["d"]
 
 
-def _second_look(buckets: DataFrame, checked: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of one bucket of which one end failed against the hub and that the hub does not rule out.
+def _differing():
+    """Number of 2-bit MinHash values in which ``bits`` and ``bits2`` differ."""
+    total = F.lit(0)
+    for k in range(-(-BANDS * ROWS // 32)):
+        x = F.col("bits")[k].bitwiseXOR(F.col("bits2")[k])
+        total = total + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
+
+
+def _second_look(buckets: DataFrame, checked: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of a bucket that lie in two components and that neither the hub, their sizes nor their MinHash values rule out.
 
-    With distances to the hub d1 >= d2 and limit e = 1 - similarity: a link needs d1 - d2 <= e, and the farther end
-    failed, d1 > e. Members are dealt by distance into cells of width e, so that only neighbouring cells meet.
+    Of such a pair at least one end is no member of the hub's component, so only these ends are
+    paired, with all members. All of them failed against the hub, at a known distance; a
+    member of the hub's component may have been passed over, its distance is unknown. Members are dealt
+    by distance into cells of width 1 - similarity, so that only neighbouring cells meet.
     """
     limit = 1 - similarity
-    near = buckets.join(checked.withColumn("distance", 1 - F.col("similarity")), ["hub", "doc"])
-    # Two texts that share no n-gram with the hub tell nothing of each other: they meet again in the next bucket's hub only if banded there.
-    near = near.withColumn("cell", F.floor(F.col("distance") / limit))
-    failed = near.filter(F.col("distance") > limit)
-    left = failed.select("band", "hash", "doc", "distance", F.explode(F.array(F.col("cell") - 1, F.col("cell"))).alias("cell"))
-    right = near.select("band", "hash", F.col("doc").alias("other"), F.col("distance").alias("d2"), "cell")
-    met = left.join(right, ["band", "hash", "cell"]).filter((F.col("doc") != F.col("other")) & (F.col("distance") >= F.col("d2")) & (F.col("distance") - F.col("d2") <= limit))
+    known = checked.select("hub", "doc", (1 - F.col("similarity")).alias("distance"))
+    of_hub = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    of_doc = roots.select(F.col("node").alias("doc"), "root")
+    near = buckets.join(of_hub, "hub", "left").join(of_doc, "doc", "left").join(known, ["hub", "doc"], "left")
+    near = near.withColumns({"hub_root": F.coalesce("hub_root", "hub"), "root": F.coalesce("root", "doc"), "cell": F.coalesce(F.floor(F.col("distance") / limit), F.lit(-2))})
+    cells = F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1, F.lit(-2).cast("long"))
+    left = near.filter(F.col("root") != F.col("hub_root")).select("band", "hash", "doc", "n", "bits", "root", "distance", F.explode(F.array_distinct(cells)).alias("cell"))
+    right = near.select("band", "hash", F.col("doc").alias("other"), F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("root").alias("root2"), F.col("distance").alias("d2"), "cell")
+    close = F.col("d2").isNull() | (F.abs(F.col("distance") - F.col("d2")) <= limit + 1e-9)
+    sized = F.least("n", "n2") >= similarity * F.greatest("n", "n2") - 1e-9
+    alike = _differing() <= most_differing(similarity)
+    met = left.join(right, ["band", "hash", "cell"]).filter((F.col("root") != F.col("root2")) & close & sized & alike)
     return met.select(F.least("doc", "other").alias("hub"), F.greatest("doc", "other").alias("doc")).distinct()
 
 
