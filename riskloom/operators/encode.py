@@ -25,20 +25,23 @@ def q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def category_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value)``: distinct non-null values as text, by a shuffle with map-side de-duplication."""
+    wide = df.select(*[q(c).cast("string").alias(c) for c in columns])
+    return wide.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull()).distinct()
+
+
 def fit_categories(df: DataFrame, columns: Sequence[str], *, max_levels: int = MAX_LEVELS) -> dict[str, list]:
     """Sorted distinct non-null values per column.
 
-    Unpivot to ``(column, value)`` and ``distinct`` (a distributed shuffle with map-side
-    de-duplication); the driver receives at most ``max_levels`` values per column and a
+    From :func:`category_levels`; the driver receives at most ``max_levels`` values per column and a
     higher-cardinality column is an error, not a silent truncation.
     """
     columns = list(columns)
     if not columns:
         return {}
-    wide = df.select(*[q(c).cast("string").alias(c) for c in columns])
-    long = wide.unpivot([], columns, "column", "value").where(F.col("value").isNotNull()).distinct()
     limit = max_levels * len(columns) + 1
-    rows = long.limit(limit).collect()
+    rows = category_levels(df, columns).limit(limit).collect()
     out: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         out[r["column"]].append(r["value"])

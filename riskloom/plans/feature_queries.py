@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.features import day_of_week, epoch_seconds_ntz, haversine_km, hour, month, parse_timestamp
 from riskloom.functions.stats import round6
-from riskloom.operators.encode import encode_categories, fit_categories, fit_design
+from riskloom.operators.encode import category_levels, encode_categories, fit_categories, fit_design
 from riskloom.operators.features import project
 from riskloom.operators.splits import ordered_split, shuffle_split, stratified_sample
 from riskloom.operators.topk import topk_label, weighted_score, with_zscores
@@ -49,10 +49,8 @@ def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_table(df: DataFrame, columns) -> DataFrame:
-    """``(column, n_levels, levels)``: sorted distinct non-null values, distributed."""
-    wide = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = wide.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull()).distinct()
-    return long.groupBy("column").agg(
+    """``(column, n_levels, levels)``: the dictionaries of the spec's categories, side by side."""
+    return category_levels(df, columns).groupBy("column").agg(
         F.count(F.lit(1)).alias("n_levels"), F.array_join(F.array_sort(F.collect_list("value")), "|").alias("levels")
     )
 

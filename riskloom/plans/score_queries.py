@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import round6
+from riskloom.operators.cleaning import binarise
 from riskloom.operators.metrics import (
     ScoreCurve,
     brier,
@@ -86,11 +87,6 @@ def q_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("n").cast("long").alias("n"), "positives", round6(F.col("prevalence")).alias("prevalence"))
 
 
-def binarise(col: str, positive) -> F.Column:
-    """``col == positive`` as 0/1 with NULL -> 0 (as a pandas comparison would)."""
-    return F.coalesce(F.col(col) == F.lit(positive), F.lit(False)).cast("int")
-
-
 def q_binarise_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     return docs.select("doc_id", binarise("lang", "en").alias("label"))

@@ -7,15 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.contracts import FRAUD, REQUEST
+from riskloom.contracts import DROPOUT, FRAUD, READMISSION, REQUEST
 from riskloom.operators.contract import schema_of, validate
-from riskloom.operators.drift import DriftAnalysis, long_values
-from riskloom.operators.splits import reference_current
-from riskloom.plans.contract_queries import FRAUD_SRC, FRAUD_TYPES, fraud_frame, status_sql
+from riskloom.plans.contract_queries import FRAUD_SRC, FRAUD_TYPES, dropout_frame, fraud_frame, readmission_frame, status_sql
+from riskloom.plans.domain_job import run_job
 from riskloom.plans.train_job import train_model
 from riskloom.session import scratch_path
 from riskloom.sources.files import materialize, write_csv
-from riskloom.spec import MERCHANT_DISTANCE, JobSpec, Number, Trees, categories, date_parts, numbers
+from riskloom.spec import MERCHANT_DISTANCE, Category, JobSpec, Number, Posterior, Trees, categories, date_parts, numbers
 from riskloom.sources.records import parse_records, to_json_records
 from riskloom.streaming.score_stream import judged, request_split, start_scoring_stream
 
@@ -103,23 +102,27 @@ def q_end_to_end_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         for f in schema_of(FRAUD).fields
     ])
     typed = materialize(spark, f"{base}/raw", f"{base}/typed", schema=schema, datetime_col="trans_date_trans_time")
-    v = validate(typed, FRAUD)
-    counts = v.counts()
-    accepted, _ = v.quarantine()
-    accepted = accepted.persist()
-    res = train_model(FRAUD_SPEC, accepted, artifacts_dir=f"{base}/artifacts", log=True)
-    sided = reference_current(accepted, ["trans_date_trans_time", "event_id"])
-    drift = DriftAnalysis(long_values(sided, [f.name for f in FRAUD_SPEC.features if type(f) is Number]),
-                          psi_threshold=FRAUD_SPEC.psi_limit,
-                          ks_pvalue_threshold=FRAUD_SPEC.ks_limit)
-    report = drift.report().collect()
-    rows = [("contract", k, float(v_), None) for k, v_ in counts.items()]
-    rows += [("train", k, float(v_), None) for k, v_ in res.metrics.items()]
-    rows += [("train", "threshold", float(res.threshold), res.calibration_method)]
-    for r in report:
-        rows.append(("drift", r["feature"], r["psi"], f"ks={r['ks_stat']};p={r['ks_pvalue']};drifted={r['drifted']}"))
-    accepted.unpersist()
-    return spark.createDataFrame(rows, "stage string, key string, value double, text string")
+    return run_job(FRAUD_SPEC, FRAUD, typed, on_failure="quarantine", artifacts_dir=f"{base}/artifacts")
+
+
+#: The two domains without a time column: Bayesian readmission, boosted dropout.
+READMISSION_SPEC = JobSpec(
+    "readmission", "readmitted_30d", "o_orderkey",
+    tuple(Number(r.column) for r in READMISSION.rules if r.dtype != "string" and r.column != "readmitted_30d") + tuple(Category(r.column) for r in READMISSION.rules if r.dtype == "string"),
+    learner=Posterior(0.8, 0.9), precision=0.6,
+)
+DROPOUT_SPEC = JobSpec(
+    "dropout", "dropout", "o_orderkey", tuple(Number(r.column) for r in DROPOUT.rules if r.column != "dropout"),
+    learner=Trees({"maxIter": 10, "maxDepth": 4}), precision=0.65,
+)
+
+
+def q_end_to_end_readmission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_job(READMISSION_SPEC, READMISSION, readmission_frame(spark, sf_dir), on_failure="quarantine")
+
+
+def q_end_to_end_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_job(DROPOUT_SPEC, DROPOUT, dropout_frame(spark, sf_dir), on_failure="quarantine")
 
 
 ORACLES = {
@@ -135,4 +138,6 @@ QUERIES = {
     "score_requests": q_score_requests,
     "score_stream": q_score_stream,
     "end_to_end_report": q_end_to_end_report,
+    "end_to_end_readmission": q_end_to_end_readmission,
+    "end_to_end_dropout": q_end_to_end_dropout,
 }
