@@ -76,10 +76,13 @@ def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return dims, v / max(float(np.linalg.norm(v)), 1e-12)
 
 
-def dense(dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    v = np.zeros(DIMS, np.float32)
-    v[dims] = weights
-    return v
+def _dense(rows: list[bytes]) -> np.ndarray:
+    """Matrix of vectors that came as 2-byte dimensions followed by 4-byte weights."""
+    x = np.zeros((len(rows), DIMS), np.float32)
+    for k, row in enumerate(rows):
+        n = len(row) // 6
+        x[k, np.frombuffer(row, np.uint16, n)] = np.frombuffer(row, np.float32, n, 2 * n)
+    return x
 
 
 @dataclass
@@ -154,21 +157,22 @@ def fit(training: DataFrame) -> Model | None:
 
     def run(batch: pa.RecordBatch) -> dict:
         found = [vector(t, idf) for t in batch.column("text").to_pylist()]
-        return {"lang": batch.column("lang"), "h": batch.column("h"), "v": [dense(*v).tobytes() for v in found]}
+        sparse = lambda dims, weights: dims.astype(np.uint16).tobytes() + weights.astype(np.float32).tobytes()
+        return {"lang": batch.column("lang"), "h": batch.column("h"), "v": [sparse(*v) for v in found]}
 
     sample: dict[str, list[tuple[int, bytes]]] = {}
-    for row in map_batches(chosen, run, "lang string, h long, v binary").toLocalIterator():  # at most languages x FIT_ROWS rows
+    for row in map_batches(chosen, run, "lang string, h long, v binary").collect():  # at most languages x FIT_ROWS rows
         sample.setdefault(row["lang"], []).append((row["h"], bytes(row["v"])))
     languages = sorted(x for x, rows in sample.items() if len(rows) >= LEAST_ROWS) or sorted(sample)
     centroids, owner = [], []
     for k, language in enumerate(languages):
-        x = np.array([np.frombuffer(v, np.float32) for _, v in sorted(sample[language])])
+        x = _dense([v for _, v in sorted(sample[language])])
         c = _cluster(x, CLUSTERS)
         centroids.append(c)
         owner += [k] * len(c)
     model = Model(languages, idf, np.concatenate(centroids).T.astype(np.float32).copy(), np.array(owner), np.zeros(len(languages)))
     for k, language in enumerate(languages):
-        x = np.array([np.frombuffer(v, np.float32) for _, v in sample[language]])
+        x = _dense([v for _, v in sample[language]])
         best = (x @ model.centroids[:, model.owner == k]).max(axis=1)
         model.limits[k] = REJECT_SHARE * np.quantile(best, REJECT_QUANTILE)
     return model
