@@ -104,7 +104,7 @@ def test_summary_and_quarantine(spark):
 
 
 def test_unknown_domain(spark):
-    with pytest.raises(KeyError, match="Known"):
+    with pytest.raises(UnknownDomain, match="none of"):
         CONTRACTS["nope"]
 
 

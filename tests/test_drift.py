@@ -58,10 +58,13 @@ def test_psi_equals_counts_between_quantiles(spark):
     assert analysis(spark, ref, cur).psi().first()["psi"] == pytest.approx(counted_psi(ref, cur, inner_cuts(ref)), abs=1e-9)
 
 
-def test_constant_and_two_valued_reference_give_zero(spark):
+def test_constant_and_two_valued_reference(spark):
     assert analysis(spark, [3.0] * 50, [1.0, 2.0, 3.0]).psi().first()["psi"] == 0.0
     two = [0.0] * 60 + [1.0] * 40
-    assert analysis(spark, two, [1.0] * 100).psi().first()["psi"] == 0.0
+    # the 0.6 quantile lies between the two values, at 0.4: one cut
+    assert analysis(spark, two, [1.0] * 100).psi().first()["psi"] == pytest.approx(counted_psi(two, [1.0] * 100, [0.4]))
+    even = [0.0] * 50 + [1.0] * 50 + [1.0]
+    assert analysis(spark, even, [1.0] * 100).psi().first()["psi"] == 0.0
 
 
 def test_ks_statistic_brute_force_and_symmetry(spark):
