@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ PIECE_WORDS, LEAST_WORDS = 48, 8
 BLOCK_PIECES, BLOCKS_AT_ONCE = 200, 8
 RANK, OVERSAMPLE, POWER = 192, 16, 2
 WINDOW_WORDS, STRIDE = 24, 12
-COSINE = 0.33
+COSINE = 0.36
 LCS_SHARE, LCS_WITH_ANSWER, ANSWER_WORDS = 0.6, 0.45, 6
 #: Windows folded into the latent space at once.
 FOLD = 512
@@ -66,6 +68,7 @@ class Block:
 
     items: np.ndarray
     pieces: list[np.ndarray]  # word hashes
+    places: list[dict[int, int]]
     vocabulary: np.ndarray  # sorted word hashes
     idf: np.ndarray  # of the vocabulary, and last of an unknown word
     basis: np.ndarray  # words x rank, and last a row of zeros
@@ -96,7 +99,7 @@ def _projected(rows: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, q: np.n
 
     sums = rows.select("words").mapInArrow(partial, schema).repartition(4, "word").mapInArrow(added, schema)
     out = np.zeros_like(q)
-    for row in sums.toLocalIterator():  # at most BLOCK_PIECES x PIECE_WORDS rows, give or take the dealing
+    for row in sums.collect():  # at most BLOCK_PIECES x PIECE_WORDS rows, give or take the dealing
         out[row["word"]] = np.frombuffer(row["sums"])
     return out
 
@@ -108,12 +111,12 @@ def _weights(words: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray) -> tupl
 
 def latent_space(rows: DataFrame) -> Block | None:
     """Randomised SVD of one block's pieces ``(item, words)``."""
-    found = sorted((r["item"], tuple(r["words"])) for r in rows.toLocalIterator())  # one block: bounded
+    found = sorted((r["item"], tuple(r["words"])) for r in rows.collect())  # one block: bounded
     if not found:
         return None
     pieces = [np.array(w, np.int64).view(np.uint64) for _, w in found]
     vocabulary, df = np.unique(np.concatenate([np.unique(p) for p in pieces]), return_counts=True)
-    idf = np.log((1 + len(pieces)) / (1 + np.append(df, 0))) + 1
+    idf = np.log((len(pieces) + 1) / (np.append(df, 0) + 0.5))
     rank = min(RANK, len(pieces), len(vocabulary))
     q = np.random.default_rng(5).standard_normal((len(vocabulary), min(rank + OVERSAMPLE, len(vocabulary))))
     for _ in range(POWER):
@@ -126,22 +129,32 @@ def latent_space(rows: DataFrame) -> Block | None:
     for k, p in enumerate(pieces):
         at, weight = _weights(p, vocabulary, idf)
         folded[k] = weight @ basis[at] / np.linalg.norm(weight)
-    return Block(np.array([i for i, _ in found]), pieces, vocabulary, idf.astype(np.float32), np.vstack([basis, np.zeros((1, basis.shape[1]), np.float32)]), folded)
+    return Block(np.array([i for i, _ in found]), pieces, [places(p) for p in pieces], vocabulary, idf.astype(np.float32), np.vstack([basis, np.zeros((1, basis.shape[1]), np.float32)]), folded)
 
 
-def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, with the rows of the table as bits of one integer."""
-    masks: dict[int, int] = {}
-    for k, w in enumerate(a.tolist()):
-        masks[w] = masks.get(w, 0) | 1 << k
-    full = (1 << len(a)) - 1
+def places(piece: np.ndarray) -> dict[int, int]:
+    """For each word of a piece, its places as bits of one integer."""
+    out: dict[int, int] = {}
+    for k, w in enumerate(piece.tolist()):
+        out[w] = out.get(w, 0) | 1 << k
+    return out
+
+
+def lcs(piece: dict[int, int], size: int, words: np.ndarray, least: float = 0) -> int:
+    """Length of the longest common subsequence of a piece, given by its ``places``, and ``words``.
+
+    The rows of the table are bits of one integer. 0 if the places that have their word anywhere in ``words`` are
+    fewer than ``least``, as the subsequence then is, too.
+    """
+    hits = [piece[w] for w in words.tolist() if w in piece]
+    if reduce(or_, hits, 0).bit_count() < least:
+        return 0
+    full = (1 << size) - 1
     row = full
-    for w in b.tolist():
-        m = masks.get(w)
-        if m:
-            u = row & m
-            row = ((row + u) | (row - u)) & full
-    return len(a) - row.bit_count()
+    for m in hits:
+        u = row & m
+        row = ((row + u) | (row - u)) & full
+    return size - row.bit_count()
 
 
 def _answered(piece: np.ndarray, around: np.ndarray) -> bool:
@@ -178,7 +191,7 @@ def _matches(words: np.ndarray, counts: np.ndarray, block: Block) -> Iterator[tu
         for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
             w, piece, r = part[i], block.pieces[j], row[part[i]]
             around = words[max(start[w] - len(piece), ends[r] - counts[r]) : min(end[w] + len(piece), ends[r])]
-            share = lcs(piece, around) / len(piece)
+            share = lcs(block.places[j], len(piece), around, LCS_WITH_ANSWER * len(piece)) / len(piece)
             if share >= LCS_SHARE or share >= LCS_WITH_ANSWER and _answered(piece, around):
                 yield int(r), int(block.items[j]), share
 

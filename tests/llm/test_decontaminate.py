@@ -75,7 +75,8 @@ def test_lcs():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
-        assert D.lcs(a, b) == t[-1][-1]
+        assert D.lcs(D.places(a), len(a), b) == t[-1][-1]
+        assert D.lcs(D.places(a), len(a), b, t[-1][-1]) == t[-1][-1]
 
 
 def test_odd_rows(spark, odd, empty):
