@@ -33,7 +33,7 @@ from riskloom.llm.common import id_and_text, map_batches
 #: Split pattern of byte-level BPE as published with its vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words remembered by a task between batches, and characters of text encoded at once.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 AT_ONCE = 4_000_000
 
 
@@ -114,7 +114,7 @@ def encode_words(words: list[bytes], v: Vocabulary) -> dict[bytes, tuple[int, ..
     State at depth k: ``last[k]`` the last token of the first k bytes, ``open_[k]`` the ``(start, tree node)`` of tokens
     begun before byte k that may still grow.
     """
-    root, fits = v.children, v.fits
+    root, fits, seen = v.children, v.fits, v.pairs.get
     last: list[bytes] = [b""]
     open_: list[list[tuple[int, dict]]] = [[]]
     out: dict[bytes, tuple[int, ...]] = {}
@@ -124,14 +124,24 @@ def encode_words(words: list[bytes], v: Vocabulary) -> dict[bytes, tuple[int, ..
         del last[depth + 1 :], open_[depth + 1 :]
         for k in range(depth, len(word)):
             byte, growing, token = word[k], [], None
-            for start, node in (*open_[k], (k, root)):
+            for start, node in open_[k]:
                 child = node.get(byte)
                 if child is not None:
-                    growing.append((start, child))
                     ended = child.get(-1)
-                    if ended is not None and token is None and (start == 0 or fits(last[start], ended)):
-                        token = ended
-            last.append(token)
+                    if ended is None:
+                        growing.append((start, child))
+                        continue
+                    if len(child) > 1:
+                        growing.append((start, child))
+                    if token is None:
+                        pair = (last[start], ended)
+                        known = seen(pair) if start else True
+                        if known or known is None and fits(*pair):
+                            token = ended
+            child = root[byte]
+            growing.append((k, child))
+            # One token fits; if it is none of the longer ones, it is the byte itself.
+            last.append(child[-1] if token is None else token)
             open_.append(growing)
         ids, end = [], len(word)
         while end:
