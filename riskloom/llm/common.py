@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,18 +46,32 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with ``fn(batch) -> dict of columns`` (or None for no rows).
+#: Bytes of text that an operator works on at once; a longer text stands alone.
+SLICE = 4 << 20
 
-    Output batches are cut from one dict of plain lists / arrays, so an operator only states
+
+def sliced(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``most`` bytes of text, so that memory does not follow the length of the texts."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def map_batches(df: DataFrame, fn, schema: str, most: int = SLICE) -> DataFrame:
+    """``mapInArrow`` over slices with ``fn(slice) -> dict of columns`` (or None for no rows).
+
+    Output batches are made from one dict of plain lists / arrays, so an operator only states
     what it computes.
     """
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            for part in sliced(batch, most):
+                out = fn(part)
                 if out is not None:
                     yield record_batch(out, target)
 
@@ -68,8 +83,8 @@ def filter_rows(df: DataFrame, keep) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(keep(batch), pa.bool_()))
+            for part in sliced(batch):
+                yield part.filter(pa.array(keep(part), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

@@ -39,6 +39,8 @@ from riskloom.llm.textbytes import _BASE, _CODES, BLOCK, blocks
 #: Bytes of a string that counts as repeated, and of the seed inside it.
 WINDOW = 100
 SEED = 32
+#: Bytes of text within which copies of a run are collapsed before the shuffle.
+COLLAPSE = 32 << 20
 #: Strings in a batch of step 4; strings meant for one task; different runs of a seed that stay together.
 BATCH = 1 << 16
 TASK_STRINGS = 1 << 20
@@ -322,7 +324,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     pairs = id_and_text(docs).select(order_id().alias("doc"), "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = map_batches(pairs, _anchors, _RUN)
+    runs = map_batches(pairs, _anchors, _RUN, COLLAPSE)
     found = runs.repartition(parts, "seed").sortWithinPartitions("seed", "whole", "doc", "start").mapInArrow(_copies, _FOUND)
     found = cut(found, "suffix-runs")
     wanted = found.filter(F.col("seed").isNotNull())
