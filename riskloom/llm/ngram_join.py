@@ -9,7 +9,8 @@ similarity of their n-gram sets is at least ``SIMILARITY``.
    ``min``); only its least document goes on, so a text copied a million times is one row.
 2. *Bands.* Representatives are shuffled on ``(band, hash)``. ``choose_bands`` takes the cheapest
    bands x rows whose chance to miss a pair at the threshold is at most ``1 - RECALL``.
-3. *Links.* In a bucket each member is paired with the bucket's least member, its hub, never all with all.
+3. *Links.* In a bucket each member is paired with one member, its hub, never all with all. The hub is the
+   member that shares buckets with the most texts: in a group of near copies, the text they were made from.
    A member that is not in its hub's component after these checks is at a distance d > 0.2 from the hub. As
    Jaccard distance is a metric, it can only be linked to members whose own distance to the hub differs from d by at
    most 0.2; these pairs are checked too if they lie in two components and agree in enough MinHash values (2 bits of
@@ -179,12 +180,18 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     reps = signatures.join(member.filter(F.col("doc") == F.col("rep")).select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
     banded = reps.select("doc", "n", "bits", F.posexplode("bands").alias("band", "hash"))
-    hubs = banded.groupBy("band", "hash").agg(F.min("doc").alias("hub"), F.count("*").alias("size")).filter(F.col("size") > 1)
-    buckets = cut(banded.join(hubs, ["band", "hash"]).filter(F.col("doc") != F.col("hub")).select("band", "hash", "hub", "doc", "n", "bits"), "buckets")
+    sizes = banded.groupBy("band", "hash").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    shared = cut(banded.join(sizes, ["band", "hash"]), "buckets")
+    # The text that the others are copies of shares buckets with the most of them, so it makes the best hub.
+    degree = shared.groupBy("doc").agg(F.sum("size").alias("degree"))
+    first_least = F.bitwise_not("doc")
+    hubs = shared.join(degree, "doc").groupBy("band", "hash").agg(F.max(F.struct("degree", first_least.alias("order"), "doc")).alias("hub"))
+    buckets = shared.join(hubs, ["band", "hash"]).select("band", "hash", F.col("hub.doc").alias("hub"), F.struct("hub.degree", "hub.order", "hub.doc").alias("rank"), "doc", "n", "bits")
+    buckets = cut(buckets.filter(F.col("doc") != F.col("hub")), "buckets")
     pairs = buckets.select("hub", "doc").distinct()
 
     own = texts.groupBy("doc").agg(F.min("text").alias("text")) if _repeats(signatures) else texts
-    nearest = pairs.groupBy("doc").agg(F.min("hub").alias("hub")).select("hub", "doc")
+    nearest = buckets.groupBy("doc").agg(F.max("rank").alias("rank")).select(F.col("rank.doc").alias("hub"), "doc")
     first = cut(check_pairs(own, nearest, parts), "checked")
     roots = components(first.filter(F.col("similarity") >= similarity).select(F.col("hub").alias("a"), F.col("doc").alias("b")))
     rest = _outside(pairs.join(nearest, ["hub", "doc"], "left_anti"), roots)
