@@ -65,7 +65,7 @@ def threshold_and_point(curve: ScoreCurve, scores: DataFrame, target: float, p:
     thr, reachable = float(t["threshold"]), bool(t["reachable"])
     m = metrics_at_threshold(scores, thr, y=y, p=p).first()
     return thr, reachable, {"precision_at_threshold": m["precision"], "recall_at_threshold": m["recall"],
-                            "f1_at_threshold": m["f1"], "n_flagged": float(m["n_flagged"])}
+                            "f1_at_threshold": m["f1"], "n_flagged": _f(m["n_flagged"])}
 
 
 def train_model(
@@ -130,9 +130,9 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
         "brier_raw": raw["brier"],
         "brier_cal": calib["brier"],
         "roc_auc": raw["roc_auc"],
-        "precision_at_threshold": float(point["precision_at_threshold"]),
-        "recall_at_threshold": float(point["recall_at_threshold"]),
-        "f1_at_threshold": float(point["f1_at_threshold"]),
+        "precision_at_threshold": _f(point["precision_at_threshold"]),
+        "recall_at_threshold": _f(point["recall_at_threshold"]),
+        "f1_at_threshold": _f(point["f1_at_threshold"]),
         "n_test": float(counts["n"]),
         "positives_test": float(counts["pos"] or 0),
     }
@@ -162,9 +162,9 @@ def _train_posterior(spec, df, *, artifacts_dir, log) -> TrainResult:
         "brier": summ["brier"],
         "roc_auc": summ["roc_auc"],
         "ci_coverage": _f(cov["coverage"]),
-        "precision_at_threshold": float(point["precision_at_threshold"]),
-        "recall_at_threshold": float(point["recall_at_threshold"]),
-        "f1_at_threshold": float(point["f1_at_threshold"]),
+        "precision_at_threshold": _f(point["precision_at_threshold"]),
+        "recall_at_threshold": _f(point["recall_at_threshold"]),
+        "f1_at_threshold": _f(point["f1_at_threshold"]),
         "n_test": float(counts["n"]),
         "positives_test": float(counts["pos"] or 0),
     }
