@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 from os.path import commonprefix
@@ -28,12 +29,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import id_and_text, map_batches
+from riskloom.llm.common import arrow_schema, id_and_text, record_batch, sliced
 
 #: Split pattern of byte-level BPE as published with its vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words remembered by a task between batches, and characters of text encoded at once.
-REMEMBERED = 1_000_000
+#: Words remembered by a task between batches, pairs of tokens by a worker, and characters of text encoded at once.
+REMEMBERED = 400_000
+PAIRS = 400_000
 AT_ONCE = 4_000_000
 
 
@@ -85,7 +87,7 @@ class Vocabulary:
         """Whether token ``b`` may follow token ``a``."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self.merge(a + b) == [a, b]
         return known
@@ -199,19 +201,17 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     are, null or repeated. Empty table: empty result. Other columns are ignored.
     """
 
-    def run(batch: pa.RecordBatch) -> dict:
-        encoder = _encoder(path)
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        ids = encoder.encode(texts)
-        decoded = [encoder.decode(x) for x in ids]
-        digest = lambda s: hashlib.sha256(s.encode("utf-8", "replace")).hexdigest()
-        out = {"doc_id": batch.column("doc_id"), "n_tokens": [len(x) for x in ids], "ids_sha256": [digest(",".join(map(str, x))) for x in ids], "decoded_sha256": [digest(x) for x in decoded]}
-        return out | ({"ids": ids, "decoded": decoded} if with_ids else {})
-
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
-    return map_batches(id_and_text(docs), run, schema)
-
-
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(vocabulary(path))
+    target = arrow_schema(schema)
+    digest = lambda s: hashlib.sha256(s.encode("utf-8", "replace")).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary(path))  # its words go with the task, as workers live on for other work
+        for batch in batches:
+            for part in sliced(batch):
+                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                decoded = [encoder.decode(x) for x in ids]
+                out = {"doc_id": part.column("doc_id"), "n_tokens": [len(x) for x in ids], "ids_sha256": [digest(",".join(map(str, x))) for x in ids], "decoded_sha256": [digest(x) for x in decoded]}
+                yield record_batch(out | ({"ids": ids, "decoded": decoded} if with_ids else {}), target)
+
+    return id_and_text(docs).mapInArrow(run, schema)
