@@ -19,6 +19,8 @@ similarity of their n-gram sets is at least ``SIMILARITY``.
 4. *Check.* The texts of the hub and of its members meet under the hub's id, dealt over as many salts as the
    number of members asks for; the hub's row comes first and its members are streamed past it.
 5. *Classes.* Connected components of the links.
+6. *Counts.* Each link lies inside one class. The representatives of a class are dealt into blocks of bounded size, each two blocks
+   meet in a task of their own, which compares all pairs of full n-gram sets and leaves one count per text, never the pairs.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, cut, id_and_text, map_batches, mix, order_id, original_id, record_batch
+from riskloom.llm.common import arrow_schema, cut, id_and_text, map_batches, mix, order_id, original_id, record_batch, sliced
 from riskloom.llm.components import components
 from riskloom.llm.textbytes import many_word_hashes, word_hashes
 
@@ -40,6 +42,8 @@ SIMILARITY = 0.8
 RECALL = 0.9995
 #: Members that share a salt of their hub.
 PER_SALT = 500
+#: Representatives and n-grams of a block, when the links of a class are counted; n-grams that are compared at once.
+BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 1_000, 1_000_000, 4_096
 #: Standard deviations below the expected agreement of two linked texts' MinHash values at which a pair is given up unchecked.
 SLACK = 4.5
 
@@ -153,6 +157,79 @@ def check_pairs(texts: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
     return met.mapInArrow(_checked, "hub long, doc long, similarity double")
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many n-grams each two sets share, as a matrix of products of 0/1 rows."""
+    both = np.zeros((len(left), len(right)))
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    where = []
+    for sets in (left, right):
+        row = np.repeat(np.arange(len(sets)), [len(g) for g in sets])
+        grams = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, grams), max(len(shared) - 1, 0))
+        in_both = shared[at] == grams if len(shared) else np.zeros(len(grams), bool)
+        order = np.argsort(at[in_both], kind="stable")
+        where.append((row[in_both][order], at[in_both][order]))
+    for first in range(0, len(shared), COLUMNS):
+        dense = []
+        for (row, at), sets in zip(where, (left, right), strict=True):
+            a, b = np.searchsorted(at, (first, first + COLUMNS))
+            x = np.zeros((len(sets), min(COLUMNS, len(shared) - first)), np.float32)
+            x[row[a:b], at[a:b] - first] = 1
+            dense.append(x)
+        both += dense[0] @ dense[1].T
+    return both
+
+
+def _linked(left: list[tuple], right: list[tuple], similarity: float) -> Iterator[tuple[int, int]]:
+    """``(doc, copies of the texts it is linked to)`` of two blocks of ``(doc, copies, n-gram set)``; without a right one, inside the left."""
+    other = right or left
+    both = _common([x[2] for x in left], [x[2] for x in other])
+    n1, n2 = (np.array([len(x[2]) for x in side]) for side in (left, other))
+    good = both / np.maximum(n1[:, None] + n2 - both, 1) >= similarity
+    if not right:
+        np.fill_diagonal(good, False)
+    copies = [np.array([x[1] for x in side], np.int64) for side in (left, other)]
+    yield from zip([x[0] for x in left], (good @ copies[1]).tolist(), strict=True)
+    if right:
+        yield from zip([x[0] for x in right], (copies[0] @ good).tolist(), strict=True)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (root, i, j): the texts of blocks i and j of a class."""
+    target = arrow_schema("rep long, linked long")
+    now, blocks = None, ([], [])
+
+    def out() -> pa.RecordBatch:
+        found = list(_linked(*blocks, similarity))
+        return record_batch({"rep": [d for d, _ in found], "linked": [n for _, n in found]}, target)
+
+    for batch in batches:
+        for part in sliced(batch):
+            for root, i, j, right, doc, copies, text in zip(*(part.column(c).to_pylist() for c in ("root", "i", "j", "right", "doc", "copies", "text")), strict=True):
+                if now != (root, i, j):
+                    if now:
+                        yield out()
+                    now, blocks = (root, i, j), ([], [])
+                blocks[right].append((doc, copies, ngram_set(text)))
+    if now:
+        yield out()
+
+
+def count_links(texts: DataFrame, reps: DataFrame, roots: DataFrame, parts: int, similarity: float) -> DataFrame:
+    """``(rep, linked)``: the copies of all representatives of its class that a representative is linked to.
+
+    ``reps(doc, n, copies)``: n-grams and copies of each representative, ``roots(node, root)``: the classes of two and more.
+    """
+    inside = reps.join(roots.withColumnRenamed("node", "doc"), "doc")
+    needed = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_GRAMS))
+    dealt = inside.join(inside.groupBy("root").agg(needed.alias("blocks")), "root").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks"))
+    spread = dealt.join(texts, "doc").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    sides = spread.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "doc", "copies", "text")
+    met = sides.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
+    counts = met.mapInArrow(lambda batches: _counted(batches, similarity), "rep long, linked long")
+    return counts.groupBy("rep").agg(F.sum("linked").alias("linked"))
+
+
 def _outside(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose ends are not yet in one component."""
     left = roots.select(F.col("node").alias("hub"), F.col("root").alias("r1"))
@@ -160,15 +237,15 @@ def _outside(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.join(left, "hub", "left").join(right, "doc", "left").filter(~F.coalesce(F.col("r1") == F.col("r2"), F.lit(False))).select("hub", "doc")
 
 
-def similar(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def similar(docs: DataFrame, similarity: float = SIMILARITY, with_links: bool = True) -> DataFrame:
     """``(doc_id, class_id, n_links, n_copies, rep_id)``, one row per distinct id (repeated rows of an id are one document).
 
     ``class_id``: least id of the documents reached over links; a document without a link is its own class.
     ``rep_id``: least id with the same n-gram set, ``n_copies``: how many documents have that set. ``n_links``: the other
-    copies, plus the copies of every other representative to which a link was checked (links
-    that tie two members already in one component are not counted one by one). Null and empty texts
-    and texts of white space link to nothing. Of rows with one id and different texts the least text counts. Null
+    copies, plus the copies of every other representative to which it is linked (all pairs of a class
+    are checked). Null and empty texts and texts of white space link to nothing. Of rows with one id and different texts the least text counts. Null
     id: treated as smaller than every other, returned as null. Empty table: empty result. Other columns are ignored.
+    Without ``with_links`` the links of a class are not counted and ``n_links`` is null.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -204,7 +281,11 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     if not found.isEmpty():
         good = good.unionByName(found)
         roots = components(good.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
-    return _rows(texts, member, good, roots)
+    if not with_links:
+        return _rows(texts, member, None, roots)
+    copies = member.filter(F.col("doc") == F.col("rep")).select("doc", "copies")
+    linked = count_links(own, reps.select("doc", "n").join(copies, "doc"), roots, parts, similarity)
+    return _rows(texts, member, linked, roots)
 
 
 def _repeats(signatures: DataFrame) -> bool:
@@ -245,17 +326,16 @@ def _second_look(buckets: DataFrame, checked: DataFrame, roots: DataFrame, simil
     return met.select(F.least("doc", "other").alias("hub"), F.greatest("doc", "other").alias("doc")).distinct()
 
 
-def _rows(texts: DataFrame, member: DataFrame, good: DataFrame, roots: DataFrame) -> DataFrame:
+def _rows(texts: DataFrame, member: DataFrame, linked: DataFrame | None, roots: DataFrame) -> DataFrame:
     sizes = member.filter(F.col("doc") == F.col("rep")).select("rep", "copies")
-    ends = good.select(F.col("hub").alias("rep"), F.col("doc").alias("other")).unionByName(good.select(F.col("doc").alias("rep"), F.col("hub").alias("other")))
-    links = ends.distinct().join(sizes.withColumnRenamed("rep", "other"), "other").groupBy("rep").agg(F.sum("copies").alias("linked"))
-    of_rep = sizes.select("rep").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    counted = sizes.select("rep").join(linked, "rep", "left") if linked is not None else sizes.select("rep", F.lit(None).cast("long").alias("linked"))
+    of_rep = counted.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     known = member.join(of_rep, "rep")
     everyone = texts.select("doc").distinct().join(known, "doc", "left")
     return everyone.select(
         original_id("doc").alias("doc_id"),
         original_id(F.coalesce("root", "rep", "doc")).alias("class_id"),
-        (F.coalesce(F.col("copies"), F.lit(1)) - 1 + F.coalesce(F.col("linked"), F.lit(0))).cast("long").alias("n_links"),
+        (F.coalesce(F.col("copies"), F.lit(1)) - 1 + F.coalesce(F.col("linked"), F.lit(0)) if linked is not None else F.lit(None)).cast("long").alias("n_links"),
         F.coalesce(F.col("copies"), F.lit(1)).cast("long").alias("n_copies"),
         original_id(F.coalesce("rep", "doc")).alias("rep_id"),
     )
@@ -266,7 +346,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A null id is smaller than every other, so its row stays.
     """
-    gone = similar(docs).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_gone"))
+    gone = similar(docs, with_links=False).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_gone"))
     left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
     ids = docs.select("doc_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).first()
     return left if ids["n"] == ids["d"] else left.dropDuplicates()

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from riskloom.llm import ngram_join as N
 from riskloom.llm.components import components
@@ -56,6 +57,21 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert all(got[i] == 0 for i in range(120)) and all(got[1000 + i] == 1000 + i for i in range(30))
 
 
+@pytest.mark.parametrize("block_docs, block_grams, columns", [(1_000, 1_000_000, 4_096), (16, 1_000_000, 7), (1_000, 2_000, 4_096)])
+def test_every_link_is_counted(spark, monkeypatch, block_docs, block_grams, columns):
+    monkeypatch.setattr(N, "BLOCK_DOCS", block_docs)
+    monkeypatch.setattr(N, "BLOCK_GRAMS", block_grams)
+    monkeypatch.setattr(N, "COLUMNS", columns)
+    rows = invented(17, 150)
+    for i in range(120):
+        words = [f"w{k}" for k in range(200)]
+        words[(i * 7) % 200] = f"z{i}"
+        rows += [(1000 + 3 * i + k, " ".join(words)) for k in range(1 + (i % 40 == 0))]
+    links = brute(rows)[1]
+    got = N.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.n_links for r in got} == {d: len(x) for d, x in links.items()}
+
+
 def test_bands_reach_the_recall():
     for s, r in ((0.8, 0.9995), (0.9, 0.99), (0.7, 0.9)):
         bands, rows = N.choose_bands(s, r)
