@@ -4,7 +4,8 @@ A text becomes a vector of byte n-gram counts (1 to 3 bytes of its lowered lette
 as spaces, hashed into ``DIMS`` dimensions), damped by log(1 + count), weighted by inverse document frequency and normalised. Each language is
 described by several centroids, found by spherical k-means among its own training
 texts. A text gets the language of its most similar centroid (cosine); a text whose best
-cosine is below the language's own limit (a low quantile of what its training texts reach) is marked rejected.
+cosine is below the limit of that language and length (from a low quantile of what all training texts reach) is marked rejected.
+Short texts reach less, so they have a limit of their own.
 
 Document frequencies are counted over all training rows, pre-added per task, so that what is shuffled is
 one vector of fixed length per task. The centroids are fitted on a bounded sample: the
@@ -31,9 +32,13 @@ DIMS = 1 << 14
 CLUSTERS = 6
 FIT_ROWS = 1000
 ROUNDS = 8
-#: A text is rejected below this share of the cosine that all but 0.1 % of its language's training texts reach.
-REJECT_SHARE = 0.25
+#: A text is rejected below this share of the cosine that all but 0.1 % of the training texts of its language and length reach.
+#: With half of it all held-out texts with a letter stay on the test tables, random letters and unlearnt languages go.
+REJECT_SHARE = 0.5
 REJECT_QUANTILE = 0.001
+#: Bytes of letters under which a text is short, and steps of the histogram of cosines.
+SHORT = 64
+STEPS = 1000
 #: Bytes counted at once, and least training rows of a language.
 PIECE = 1 << 20
 LEAST_ROWS = 5
@@ -91,7 +96,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # DIMS x centroids
     owner: np.ndarray  # index of its language
-    limits: np.ndarray  # least accepted cosine of each language
+    limits: np.ndarray  # least accepted cosine of each language, of longer and of short texts
 
     def predict(self, text: str) -> tuple[int, float]:
         """Index of the language and cosine of the most similar centroid."""
@@ -170,14 +175,45 @@ def fit(training: DataFrame) -> Model | None:
         c = _cluster(x, CLUSTERS)
         centroids.append(c)
         owner += [k] * len(c)
-    model = Model(languages, idf, np.concatenate(centroids).T.astype(np.float32).copy(), np.array(owner), np.zeros(len(languages)))
-    for k, language in enumerate(languages):
-        x = _dense([v for _, v in sample[language]])
-        best = (x @ model.centroids[:, model.owner == k]).max(axis=1)
-        model.limits[k] = REJECT_SHARE * np.quantile(best, REJECT_QUANTILE)
+    model = Model(languages, idf, np.concatenate(centroids).T.astype(np.float32).copy(), np.array(owner), np.zeros((len(languages), 2)))
+    model.limits = REJECT_SHARE * _low_cosines(training, model)
     return model
 
 
+def is_short(text: str) -> int:
+    return int(len(letters(text)) < SHORT)
+
+
+def _low_cosines(training: DataFrame, model: Model) -> np.ndarray:
+    """Cosine that all but ``REJECT_QUANTILE`` of the training rows reach, by predicted language and length.
+
+    One histogram over all rows, pre-added per task. A language with fewer than ``LEAST_ROWS`` rows of a length takes
+    the cosine of all languages.
+    """
+    shared = training.sparkSession.sparkContext.broadcast(model)
+    shape = (len(model.languages), 2, STEPS + 1)
+    target = arrow_schema("cell long, n long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(shape, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                k, cosine = shared.value.predict(text)
+                found[k, is_short(text), int(cosine * STEPS)] += 1
+        at = np.flatnonzero(found)
+        yield record_batch({"cell": at, "n": found.ravel()[at]}, target)
+
+    total = np.zeros(shape, np.int64)
+    for row in training.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total.ravel()[row["cell"]] = row["n"]  # at most languages x 2 x STEPS rows
+    everyone = total.sum(axis=0)
+    low = np.zeros(shape[:2])
+    for k, short in np.ndindex(*shape[:2]):
+        n = total[k, short] if total[k, short].sum() >= LEAST_ROWS else everyone[short]
+        low[k, short] = np.searchsorted(np.cumsum(n), REJECT_QUANTILE * n.sum(), "right") / STEPS if n.any() else 0.0
+    return low
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``(doc_id, lang_pred, score, rejected)``, one row per input row; reads only the text.
 
@@ -198,7 +234,7 @@ def judge(text: str | None, model: Model | None) -> tuple[str, float, bool]:
     if model is None or not text or not has_letter(text):
         return "und", 0.0, True
     k, score = model.predict(text)
-    return model.languages[k], score, score < float(model.limits[k])
+    return model.languages[k], score, score < float(model.limits[k, is_short(text)])
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -1,3 +1,6 @@
+import base64
+import random
+import string
 import zlib
 
 import numpy as np
@@ -45,6 +48,21 @@ def test_rejects_what_is_far_from_all_centroids(spark):
     assert all(got[i].lang_pred == "und" and got[i].score == 0 and got[i].rejected for i in (3, 4, 5))
 
 
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+
+
+def test_rejects_random_letters_and_unlearnt_languages(spark):
+    docs = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet")
+    model = G.fit_documents(docs)
+    rng = random.Random(4)
+    noise = {f"letters {n}": " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n // 6)) for n in (200, 1000, 3000)}
+    noise |= {f"base64 {n}": base64.b64encode(rng.randbytes(n)).decode() for n in (200, 3000)} | {"Polish": POLISH, "Finnish": FINNISH}
+    assert {k: G.judge(t, model) for k, t in noise.items() if not G.judge(t, model)[2]} == {}
+    clean = [r.text for r in docs.filter(G.held_out()).collect() if G.has_letter(r.text or "")]
+    assert len(clean) > 250 and not any(G.judge(t, model)[2] for t in clean)
+
+
 def test_odd_rows(odd, empty):
     got = {r.doc_id: r for r in G.identify(odd).collect()}
     assert got[1].lang_pred == got[2].lang_pred == got[3].lang_pred == got[4].lang_pred == got[10].lang_pred == "und"
