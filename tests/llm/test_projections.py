@@ -1,16 +1,21 @@
 """Quality rules, license scan, secret scan: each against a plain version, and on odd rows."""
 
+import base64
 import hashlib
 import os
+import random
 import re
+import string
 import zlib
 from collections import Counter
 
 import pytest
+import zstandard
 
 from riskloom.llm import compression as C
 from riskloom.llm import license_rules as L
 from riskloom.llm import secret_scan as S
+from tests.conftest import SF_SMALL
 from tests.llm.conftest import invented
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -48,6 +53,22 @@ def test_compression_bands(spark):
     assert got[2].ratio < 1.7
 
 
+def test_random_text_is_rejected_at_each_length(spark):
+    rng = random.Random(3)
+    lines = lambda x: " ".join(x[i : i + 9] for i in range(0, len(x), 9))
+    rows = []
+    for n in (600, 900, 1_500, 3_000, 6_000, 12_000, 40_000):
+        rows += [(f"base64 {n}", lines(base64.b64encode(rng.randbytes(n)).decode())[:n]), (f"letters {n}", lines("".join(rng.choices(string.ascii_letters, k=n)))[:n])] if n >= 1_500 else []
+        rows += [(f"base64 {n}", lines(base64.b64encode(rng.randbytes(n)).decode())[:n])] if n < 1_500 else []
+        rows += [(f"hex {n}", lines(rng.randbytes(n).hex())[:n])] if n > 4_096 else []
+    compressor = zstandard.ZstdCompressor(level=C.LEVEL)
+    assert [k for k, t in rows if C.in_bands(t.encode(), compressor)[2]] == []
+    prose = [t for _, t in invented(21, 200) if len(t) > 1_000][:20]
+    docs = [r.text for r in spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet").collect() if r.text]
+    low = [t[:60] for t in prose + docs if not C.in_bands(t.encode(), compressor)[2] and C.in_bands(t.encode(), compressor)[0] < 2.2 and C.in_bands(t.encode(), compressor)[1] == 0]
+    assert low == []
+
+
 LICENSE_TEXTS = [
     "Licensed under the Apache License, Version 2.0.", "GNU General Public License v3 or later", "cc by, CC-BY! (cc) by; ccby cc bys", "All\nRights  Reserved. ALL RIGHTS RESERVED",
     "under the GNU Lesser General Public License version 2.1", "CC BY-NC-SA 4.0", "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: GPL-2.0-only", "plain prose, nothing here",
