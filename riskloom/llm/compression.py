@@ -3,7 +3,8 @@
 The zstandard ratio (bytes over compressed bytes) of repetitive text is far above that of prose, the ratio of
 random text about 1. What is normal depends on length, as a short text has little to refer back to; so
 each band of lengths has its own limits. A text is rejected when its whole ratio is outside the band, or when more than
-``CHUNK_SHARE`` of its fixed chunks of ``CHUNK`` bytes are outside the chunk band (a long text that hides a repetitive stretch).
+``CHUNK_SHARE`` of its bytes lie in chunks of ``CHUNK`` bytes outside the chunk band (a long text that hides a repetitive stretch).
+The last chunk is the last ``CHUNK`` bytes and counts for the bytes that no other chunk holds.
 
 Only a projection: one pass, nothing shuffled.
 """
@@ -29,7 +30,7 @@ BANDS = (
 )
 #: Bytes from which a text must shrink further than the frequencies of its bytes alone allow: hex digits and random letters do not.
 ENTROPY_FROM = 4_096
-#: Bytes of a chunk, its least and greatest ratio, share of chunks that may be outside.
+#: Bytes of a chunk, its least and greatest ratio, share of a text's bytes that may be in chunks outside.
 CHUNK, CHUNK_BAND, CHUNK_SHARE = 4_096, (1.75, 3.6), 0.25
 #: Base rules: fewest words, percent of words in repeated 3-word windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -77,14 +78,17 @@ def in_band(raw: bytes, low: float, high: float, compressor: zstandard.ZstdCompr
 
 
 def in_bands(raw: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """Ratio of the whole text, share of its chunks outside their band, and the verdict."""
+    """Ratio of the whole text, share of its bytes in chunks outside their band, and the verdict."""
     if not raw:
         return 0.0, 0.0, True
     low, high = next((low, high) for upper, low, high in BANDS if len(raw) < upper)
     whole, good = in_band(raw, low, high, compressor)
-    chunks = [raw[i : i + CHUNK] for i in range(0, len(raw) - CHUNK + 1, CHUNK)] if len(raw) >= 2 * CHUNK else []
-    bad = sum(not in_band(c, *CHUNK_BAND, compressor)[1] for c in chunks)
-    share = bad / len(chunks) if chunks else 0.0
+    bad = 0
+    for at in range(0, len(raw), CHUNK) if len(raw) >= CHUNK else ():
+        first = min(at, len(raw) - CHUNK)
+        if not in_band(raw[first : first + CHUNK], *CHUNK_BAND, compressor)[1]:
+            bad += first + CHUNK - at
+    share = bad / len(raw)
     return whole, share, good and share <= CHUNK_SHARE
 
 

@@ -69,6 +69,18 @@ def test_random_text_is_rejected_at_each_length(spark):
     assert low == []
 
 
+def test_chunks_reach_the_end_of_the_text():
+    compressor = zstandard.ZstdCompressor(level=C.LEVEL)
+    prose = " ".join(" ".join(f"{w[::-1]}{k}" for k, w in enumerate(t.split())) for _, t in invented(21, 60))
+    long = (prose[:8300] + " " + "spam ham eggs " * 400)[:12_276]
+    short = (prose[:5000] + " " + "spam ham eggs " * 400)[:8_000]
+    for text in (long, short):
+        whole, share, good = C.in_bands(text.encode(), compressor)
+        assert share > C.CHUNK_SHARE and not good
+    for n in (4_095, 4_096, 5_000, 8_191, 8_192, 9_000):
+        assert C.in_bands(prose[:n].encode(), compressor)[1:] == (0.0, True)
+
+
 LICENSE_TEXTS = [
     "Licensed under the Apache License, Version 2.0.", "GNU General Public License v3 or later", "cc by, CC-BY! (cc) by; ccby cc bys", "All\nRights  Reserved. ALL RIGHTS RESERVED",
     "under the GNU Lesser General Public License version 2.1", "CC BY-NC-SA 4.0", "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: GPL-2.0-only", "plain prose, nothing here",
