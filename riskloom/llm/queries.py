@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe_trie, compression, decontaminate, langid, license_rules, ngram_join, pii, secret_scan, suffix_dedup, url_trees
+from riskloom.llm import bpe_trie, compression, decontaminate, langid, license_rules, ngram_join, pii, secret_scan, suffix_dedup, token_store, url_trees
 from riskloom.llm.common import load
+from riskloom.session import scratch_path
 
 
-def tokenizer_file() -> str:
-    """The public byte-level BPE vocabulary of the box."""
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """A public vocabulary of the box; the byte-level BPE if no other is named."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-store")
+    token_store.write(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), path)
+    return token_store.read(spark, path, with_ids=False)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +79,7 @@ QUERIES = {
         op8_suffix_dedup,
         op9_language_id,
         op10_decontamination,
+        op12_token_store,
     )
 }
 ORACLES: dict[str, str] = {}
