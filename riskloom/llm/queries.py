@@ -1,14 +1,14 @@
 """The queries of this subpackage, as ``(spark, sf_dir) -> DataFrame``.
 
-None has an oracle in SQL: each result carries a column that only its method gives (a compression verdict, a
-learnt label, token ids, hashes of texts). Their tests hold them against plain versions.
+Only op13 has an oracle in SQL: the results of the others carry a column that only their method gives (a compression
+verdict, a learnt label, token ids, hashes of texts). Their tests hold them against plain versions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe_trie, compression, decontaminate, langid, license_rules, ngram_join, pii, secret_scan, suffix_dedup, token_store, url_trees
+from riskloom.llm import bpe_trie, compression, decontaminate, filter_audit, langid, license_rules, ngram_join, pii, secret_scan, suffix_dedup, token_store, url_trees
 from riskloom.llm.common import load
 from riskloom.session import scratch_path
 
@@ -66,6 +66,11 @@ def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path, with_ids=False)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filter_audit.failures(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return filter_audit.audit(rows, "ABCDE", "part", ["good", "toxic"]).withColumnsRenamed({"lost_good": "good_lost", "lost_toxic": "toxic_lost"})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES = {
         op9_language_id,
         op10_decontamination,
         op12_token_store,
+        op13_filter_audit,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_filter_audit": filter_audit.SQL}
