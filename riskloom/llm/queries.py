@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe_trie, compression, decontaminate, filter_audit, langid, license_rules, ngram_join, pii, secret_scan, suffix_dedup, token_store, url_trees
+from riskloom.llm import bpe_trie, compression, decontaminate, filter_audit, langid, license_rules, ngram_join, pii, secret_scan, spelling, suffix_dedup, token_store, url_trees
 from riskloom.llm.common import load
 from riskloom.session import scratch_path
 
@@ -60,6 +60,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
 def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), path)
@@ -84,6 +88,7 @@ QUERIES = {
         op8_suffix_dedup,
         op9_language_id,
         op10_decontamination,
+        op11_spelling_groups,
         op12_token_store,
         op13_filter_audit,
     )
