@@ -14,7 +14,8 @@ Semantics kept on purpose: quantile edges are made unique and the outer ones rep
 -inf/+inf, so a constant reference gives one bin and PSI 0 (and a two-valued reference
 likewise collapses); bins are ``[a, b)``; proportions are clipped to >= 1e-6 without
 renormalising; ``drifted = psi > psi_threshold OR ks_pvalue < ks_pvalue_threshold``;
-an empty side gives NULL.
+an empty side gives NULL. The KS p-value follows the exact law up to 10,000 rows a side and the Kolmogorov
+series beyond (``ks_law``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.ks_law import EXACT_ROWS, ks_pvalue_exact
 from riskloom.functions.stats import ks_pvalue, nan_to_null
 from riskloom.operators.prefix import cumulative, cut
 from riskloom.operators.quantiles import quantiles_from_cumulative
@@ -62,7 +64,7 @@ def union_sides(reference: DataFrame, current: DataFrame, features: Sequence[str
 
 @dataclass
 class DriftAnalysis:
-    """Drift tables over a ``(side, feature, x)`` long frame.
+    """Drift tables over a ``(side, feature, x)`` long frame, or over its counts (:meth:`from_counts`).
 
     The distinct-value table with both running counts is built once and checkpointed. One
     bounded result is then read back: per feature the two sizes and the reference quantiles
@@ -70,17 +72,23 @@ class DriftAnalysis:
     the checkpointed table.
     """
 
-    long: DataFrame
+    long: DataFrame | None
     bins: int = DEFAULT_BINS
     psi_threshold: float = 0.2
     ks_pvalue_threshold: float = 0.05
+    #: "auto": the exact KS law up to EXACT_ROWS rows a side, the series beyond; "series": always the series.
+    ks_law: str = "auto"
+    counts: DataFrame | None = None
 
     def __post_init__(self) -> None:
-        counts = self.long.groupBy("feature", "x").agg(
-            F.sum((F.col("side") == REFERENCE).cast("long")).alias("c_ref"),
-            F.sum((F.col("side") == CURRENT).cast("long")).alias("c_cur"),
-        )
-        self.cum = cut(cumulative(counts, ["x"], ["c_ref", "c_cur"], group_cols=["feature"], keep_bucket=True))
+        if self.ks_law not in ("auto", "series"):
+            raise ValueError(f"no KS law {self.ks_law!r}")
+        if self.counts is None:
+            self.counts = self.long.groupBy("feature", "x").agg(
+                F.sum((F.col("side") == REFERENCE).cast("long")).alias("c_ref"),
+                F.sum((F.col("side") == CURRENT).cast("long")).alias("c_cur"),
+            )
+        self.cum = cut(cumulative(self.counts, ["x"], ["c_ref", "c_cur"], group_cols=["feature"], keep_bucket=True))
         self._facts: dict[str, tuple[int, int, list[float]]] | None = None
 
     @classmethod
@@ -88,6 +96,11 @@ class DriftAnalysis:
         stacked = union_sides(reference, current, features)
         return cls(long_values(stacked, [f for f in features if f in stacked.columns]), **kw)
 
+    @classmethod
+    def from_counts(cls, counts: DataFrame, **kw) -> DriftAnalysis:
+        """From ``(feature, x, c_ref, c_cur)``, one row per distinct value, x never null or NaN."""
+        return cls(None, counts=counts, **kw)
+
     # -- bounded facts -----------------------------------------------------------------
     def quantile_edges(self) -> DataFrame:
         """Reference-side quantiles at ``0, 1/bins, ..., 1`` (before de-duplication)."""
@@ -167,10 +180,16 @@ class DriftAnalysis:
         both = self._with_features().where((F.col("total_ref") > 0) & (F.col("total_cur") > 0))
         stat = both.groupBy("feature").agg(F.max(gap).alias("ks_stat"))
         out = self._features().join(stat, "feature", "left")
+        p = ks_pvalue(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur"))
+        if self.ks_law == "auto" and any(max(n_ref, n_cur) <= EXACT_ROWS for n_ref, n_cur, _ in self.facts().values()):
+            small = F.greatest("n_ref", "n_cur") <= EXACT_ROWS
+            # Large features get null sizes, so that the recursion is not run for them.
+            exact = ks_pvalue_exact(F.when(small, F.col("ks_stat")), F.col("n_ref"), F.col("n_cur"))
+            p = F.when(small, exact).otherwise(p)
         return out.select(
             "feature",
             "ks_stat",
-            ks_pvalue(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")).alias("ks_pvalue"),
+            p.alias("ks_pvalue"),
             "n_ref",
             "n_cur",
         )

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import round6
-from riskloom.operators.drift import DriftAnalysis, long_values
+from riskloom.operators.drift import CURRENT, REFERENCE, DriftAnalysis, long_values
+from riskloom.operators.drift_state import DriftState
 from riskloom.operators.splits import reference_current
-from riskloom.sources.tables import event_features
+from riskloom.session import scratch_path
+from riskloom.sources.tables import event_features, table
 
 EVENT_DRIFT_FEATURES = ["value", "k", "uid"]
 
@@ -16,7 +18,8 @@ EVENT_DRIFT_FEATURES = ["value", "k", "uid"]
 def event_drift(spark: SparkSession, sf_dir: str, **kw) -> DriftAnalysis:
     ev = event_features(spark, sf_dir)
     sided = reference_current(ev, ["ts", "event_id"])
-    return DriftAnalysis(long_values(sided, EVENT_DRIFT_FEATURES), **kw)
+    # Their oracles state the series, at every size.
+    return DriftAnalysis(long_values(sided, EVENT_DRIFT_FEATURES), ks_law="series", **kw)
 
 
 def q_quantile_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,33 @@ def q_drift_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ks_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances of one market segment against all others, per nation: small samples, exact law."""
+    side = F.when(F.col("c_mktsegment") == "BUILDING", REFERENCE).otherwise(CURRENT)
+    long = table(spark, sf_dir, "customer").select(side.alias("side"), F.col("c_nationkey").cast("string").alias("feature"), F.col("c_acctbal").cast("double").alias("x"))
+    k = DriftAnalysis(long.where("x IS NOT NULL")).ks()
+    return k.select("feature", round6(F.col("ks_stat")).alias("ks_stat"), round6(F.col("ks_pvalue")).alias("ks_pvalue"), "n_ref", "n_cur")
+
+
+DRIFT_DAYS = 0.7
+
+
+def q_drift_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of the last 30 % of the days against the others, from kept counts: filled by two updates, the second with the newest days."""
+    ev = event_features(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    days = [r["day"] for r in ev.select("day").where("day IS NOT NULL").distinct().orderBy("day").collect()]  # the calendar
+    cut_day = days[min(int(len(days) * DRIFT_DAYS), len(days) - 1)] if days else None
+    state = DriftState(spark, scratch_path(spark, "drift-state"))
+    old = F.col("day") < F.lit(days[-1]) if days else F.lit(True)
+    state.update(ev.where(old), "day", EVENT_DRIFT_FEATURES)
+    state.update(ev.where(~old), "day", EVENT_DRIFT_FEATURES)
+    r = state.analysis(F.col("batch") < F.lit(str(cut_day)), F.col("batch") >= F.lit(str(cut_day)), ks_law="series").report()
+    return r.select(
+        "feature", round6(F.col("psi")).alias("psi"), round6(F.col("ks_stat")).alias("ks_stat"),
+        round6(F.col("ks_pvalue")).alias("ks_pvalue"), "drifted",
+    )
+
+
 # ---------------------------------------------------------------------------------------
 # DuckDB oracles. Shared CTE: sides by position, long form, per-feature null drop.
 EVENT_SIDES_SQL = """
@@ -157,7 +187,37 @@ def _with(select: str) -> str:
 
 EVENT_DRIFT_CTE_BODY = EVENT_SIDES_SQL.strip()
 
+#: The share of lattice paths that stay under the observed gap, diagonal by diagonal.
+KS_EXACT_SQL = """WITH RECURSIVE
+vals AS (SELECT CAST(c_nationkey AS VARCHAR) AS feature, c_mktsegment = 'BUILDING' AS ref, CAST(c_acctbal AS DOUBLE) AS x FROM customer WHERE c_acctbal IS NOT NULL),
+sizes AS (SELECT feature, count(*) FILTER (ref) AS m, count(*) FILTER (NOT ref) AS n FROM vals GROUP BY feature),
+steps AS (SELECT feature, x, count(*) FILTER (ref) AS a, count(*) FILTER (NOT ref) AS b FROM vals GROUP BY feature, x),
+run AS (SELECT feature, sum(a) OVER w AS a, sum(b) OVER w AS b FROM steps WINDOW w AS (PARTITION BY feature ORDER BY x)),
+stat AS (SELECT feature, m, n, max(abs(a / CAST(m AS DOUBLE) - b / CAST(n AS DOUBLE))) AS d FROM run JOIN sizes USING (feature) WHERE m > 0 AND n > 0 GROUP BY ALL),
+par AS (SELECT *, m // gcd(m, n) AS ma, n // gcd(m, n) AS nb, CAST(round(d * (m // gcd(m, n)) * n) AS BIGINT) AS h FROM stat),
+walk AS (
+  SELECT feature, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS i, CAST(1 AS DOUBLE) AS u FROM par
+  UNION ALL
+  SELECT feature, s, i, sum(u) AS u FROM (
+    SELECT w.feature, w.s + 1 AS s, w.i + t.t AS i, w.u * (CASE t.t WHEN 1 THEN w.i + 1 ELSE w.s + 1 - w.i END) / CAST(w.s + 1 AS DOUBLE) AS u, p.*EXCLUDE (feature)
+    FROM walk w JOIN par p USING (feature), (VALUES (0), (1)) t(t) WHERE w.s < p.m + p.n)
+  WHERE i <= m AND s - i <= n AND abs(i * nb - (s - i) * ma) < h GROUP BY feature, s, i)
+SELECT s.feature, round(p.d, 6) AS ks_stat,
+ round(CASE WHEN p.feature IS NULL THEN NULL WHEN p.h = 0 THEN 1.0 ELSE 1 - coalesce(w.u, 0) END, 6) AS ks_pvalue, s.m AS n_ref, s.n AS n_cur
+FROM sizes s LEFT JOIN par p USING (feature) LEFT JOIN walk w ON w.feature = p.feature AND w.s = p.m + p.n AND w.i = p.m"""
+
+#: The sides by day instead of by position.
+DAY_SIDES_SQL = EVENT_DRIFT_CTE_BODY.replace(
+    "row_number() OVER (ORDER BY ts, event_id) - 1 AS pos, count(*) OVER () AS n", "CAST(ts AS DATE) AS day"
+).replace(
+    "CASE WHEN pos < CAST(floor(CAST(n AS DOUBLE) * CAST(0.7 AS DOUBLE)) AS BIGINT) THEN 0 ELSE 1 END AS side",
+    "CASE WHEN day < (SELECT list_sort(list(DISTINCT day))[least(CAST(floor(count(DISTINCT day) * CAST(0.7 AS DOUBLE)) AS BIGINT), count(DISTINCT day) - 1) + 1] FROM base) THEN 0 ELSE 1 END AS side",
+)
+
 ORACLES = {
+    "ks_exact": KS_EXACT_SQL,
+    "drift_incremental": "WITH " + DAY_SIDES_SQL
+    + " SELECT feature, round(psi, 6) AS psi, round(ks_stat, 6) AS ks_stat, round(ks_pvalue, 6) AS ks_pvalue, drifted FROM report",
     "quantile_edges": _with(
         "SELECT feature, CAST(i - 1 AS BIGINT) AS q_index, round((i - 1) / 10.0, 6) AS q, round(qs[i], 6) AS quantile "
         "FROM qs, range(1, 12) r(i)"
@@ -184,6 +244,8 @@ ORACLES = {
 }
 
 QUERIES = {
+    "ks_exact": q_ks_exact,
+    "drift_incremental": q_drift_incremental,
     "quantile_edges": q_quantile_edges,
     "psi_bins": q_psi_bins,
     "psi_report": q_psi_report,
