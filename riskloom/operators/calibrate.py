@@ -4,9 +4,8 @@ A slice of scored rows is first reduced to one row per distinct score, with the
 positives (map-side combined, so a tie held by a third of the rows is one row per task). Everything
 here works on that table:
 
-* isotonic: ``ml.regression.IsotonicRegression`` on the positive rate per score, weighted by rows
-  (parallel pool-adjacent-violators; linear between knots, clipped at the ends); applied by the fitted
-  Spark model, a binary search in the JVM;
+* isotonic: pooled blocks of the positive rate per score, weighted by rows (see ``isotonic``; linear between
+  knots, clipped at the ends), kept as a table of knots;
 * sigmoid: logistic regression on the score with an L2 penalty equal to ``C = 1`` on the summed
   loss, ``regParam = 1 / n``, unpenalised intercept, no standardisation; applied as a Column;
 * identity: the score itself.
@@ -21,11 +20,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import sigmoid
+from riskloom.operators.isotonic import fit_knots, interpolate
 
 #: Names of the maps (fixed values); "none" stands for identity, "auto" for a choice.
 KINDS = ("isotonic", "sigmoid", "identity")
@@ -53,11 +52,12 @@ class SigmoidMap:
 
 @dataclass(frozen=True)
 class IsotonicMap:
-    model: IsotonicRegressionModel
+    knots: DataFrame  # (score, value), checkpointed or read from a saved model
+    n_knots: int
     kind: str = "isotonic"
 
     def apply(self, df: DataFrame, p: str, out: str) -> DataFrame:
-        return self.model.copy({self.model.featuresCol: p, self.model.predictionCol: out}).transform(df)
+        return interpolate(df, p, out, self.knots, self.n_knots)
 
 
 ScoreMap = IdentityMap | SigmoidMap | IsotonicMap
@@ -72,9 +72,8 @@ def by_score(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
 def fit_map(kind: str, counts: DataFrame) -> ScoreMap:
     """Fit one kind of map on a table of :func:`by_score`."""
     if kind == "isotonic":
-        rates = counts.select("score", (F.col("pos") / F.col("n")).alias("rate"), "n")
-        regression = IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="n", predictionCol="_rl_cal", isotonic=True)
-        return IsotonicMap(regression.fit(rates))
+        knots = fit_knots(counts)
+        return IsotonicMap(knots, knots.count())
     if kind == "sigmoid":
         total = counts.agg(F.sum("n")).first()[0] or 1.0
         sides = F.array(F.struct(F.lit(1.0).alias("label"), F.col("pos").alias("w")), F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("pos")).alias("w")))

@@ -86,13 +86,11 @@ class ScoringModel:
         if self.pipeline is not None:
             self.pipeline.write().overwrite().save(f"{path}/pipeline")
         if isinstance(self.calibrator, IsotonicMap):
-            self.calibrator.model.write().overwrite().save(f"{path}/isotonic")
+            self.calibrator.knots.write.mode("overwrite").parquet(f"{path}/isotonic")
         return path
 
     @classmethod
     def load(cls, path: str) -> ScoringModel:
-        from pyspark.ml.regression import IsotonicRegressionModel
-
         spark = SparkSession.getActiveSession()
         meta = json.loads(spark.read.json(f"{path}/metadata").first()["meta"])
         spec = JobSpec.from_dict(meta["spec"])
@@ -100,7 +98,8 @@ class ScoringModel:
         if meta["calibrator"]:
             c = meta["calibrator"]
             if c["kind"] == "isotonic":
-                cal = IsotonicMap(IsotonicRegressionModel.load(f"{path}/isotonic"))
+                knots = spark.read.schema("score double, value double").parquet(f"{path}/isotonic")
+                cal = IsotonicMap(knots, knots.count())
             else:
                 cal = SigmoidMap(c["slope"], c["offset"]) if c["kind"] == "sigmoid" else IdentityMap()
         pipeline = PipelineModel.load(f"{path}/pipeline") if meta["kind"] != "bayesian" else None
