@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.prefix import cumulative, literal, row_index, values_at_ranks
+from riskloom.operators.bottomk import least_keys
+from riskloom.operators.prefix import cumulative, cut, literal, row_index, values_at_ranks
 
 # Fractions of the ordered 3-way split (train / calibration / test),
 # the reference share of the drift split and the default shuffle seed.
@@ -181,8 +182,7 @@ def shuffle_order(df: DataFrame, key_col: str, seed: int = SHUFFLE_SEED) -> tupl
     """Columns ordering rows like ``md5(key || ':' || seed)``, led by a numeric key.
 
     The first 15 hex digits of the digest as a BIGINT sort exactly like the digest text
-    (fixed width, 0-9 < a-f), so the order is unchanged while the bucket boundaries of
-    the running counts can come from ``percentile_approx``; the full digest and the key
+    (fixed width, 0-9 < a-f), so the order is unchanged and starts with a number; the full digest and the key
     break the (rare) ties.
     """
     h = shuffle_key(key_col, seed)
@@ -220,21 +220,24 @@ def stratified_sample(
 
     ``n_pos = min(P, int(sample_size * mean(y)) + 1)`` positives and
     ``min(sample_size - n_pos, N)`` negatives, each the first by the seeded shuffle key.
-    Rows with another label, or none, are left out whatever the size. Per class the key at the cut is found
-    by rank lookup over the key columns; the rows themselves are only filtered.
+    Rows with another label, or none, are left out whatever the size. One scan finds the sizes and the least keys of each
+    class (:func:`bottomk.least_keys`, at most ``sample_size`` + 1 for each), a second one filters the rows by the key at the cut.
     """
     labelled = df.where(F.col(label_col).isin(0, 1))
-    stats = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label_col).cast("long")).alias("p")).first()
-    n, pos = int(stats["n"]), int(stats["p"] or 0)
+    keyed, order = shuffle_order(labelled, key_col, seed)
+    keys = cut(least_keys(keyed.select(F.col(label_col).cast("int").alias("_rl_y"), *order), "_rl_y", order, sample_size + 1))
+    sizes = {r["_rl_y"]: r["size"] for r in keys.groupBy("_rl_y").agg(F.max("size").alias("size")).collect()}
+    n, pos = sum(sizes.values()), sizes.get(1, 0)
     if n <= sample_size:
         return labelled
     n_pos = min(pos, int(sample_size * (pos / n)) + 1)
     wanted = {1: n_pos, 0: min(sample_size - n_pos, n - pos)}
-    keyed, order = shuffle_order(labelled, key_col, seed)
+    at = F.lit(False)
+    for label, size in wanted.items():
+        at = at | ((F.col("_rl_y") == label) & (F.col("rank") == size))
+    first_out = {r["_rl_y"]: tuple(r[c] for c in order) for r in keys.where(at).collect()}  # none for a class that stays whole
     dtypes = {f.name: f.dataType for f in keyed.schema.fields}
     keep = F.lit(False)
-    for label, size in wanted.items():
-        mine = keyed.where(F.col(label_col) == label).select(*order)
-        key = keys_at_ranks(mine, order, [size])[1][0]
-        keep = keep | ((F.col(label_col) == label) & key_less(order, key, dtypes))
+    for label in wanted:
+        keep = keep | ((F.col(label_col) == label) & key_less(order, first_out.get(label), dtypes))
     return keyed.where(keep).drop("_rl_shuffle", "_rl_shuffle_hi")
