@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.features import day_of_week, epoch_seconds_ntz, haversine_km, hour, month, parse_timestamp
 from riskloom.functions.stats import round6
-from riskloom.operators.encode import category_levels, encode_categories, fit_categories, fit_design
+from riskloom.operators.encode import category_codes, category_levels, fit_design, fit_sparse_design, with_codes
 from riskloom.operators.features import project
 from riskloom.operators.splits import ordered_split, shuffle_split, stratified_sample
 from riskloom.operators.topk import topk_label, weighted_score, with_zscores
@@ -63,8 +63,18 @@ def q_category_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_category_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = order_frame(spark, sf_dir)
     cats = ORDERS_SPEC.names(categorical=True)
-    codes = encode_categories(fit_categories(frame, cats))
-    return frame.select("o_orderkey", *[codes[c].cast("long").alias(f"code_{c}") for c in cats])
+    coded = with_codes(frame, category_codes(frame, cats), cats)
+    return coded.select("o_orderkey", *[f"code_{c}" for c in cats])
+
+
+#: Numbers and categories of the sparse design; the customer key has a level for each customer.
+SPARSE_NUMBERS, SPARSE_CATEGORIES = ["o_totalprice"], ["o_orderpriority", "o_custkey"]
+
+
+def q_design_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    e = fit_sparse_design(frame, SPARSE_NUMBERS, SPARSE_CATEGORIES).entries(frame, ["o_orderkey"])
+    return e.select("o_orderkey", "slot", round6(F.col("value")).alias("value"))
 
 
 def q_design_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +202,14 @@ ORACLES = {
     + ", ".join(_code_sql(c) for c in ORDERS_SPEC.names(categorical=True))
     + " FROM frame",
     "design_matrix": _design_sql(),
+    "design_sparse": """WITH f AS (SELECT o_orderkey, coalesce(CAST(o_totalprice AS DOUBLE), 0) AS x, coalesce(o_orderpriority, 'Unknown') AS p, coalesce(CAST(o_custkey AS VARCHAR), 'Unknown') AS c FROM orders),
+m AS (SELECT avg(x) AS mu, CASE WHEN coalesce(stddev_samp(x), 0) = 0 THEN 1 ELSE stddev_samp(x) END AS sd FROM f),
+ps AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS code FROM (SELECT DISTINCT p FROM f)),
+cs AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS code FROM (SELECT DISTINCT c FROM f)),
+k AS (SELECT count(*) - 1 AS wide FROM ps)
+SELECT o_orderkey, CAST(0 AS BIGINT) AS slot, round((x - mu) / sd, 6) AS value FROM f, m WHERE x <> mu
+UNION ALL SELECT o_orderkey, CAST(code AS BIGINT), 1.0 FROM f JOIN ps USING (p) WHERE code > 0
+UNION ALL SELECT o_orderkey, CAST(wide + code AS BIGINT), 1.0 FROM f JOIN cs USING (c), k WHERE code > 0""",
     "shuffle_split": f"WITH {ORDER_FRAME_SQL}, r AS (SELECT o_orderkey, "
     "row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey) - 1 AS row_idx, "
     "count(*) OVER () AS n FROM frame) SELECT o_orderkey, CAST(row_idx AS BIGINT) AS row_idx, "
@@ -227,6 +245,7 @@ QUERIES = {
     "category_dict": q_category_dict,
     "category_encode": q_category_encode,
     "design_matrix": q_design_matrix,
+    "design_sparse": q_design_sparse,
     "shuffle_split": q_shuffle_split,
     "stratified_sample": q_stratified_sample,
     "topk_label": q_topk_label,

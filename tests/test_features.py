@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.contracts import REQUEST
-from riskloom.operators.encode import encode_categories, fit_categories, fit_design
+from riskloom.operators.encode import category_codes, fit_design, fit_sparse_design, with_codes
 from riskloom.operators.features import project
 from riskloom.plans.serving_queries import FRAUD_SPEC
 from riskloom.spec import JobSpec, Posterior, SpecError, Trees, from_config, numbers
@@ -35,11 +35,37 @@ def test_name_clash_is_an_error(spark):
 
 def test_unseen_category_encodes_to_null(spark):
     train = spark.createDataFrame([("a",), ("c",), ("b",), (None,)], "k string")
-    cats = fit_categories(train, ["k"])
-    assert cats == {"k": ["a", "b", "c"]}
-    code = encode_categories(cats)["k"]
-    rows = spark.createDataFrame([("b",), ("zzz",), (None,)], "k string").select(code.alias("c")).collect()
-    assert [r["c"] for r in rows] == [1, None, None]
+    codes = category_codes(train, ["k"])
+    assert sorted(map(tuple, codes.collect())) == [("k", "a", 0), ("k", "b", 1), ("k", "c", 2)]
+    rows = spark.createDataFrame([("b",), ("zzz",), (None,)], "k string")
+    assert {r["k"]: r["code_k"] for r in with_codes(rows, codes, ["k"]).collect()} == {"b": 1, "zzz": None, None: None}
+
+
+def test_a_million_levels(spark):
+    """No cap, no literal map: half of the rows share one level, the others have one each."""
+    n = 1_000_000
+    df = spark.range(2 * n).select("id", F.when(F.col("id") < n, F.format_string("v%07d", "id")).otherwise("v0000005").alias("k"))
+    design = fit_sparse_design(df, [], ["k"])
+    assert design.size == n - 1 and design.n_levels == {"k": n}
+    wrong = with_codes(df, design.codes, ["k"]).where(~F.col("code_k").eqNullSafe(F.substring("k", 2, 7).cast("long")))
+    assert wrong.count() == 0
+    v = design.vectors(df.where("id IN (0, 7, 1500000)"), ["id"]).collect()
+    assert {r.id: (r.features.size, r.features.indices.tolist()) for r in v} == {0: (n - 1, []), 7: (n - 1, [6]), 1_500_000: (n - 1, [4])}
+
+
+def test_sparse_rows_equal_the_dense_ones(spark):
+    rows = [(k, float(k % 5) if k % 4 else None, "abc"[k % 3] if k % 7 else None, "one") for k in range(40)]
+    df = spark.createDataFrame(rows, "id long, a double, c string, med string")
+    dense, sparse = fit_design(df, ["a"], ["c", "med"]), fit_sparse_design(df, ["a"], ["c", "med"])
+    assert sparse.size == len(dense.output_columns)
+    other = df.unionByName(spark.createDataFrame([(99, 0.0, "new", "two")], df.schema))
+    want = {r.id: [r[c] for c in dense.output_columns] for r in dense.transform(other, keep=["id"]).collect()}
+    got = {r.id: r.features.toArray().tolist() for r in sparse.vectors(other, ["id"]).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
+    entries = {}
+    for r in sparse.entries(other, ["id"]).collect():
+        entries.setdefault(r.id, {})[r.slot] = r.value
+    assert {k: entries.get(k, {}) for k in want} == {k: pytest.approx({i: x for i, x in enumerate(v) if x}) for k, v in want.items()}
 
 
 def test_design_matrix_drop_first_and_constant_columns(spark):
