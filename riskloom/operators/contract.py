@@ -101,9 +101,9 @@ def q(name: str) -> Column:
 
 
 def _text(c: Column, dtype: T.DataType | None) -> Column:
-    """Failure value as text; fractional numbers with 6 decimals (no E-notation)."""
+    """Failure value as text; fractional numbers with 6 decimals, as they are written where those do not hold them (huge, infinite)."""
     if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return c.cast("decimal(38,6)").cast("string")
+        return F.coalesce(c.try_cast("decimal(38,6)").cast("string"), c.cast("string"))
     return c.cast("string")
 
 

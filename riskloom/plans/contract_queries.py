@@ -182,13 +182,14 @@ TYPED = Contract(
         Rule("big_number", "long", ge=BIG + 2),
         Rule("amount", "double", ge=0),
         Rule("shipped", "timestamp"),
+        Rule("reading", "double", ge=0, le=1_000_000),
         Rule("channel", "string"),
     ],
 )
 
 
 def typed_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as text: some ids unparseable, fractional, missing or above 2^53; no column ``channel``."""
+    """``lineitem`` as text: some ids unparseable, fractional, missing or above 2^53; some doubles huge or infinite; no column ``channel``."""
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
     big = (key.cast("long") + F.lit(BIG)).cast("string")
     odd = (key + line) % 6
@@ -199,6 +200,7 @@ def typed_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key.cast("long") + F.lit(BIG)).alias("big_number"),
         F.when(odd == 3, "1,5").when(odd == 4, "-2.5").otherwise(F.col("l_quantity").cast("string")).alias("amount"),
         F.when(odd == 5, "soon").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("shipped"),
+        F.when(odd == 0, -1e40).when(odd == 1, float("inf")).when(odd == 2, float("-inf")).when(odd == 3, 1e308).otherwise(F.col("l_quantity").cast("double")).alias("reading"),
     )
 
 
@@ -230,6 +232,8 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'big_number', 'greater_than_or_equal_
 UNION ALL SELECT l_orderkey, l_linenumber, 'amount', 'coerce_dtype(''float64'')', '1,5' FROM facts WHERE odd = 3
 UNION ALL SELECT l_orderkey, l_linenumber, 'amount', 'greater_than_or_equal_to(0)', '-2.500000' FROM facts WHERE odd = 4
 UNION ALL SELECT l_orderkey, l_linenumber, 'shipped', 'coerce_dtype(''datetime64[ns]'')', 'soon' FROM facts WHERE odd = 5
+UNION ALL SELECT l_orderkey, l_linenumber, 'reading', 'in_range(0, 1000000)',
+ CASE odd WHEN 0 THEN '-1.0E40' WHEN 1 THEN 'Infinity' WHEN 2 THEN '-Infinity' ELSE '1.0E308' END FROM facts WHERE odd IN (0, 1, 2, 3)
 UNION ALL SELECT NULL, NULL, 'channel', 'column_in_dataframe', 'channel'"""
 
 CONTRACT_TYPES_VALUES_SQL = f"""WITH {TYPED_SQL}
@@ -241,6 +245,7 @@ SELECT l_orderkey, l_linenumber, big_value AS big_text, big_number, amount_value
   CASE WHEN big_number < {BIG + 2} THEN 'big_number:greater_than_or_equal_to({BIG + 2})' END,
   CASE WHEN odd = 3 THEN 'amount:coerce_dtype(''float64'')' END,
   CASE WHEN odd = 4 THEN 'amount:greater_than_or_equal_to(0)' END,
+  CASE WHEN odd IN (0, 1, 2, 3) THEN 'reading:in_range(0, 1000000)' END,
   CASE WHEN odd = 5 THEN 'shipped:coerce_dtype(''datetime64[ns]'')' END], lambda x: x IS NOT NULL)), '; ') AS reasons FROM facts"""
 
 

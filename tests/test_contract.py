@@ -135,3 +135,13 @@ def test_first_failure_stops_early(spark):
     with pytest.raises(DataValidationError) as e:
         validate_or_raise(bad, FRAUD, lazy=False)
     assert e.value.counts["n_failures"] == 1 and e.value.cases.count() == 1
+
+
+def test_huge_and_infinite_values_are_readable_failures(spark):
+    values = [-1e40, float("inf"), float("-inf"), 1e308, -2.5, 3.0, 5e31]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "id long, x double")
+    checked = validate(df, Contract("c", [Rule("x", "double", ge=0, le=10)]))
+    cases = {r.id: r.failure_case for r in checked.failure_cases(["id"]).collect()}
+    assert cases == {0: "-1.0E40", 1: "Infinity", 2: "-Infinity", 3: "1.0E308", 4: "-2.500000", 6: "50000000000000000000000000000000.000000"}
+    good, bad = checked.quarantine()
+    assert [r.id for r in good.collect()] == [5] and bad.count() == 6
