@@ -12,6 +12,8 @@
 4. *Checks.* The longest common subsequence of a piece and the words around the window must cover ``LCS_SHARE`` of the
    piece, or ``LCS_WITH_ANSWER`` if the answer, its last ``ANSWER_WORDS`` words, stands there word by word.
 
+Items of SHORTEST to LEAST_WORDS - 1 words have too few words for a cosine: a document holds one if its words stand there one after another.
+
 Nothing but the blocks' sums is shuffled. Blocks are broadcast ``BLOCKS_AT_ONCE`` at a time, so a larger
 benchmark means more passes, not more memory.
 """
@@ -28,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, cut, filter_rows, id_and_text, map_batches, order_id, original_id, record_batch
+from riskloom.llm.common import arrow_schema, cut, filter_rows, id_and_text, map_batches, mix, order_id, original_id, record_batch
 from riskloom.llm.textbytes import many_word_hashes
 
 PIECE_WORDS, LEAST_WORDS = 48, 8
+#: Items with fewer words than LEAST_WORDS are found word by word; those with fewer than SHORTEST are words, not passages, and are left out.
+SHORTEST, SHORT_AT_ONCE = 3, 50_000
 BLOCK_PIECES, BLOCKS_AT_ONCE = 200, 8
 RANK, OVERSAMPLE, POWER = 192, 16, 2
 WINDOW_WORDS, STRIDE = 24, 12
@@ -48,8 +52,8 @@ def plain(text: str | None) -> bytes:
 
 
 def pieces_of(words: np.ndarray) -> list[np.ndarray]:
-    """A benchmark text in even pieces; one of fewer than LEAST_WORDS words tells nothing and has none."""
-    return np.array_split(words, -(-len(words) // PIECE_WORDS)) if len(words) >= LEAST_WORDS else []
+    """A benchmark text in even pieces; one of fewer than SHORTEST words tells nothing and has none."""
+    return np.array_split(words, -(-len(words) // PIECE_WORDS)) if len(words) >= SHORTEST else []
 
 
 def _cut_items(batch: pa.RecordBatch) -> dict:
@@ -75,6 +79,43 @@ class Block:
     folded: np.ndarray  # pieces x rank, divided by their norms
 
 
+@dataclass
+class ShortItems:
+    """Items that are found word by word: for each number of words, sorted hashes of the word sequences and their items."""
+
+    by_size: dict[int, tuple[np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, rows: list[tuple[int, np.ndarray]]) -> ShortItems:
+        by_size = {}
+        for size in sorted({len(w) for _, w in rows}):
+            mine = [(i, w) for i, w in rows if len(w) == size]
+            keys = np.array([_sequences(w, size)[0] for _, w in mine])
+            order = np.argsort(keys, kind="stable")
+            by_size[size] = keys[order], np.array([i for i, _ in mine])[order]
+        return cls(by_size)
+
+    def matches(self, words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """``(row, item, 1.0)`` for each place of an item in the texts."""
+        row = np.repeat(np.arange(len(counts)), counts)
+        for size, (keys, items) in self.by_size.items():
+            if len(words) < size:
+                continue
+            h = _sequences(words, size)
+            first, last = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+            for at in np.flatnonzero((last > first) & (row[: len(h)] == row[size - 1 :])):
+                for k in range(first[at], last[at]):
+                    yield int(row[at]), int(items[k]), 1.0
+
+
+def _sequences(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` words."""
+    h = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        h = mix(h * np.uint64(0xD6E8FEB86659FD93) + words[k : len(words) - size + 1 + k])
+    return h
+
+
 def _projected(rows: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     """A'(A q) for the TF-IDF matrix A of ``rows(words)``: summed per task, then per word."""
     schema = "word long, sums binary"
@@ -196,24 +237,29 @@ def _matches(words: np.ndarray, counts: np.ndarray, block: Block) -> Iterator[tu
                 yield int(r), int(block.items[j]), share
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[Block]]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[Block | ShortItems]]:
     items = benchmark.select(order_id("item_id").alias("item"), F.col("text").cast("string").alias("text"))
     pieces = cut(map_batches(items, _cut_items, "item long, words array<long>"), "benchmark-pieces")
-    total = pieces.count()
-    dealt = -(-total // BLOCK_PIECES)
+    short = pieces.filter(F.size("words") < LEAST_WORDS)
+    batches = -(-short.count() // SHORT_AT_ONCE)
+    for k in range(batches):
+        mine = short.filter(F.pmod(F.xxhash64("item", "words"), F.lit(batches)) == k).distinct()
+        yield [ShortItems.of([(r["item"], np.array(r["words"], np.int64).view(np.uint64)) for r in mine.collect()])]  # about SHORT_AT_ONCE rows
+    pieces = pieces.filter(F.size("words") >= LEAST_WORDS)
+    dealt = -(-pieces.count() // BLOCK_PIECES)
     pieces = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(max(dealt, 1))))
     for first in range(0, dealt, BLOCKS_AT_ONCE):
         spaces = [latent_space(pieces.filter(F.col("block") == b).select("item", "words")) for b in range(first, min(first + BLOCKS_AT_ONCE, dealt))]
         yield [b for b in spaces if b is not None]
 
 
-def _found(batch: pa.RecordBatch, blocks: list[Block]) -> tuple[list[set[int]], list[float]]:
+def _found(batch: pa.RecordBatch, blocks: list[Block | ShortItems]) -> tuple[list[set[int]], list[float]]:
     """Items and best share of each text of a batch."""
     items: list[set[int]] = [set() for _ in range(batch.num_rows)]
     best = [0.0] * batch.num_rows
     words, counts = many_word_hashes([plain(t) for t in batch.column("text").to_pylist()])
     for block in blocks:
-        for r, item, share in _matches(words, counts, block):
+        for r, item, share in block.matches(words, counts) if isinstance(block, ShortItems) else _matches(words, counts, block):
             items[r].add(item)
             best[r] = max(best[r], share)
     return items, best
@@ -231,32 +277,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, contaminated, n_items, item_ids, best_share)``, one row per input row.
 
     ``item_ids``: ids of the items found, ascending, comma-joined; ``best_share``: largest share of a piece that stands
-    in the text in order (0 if none was found). Null and empty texts hold nothing; null, empty and very short
-    benchmark texts (under ``LEAST_WORDS`` words) are not searched for. Ids are passed on, null or repeated. An empty benchmark leaves all
+    in the text in order (0 if none was found). Null and empty texts hold nothing; null and empty benchmark texts and those of
+    fewer than ``SHORTEST`` words are not searched for, short ones word by word. Ids are passed on, null or repeated: each row is judged by
+    its own text, whatever the size of the benchmark. An empty benchmark leaves all
     documents clean; an empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    schema = "doc_id long, items array<long>, best_share double"
-    texts = id_and_text(docs)
-    passes = []
+    found = id_and_text(docs).select("doc_id", "text", F.array().cast("array<long>").alias("items"), F.lit(0.0).alias("best_share"))
     for blocks in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(blocks)  # at most BLOCKS_AT_ONCE x BLOCK_PIECES x PIECE_WORDS x RANK numbers
 
         def run(batch: pa.RecordBatch, shared=shared) -> dict:
             items, best = _found(batch, shared.value)
-            return {"doc_id": batch.column("doc_id"), "items": [sorted(x) for x in items], "best_share": best}
-
-        passes.append(map_batches(texts, run, schema))
-    if not passes:
-        found = texts.select("doc_id", F.array().cast("array<long>").alias("items"), F.lit(0.0).alias("best_share"))
-    elif len(passes) == 1:
-        found = passes[0]
-    else:
-        every = passes[0]
-        for p in passes[1:]:
-            every = every.unionByName(p)
-        found = every.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("best_share").alias("best_share"))
-        found = texts.select("doc_id").join(found.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).drop("d")
+            before = zip(batch.column("items").to_pylist(), batch.column("best_share").to_pylist(), strict=True)
+            merged = [(sorted(x.union(old)), max(b, o)) for x, b, (old, o) in zip(items, best, before, strict=True)]
+            return {"doc_id": batch.column("doc_id"), "text": batch.column("text"), "items": [x for x, _ in merged], "best_share": [b for _, b in merged]}
+
+        found = map_batches(found, run, "doc_id long, text string, items array<long>, best_share double")
     return found.select(
         "doc_id",
         (F.size("items") > 0).alias("contaminated"),

@@ -86,3 +86,21 @@ def test_odd_rows(spark, odd, empty):
     assert D.contaminated(odd, bench).count() == odd.count()
     assert D.contaminated(empty, bench).collect() == []
     assert not any(r.contaminated for r in D.contaminated(odd, bench.limit(0)).collect())
+
+
+def test_short_items_are_found_word_by_word(spark):
+    items = [(1, "what colour is a zebra".split()), (2, "three blind mice".split()), (3, "a b".split()), (4, say(20)), (5, "three blind mice".split())]
+    docs = [(1, say(30) + items[0][1] + say(30)), (2, "see three Blind, mice run".split()), (3, "three blind grey mice".split()), (4, say(40) + items[3][1]), (5, "a b c".split()), (6, ["three", "blind"]), (7, ["mice", "run"])]
+    assert found(spark, docs, items) == {1: {1}, 2: {2, 5}, 3: set(), 4: {4}, 5: set(), 6: set(), 7: set()}
+
+
+@pytest.mark.parametrize("passes", [1, 2])
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, monkeypatch, passes):
+    if passes > 1:
+        monkeypatch.setattr(D, "BLOCK_PIECES", 20)
+        monkeypatch.setattr(D, "BLOCKS_AT_ONCE", 1)
+    df = spark.createDataFrame([(1, " ".join(say(80))), (1, " ".join(say(20) + ITEMS[3][1])), (None, " ".join(ITEMS[5][1]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in ITEMS], "item_id long, text string")
+    got = sorted((str(r.doc_id), r.contaminated, r.item_ids) for r in D.contaminated(df, bench).collect())
+    assert [(d, c) for d, c, _ in got] == [("1", False), ("1", True), ("None", True)] and got[1][2] == "3" and got[2][2] == "5"
+    assert D.clean(df, bench).count() == 1
