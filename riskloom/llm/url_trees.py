@@ -96,14 +96,20 @@ def _assembled(pages: DataFrame) -> DataFrame:
 
 
 def fit(pages: DataFrame) -> GBTClassificationModel | None:
-    """Trees on the labelled rows; None unless both labels occur."""
+    """Trees on the different labelled URLs, weighted by their rows; None unless both labels occur.
+
+    Beyond ``FIT_ROWS`` URLs those with the least hashes are taken, about that many.
+    """
     labelled = pages.filter(F.col("rule_verdict").isNotNull()).withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(FIT_ROWS).select("label", *FEATURES)
-    sample = cut(sample, "url-sample")
+    urls = labelled.groupBy("url").agg(F.count("*").cast("double").alias("weight"), *(F.first(c).alias(c) for c in ("label", *FEATURES)))
+    urls = cut(urls.select("url", "label", "weight", *FEATURES), "url-labelled")
+    share = FIT_ROWS / max(urls.count(), 1)
+    sample = cut(urls.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(min(share, 1.0) * (1 << 30))).drop("url"), "url-sample")
     if sample.select("label").distinct().count() < 2:
         return None
     # One partition for each few thousand rows of the bounded sample, whatever the cluster is set to.
-    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=32).fit(_assembled(sample).select("label", "features").coalesce(4))
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=32, weightCol="weight")
+    return trees.fit(_assembled(sample).select("label", "weight", "features").coalesce(4))
 
 
 def judge(pages: DataFrame) -> DataFrame:

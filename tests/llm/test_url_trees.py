@@ -55,3 +55,15 @@ def test_odd_tables(spark, one_label):
     rows = [(None, "http://x.org/1", "", 1, "s"), (1, "http://x.org/1", "", 1, "s"), (1, "http://x.org/1", None, None, None)] if one_label else []
     got = U.judge(spark.createDataFrame(rows, schema)).collect()
     assert len(got) == len(rows) and all(r.verdict == "allow" and r.score == 0 for r in got)
+
+
+def test_repeated_urls_do_not_crowd_out_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(U, "FIT_ROWS", 200)
+    hosts = ["a.org", "x.com", "b.org", "example.org"]
+    rows = [(i, f"http://{hosts[i % 4]}/{('fr', 'de', 'es', 'en/1')[i % 4]}/{i}") for i in range(300)]
+    rows += [(1_000 + i, "http://x.com/de/hot") for i in range(1_000)]
+    pages = U.with_parts(spark.createDataFrame(rows, "page_id long, url string"))
+    got = U.judge(pages.select("page_id", "url")).collect()
+    assert any(r.score > 0 for r in got)
+    ruled = [r for r in got if r.rule is not None]
+    assert {r.verdict for r in ruled} == {"allow", "block"}
