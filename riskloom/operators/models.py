@@ -1,38 +1,31 @@
-"""Distributed model fits: boosted trees (Spark ML) and a Laplace-approximate
+"""Distributed model fits: boosted trees (see ``trees``) and a Laplace-approximate
 Bayesian logistic regression.
 
-Boosted trees: missing numbers filled and marked -> ``StringIndexer`` (alphabetical codes, unseen/NULL -> one
-extra index, bins for every level) -> ``VectorAssembler`` -> ``GBTClassifier``; an imbalance flag
-becomes a weight column ``n_neg / n_pos`` on positives.
-
 Posterior: priors intercept ~ N(0, 2^2), slopes ~ N(0, 1) on the standardised design
 matrix, Bernoulli likelihood. The MAP comes from damped Newton steps started at the
 prevalence logit. The log posterior is strictly concave, since the prior adds its
 precision to the Hessian. Each step is one pass over all rows that leaves a packed row of sums per
 task, added up before they reach the driver, which only solves a d x d system; a fit that does not settle is an
-error. The posterior covariance is the inverse Hessian at the MAP. Scoring needs no draws: ``mu`` and
+error. The posterior covariance is the inverse Hessian at the MAP. Under this normal law scoring needs no draws: ``mu`` and
 ``sd`` per row, the posterior mean of the sigmoid by 20-point Gauss-Hermite quadrature and the equal-tail
-interval as ``sigmoid(mu +- z sd)`` (the sigmoid is monotone).
+interval as ``sigmoid(mu +- z sd)`` (the sigmoid is monotone). Where the posterior is skewed (few rows, rare labels) it can be
+sampled instead: proposals around the mode, weighed by their exact posterior, all of them in one pass over the rows.
 """
 
 from __future__ import annotations
 
 import math
-import warnings
 from dataclasses import dataclass, field
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.stats import balanced_sum, nan_to_null, sigmoid
+from riskloom.functions.stats import balanced_sum, sigmoid
 from riskloom.operators.encode import DesignModel, fit_design
+from riskloom.operators.trees import TreeModel, fit_trees, summed
 
 # Prior scales of intercept and slopes, quadrature order, Newton settings.
 PRIOR_SD_INTERCEPT = 2.0
@@ -40,9 +33,12 @@ PRIOR_SD_SLOPE = 1.0
 GAUSS_HERMITE_POINTS = 20
 NEWTON_MAX_STEPS = 25
 NEWTON_TOL = 1e-10
-# Tasks that add up the partial sums of a step; widest design that is fitted.
-SUM_TASKS = 8
+# Widest design that is fitted.
 MAX_COLUMNS = 2_000
+# Sampling: proposals for each draw, degrees of freedom and widening of the proposal, rounds that fit it anew, least share of
+# effective draws; rows scored against all draws at once.
+PROPOSALS, PROPOSAL_DF, WIDEN, ROUNDS, LEAST_EFFECTIVE = 4, 6, 1.2, 4, 0.5
+SCORED_AT_ONCE = 2_048
 
 
 def q(name: str) -> Column:
@@ -50,55 +46,6 @@ def q(name: str) -> Column:
 
 
 # -- boosted trees ---------------------------------------------------------------------
-GBT_PARAM_MAP = {
-    "n_estimators": "maxIter",
-    "learning_rate": "stepSize",
-    "max_depth": "maxDepth",
-    "subsample": "subsamplingRate",
-}
-
-
-_GBT_NAMES = ("maxIter", "maxDepth", "stepSize", "subsamplingRate", "maxBins", "minInstancesPerNode", "seed")
-
-
-def gbt_params(params: dict) -> dict:
-    """Translate spec params to ``GBTClassifier`` params; a key that means nothing to it is reported."""
-    out = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 42}
-    foreign = []
-    for k, v in params.items():
-        name = GBT_PARAM_MAP.get(k, k)
-        if name in _GBT_NAMES:
-            out[name] = v
-        else:
-            foreign.append(k)
-    if foreign:
-        warnings.warn(f"parameters without a counterpart are left out: {', '.join(sorted(foreign))}", stacklevel=2)
-    return out
-
-
-def _missing_stage(train: DataFrame, continuous: list[str]) -> SQLTransformer:
-    """Stage that fills missing numbers with the training mean and marks where it did.
-
-    The learner takes no NULL or NaN; a tree can split on the mark instead. The means are learnt here
-    and stored in the stage, so scoring fills with the same numbers.
-    """
-    number = lambda c: nan_to_null(q(c).cast("double"))
-    means = train.agg(*[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(continuous)]).first() if continuous else ()
-    parts = ["*"]
-    for i, c in enumerate(continuous):
-        v = f"nullif(CAST(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE))"
-        parts += [f"coalesce({v}, {float(means[i] or 0.0)!r}D) AS `_num_{i}`", f"CAST({v} IS NULL AS DOUBLE) AS `_gap_{i}`"]
-    return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
-
-
-def with_balance_weight(df: DataFrame, label: str, weight_col: str = "_w") -> tuple[DataFrame, str]:
-    """Weight positives by ``n_neg / n_pos`` (the imbalance flag), one aggregate."""
-    r = df.agg(F.sum(q(label)).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    pos, n = float(r["p"] or 0), float(r["n"] or 0)
-    ratio = (n - pos) / pos if pos > 0 else 1.0
-    return df.withColumn(weight_col, F.when(q(label) == 1, F.lit(ratio)).otherwise(F.lit(1.0))), weight_col
-
-
 def fit_gbt(
     train: DataFrame,
     continuous: list[str],
@@ -107,40 +54,16 @@ def fit_gbt(
     params: dict | None = None,
     *,
     balance: bool = False,
-) -> PipelineModel:
+) -> TreeModel:
+    """Boosted trees of ``trees.fit_trees``; ``is_unbalance`` among the parameters weights the classes."""
     params = dict(params or {})
-    balance = balance or bool(params.pop("is_unbalance", False))
-    data = train.withColumn(label, q(label).cast("double"))
-    weight = None
-    if balance:
-        data, weight = with_balance_weight(data, label)
-    stages = [_missing_stage(data, continuous)]
-    inputs = [f"_{kind}_{i}" for i in range(len(continuous)) for kind in ("num", "gap")]
-    p = gbt_params(params)
-    if categorical:
-        indexer = StringIndexer(
-            inputCols=categorical, outputCols=[f"_idx_{c}" for c in categorical], stringOrderType="alphabetAsc", handleInvalid="keep"
-        ).fit(data)  # all columns in one pass
-        stages.append(indexer)
-        inputs += [f"_idx_{c}" for c in categorical]
-        # A category needs a bin for each of its levels and one for unseen ones.
-        p["maxBins"] = max(p.get("maxBins", 32), max(len(levels) for levels in indexer.labelsArray) + 1)
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
-    gbt = GBTClassifier(featuresCol="_features", labelCol=label, predictionCol="_pred", **p)
-    gbt.setProbabilityCol("_prob").setRawPredictionCol("_raw")
-    if weight:
-        gbt.setWeightCol(weight)
-    prepared = data
-    for stage in stages:
-        prepared = stage.transform(prepared)
-    return PipelineModel([*stages, gbt.fit(prepared)])
-
-
-def gbt_score(model: PipelineModel, df: DataFrame, out: str = "p_raw") -> DataFrame:
-    """Positive-class probability of a fitted pipeline, internal columns dropped."""
-    scored = model.transform(df)
-    internal = [c for c in scored.columns if c.startswith(("_idx_", "_num_", "_gap_")) or c in ("_features", "_raw", "_prob", "_pred")]
-    return scored.withColumn(out, vector_to_array("_prob")[1]).drop(*internal)
+    balance = bool(params.pop("is_unbalance", False)) or balance
+    return fit_trees(train, continuous, categorical, label, params, balance=balance)
+
+
+def gbt_score(model: TreeModel, df: DataFrame, out: str = "p_raw") -> DataFrame:
+    """``df`` with the positive-class probability."""
+    return model.score(df, out)
 
 
 # -- Laplace posterior --------------------------------------------------------------------
@@ -151,6 +74,24 @@ class PosteriorModel:
     cov: list[list[float]] = field(default_factory=list)
     ci_level: float = 0.90
     n_train: int = 0
+    draws: list[list[float]] | None = None  # of the coefficients, if the posterior was sampled
+
+    def _score_draws(self, df: DataFrame, keep: list[str], level: float) -> DataFrame:
+        """Mean and equal-tail quantiles of the sigmoid over the draws, one matrix product per slice of an Arrow batch."""
+        beta = np.array(self.draws)
+        ends = [(1 - level) / 2, 1 - (1 - level) / 2]
+
+        @F.pandas_udf("probability double, ci_low double, ci_high double, mu double, sd double")
+        def summary(x: pd.Series) -> pd.DataFrame:
+            out = [np.zeros((0, 5))]
+            for a in range(0, len(x), SCORED_AT_ONCE):
+                eta = np.stack(x.iloc[a : a + SCORED_AT_ONCE].to_numpy()) @ beta.T
+                p = 1.0 / (1.0 + np.exp(-eta))
+                out.append(np.column_stack([p.mean(1), *np.quantile(p, ends, axis=1), eta.mean(1), eta.std(1)]))
+            return pd.DataFrame(np.concatenate(out), columns=["probability", "ci_low", "ci_high", "mu", "sd"])
+
+        rows = df.select(*[q(k) for k in keep], summary(self.design.packed()).alias("_rl_s"))
+        return rows.select(*[q(k) for k in keep], "_rl_s.*")
 
     def score(self, df: DataFrame, keep: list[str], level: float | None = None) -> DataFrame:
         """``keep + (probability, ci_low, ci_high, mu, sd)``: posterior mean and interval.
@@ -159,6 +100,8 @@ class PosteriorModel:
         per Arrow batch; the rest are Column expressions.
         """
         level = level or self.ci_level
+        if self.draws:
+            return self._score_draws(df, keep, level)
         mean_, factor = np.array(self.mean), np.linalg.cholesky(np.array(self.cov))
 
         @F.pandas_udf("mu double, sd double")
@@ -185,18 +128,17 @@ class PosteriorModel:
 
     def to_dict(self) -> dict:
         return {"design": self.design.to_dict(), "mean": self.mean, "cov": self.cov, "ci_level": self.ci_level,
-                "n_train": self.n_train}
+                "n_train": self.n_train, "draws": self.draws}
 
     @classmethod
     def from_dict(cls, d: dict) -> PosteriorModel:
-        return cls(DesignModel.from_dict(d["design"]), d["mean"], d["cov"], d["ci_level"], d.get("n_train", 0))
+        return cls(DesignModel.from_dict(d["design"]), d["mean"], d["cov"], d["ci_level"], d.get("n_train", 0), d.get("draws"))
 
 
 def _partition_sums(packed: DataFrame, d: int, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Gradient, Hessian and log-likelihood at ``beta``.
 
-    One BLAS product per Arrow batch, one packed row of ``d^2 + d + 1`` numbers per task; these rows are added
-    up by ``SUM_TASKS`` tasks, so the driver gets that many rows however many tasks there were.
+    One BLAS product per Arrow batch, one packed row of ``d^2 + d + 1`` numbers per task, added up in a tree.
     """
     b = np.asarray(beta, dtype=float)
     size = d * d + d + 1
@@ -214,16 +156,58 @@ def _partition_sums(packed: DataFrame, d: int, beta: np.ndarray) -> tuple[np.nda
             total += np.concatenate([h.ravel(), x.T @ (mu - y), [np.sum(y * eta - np.logaddexp(0.0, eta))]])
         yield pd.DataFrame({"v": [total.tobytes()]})
 
-    def added(batches):
-        total = np.zeros(size)
+    v = summed(packed.mapInPandas(part, "v binary"), size, packed.rdd.getNumPartitions())
+    return v[d * d : d * d + d], v[: d * d].reshape(d, d), float(v[-1])
+
+
+def _log_likelihoods(packed: DataFrame, beta: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each row of ``beta``: one pass, one sum per row and task."""
+
+    def part(batches):
+        total = np.zeros(len(beta))
         for pdf in batches:
-            for v in pdf["v"]:
-                total += np.frombuffer(v)
+            for a in range(0, len(pdf), SCORED_AT_ONCE):
+                x = np.stack(pdf["x"].iloc[a : a + SCORED_AT_ONCE].to_numpy())
+                y = pdf["y"].iloc[a : a + SCORED_AT_ONCE].to_numpy(dtype=float)
+                eta = x @ beta.T
+                total += y @ eta - np.logaddexp(0.0, eta).sum(0)
         yield pd.DataFrame({"v": [total.tobytes()]})
 
-    rows = packed.mapInPandas(part, "v binary").repartition(SUM_TASKS).mapInPandas(added, "v binary").collect()
-    v = np.sum([np.frombuffer(r["v"]) for r in rows], axis=0) if rows else np.zeros(size)
-    return v[d * d : d * d + d], v[: d * d].reshape(d, d), float(v[-1])
+    return summed(packed.mapInPandas(part, "v binary"), len(beta), packed.rdd.getNumPartitions())
+
+
+def _sample(packed: DataFrame, mean: np.ndarray, cov: np.ndarray, prior_prec: np.ndarray, draws: int, seed: int = 1) -> np.ndarray:
+    """Draws of the posterior by adaptive importance resampling.
+
+    Proposals come from a heavy-tailed law around the mode; one pass over the rows gives the exact log posterior of all
+    of them. Their weights show how good the proposal was: while too few count, it is fitted anew to the
+    weighted proposals. The last ones are resampled by weight. An error if the proposal never gets close enough (very many columns).
+    """
+    rng = np.random.default_rng(seed)
+    d, k = len(mean), PROPOSALS * draws
+    best = None
+    for _ in range(ROUNDS):
+        factor = np.linalg.cholesky(cov * WIDEN**2)
+        normal = rng.standard_normal((k, d))
+        scale = np.sqrt(PROPOSAL_DF / rng.chisquare(PROPOSAL_DF, k))
+        beta = mean + (normal * scale[:, None]) @ factor.T
+        distance = (normal**2).sum(1) * scale**2
+        proposal = -0.5 * (PROPOSAL_DF + d) * np.log1p(distance / PROPOSAL_DF)
+        log_w = _log_likelihoods(packed, beta) - 0.5 * (prior_prec * beta**2).sum(1) - proposal
+        w = np.exp(log_w - log_w.max())
+        w /= w.sum()
+        effective = 1 / (w**2).sum() / draws
+        if best is None or effective > best[0]:
+            best = effective, beta, w
+        if effective >= LEAST_EFFECTIVE * PROPOSALS:
+            break
+        mean = w @ beta
+        cov = (beta - mean).T @ ((beta - mean) * w[:, None]) + 1e-9 * np.eye(d)
+    effective, beta, w = best
+    if effective < LEAST_EFFECTIVE:
+        raise NotConverged(f"only {effective * draws:.0f} effective draws of {draws}; use the normal law (draws=0)")
+    at = np.searchsorted(np.cumsum(w), (rng.random() + np.arange(draws)) / draws)  # systematic resampling
+    return beta[np.minimum(at, k - 1)]
 
 
 class NotConverged(RuntimeError):
@@ -238,10 +222,12 @@ def fit_posterior(
     *,
     ci_level: float = 0.90,
     partitions: int | None = None,
+    draws: int = 0,
 ) -> PosteriorModel:
     """Laplace posterior of the Bayesian logistic regression on all rows of ``df``.
 
-    ``partitions`` deals the rows out before the steps; by default they stay as they are.
+    ``partitions`` deals the rows out before the steps; by default they stay as they are. With ``draws`` the posterior
+    itself is sampled (see ``_sample``) and scores come from the draws; without, from the normal law at the mode.
     """
     design_model = fit_design(df, numeric, categorical)
     d = len(design_model.output_columns) + 1
@@ -275,9 +261,12 @@ def fit_posterior(
             cand = beta - t * step
             g_c, h_c, ll_c = _partition_sums(packed, d, cand)
             value = log_post(ll_c, cand)
-            if value >= current - 1e-9 * max(1.0, abs(current)) or t < 1e-4:
+            if value >= current - 1e-9 * max(1.0, abs(current)):
                 break
             t /= 2.0
+            if t < 1e-6:
+                packed.unpersist()
+                raise NotConverged("no step along the Newton direction improves the fit")
         beta, g, h, current = cand, g_c, h_c, value
     else:
         packed.unpersist()
@@ -285,5 +274,6 @@ def fit_posterior(
     h_post = h + np.diag(prior_prec)
     cov = np.linalg.inv(h_post)
     cov = (cov + cov.T) / 2.0
+    sampled = _sample(packed, beta, cov, prior_prec, draws).tolist() if draws else None
     packed.unpersist()
-    return PosteriorModel(design_model, [float(b) for b in beta], cov.tolist(), ci_level, n)
+    return PosteriorModel(design_model, [float(b) for b in beta], cov.tolist(), ci_level, n, sampled)

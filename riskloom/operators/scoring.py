@@ -1,9 +1,8 @@
 """Scoring model: features -> raw score -> calibrator -> decision (or posterior mean +
-credible interval), persisted as Spark ML directories plus one JSON metadata row.
+credible interval), persisted as one JSON metadata row, with the knots of an isotonic calibrator beside it.
 
-The model is loaded once on the driver and shipped inside the plan (tree ensembles in
-the ``PipelineModel``, calibrator and posterior as literals of Column expressions), so a
-batch ``transform`` and a streaming micro-batch run the same code.
+The model is loaded once on the driver and shipped inside the plan, so a
+batch and a streaming micro-batch run the same code. A path without a model is a ``ModelNotFound``.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +17,8 @@ from riskloom.operators.calibrate import IdentityMap, IsotonicMap, ScoreMap, Sig
 from riskloom.operators.features import project
 from riskloom.operators.metrics import decide
 from riskloom.operators.models import PosteriorModel, gbt_score
+from riskloom.operators.trees import TreeModel
+from riskloom.sources.files import path_exists
 from riskloom.spec import JobSpec
 
 OUTPUT_COLUMNS = ["probability", "decision", "threshold", "domain", "ci_low", "ci_high"]
@@ -28,6 +28,10 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
+class ModelNotFound(FileNotFoundError):
+    """There is no trained model at the given place: a service would answer that it is not available."""
+
+
 @dataclass
 class ScoringModel:
     spec: JobSpec
@@ -35,7 +39,7 @@ class ScoringModel:
     threshold: float
     reachable: bool = True
     calibrator: ScoreMap | None = None
-    pipeline: PipelineModel | None = None
+    trees: TreeModel | None = None
     posterior: PosteriorModel | None = None
     continuous: list[str] = field(default_factory=list)
     categorical: list[str] = field(default_factory=list)
@@ -51,7 +55,7 @@ class ScoringModel:
             s = self.posterior.score(df, keep, level).drop("mu", "sd")
         else:
             feats, _, _ = project(self.spec, df, keep=keep)
-            raw = gbt_score(self.pipeline, feats, out="_p_raw").select(*[_q(k) for k in keep], "_p_raw")
+            raw = gbt_score(self.trees, feats, out="_p_raw").select(*[_q(k) for k in keep], "_p_raw")
             cal = (self.calibrator or IdentityMap()).apply(raw, "_p_raw", "probability")
             s = cal.select(
                 *[_q(k) for k in keep], "probability",
@@ -77,14 +81,13 @@ class ScoringModel:
             "reachable": self.reachable,
             "calibrator": _map_dict(self.calibrator),
             "posterior": self.posterior.to_dict() if self.posterior else None,
+            "trees": self.trees.to_dict() if self.trees else None,
             "continuous": self.continuous,
             "categorical": self.categorical,
         }
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
             f"{path}/metadata"
         )
-        if self.pipeline is not None:
-            self.pipeline.write().overwrite().save(f"{path}/pipeline")
         if isinstance(self.calibrator, IsotonicMap):
             self.calibrator.knots.write.mode("overwrite").parquet(f"{path}/isotonic")
         return path
@@ -92,6 +95,8 @@ class ScoringModel:
     @classmethod
     def load(cls, path: str) -> ScoringModel:
         spark = SparkSession.getActiveSession()
+        if not path_exists(spark, f"{path}/metadata"):
+            raise ModelNotFound(f"no model under {path}; train one first")
         meta = json.loads(spark.read.json(f"{path}/metadata").first()["meta"])
         spec = JobSpec.from_dict(meta["spec"])
         cal = None
@@ -102,9 +107,9 @@ class ScoringModel:
                 cal = IsotonicMap(knots, knots.count())
             else:
                 cal = SigmoidMap(c["slope"], c["offset"]) if c["kind"] == "sigmoid" else IdentityMap()
-        pipeline = PipelineModel.load(f"{path}/pipeline") if meta["kind"] != "bayesian" else None
+        trees = TreeModel.from_dict(meta["trees"]) if meta["trees"] else None
         post = PosteriorModel.from_dict(meta["posterior"]) if meta["posterior"] else None
-        return cls(spec, meta["kind"], meta["threshold"], meta["reachable"], cal, pipeline, post,
+        return cls(spec, meta["kind"], meta["threshold"], meta["reachable"], cal, trees, post,
                    meta["continuous"], meta["categorical"])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from riskloom.operators.models import PRIOR_SD_INTERCEPT, PRIOR_SD_SLOPE, fit_gb
 from riskloom.operators.prefix import cut
 from riskloom.operators.scoring import ScoringModel
 from riskloom.operators.splits import shuffle_split
+from riskloom.operators.trees import fit_trees
 from riskloom.plans.feature_queries import ORDERS_SPEC
 from riskloom.plans.train_job import interval_coverage, split_frame, train_model
 from riskloom.session import scratch_path
@@ -83,13 +85,25 @@ def q_calibrate_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = split_frame(ORDERS_SPEC, order_frame(spark, sf_dir), (0.70, 0.85), ("train", "cal", "test"))
     feats, continuous, categorical = project(ORDERS_SPEC, split, keep=["o_orderkey", "split"])
-    feats = feats.persist()
+    feats = cut(feats)
     model = fit_gbt(feats.where(F.col("split") == "train"), continuous, categorical, "y",
                     dict(ORDERS_SPEC.learner.params))
     test = feats.where(F.col("split") == "test")
     return gbt_score(model, test, out="p_raw").select("o_orderkey", "y", "p_raw")
 
 
+STUMP_NUMBERS, STUMP_CATEGORIES = ["c_nationkey", "o_month"], ["o_orderpriority", "c_mktsegment", "o_orderstatus"]
+
+
+def q_gbt_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First split of the boosted trees: feature, rows and values of both leaves."""
+    frame = order_frame(spark, sf_dir).withColumn("o_month", F.month("o_orderdate"))
+    model = fit_trees(frame, STUMP_NUMBERS, STUMP_CATEGORIES, "y", {"maxIter": 1, "maxDepth": 1, "reg_lambda": 0.001, "learning_rate": 0.1})
+    t = model.trees[0]
+    row = (model.binning.names[t.feature[0]], *(t.rows[k] for k in (t.left[0], t.right[0])), *(round(t.value[k], 6) for k in (t.left[0], t.right[0])))
+    return spark.createDataFrame([row], "feature string, n_left long, n_right long, value_left double, value_right double")
+
+
 def _metrics_frame(spark: SparkSession, metrics: dict[str, float], extra: dict[str, str]) -> DataFrame:
     rows = [(k, float(v) if v is not None else math.nan) for k, v in metrics.items()]
     df = spark.createDataFrame(rows, "metric string, value double")
@@ -122,7 +136,7 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- Laplace posterior ------------------------------------------------------------------
 def _bayes_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_frame(ORDERS_BAYES_SPEC, order_frame(spark, sf_dir), (0.8,), ("train", "test")).persist()
+    return cut(split_frame(ORDERS_BAYES_SPEC, order_frame(spark, sf_dir), (0.8,), ("train", "test")))
 
 
 def q_posterior_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +175,21 @@ def q_posterior_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posterior_scores(spark, sf_dir).select("o_orderkey", "probability", "ci_low", "ci_high")
 
 
+POSTERIOR_DRAWS = 1_000
+
+
+def q_posterior_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores from posterior draws against those of the normal law, per test row: ordered, and close as the rows are many."""
+    split, s = _bayes_split(spark, sf_dir), ORDERS_BAYES_SPEC
+    post = fit_posterior(split.where(F.col("split") == "train"), s.names(False), s.names(True), "y", ci_level=s.learner.interval, draws=POSTERIOR_DRAWS)
+    test = split.where(F.col("split") == "test")
+    drawn = post.score(test, ["o_orderkey"])
+    normal = replace(post, draws=None).score(test, ["o_orderkey"]).select("o_orderkey", *(F.col(c).alias(f"n_{c}") for c in ("probability", "ci_low", "ci_high")))
+    close = [F.abs(F.col(c) - F.col(f"n_{c}")) < 0.02 for c in ("probability", "ci_low", "ci_high")]
+    both = drawn.join(normal, "o_orderkey")
+    return both.select("o_orderkey", ((F.col("ci_low") <= F.col("probability")) & (F.col("probability") <= F.col("ci_high"))).alias("ordered"), (close[0] & close[1] & close[2]).alias("close"))
+
+
 def q_interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _posterior_scores(spark, sf_dir).select(F.col("y"), F.col("probability").alias("p"), "ci_low", "ci_high")
     return interval_coverage(s)
@@ -193,7 +222,29 @@ SELECT x.doc_id, x.y, round(x.p, 6) AS p, round(CASE WHEN x.lo IS NULL THEN h.c
  ELSE l.c + (h.c - l.c) * (x.p - x.lo) / (x.hi - x.lo) END, 6) AS p_cal
 FROM near x LEFT JOIN fit l ON l.p = x.lo LEFT JOIN fit h ON h.p = x.hi"""
 
+#: Every cut of the numbers and every prefix of the levels by mean gradient; ties as in the operator.
+GBT_STUMP_SQL = "WITH " + ORDER_FRAME_SQL + """, base AS (SELECT avg(y) AS p FROM frame),
+long AS (
+  SELECT 0 AS f, 'c_nationkey' AS feature, CAST(c_nationkey AS DOUBLE) AS num, NULL AS level, y FROM frame
+  UNION ALL SELECT 1, 'o_month', CAST(month(o_orderdate) AS DOUBLE), NULL, y FROM frame
+  UNION ALL SELECT 2, 'o_orderpriority', NULL, o_orderpriority, y FROM frame
+  UNION ALL SELECT 3, 'c_mktsegment', NULL, c_mktsegment, y FROM frame
+  UNION ALL SELECT 4, 'o_orderstatus', NULL, o_orderstatus, y FROM frame),
+bins AS (SELECT f, feature, num, level, count(*) AS n, count(*) * p - sum(y) AS g, count(*) * p * (1 - p) AS h FROM long, base GROUP BY f, feature, num, level, p),
+placed AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY num, CASE WHEN num IS NULL THEN g / (h + 0.001) END, level) AS k FROM bins),
+sums AS (SELECT f, feature, k, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+  sum(n) OVER (PARTITION BY f) AS nt, sum(g) OVER (PARTITION BY f) AS gt, sum(h) OVER (PARTITION BY f) AS ht
+  FROM placed WINDOW w AS (PARTITION BY f ORDER BY k)),
+gains AS (SELECT *, gl * gl / (hl + 0.001) + (gt - gl) * (gt - gl) / (ht - hl + 0.001) - gt * gt / (ht + 0.001) AS gain FROM sums WHERE nl < nt)
+SELECT feature, CAST(nl AS BIGINT) AS n_left, CAST(nt - nl AS BIGINT) AS n_right, round(-0.1 * gl / (hl + 0.001), 6) AS value_left,
+ round(-0.1 * (gt - gl) / (ht - hl + 0.001), 6) AS value_right FROM gains ORDER BY gain DESC, f, k LIMIT 1"""
+#: Test rows of the Bayesian split.
+BAYES_TEST_SQL = f"""WITH {ORDER_FRAME_SQL}, r AS (SELECT o_orderkey, y, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey) - 1 AS pos,
+ count(*) OVER () AS n FROM frame), test AS (SELECT o_orderkey, y FROM r WHERE pos >= CAST(floor(CAST(n AS DOUBLE) * CAST(0.8 AS DOUBLE)) AS BIGINT))"""
+
 ORACLES = {
+    "gbt_stump": GBT_STUMP_SQL,
+    "posterior_draws": BAYES_TEST_SQL + " SELECT o_orderkey, true AS ordered, true AS close FROM test",
     "calibrate_isotonic": ISOTONIC_SQL,
     "sigmoid_gradient": "SELECT 0.0 AS d_slope, 0.0 AS d_offset FROM (SELECT count(*) FROM documents)",
     "posterior_gradient": "WITH " + ORDER_FRAME_SQL + """, terms AS (SELECT 'intercept' AS term UNION ALL SELECT unnest(['z_o_totalprice', 'z_c_acctbal', 'z_c_nationkey'])
@@ -219,6 +270,8 @@ QUERIES = {
     "sigmoid_gradient": q_sigmoid_gradient,
     "calibrate_select": q_calibrate_select,
     "train_gbt": q_train_gbt,
+    "gbt_stump": q_gbt_stump,
+    "posterior_draws": q_posterior_draws,
     "train_report": q_train_report,
     "score_batch": q_score_batch,
     "model_roundtrip": q_model_roundtrip,

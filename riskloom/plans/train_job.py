@@ -24,6 +24,9 @@ from riskloom.session import checkpoint_root
 from riskloom.sources.runlog import log_run
 from riskloom.spec import JobSpec, Posterior
 
+#: Share of a Bayesian job's training rows that choose the threshold instead of fitting.
+THRESHOLD_SHARE = 0.1
+
 
 @dataclass
 class TrainResult:
@@ -82,7 +85,7 @@ def train_model(
     fitted on; ``select_on="test"`` takes the threshold from the test slice, as the original job does.
     """
     if isinstance(spec.learner, Posterior):
-        return _train_posterior(spec, df, artifacts_dir=artifacts_dir, log=log)
+        return _train_posterior(spec, df, artifacts_dir=artifacts_dir, log=log, select_on=select_on)
     return _train_trees(spec, df, artifacts_dir=artifacts_dir, log=log, select_on=select_on)
 
 
@@ -111,8 +114,8 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
     feats, continuous, categorical = project(spec, split, keep=[key, "split"])
     feats = feats.persist()
     train = feats.where(F.col("split") == "train")
-    pipeline = fit_gbt(train, continuous, categorical, target, dict(spec.learner.params))
-    scored = gbt_score(pipeline, feats.where(F.col("split") != "train"), out="p_raw").persist()
+    trees = fit_gbt(train, continuous, categorical, target, dict(spec.learner.params))
+    scored = gbt_score(trees, feats.where(F.col("split") != "train"), out="p_raw").persist()
     cal = scored.where(F.col("split") == "cal").select(F.col(target).alias("y"), F.col("p_raw").alias("p"))
     test = scored.where(F.col("split") == "test").select(F.col(key), F.col(target).alias("y"), F.col("p_raw").alias("p"))
     calibrator, _ = choose_map(cal, spec.learner.score_map)
@@ -136,7 +139,7 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
         "n_test": float(counts["n"]),
         "positives_test": float(counts["pos"] or 0),
     }
-    model = ScoringModel(spec, "gbt", threshold, reachable, calibrator, pipeline, None, continuous, categorical)
+    model = ScoringModel(spec, "gbt", threshold, reachable, calibrator, trees, None, continuous, categorical)
     path, run_id = _save_and_log(spec, model, dict(spec.learner.params), method, threshold, metrics, artifacts_dir, log)
     feats.unpersist()
     scored.unpersist()
@@ -144,17 +147,22 @@ def _train_trees(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
     return TrainResult(model, metrics, threshold, method, path, run_id)
 
 
-def _train_posterior(spec, df, *, artifacts_dir, log) -> TrainResult:
+def _train_posterior(spec, df, *, artifacts_dir, log, select_on) -> TrainResult:
     key, target = spec.key, spec.target
     cut = spec.learner.cut
-    split = split_frame(spec, df, (cut,), ("train", "test")).persist()
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
-    post = fit_posterior(train, spec.names(False), spec.names(True), target, ci_level=spec.learner.interval)
+    # The last part of the training rows chooses the threshold; the posterior has not seen it.
+    slices = ("train", "cal", "test")
+    split = split_frame(spec, df, (cut * (1 - THRESHOLD_SHARE), cut), slices).persist()
+    train, held, test = (split.where(F.col("split") == name) for name in slices)
+    post = fit_posterior(train, spec.names(False), spec.names(True), target, ci_level=spec.learner.interval, draws=spec.learner.draws)
     scored = post.score(test, [key, target]).persist()
     s = scored.select(F.col(target).alias("y"), F.col("probability").alias("p"), "ci_low", "ci_high")
     summ = score_summary(s, "p", "y")
-    threshold, reachable, point = threshold_and_point(summ["curve"], s, spec.precision, "p", "y")
+    if select_on == "test":
+        curve = summ["curve"]
+    else:
+        curve = ScoreCurve(post.score(held, [target]).select(F.col(target).alias("y"), F.col("probability").alias("p")))
+    threshold, reachable, point = threshold_and_point(curve, s, spec.precision, "p", "y")
     cov = interval_coverage(s).first()
     counts = s.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")).first()
     metrics = {

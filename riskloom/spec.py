@@ -115,10 +115,11 @@ class Trees:
 
 @dataclass(frozen=True)
 class Posterior:
-    """Bayesian logistic regression; one cut between train and test."""
+    """Bayesian logistic regression; one cut between train and test. ``draws``: posterior draws, 0 for the normal law at the mode."""
 
     cut: float = 0.8
     interval: float = 0.90
+    draws: int = 0
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,7 @@
 """Calibration, boosted trees, the Laplace posterior, persistence and splits."""
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -204,3 +205,34 @@ def test_trees_take_many_levels_and_missing_numbers(spark):
     new = spark.createDataFrame([(None, "s1", 1), (0.1, "s2", 0), (0.1, None, 0), (float("nan"), "unseen", 1)], "a double, state string, y int")
     p = [r["p_raw"] for r in gbt_score(model, new).orderBy("y").collect()]
     assert max(p[:2]) < 0.5 < min(p[2:])
+
+
+def test_draws_follow_a_skewed_posterior(spark):
+    """Few rows and one label only: the normal law at the mode is off, the draws agree with the grid."""
+    x = np.array([-1.5, -0.5, 0.2, 0.9, 1.4, 2.0])
+    df = spark.createDataFrame([(float(a), 0) for a in x], "x double, y int")
+    post = fit_posterior(df, ["x"], [], "y", ci_level=0.9, draws=4_000)
+    mu, sd = post.design.means_stds["x"]
+    A, B = np.meshgrid(np.linspace(-9, 4, 521), np.linspace(-5, 5, 401), indexing="ij")
+    eta = A[..., None] + B[..., None] * ((x - mu) / sd)
+    ll = (-np.logaddexp(0, eta)).sum(-1) - A**2 / 8 - B**2 / 2
+    w = np.exp(ll - ll.max())
+    w /= w.sum()
+    drawn, normal = ({round(r.x, 3): r for r in m.score(df, ["x"]).collect()} for m in (post, replace(post, draws=None)))
+    off = []
+    for a in x:
+        p = (1 / (1 + np.exp(-(A + B * (a - mu) / sd)))).ravel()
+        order = np.argsort(p)
+        run = np.cumsum(w.ravel()[order])
+        low, high = (p[order][np.searchsorted(run, e)] for e in (0.05, 0.95))
+        d, n = drawn[round(a, 3)], normal[round(a, 3)]
+        assert d.ci_low == pytest.approx(low, abs=0.012) and d.ci_high == pytest.approx(high, abs=0.02) and d.probability == pytest.approx((w.ravel() * p).sum(), abs=0.01)
+        off.append(abs(n.ci_high - high))
+    assert max(off) > 0.03
+
+
+def test_a_missing_model_has_its_own_error(spark, tmp_path):
+    from riskloom.operators.scoring import ModelNotFound
+
+    with pytest.raises(ModelNotFound, match="no model under"):
+        ScoringModel.load(str(tmp_path / "nothing"))
