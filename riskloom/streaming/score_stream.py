@@ -4,9 +4,10 @@
 micro-batch into accepted and rejected rows -> accepted rows are scored by the same
 stateless ``ScoringModel.score`` used in batch -> both go to Parquet sinks from
 ``foreachBatch``. A batch is parsed and checked once and held until both sinks are written. Rejected rows keep
-key, reasons and the body as it was sent, so nothing is lost. The query is stateless, so restarts replay
+key, reasons and the body as it was sent, so nothing is lost. Restarts replay
 from the checkpoint of the file source; batch ids make the sink writes idempotent (each batch writes its own
-partition ``batch_id=...``, a replayed batch overwrites it).
+partition ``batch_id=...``, a replayed batch overwrites it). A ``RequestState`` adds what outlives a batch: keys
+already scored, the watermark, and the counts of the scores.
 """
 
 from __future__ import annotations
@@ -15,8 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.contract import Contract, validate
+from riskloom.operators.prefix import cut
 from riskloom.operators.scoring import ScoringModel
+from riskloom.sources.files import write_parquet
 from riskloom.sources.records import BODY, MALFORMED, parse_records
+from riskloom.streaming.request_state import RequestState
 
 
 def judged(records: DataFrame, contract: Contract) -> DataFrame:
@@ -48,8 +52,13 @@ def start_scoring_stream(
     checkpoint_dir: str,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    state: RequestState | None = None,
 ):
-    """Start the streaming query; returns the ``StreamingQuery``. A trigger takes all new files unless told otherwise."""
+    """Start the streaming query; returns the ``StreamingQuery``. A trigger takes all new files unless told otherwise.
+
+    With ``state`` each key is scored once, late requests go to the rejected sink, and the scores' counts are kept
+    by batch for their drift.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -58,10 +67,18 @@ def start_scoring_stream(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = judged(parse_records(batch, contract, key), contract).persist()
         try:
-            accepted = rows.where(F.col("status") == "accepted").drop("status", "reasons", BODY, MALFORMED)
-            model.score(accepted, keep=[key]).write.mode("overwrite").parquet(f"{scored_dir}/batch_id={batch_id}")
+            accepted = rows.where(F.col("status") == "accepted").drop("status", "reasons", MALFORMED)
             rejected = rows.where(F.col("status") == "rejected").select(key, "reasons", BODY)
-            rejected.write.mode("overwrite").parquet(f"{rejected_dir}/batch_id={batch_id}")
+            if state is not None:
+                fresh, late = state.judge(accepted, batch_id)
+                fresh = cut(fresh)
+                rejected = rejected.unionByName(late.select(key, "reasons", BODY))
+                scored = write_parquet(model.score(fresh.drop(BODY, "_rl_at"), keep=[key]), f"{scored_dir}/batch_id={batch_id}")
+                state.record_scores(spark.read.parquet(scored), str(batch_id))
+                state.record(fresh, batch_id)
+            else:
+                write_parquet(model.score(accepted.drop(BODY), keep=[key]), f"{scored_dir}/batch_id={batch_id}")
+            write_parquet(rejected, f"{rejected_dir}/batch_id={batch_id}")
         finally:
             rows.unpersist()
 
