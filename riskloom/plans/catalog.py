@@ -10,11 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.plans import contract_queries, events_drift, feature_queries, io_queries, model_queries, score_queries, serving_queries
+from riskloom.plans import contract_queries, events_drift, feature_queries, io_queries, model_queries, rule_queries, score_queries, serving_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = [events_drift, score_queries, feature_queries, contract_queries, io_queries, model_queries, serving_queries]
+_MODULES = [events_drift, score_queries, feature_queries, contract_queries, io_queries, model_queries, serving_queries, rule_queries]
 
 
 def queries() -> dict[str, Query]:
