@@ -45,12 +45,3 @@ def epoch_seconds_ntz(ts: Column) -> Column:
         + F.minute(ts) * F.lit(60)
         + F.second(ts)
     )
-
-
-def nullif_sentinel(c: Column, sentinel: str = "?") -> Column:
-    return F.nullif(c, F.lit(sentinel))
-
-
-def coerce_numeric(c: Column, to: str = "double") -> Column:
-    """Unparseable -> NULL (``errors='coerce'``)."""
-    return c.try_cast(to)

@@ -44,6 +44,11 @@ def coerce_numeric(df: DataFrame, names: Sequence[str], to: str = "double") -> D
     )
 
 
+def drop_null_target(df: DataFrame, target: str) -> DataFrame:
+    """The rows that have a target."""
+    return df.na.drop(subset=[target])
+
+
 def clean_source(
     df: DataFrame,
     *,
@@ -60,4 +65,4 @@ def clean_source(
     out = drop_if_present(out, [label_source, *drop])
     out = sentinel_to_null(out, sentinel)
     out = coerce_numeric(out, numeric)
-    return out.na.drop(subset=[target])
+    return drop_null_target(out, target)

@@ -11,7 +11,6 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.session import checkpoint_root
 
@@ -53,16 +52,5 @@ def log_run(
     return run_id
 
 
-def log_metrics_frame(metrics: DataFrame, domain: str, run_id: str, path: str) -> str:
-    """Append a ``(key, value)`` metrics DataFrame computed on the cluster (NaN dropped)."""
-    out = metrics.where(F.col("value").isNotNull() & ~F.isnan("value")).select(
-        F.lit(run_id).alias("run_id"), F.lit(domain).alias("domain"), F.lit("metric").alias("kind"),
-        F.col("key"), F.col("value").cast("double"), F.lit(None).cast("string").alias("text"),
-        F.lit(time.time()).alias("logged_at"),
-    )
-    out.write.mode("append").parquet(path)
-    return run_id
-
-
 def read_runs(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.read.schema(RUNLOG_SCHEMA).parquet(path or runlog_path(spark))
