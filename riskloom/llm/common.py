@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,25 @@ def sliced(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]
             yield batch.slice(a, b - a)
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: Python workers live on for later stages, and would keep what this one needed at its peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function that gives its memory back when its task ends."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return tidied
+
+
 def map_batches(df: DataFrame, fn, schema: str, most: int = SLICE) -> DataFrame:
     """``mapInArrow`` over slices with ``fn(slice) -> dict of columns`` (or None for no rows).
 
@@ -75,7 +96,7 @@ def map_batches(df: DataFrame, fn, schema: str, most: int = SLICE) -> DataFrame:
                 if out is not None:
                     yield record_batch(out, target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def filter_rows(df: DataFrame, keep) -> DataFrame:
@@ -86,7 +107,7 @@ def filter_rows(df: DataFrame, keep) -> DataFrame:
             for part in sliced(batch):
                 yield part.filter(pa.array(keep(part), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 _ARROW = {

@@ -11,11 +11,13 @@ similarity of their n-gram sets is at least ``SIMILARITY``.
    bands x rows whose chance to miss a pair at the threshold is at most ``1 - RECALL``.
 3. *Links.* In a bucket each member is paired with one member, its hub, never all with all. The hub is the
    member that shares buckets with the most texts: in a group of near copies, the text they were made from.
-   A member that is not in its hub's component after these checks is at a distance d > 0.2 from the hub. As
+   A member that is not in its hub's component after these checks, an outsider, is at a distance d > 0.2 from the hub. As
    Jaccard distance is a metric, it can only be linked to members whose own distance to the hub differs from d by at
-   most 0.2; these pairs are checked too if they lie in two components and agree in enough MinHash values (2 bits of
-   each; a linked pair falls short with a chance under 1e-5), so that texts which only share a
-   passage are not checked pair by pair. Candidates inside one component cannot change it.
+   most 0.2, and that agree in enough MinHash values (2 bits of each; a linked pair falls short with a chance under 1e-5).
+   Outsiders that have such a member, and these members, go through a prefix filter: n-grams are ordered by the number of these texts
+   that hold them, the rarest first, and linked texts share one of their first ``floor(0.2 n) + 1``. Where two texts first meet they must
+   still have enough n-grams left to be linked. So texts that share only a passage, or copies of one text with too many changes of
+   their own, never meet. Candidates inside one component cannot change it.
 4. *Check.* The texts of the hub and of its members meet under the hub's id, dealt over as many salts as the
    number of members asks for; the hub's row comes first and its members are streamed past it.
 5. *Classes.* Connected components of the links.
@@ -26,13 +28,15 @@ similarity of their n-gram sets is at least ``SIMILARITY``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, cut, id_and_text, map_batches, mix, order_id, original_id, record_batch, sliced
+from riskloom.llm.common import arrow_schema, cut, id_and_text, map_batches, mix, order_id, original_id, record_batch, sliced, tidy
 from riskloom.llm.components import components
 from riskloom.llm.textbytes import many_word_hashes, word_hashes
 
@@ -44,6 +48,8 @@ RECALL = 0.9995
 PER_SALT = 500
 #: Representatives and n-grams of a block, when the links of a class are counted; n-grams that are compared at once.
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 1_000, 1_000_000, 4_096
+#: Bytes of text whose n-grams a task holds at once.
+AT_ONCE = 1 << 20
 #: Standard deviations below the expected agreement of two linked texts' MinHash values at which a pair is given up unchecked.
 SLACK = 4.5
 
@@ -133,18 +139,19 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     target = arrow_schema("hub long, doc long, similarity double")
     now, mine = None, None
     for batch in batches:
-        out = {"hub": [], "doc": [], "similarity": []}
-        for hub, salt, member, doc, text in zip(*(batch.column(c).to_pylist() for c in ("hub", "salt", "member", "doc", "text")), strict=True):
-            grams = ngram_set(text)
-            if not member:
-                now, mine = (hub, salt), grams
-                continue
-            assert now == (hub, salt)
-            both = len(np.intersect1d(mine, grams, assume_unique=True))
-            out["hub"].append(hub)
-            out["doc"].append(doc)
-            out["similarity"].append(both / (len(mine) + len(grams) - both))
-        yield record_batch(out, target)
+        for part in sliced(batch, AT_ONCE):
+            out = {"hub": [], "doc": [], "similarity": []}
+            for hub, salt, member, doc, text in zip(*(part.column(c).to_pylist() for c in ("hub", "salt", "member", "doc", "text")), strict=True):
+                grams = ngram_set(text)
+                if not member:
+                    now, mine = (hub, salt), grams
+                    continue
+                assert now == (hub, salt)
+                both = len(np.intersect1d(mine, grams, assume_unique=True))
+                out["hub"].append(hub)
+                out["doc"].append(doc)
+                out["similarity"].append(both / (len(mine) + len(grams) - both))
+            yield record_batch(out, target)
 
 
 def check_pairs(texts: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
@@ -154,7 +161,7 @@ def check_pairs(texts: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
     hubs = members.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"), F.col("hub").alias("doc"))
     sides = salted.unionByName(hubs).join(texts, "doc").select("hub", "salt", "member", "doc", "text")
     met = sides.repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "member")
-    return met.mapInArrow(_checked, "hub long, doc long, similarity double")
+    return met.mapInArrow(tidy(_checked), "hub long, doc long, similarity double")
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -204,7 +211,7 @@ def _counted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
         return record_batch({"rep": [d for d, _ in found], "linked": [n for _, n in found]}, target)
 
     for batch in batches:
-        for part in sliced(batch):
+        for part in sliced(batch, AT_ONCE):
             for root, i, j, right, doc, copies, text in zip(*(part.column(c).to_pylist() for c in ("root", "i", "j", "right", "doc", "copies", "text")), strict=True):
                 if now != (root, i, j):
                     if now:
@@ -226,7 +233,7 @@ def count_links(texts: DataFrame, reps: DataFrame, roots: DataFrame, parts: int,
     spread = dealt.join(texts, "doc").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     sides = spread.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "doc", "copies", "text")
     met = sides.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
-    counts = met.mapInArrow(lambda batches: _counted(batches, similarity), "rep long, linked long")
+    counts = met.mapInArrow(tidy(lambda batches: _counted(batches, similarity)), "rep long, linked long")
     return counts.groupBy("rep").agg(F.sum("linked").alias("linked"))
 
 
@@ -250,7 +257,7 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, with_links: bool =
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = id_and_text(docs).select(order_id().alias("doc"), "text")
-    signatures = cut(map_batches(texts, _signatures, "doc long, set1 long, set2 long, n long, bands array<long>, bits array<long>"), "signatures")
+    signatures = cut(map_batches(texts, _signatures, "doc long, set1 long, set2 long, n long, bands array<long>, bits array<long>", AT_ONCE), "signatures")
     sets = signatures.groupBy("set1", "set2").agg(F.min("doc").alias("rep"), F.countDistinct("doc").alias("copies"))
     member = signatures.select("doc", "set1", "set2").join(sets, ["set1", "set2"]).select("doc", "rep", "copies")
     member = cut(member.groupBy("doc").agg(F.min(F.struct("rep", "copies")).alias("x")).select("doc", "x.rep", "x.copies"), "members")
@@ -276,7 +283,7 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, with_links: bool =
     good = checked.filter(F.col("similarity") >= similarity)
     roots = components(good.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
 
-    more = cut(check_pairs(own, _second_look(buckets, checked, roots, similarity), parts), "checked")
+    more = cut(check_pairs(own, cut(_second_look(own, buckets, checked, roots, similarity), "pairs"), parts), "checked")
     found = more.filter(F.col("similarity") >= similarity)
     if not found.isEmpty():
         good = good.unionByName(found)
@@ -302,13 +309,48 @@ def _differing():
     return total
 
 
-def _second_look(buckets: DataFrame, checked: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of a bucket that lie in two components and that neither the hub, their sizes nor their MinHash values rule out.
+def _gram_rows(batch: pa.RecordBatch) -> dict:
+    sets = [ngram_set(t) for t in batch.column("text").to_pylist()]
+    return {"doc": np.repeat(batch.column("doc").to_numpy(), [len(g) for g in sets]), "gram": np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)}
 
-    Of such a pair at least one end is no member of the hub's component, so only these ends are
-    paired, with all members. All of them failed against the hub, at a known distance; a
-    member of the hub's component may have been passed over, its distance is unknown. Members are dealt
-    by distance into cells of width 1 - similarity, so that only neighbouring cells meet.
+
+def rare_pairs(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """``(hub, doc)``, hub < doc: pairs of ``nodes(doc, n, root, seeks)`` with different roots, one of them seeking, that may be linked.
+
+    Exact prefix filter: n-grams in one order, rarest among the nodes first (ties by hash); a text of n n-grams is dealt under its
+    first ``floor((1 - similarity) n) + 1``, and ``texts(doc, text)`` must give n distinct ones. n-grams of one node only come first and
+    meet nothing, so they are counted, not dealt. Where a pair first meets, at most the n-grams from there on are shared.
+    """
+    grams = map_batches(texts.join(nodes.select("doc"), "doc", "left_semi"), _gram_rows, "doc long, gram long", AT_ONCE)
+    grams = cut(grams, "grams")
+    common = grams.groupBy("gram").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
+    known = grams.join(common, "gram").join(nodes, "doc")
+    mine = Window.partitionBy("doc")
+    place = F.row_number().over(mine.orderBy("df", "gram")) - 1 + F.col("n") - F.count("*").over(mine)
+    left = (F.col("n") - F.col("place")).alias("left")  # n-grams from here on
+    dealt = known.withColumn("place", place).filter(F.col("place") <= F.floor((1 - similarity) * F.col("n") + 1e-9)).select("gram", "doc", "n", "root", "seeks", left)
+    dealt = cut(dealt, "prefixes")
+    a, b = (dealt.select("gram", *(F.col(c).alias(f"{c}{k}") for c in ("doc", "n", "root", "seeks", "left"))) for k in (1, 2))
+    needed = similarity / (1 + similarity) * (F.col("n1") + F.col("n2")) - 1e-6
+    fits = (F.col("root1") != F.col("root2")) & (F.least("left1", "left2") >= needed) & (F.col("seeks1") & (~F.col("seeks2") | (F.col("doc1") < F.col("doc2"))))
+    met = a.filter("seeks1").join(b, "gram").filter(fits)
+    return met.select(F.least("doc1", "doc2").alias("hub"), F.greatest("doc1", "doc2").alias("doc")).distinct()
+
+
+def _having(rows: DataFrame, others: DataFrame, partner: Column) -> DataFrame:
+    """The rows for which one of the others in the same cell of the same bucket is a partner."""
+    o = others.withColumnsRenamed({c: f"o_{c}" for c in ("band", "hash", "cell")})
+    same = reduce(and_, [F.col(c) == F.col(f"o_{c}") for c in ("band", "hash", "cell")])
+    return rows.join(o, same & partner, "left_semi")
+
+
+def _second_look(texts: DataFrame, buckets: DataFrame, checked: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs in two components that neither the hub, their sizes, their MinHash values nor their rare n-grams rule out.
+
+    Of a pair in a bucket at least one end is no member of the hub's component: an outsider. All outsiders failed against
+    the hub, at a known distance; a member of the hub's component may have been passed over, its distance is unknown. Members are dealt
+    by distance into cells of width 1 - similarity, so that only neighbouring cells meet. Two semi-joins leave the texts with a
+    possible partner, no pairs; these go to ``rare_pairs``.
     """
     limit = 1 - similarity
     known = checked.select("hub", "doc", (1 - F.col("similarity")).alias("distance"))
@@ -316,14 +358,19 @@ def _second_look(buckets: DataFrame, checked: DataFrame, roots: DataFrame, simil
     of_doc = roots.select(F.col("node").alias("doc"), "root")
     near = buckets.join(of_hub, "hub", "left").join(of_doc, "doc", "left").join(known, ["hub", "doc"], "left")
     near = near.withColumns({"hub_root": F.coalesce("hub_root", "hub"), "root": F.coalesce("root", "doc"), "cell": F.coalesce(F.floor(F.col("distance") / limit), F.lit(-2))})
-    cells = F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1, F.lit(-2).cast("long"))
-    left = near.filter(F.col("root") != F.col("hub_root")).select("band", "hash", "doc", "n", "bits", "root", "distance", F.explode(F.array_distinct(cells)).alias("cell"))
-    right = near.select("band", "hash", F.col("doc").alias("other"), F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("root").alias("root2"), F.col("distance").alias("d2"), "cell")
-    close = F.col("d2").isNull() | (F.abs(F.col("distance") - F.col("d2")) <= limit + 1e-9)
+    near = cut(near.select("band", "hash", "doc", "n", "bits", "root", "distance", "cell", (F.col("root") != F.col("hub_root")).alias("outside")), "near")
+    close = F.col("distance").isNull() | F.col("d2").isNull() | (F.abs(F.col("distance") - F.col("d2")) <= limit + 1e-9)
     sized = F.least("n", "n2") >= similarity * F.greatest("n", "n2") - 1e-9
     alike = _differing() <= most_differing(similarity)
-    met = left.join(right, ["band", "hash", "cell"]).filter((F.col("root") != F.col("root2")) & close & sized & alike)
-    return met.select(F.least("doc", "other").alias("hub"), F.greatest("doc", "other").alias("doc")).distinct()
+    partner = (F.col("root") != F.col("root2")) & close & sized & alike
+    cells = F.array_distinct(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1, F.lit(-2).cast("long")))
+    as_other = lambda rows: rows.select("band", "hash", F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("root").alias("root2"), F.col("distance").alias("d2"), "cell")
+    spread = near.filter("outside").withColumn("cell", F.explode(cells))
+    seekers = _having(spread, as_other(near), partner)
+    sought = _having(near, as_other(spread), partner)
+    nodes = seekers.select("doc", "n", "root", F.lit(True).alias("seeks")).unionByName(sought.select("doc", "n", "root", F.lit(False).alias("seeks")))
+    nodes = cut(nodes.groupBy("doc").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.max("seeks").alias("seeks")), "seekers")
+    return rare_pairs(texts, nodes, similarity)
 
 
 def _rows(texts: DataFrame, member: DataFrame, linked: DataFrame | None, roots: DataFrame) -> DataFrame:
@@ -346,7 +393,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A null id is smaller than every other, so its row stays.
     """
-    gone = similar(docs, with_links=False).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_gone"))
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = similar(docs, with_links=False).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
+    left = docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
     ids = docs.select("doc_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).first()
     return left if ids["n"] == ids["d"] else left.dropDuplicates()

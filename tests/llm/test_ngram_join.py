@@ -97,3 +97,52 @@ def test_odd_rows(odd, empty):
     assert got[1].class_id == 1 and got[2].class_id == 2 and got[3].class_id == 3 and got[None].class_id is None
     assert len(got) == 12
     assert N.similar(empty).collect() == []
+
+
+def cloud(seed, n, words=150):
+    """Copies of one text with a random number of words of their own, so that many lie about the threshold, some of them copied again."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        text = list(rows[rng.integers(len(rows))][1].split()) if rows and rng.random() < 0.3 else list(base)
+        for at in rng.integers(0, words, rng.integers(1, 8)):
+            text[at] = f"z{rng.integers(10**6)}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def passage(n, start=0):
+    """Short texts around a common passage."""
+    common = " ".join(f"p{i}" for i in range(40))
+    return [(start + i, f"{' '.join(f'a{i}x{k}' for k in range(6))} {common} {' '.join(f'b{i}x{k}' for k in range(6))}") for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_clouds_about_the_threshold(spark, seed):
+    rows = cloud(seed, 150) + passage(60, 10_000)
+    root, links = brute(rows)
+    got = {r.doc_id: r for r in N.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert {d: r.class_id for d, r in got.items()} == root
+    assert {d: r.n_links for d, r in got.items()} == {d: len(x) for d, x in links.items()}
+
+
+def test_checked_pairs_grow_with_the_texts(spark, monkeypatch):
+    made, check = [], N.check_pairs
+    monkeypatch.setattr(N, "check_pairs", lambda texts, pairs, parts: made.append(pairs.count()) or check(texts, pairs, parts))
+    counts = []
+    for n in (500, 2_000):
+        made.clear()
+        rows = cloud(5, n // 2) + passage(n // 2, 10_000)
+        N.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), with_links=False).collect()
+        counts.append(sum(made))
+    assert counts[1] <= 6 * counts[0]
+
+
+def test_rare_pairs_lose_no_link(spark):
+    rows = cloud(7, 80, 60) + passage(20, 10_000)
+    sets = {d: grams(t) for d, t in rows}
+    nodes = spark.createDataFrame([(d, len(sets[d]), d, True) for d, _ in rows], "doc long, n long, root long, seeks boolean")
+    found = {(r.hub, r.doc) for r in N.rare_pairs(spark.createDataFrame(rows, "doc long, text string"), nodes, 0.8).collect()}
+    linked = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert linked <= found and len(found) < 100 * 99 / 4
