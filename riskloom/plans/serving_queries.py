@@ -15,7 +15,7 @@ from riskloom.plans.train_job import train_model
 from riskloom.session import scratch_path
 from riskloom.sources.files import materialize, write_csv
 from riskloom.spec import MERCHANT_DISTANCE, Category, JobSpec, Number, Posterior, Trees, categories, date_parts, numbers
-from riskloom.sources.records import parse_records, to_json_records
+from riskloom.sources.records import parse_records, to_json_records, with_json_types
 from riskloom.streaming.score_stream import judged, request_split, start_scoring_stream
 
 # The fraud domain spec (columns as in the fraud contract).
@@ -68,6 +68,22 @@ def q_request_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_request_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that a lenient reader would take, by event: a number as text, an object for a text, a field too many, and sound ones."""
+    eid = F.col("event_id")
+    sent = fraud_frame(spark, sf_dir).where("amt >= 0 and state is not null and is_fraud in (0, 1) and category <> 'crypto' and gender <> 'X' and city_pop >= 0")
+    opts = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in REQUEST_COLUMNS]), opts)
+    changed = (
+        F.when(eid % 4 == 0, F.regexp_replace(body, '"amt":([^,}]+)', '"amt":"$1"'))
+        .when(eid % 4 == 1, F.regexp_replace(body, '"state":"([^"]*)"', '"state":{"code":"$1"}'))
+        .when(eid % 4 == 2, F.regexp_replace(body, "^\\{", '{"note":1,'))
+        .otherwise(body)
+    )
+    records = with_json_types(parse_records(sent.select(changed.alias("body")), REQUEST, "event_id"), REQUEST, "event_id")
+    return judged(records, REQUEST).select("event_id", "status", F.regexp_extract("reasons", "[a-z]+:(json_type|extra_field)", 0).alias("strict_reason"))
+
+
 def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fraud_model(spark, sf_dir)
     accepted, _ = request_split(requests(spark, sf_dir), REQUEST)
@@ -132,6 +148,10 @@ def q_end_to_end_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES = {
+    "request_strict": f"""WITH {FRAUD_SRC}, judged AS ({status_sql(FRAUD_SRC, REQUEST, ["event_id"], FRAUD_TYPES, [])})
+SELECT event_id, CASE WHEN event_id % 4 = 3 THEN status ELSE 'rejected' END AS status,
+ CASE event_id % 4 WHEN 0 THEN 'amt:json_type' WHEN 1 THEN 'state:json_type' WHEN 2 THEN 'note:extra_field' ELSE '' END AS strict_reason FROM src JOIN judged USING (event_id)
+WHERE amt >= 0 AND state IS NOT NULL AND is_fraud IN (0, 1) AND category <> 'crypto' AND gender <> 'X' AND city_pop >= 0""",
     "request_malformed": f"""WITH {FRAUD_SRC}
 SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'body:malformed' WHEN 1 THEN 'amt' ELSE 'other' END AS reason FROM src
 WHERE amt >= 0 AND state IS NOT NULL AND is_fraud IN (0, 1) AND category <> 'crypto' AND gender <> 'X' AND city_pop >= 0""",
@@ -141,6 +161,7 @@ WHERE amt >= 0 AND state IS NOT NULL AND is_fraud IN (0, 1) AND category <> 'cry
 QUERIES = {
     "request_split": q_request_split,
     "request_malformed": q_request_malformed,
+    "request_strict": q_request_strict,
     "score_requests": q_score_requests,
     "score_stream": q_score_stream,
     "end_to_end_report": q_end_to_end_report,

@@ -19,13 +19,22 @@ from riskloom.operators.contract import Contract, validate
 from riskloom.operators.prefix import cut
 from riskloom.operators.scoring import ScoringModel
 from riskloom.sources.files import write_parquet
-from riskloom.sources.records import BODY, MALFORMED, parse_records
+from riskloom.sources.records import BODY, EXTRA_FIELDS, JSON_TYPES, MALFORMED, parse_records
 from riskloom.streaming.request_state import RequestState
 
 
 def judged(records: DataFrame, contract: Contract) -> DataFrame:
-    """Coerced records with ``status`` and ``reasons``; a malformed body has that one reason."""
+    """Coerced records with ``status`` and ``reasons``; a malformed body has that one reason.
+
+    Records with ``json_types`` and ``extra_fields`` (see ``records.with_json_types``) are judged strictly: a field of the wrong JSON type
+    is a reason of its own, and so is one that the contract does not know.
+    """
     rows = validate(records, contract).with_status()
+    if JSON_TYPES in records.columns:
+        own = F.concat(F.transform(JSON_TYPES, lambda f: F.concat(f, F.lit(":json_type"))), F.transform(EXTRA_FIELDS, lambda f: F.concat(f, F.lit(":extra_field"))))
+        before = F.filter(F.split(F.coalesce("reasons", F.lit("")), "; "), lambda r: r != "")
+        every = F.array_sort(F.concat(before, own))
+        rows = rows.withColumns({"reasons": F.array_join(every, "; "), "status": F.when(F.size(every) > 0, "rejected").otherwise("accepted")}).drop(JSON_TYPES, EXTRA_FIELDS)
     return rows.withColumns(
         {
             "status": F.when(F.col(MALFORMED), "rejected").otherwise(F.col("status")),

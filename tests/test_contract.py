@@ -145,3 +145,19 @@ def test_huge_and_infinite_values_are_readable_failures(spark):
     assert cases == {0: "-1.0E40", 1: "Infinity", 2: "-Infinity", 3: "1.0E308", 4: "-2.500000", 6: "50000000000000000000000000000000.000000"}
     good, bad = checked.quarantine()
     assert [r.id for r in good.collect()] == [5] and bad.count() == 6
+
+
+def test_json_types_are_told_apart(spark):
+    from riskloom.sources.records import parse_records, with_json_types
+    from riskloom.streaming.score_stream import judged
+
+    contract = Contract("c", [Rule("a", "double", ge=0), Rule("it's b", "string"), Rule("at", "timestamp", nullable=True)])
+    bodies = [
+        '{"k": 1, "a": 12, "it\'s b": "x", "at": "2024-01-01 00:00:00"}', '{"k": 2, "a": "12", "it\'s b": "x", "at": null}', '{"k": 3, "a": 1.5, "it\'s b": {"c": 1}}',
+        '{"k": 4, "a": 1, "it\'s b": "x", "more": [1], "also": 2}', '{"k": 5, "a": [1], "it\'s b": 7}', '{"k": 6, "a": 1', "[1]",
+    ]
+    rows = with_json_types(parse_records(spark.createDataFrame([(b,) for b in bodies], "body string"), contract, "k"), contract, "k")
+    got = {r.k: (r.status, r.reasons) for r in judged(rows, contract).collect()}
+    assert got[1] == ("accepted", "") and got[2] == ("rejected", "a:json_type") and got[3] == ("rejected", "it's b:json_type")
+    assert got[4] == ("rejected", "also:extra_field; more:extra_field") and got[5][0] == "rejected" and "a:json_type" in got[5][1] and "it's b:json_type" in got[5][1]
+    assert got[6] == ("rejected", "body:malformed") and got[None] == ("rejected", "body:malformed")
