@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import arrow_schema, id_and_text, record_batch, sliced
+from riskloom.llm.common import arrow_schema, id_and_text, record_batch, sliced, tidy
 
 #: Split pattern of byte-level BPE as published with its vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -214,4 +214,4 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                 out = {"doc_id": part.column("doc_id"), "n_tokens": [len(x) for x in ids], "ids_sha256": [digest(",".join(map(str, x))) for x in ids], "decoded_sha256": [digest(x) for x in decoded]}
                 yield record_batch(out | ({"ids": ids, "decoded": decoded} if with_ids else {}), target)
 
-    return id_and_text(docs).mapInArrow(run, schema)
+    return id_and_text(docs).mapInArrow(tidy(run), schema)

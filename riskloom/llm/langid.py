@@ -8,8 +8,8 @@ cosine is below the limit of that language and length (from a low quantile of wh
 Short texts reach less, so they have a limit of their own.
 
 Document frequencies are counted over all training rows, pre-added per task, so that what is shuffled is
-one vector of fixed length per task. The centroids are fitted on a bounded sample: the
-``FIT_ROWS`` different training texts of a language that come first by a hash of the text.
+one vector of fixed length per task. The centroids are fitted on a bounded sample: of a language with more
+than ``FIT_ROWS`` different training texts about that many, those with the least hashes.
 The fitted model (languages x clusters x DIMS floats, 4 MB for four languages) is broadcast.
 """
 
@@ -22,10 +22,10 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, filter_rows, id_and_text, map_batches, record_batch
+from riskloom.llm.common import arrow_schema, filter_rows, give_back, id_and_text, map_batches, record_batch, sliced, tidy
 
 #: Dimensions, centroids per language, training texts per language for the centroids, k-means rounds.
 DIMS = 1 << 14
@@ -39,7 +39,7 @@ REJECT_QUANTILE = 0.001
 #: Bytes of letters under which a text is short, and steps of the histogram of cosines.
 SHORT = 64
 STEPS = 1000
-#: Bytes counted at once, and least training rows of a language.
+#: Bytes counted at once, and least training rows of a language and length that have a limit of their own.
 PIECE = 1 << 20
 LEAST_ROWS = 5
 
@@ -107,26 +107,25 @@ class Model:
 
 
 def _document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
-    schema = "block long, rows long, df array<long>"
-    target = arrow_schema(schema)
+    target = arrow_schema("df array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, rows = np.zeros(DIMS, np.int64), 0
+        df = np.zeros(DIMS + 1, np.int64)  # the last one counts the rows
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                df[counts(letters(text))[0]] += 1
-                rows += 1
-        if rows:
-            yield record_batch({"block": [0], "rows": [rows], "df": [df]}, target)
-
-    parts = training.select("text").mapInArrow(run, schema)
+            for part in sliced(batch):
+                for text in part.column("text").to_pylist():
+                    df[counts(letters(text))[0]] += 1
+                    df[DIMS] += 1
+        if df[DIMS]:
+            yield record_batch({"df": [df]}, target)
+
+    parts = training.select("text").mapInArrow(tidy(run), "df array<long>")
     # One number per dimension and task, summed under the dimension: fixed length whatever the input.
-    total = parts.agg(F.sum("rows")).first()[0] or 0
     sums = parts.select(F.posexplode("df").alias("dim", "n")).groupBy("dim").agg(F.sum("n").alias("n"))
-    df = np.zeros(DIMS)
-    for row in sums.collect():  # DIMS rows
+    df = np.zeros(DIMS + 1)
+    for row in sums.collect():  # DIMS + 1 rows
         df[row["dim"]] = row["n"]
-    return df, total
+    return df[:DIMS], int(df[DIMS])
 
 
 def _cluster(x: np.ndarray, k: int) -> np.ndarray:
@@ -145,19 +144,23 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def fit(training: DataFrame) -> Model | None:
-    """Fit on ``(text, lang)``, without null or letterless texts; None if no language has ``LEAST_ROWS`` rows."""
+    """Fit on ``(text, lang)``, without null or letterless texts; None if nothing is left.
+
+    Every ``lang`` value is learnt, however few texts it has: of a language with fewer than ``CLUSTERS`` texts each is a centroid. Between centroids
+    that are equally near, the first language in text order wins.
+    """
     training = training.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     df, total = _document_frequencies(training)
     if not total:
         return None
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
     keyed = training.select("lang", F.xxhash64("text").alias("h"), "text")
-    # Spark cuts each task's rows to FIT_ROWS per language before this window's shuffle (its limit for that is 1,000).
-    ranked = keyed.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    last = {r["lang"]: r["h"] for r in ranked.filter(F.col("k") <= FIT_ROWS).groupBy("lang").agg(F.max("h").alias("h")).collect()}
-    if not last:
+    # Hashes are even, so a share of them is a sample of known size: no sorting, and no task that gets a whole language.
+    different = {r["lang"]: r["n"] for r in keyed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not different:
         return None
-    wanted = reduce(or_, [(F.col("lang") == language) & (F.col("h") <= h) for language, h in last.items()])
+    place = F.pmod("h", F.lit(1 << 30))
+    wanted = reduce(or_, [(F.col("lang") == language) & (place < int(min(FIT_ROWS / n, 1.0) * (1 << 30))) for language, n in different.items()])
     chosen = keyed.filter(wanted).dropDuplicates(["lang", "h"])
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -166,9 +169,9 @@ def fit(training: DataFrame) -> Model | None:
         return {"lang": batch.column("lang"), "h": batch.column("h"), "v": [sparse(*v) for v in found]}
 
     sample: dict[str, list[tuple[int, bytes]]] = {}
-    for row in map_batches(chosen, run, "lang string, h long, v binary").collect():  # at most languages x FIT_ROWS rows
+    for row in map_batches(chosen, run, "lang string, h long, v binary").collect():  # about languages x FIT_ROWS rows
         sample.setdefault(row["lang"], []).append((row["h"], bytes(row["v"])))
-    languages = sorted(x for x, rows in sample.items() if len(rows) >= LEAST_ROWS) or sorted(sample)
+    languages = sorted(sample)
     centroids, owner = [], []
     for k, language in enumerate(languages):
         x = _dense([v for _, v in sorted(sample[language])])
@@ -176,6 +179,8 @@ def fit(training: DataFrame) -> Model | None:
         centroids.append(c)
         owner += [k] * len(c)
     model = Model(languages, idf, np.concatenate(centroids).T.astype(np.float32).copy(), np.array(owner), np.zeros((len(languages), 2)))
+    del sample
+    give_back()
     model.limits = REJECT_SHARE * _low_cosines(training, model)
     return model
 
@@ -197,14 +202,15 @@ def _low_cosines(training: DataFrame, model: Model) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(shape, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                k, cosine = shared.value.predict(text)
-                found[k, is_short(text), int(cosine * STEPS)] += 1
+            for part in sliced(batch):
+                for text in part.column("text").to_pylist():
+                    k, cosine = shared.value.predict(text)
+                    found[k, is_short(text), int(cosine * STEPS)] += 1
         at = np.flatnonzero(found)
         yield record_batch({"cell": at, "n": found.ravel()[at]}, target)
 
     total = np.zeros(shape, np.int64)
-    for row in training.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    for row in training.select("text").mapInArrow(tidy(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         total.ravel()[row["cell"]] = row["n"]  # at most languages x 2 x STEPS rows
     everyone = total.sum(axis=0)
     low = np.zeros(shape[:2])

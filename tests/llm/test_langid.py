@@ -73,3 +73,31 @@ def test_odd_rows(odd, empty):
 def test_nothing_to_learn_from(spark):
     got = G.identify(spark.createDataFrame([(3, "some text", None), (4, "other", None)], "doc_id long, text string, lang string")).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 2
+
+
+def test_every_language_is_learnt(spark):
+    rows = [(f"wa ka {'zu' * (k % 5 + 1)} nori {'ta' * (k % 7 + 1)}", "aa") for k in range(40)] + [("bleep gronk fnord blip quux", "bb"), (None, "cc"), ("12 3", "dd")]
+    model = G.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ["aa", "bb"] and G.judge("gronk blip fnord", model)[0] == "bb" and G.judge("wa ka nori", model)[0] == "aa"
+
+
+def test_equal_to_comparing_with_every_centroid(spark):
+    """Plain nearest centroid: dense vectors, one cosine after another."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = G.fit_documents(docs)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in G.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for d, t in rows:
+        if t is None or not any(c.isalpha() for c in t):
+            assert got[d].lang_pred == "und"
+            continue
+        raw = " ".join("".join(c if c.isalpha() or ord(c) >= 128 else " " for c in t).split()).encode().lower()
+        v = np.zeros(G.DIMS)
+        for n, m in zip((1, 2, 3), (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), strict=True):
+            for i in range(len(raw) - n + 1):
+                v[((int.from_bytes(raw[i : i + n], "big") + n) % 2**32) * m % 2**32 >> 18] += 1
+        v = np.log1p(v) * model.idf
+        cosine = [float(v @ model.centroids[:, k]) / np.linalg.norm(v) for k in range(model.centroids.shape[1])]
+        best = max(range(len(cosine)), key=cosine.__getitem__)
+        assert got[d].score == np.float64(got[d].score) and abs(got[d].score - cosine[best]) < 1e-4
+        assert got[d].lang_pred == model.languages[model.owner[best]] or sorted(cosine)[-1] - sorted(cosine)[-2] < 1e-4
