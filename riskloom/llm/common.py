@@ -62,8 +62,8 @@ def sliced(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]
             yield batch.slice(a, b - a)
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: Python workers live on for later stages, and would keep what this one needed at its peak."""
+def give_back() -> None:
+    """Return freed memory to the system: Python workers and the driver live on, and would keep what one stage needed at its peak."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
@@ -76,7 +76,7 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        _give_back()
+        give_back()
 
     return tidied
 

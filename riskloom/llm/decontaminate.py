@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, cut, filter_rows, id_and_text, map_batches, mix, order_id, original_id, record_batch
+from riskloom.llm.common import arrow_schema, cut, filter_rows, give_back, id_and_text, map_batches, mix, order_id, original_id, record_batch
 from riskloom.llm.textbytes import many_word_hashes
 
 PIECE_WORDS, LEAST_WORDS = 48, 8
@@ -250,6 +250,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[Block | ShortItems]]:
     pieces = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(max(dealt, 1))))
     for first in range(0, dealt, BLOCKS_AT_ONCE):
         spaces = [latent_space(pieces.filter(F.col("block") == b).select("item", "words")) for b in range(first, min(first + BLOCKS_AT_ONCE, dealt))]
+        give_back()
         yield [b for b in spaces if b is not None]
 
 

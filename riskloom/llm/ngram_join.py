@@ -275,10 +275,11 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, with_links: bool =
     pairs = buckets.select("hub", "doc").distinct()
 
     own = texts.groupBy("doc").agg(F.min("text").alias("text")) if _repeats(signatures) else texts
-    nearest = buckets.groupBy("doc").agg(F.max("rank").alias("rank")).select(F.col("rank.doc").alias("hub"), "doc")
+    # Short plans: what several parts of the next step read is written first.
+    nearest = cut(buckets.groupBy("doc").agg(F.max("rank").alias("rank")).select(F.col("rank.doc").alias("hub"), "doc"), "pairs")
     first = cut(check_pairs(own, nearest, parts), "checked")
     roots = components(first.filter(F.col("similarity") >= similarity).select(F.col("hub").alias("a"), F.col("doc").alias("b")))
-    rest = _outside(pairs.join(nearest, ["hub", "doc"], "left_anti"), roots)
+    rest = cut(_outside(pairs.join(nearest, ["hub", "doc"], "left_anti"), roots), "pairs")
     checked = cut(first.unionByName(check_pairs(own, rest, parts)), "checked")
     good = checked.filter(F.col("similarity") >= similarity)
     roots = components(good.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
