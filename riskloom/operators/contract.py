@@ -4,7 +4,9 @@ A contract is a list of :class:`Rule` (column, type, nullable, at most one value
 Validation is one projection: every rule becomes a few Column expressions, the failing
 ones are packed into ``array<struct<column, check, failure_case>>`` per row, and
 ``explode`` turns that into the long failure-case table. Counts come from a single
-aggregate over the same projection. Nothing is collected but the counts.
+aggregate over the same projection. Nothing is collected but the counts. A row's values are
+coerced once, and its checks are computed once for all who ask for them. A value that cannot be cast
+is told by its form before the cast is tried, as a failing cast costs an exception.
 
 Semantics (chosen to match a coercing, open-schema contract):
 
@@ -20,8 +22,9 @@ Semantics (chosen to match a coercing, open-schema contract):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 from operator import add, or_
 
@@ -100,31 +103,49 @@ def q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _text(c: Column, dtype: T.DataType | None) -> Column:
-    """Failure value as text; fractional numbers with 6 decimals, as they are written where those do not hold them (huge, infinite)."""
+# What a cast takes, or a little more: text that none of these fits has no value, whatever the cast would say.
+_SPACE = r"[\x00-\x20\x7F]*"
+LONG_FORM = rf"\A{_SPACE}[+-]?0*[0-9]{{1,19}}{_SPACE}\z"
+DECIMAL_FORM = rf"\A{_SPACE}[+-]?[\p{{Nd}}.]+([eE][+-]?\p{{Nd}}+)?{_SPACE}\z"
+DOUBLE_FORM = rf"(?i)\A{_SPACE}[+-]?(nan|inf|infinity|0x[0-9a-f.]+p[+-]?[0-9]+[fd]?|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?){_SPACE}\z"
+#: The first whole numbers beyond 64 bits, and the first double that ``decimal(38,6)`` does not hold.
+LEAST_LONG, BEYOND_LONG, BEYOND_DECIMAL = -(2**63), 2**63, 1e32
+
+
+def _formed(c: Column, src: T.DataType, form: str) -> Column:
+    """``c``, but NULL for text without the form."""
+    return F.when(c.rlike(form), c) if isinstance(src, T.StringType) else c
+
+
+def _text(c: Column, dtype: T.DataType | None, held: T.DataType | None = None) -> Column:
+    """Failure value as text; fractional numbers with 6 decimals, as they are written where those do not hold them (huge, infinite).
+
+    ``held`` is the type of ``c`` itself, if it is not ``dtype``.
+    """
+    held = held or dtype
     if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return F.coalesce(c.try_cast("decimal(38,6)").cast("string"), c.cast("string"))
+        fits = F.when(F.abs(c) < F.lit(BEYOND_DECIMAL), c) if isinstance(held, (T.DoubleType, T.FloatType)) else _formed(c, held, DECIMAL_FORM)
+        return F.coalesce(fits.try_cast("decimal(38,6)").cast("string"), c.cast("string"))
     return c.cast("string")
 
 
-def _coerce(rule: Rule, c: Column, src: T.DataType, truncate: bool) -> tuple[Column, Column]:
-    """``(coerced value, coercion failed)`` for one rule."""
+def _coerce(rule: Rule, c: Column, src: T.DataType, truncate: bool) -> tuple[Column, Callable[[Column], Column]]:
+    """``(coerced value, whether coercion failed, given the coerced value)`` for one rule."""
     if rule.dtype == "string":
-        v = c.cast("string")
-        return v, F.lit(False)
+        return c.cast("string"), lambda v: F.lit(False)
     if rule.dtype == "timestamp":
         if isinstance(src, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             v = c.cast("timestamp")
         else:
             v = F.try_to_timestamp(c.cast("string"))
-        return v, c.isNotNull() & v.isNull()
+        return v, lambda v: c.isNotNull() & v.isNull()
     floating = isinstance(src, (T.DoubleType, T.FloatType))
     nan_in = F.isnan(c) if floating else F.lit(False)
     if rule.dtype == "double":
-        v = nan_to_null(c.try_cast("double"))
+        v = nan_to_null(_formed(c, src, DOUBLE_FORM).try_cast("double"))
     else:
         v = _as_long(c, src, truncate)
-    return v, c.isNotNull() & ~nan_in & v.isNull()
+    return v, lambda v: c.isNotNull() & ~nan_in & v.isNull()
 
 
 def _as_long(c: Column, src: T.DataType, truncate: bool) -> Column:
@@ -139,10 +160,12 @@ def _as_long(c: Column, src: T.DataType, truncate: bool) -> Column:
     if isinstance(src, (T.DoubleType, T.FloatType)):
         exact = nan_to_null(c.cast("double"))
         plain = F.lit(None).cast("long")
+        held = (exact >= F.lit(float(LEAST_LONG))) & (exact <= F.lit(float(BEYOND_LONG)))
     else:
-        exact = c.try_cast("decimal(38,18)")
-        plain = c.try_cast("long") if isinstance(src, T.StringType) else F.lit(None).cast("long")
-    whole = exact if truncate else F.when(exact == F.floor(exact), exact)
+        exact = _formed(c, src, DECIMAL_FORM).try_cast("decimal(38,18)")
+        plain = _formed(c, src, LONG_FORM).try_cast("long") if isinstance(src, T.StringType) else F.lit(None).cast("long")
+        held = (exact > F.lit(Decimal(LEAST_LONG - 1))) & (exact < F.lit(Decimal(BEYOND_LONG)))
+    whole = F.when(held if truncate else held & (exact == F.floor(exact)), exact)
     return F.coalesce(plain, whole.try_cast("long"))
 
 
@@ -170,9 +193,14 @@ class Validation:
 
     @property
     def checked(self) -> DataFrame:
-        """The coerced rows with ``_rl_cases``, the array of their failing checks."""
+        """The coerced rows with ``_rl_cases``, the array of their failing checks.
+
+        The array is exploded out of an array of its own: a filter on it, or the one that Spark adds below ``explode``, would
+        otherwise move under this projection and compute every check once more for each place that names the array.
+        """
         cases = [_case(fails, column, check, text) for column, check, fails, text in self.checks]
-        return self.source.select(*self.columns, (F.concat(*cases) if cases else F.array().cast(EMPTY_CASES)).alias("_rl_cases"))
+        found = F.concat(*cases) if cases else F.array().cast(EMPTY_CASES)
+        return self.source.select(*self.columns, F.explode(F.array(found)).alias("_rl_cases"))
 
     def _fails(self) -> Column:
         return reduce(or_, [fails for _, _, fails, _ in self.checks], F.lit(False))
@@ -273,12 +301,15 @@ def validate(df: DataFrame, contract: Contract) -> Validation:
     out_cols: list[Column] = [q(n) for n in df.columns if n not in declared]
     checks: list[tuple[str, str, Column, Column]] = []
     nothing = F.lit(None).cast("string")
+    coerced: dict[str, Column] = {}
     for rule in contract.rules:
         if rule.column not in present:
             continue
         src = dtypes[rule.column]
         raw = q(rule.column)
-        v, bad_cast = _coerce(rule, raw, src, contract.truncate)
+        name = f"_rl_v{len(coerced)}"
+        coerced[name], failed = _coerce(rule, raw, src, contract.truncate)
+        v, bad_cast = F.col(name), failed(F.col(name))
         is_missing = raw.isNull() | (F.isnan(raw) if isinstance(src, (T.DoubleType, T.FloatType)) else F.lit(False))
         out_cols.append(v.alias(rule.column))
         if rule.dtype in ("long", "double", "timestamp"):
@@ -288,11 +319,11 @@ def validate(df: DataFrame, contract: Contract) -> Validation:
         check = rule.value_check
         if check is not None:
             target_type = {"long": T.LongType(), "double": T.DoubleType()}.get(rule.dtype, src)
-            checks.append((rule.column, check, v.isNotNull() & ~_value_ok(rule, v), _text(v, target_type)))
+            checks.append((rule.column, check, v.isNotNull() & ~_value_ok(rule, v), _text(v, target_type, spark_type(rule))))
     for name in extra:
         checks.append((name, "column_in_schema", F.lit(True), nothing))
     checks = [(c, k, F.coalesce(fails, F.lit(False)), text) for c, k, fails, text in checks]
-    return Validation(contract, df, out_cols, checks, missing)
+    return Validation(contract, df.withColumns(coerced), out_cols, checks, missing)
 
 
 class DataValidationError(Exception):

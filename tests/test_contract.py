@@ -161,3 +161,38 @@ def test_json_types_are_told_apart(spark):
     assert got[1] == ("accepted", "") and got[2] == ("rejected", "a:json_type") and got[3] == ("rejected", "it's b:json_type")
     assert got[4] == ("rejected", "also:extra_field; more:extra_field") and got[5][0] == "rejected" and "a:json_type" in got[5][1] and "it's b:json_type" in got[5][1]
     assert got[6] == ("rejected", "body:malformed") and got[None] == ("rejected", "body:malformed")
+
+
+def test_checks_are_computed_once_for_cases_and_quarantine(spark):
+    c = Contract("t", [Rule("k", "long", ge=1), Rule("x", "double", le=5)])
+    v = validate(spark.range(4).select((F.col("id") * 2).cast("string").alias("k"), F.col("id").cast("string").alias("x")), c)
+    for df in (v.failure_cases(), *v.quarantine()):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("k:greater_than_or_equal_to(1)") == 1 and plan.count("try_cast(x") == 1
+    assert [r["failure_case"] for r in v.failure_cases().collect()] == ["0"]
+
+
+TEXTS = [
+    "7", " 7\t", "\x017\x7f", "+7", "-7", "007", "1e3", "1E+3", "1.", ".5", "1.0", "1.5", "1,5", "n/a", "", " ", ".", "+", "NaN", "-inf", " Infinity ", "1d", "1.5F", "0x1p3", "0x1.8p1d", "٣", "e3", "1e", "1 2",
+    "9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809", "00000000000000000000000012", "123456789012345678901", "9223372036854775807.0", "1e400", "1e30", None,
+]
+
+
+@pytest.mark.parametrize("truncate", [False, True])
+def test_text_has_the_value_that_a_plain_cast_gives(spark, truncate):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, t string")
+    exact = F.col("t").try_cast("decimal(38,18)")
+    whole = exact if truncate else F.when(exact == F.floor(exact), exact)
+    want = df.select("i", F.coalesce(F.col("t").try_cast("long"), whole.try_cast("long")).alias("k"), F.nanvl(F.col("t").try_cast("double"), F.lit(None)).alias("x"))
+    got = validate(df.select("i", F.col("t").alias("k"), F.col("t").alias("x")), Contract("t", [Rule("k", "long"), Rule("x", "double")], truncate=truncate)).coerced
+    assert {(r["i"], r["k"], r["x"]) for r in got.select("i", "k", "x").collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_doubles_at_the_edges_of_64_bits_and_of_the_failure_text(spark):
+    values = [2.0**63, -(2.0**63), 2.0**64, -(2.0**64), 1e32, 9.999999999999999e31, -1e32, float("inf"), float("-inf"), float("nan"), 1.5]
+    df = spark.createDataFrame([(v,) for v in values], "k double").withColumn("x", F.col("k"))
+    v = validate(df, Contract("t", [Rule("k", "long"), Rule("x", "double", ge=0, le=1)], truncate=True))
+    plain = df.select("x", F.nanvl("k", F.lit(None)).try_cast("long").alias("k"), F.coalesce(F.col("x").try_cast("decimal(38,6)").cast("string"), F.col("x").cast("string")).alias("t"))
+    assert v.coerced.select("k").exceptAll(plain.select("k")).count() == 0
+    want = {r["t"] for r in plain.where("NOT isnan(x) AND NOT x BETWEEN 0 AND 1").collect()}
+    assert {r["failure_case"] for r in v.failure_cases().where("column = 'x' AND check LIKE 'in_range%'").collect()} == want
