@@ -264,7 +264,8 @@ class Validation:
 
     def quarantine(self) -> tuple[DataFrame, DataFrame]:
         """``(accepted, rejected)``; rejected rows carry sorted ``reasons``."""
-        good = self.checked.where(~self.has_failure()).drop(*self.INTERNAL)
+        # The accepted rows need no cases, only whether there is one.
+        good = self.source.select(*self.columns, F.explode(F.array(self._fails())).alias("_rl_bad")).where("NOT _rl_bad").drop("_rl_bad")
         bad = self.checked.where(self.has_failure()).withColumn("reasons", self.reasons()).drop(*self.INTERNAL)
         return good, bad
 
@@ -279,7 +280,8 @@ class Validation:
 
 def _case(cond: Column, column: str, check: str, text: Column) -> Column:
     """One-element array when ``cond`` (never null) holds, else an empty array."""
-    item = F.struct(F.lit(column), F.lit(check), text.cast("string"), F.lit(f"{column}:{check}")).cast(CASE_TYPE)
+    fields = (F.lit(column), F.lit(check), text.cast("string"), F.lit(f"{column}:{check}"))
+    item = F.struct(*[c.alias(f.name) for c, f in zip(fields, CASE_TYPE.fields, strict=True)])
     return F.when(cond, F.array(item)).otherwise(F.array().cast(EMPTY_CASES))
 
 

@@ -166,9 +166,10 @@ def test_json_types_are_told_apart(spark):
 def test_checks_are_computed_once_for_cases_and_quarantine(spark):
     c = Contract("t", [Rule("k", "long", ge=1), Rule("x", "double", le=5)])
     v = validate(spark.range(4).select((F.col("id") * 2).cast("string").alias("k"), F.col("id").cast("string").alias("x")), c)
-    for df in (v.failure_cases(), *v.quarantine()):
+    good, bad = v.quarantine()
+    for df, labels in ((v.failure_cases(), 1), (good, 0), (bad, 1)):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("k:greater_than_or_equal_to(1)") == 1 and plan.count("try_cast(x") == 1
+        assert plan.count("k:greater_than_or_equal_to(1)") == labels and plan.count("try_cast(x") == 1
     assert [r["failure_case"] for r in v.failure_cases().collect()] == ["0"]
 
 
@@ -196,3 +197,11 @@ def test_doubles_at_the_edges_of_64_bits_and_of_the_failure_text(spark):
     assert v.coerced.select("k").exceptAll(plain.select("k")).count() == 0
     want = {r["t"] for r in plain.where("NOT isnan(x) AND NOT x BETWEEN 0 AND 1").collect()}
     assert {r["failure_case"] for r in v.failure_cases().where("column = 'x' AND check LIKE 'in_range%'").collect()} == want
+
+
+def test_accepted_rows_need_no_cases(spark):
+    v = validate(spark.createDataFrame([(1, "a"), (0, "b"), (None, "c")], "k long, s string"), Contract("t", [Rule("k", "long", ge=1), Rule("s", "string")]))
+    good, bad = v.quarantine()
+    assert "not_nullable" not in good._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in good.select("k", "s").collect()] == [(1, "a")]
+    assert {(r["s"], r["reasons"]) for r in bad.collect()} == {("b", "k:greater_than_or_equal_to(1)"), ("c", "k:not_nullable")}
