@@ -230,6 +230,8 @@ def count_links(texts: DataFrame, reps: DataFrame, roots: DataFrame, parts: int,
     inside = reps.join(roots.withColumnRenamed("node", "doc"), "doc")
     needed = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_GRAMS))
     dealt = inside.join(inside.groupBy("root").agg(needed.alias("blocks")), "root").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks"))
+    # Written first: a join of texts with a table of known size does not shuffle them while that table is small.
+    dealt = cut(dealt.select("root", "blocks", "own", "doc", "copies"), "dealt")
     spread = dealt.join(texts, "doc").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     sides = spread.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "doc", "copies", "text")
     met = sides.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
@@ -262,19 +264,24 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, with_links: bool =
     member = signatures.select("doc", "set1", "set2").join(sets, ["set1", "set2"]).select("doc", "rep", "copies")
     member = cut(member.groupBy("doc").agg(F.min(F.struct("rep", "copies")).alias("x")).select("doc", "x.rep", "x.copies"), "members")
 
-    reps = signatures.join(member.filter(F.col("doc") == F.col("rep")).select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
-    banded = reps.select("doc", "n", "bits", F.posexplode("bands").alias("band", "hash"))
+    repeated = _repeats(signatures)
+    reps = signatures.join(member.filter(F.col("doc") == F.col("rep")).select("doc"), "doc", "left_semi")
+    reps = reps.dropDuplicates(["doc"]) if repeated else reps
+    # A row for each band: only what a bucket needs travels, what else is known of its documents joins the few that share one.
+    banded = reps.select("doc", F.posexplode("bands").alias("band", "hash"))
     sizes = banded.groupBy("band", "hash").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
-    shared = cut(banded.join(sizes, ["band", "hash"]), "buckets")
+    shared = cut(banded.join(sizes.hint("merge"), ["band", "hash"]), "buckets")
     # The text that the others are copies of shares buckets with the most of them, so it makes the best hub.
     degree = shared.groupBy("doc").agg(F.sum("size").alias("degree"))
     first_least = F.bitwise_not("doc")
     hubs = shared.join(degree, "doc").groupBy("band", "hash").agg(F.max(F.struct("degree", first_least.alias("order"), "doc")).alias("hub"))
-    buckets = shared.join(hubs, ["band", "hash"]).select("band", "hash", F.col("hub.doc").alias("hub"), F.struct("hub.degree", "hub.order", "hub.doc").alias("rank"), "doc", "n", "bits")
-    buckets = cut(buckets.filter(F.col("doc") != F.col("hub")), "buckets")
+    buckets = shared.join(hubs, ["band", "hash"]).select("band", "hash", F.col("hub.doc").alias("hub"), F.struct("hub.degree", "hub.order", "hub.doc").alias("rank"), "doc")
+    buckets = cut(buckets.filter(F.col("doc") != F.col("hub")).join(reps.select("doc", "n", "bits"), "doc"), "buckets")
     pairs = buckets.select("hub", "doc").distinct()
 
-    own = texts.groupBy("doc").agg(F.min("text").alias("text")) if _repeats(signatures) else texts
+    # Every later step reads texts of buckets only: they are written once, the others stay out of its shuffles.
+    own = texts.join(cut(shared.select("doc").distinct(), "nodes"), "doc", "left_semi")
+    own = cut(own.groupBy("doc").agg(F.min("text").alias("text")) if repeated else own, "texts")
     # Short plans: what several parts of the next step read is written first.
     nearest = cut(buckets.groupBy("doc").agg(F.max("rank").alias("rank")).select(F.col("rank.doc").alias("hub"), "doc"), "pairs")
     first = cut(check_pairs(own, nearest, parts), "checked")
@@ -394,7 +401,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A null id is smaller than every other, so its row stays.
     """
-    gone = similar(docs, with_links=False).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
+    gone = cut(similar(docs, with_links=False).filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select("doc_id"), "gone")
     left = docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
     ids = docs.select("doc_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).first()
     return left if ids["n"] == ids["d"] else left.dropDuplicates()

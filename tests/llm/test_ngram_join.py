@@ -146,3 +146,24 @@ def test_rare_pairs_lose_no_link(spark):
     found = {(r.hub, r.doc) for r in N.rare_pairs(spark.createDataFrame(rows, "doc long, text string"), nodes, 0.8).collect()}
     linked = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert linked <= found and len(found) < 100 * 99 / 4
+
+
+def test_only_texts_of_buckets_travel(spark, monkeypatch):
+    seen = []
+    for name in ("check_pairs", "count_links", "rare_pairs"):
+        real = getattr(N, name)
+        monkeypatch.setattr(N, name, lambda texts, *a, real=real: seen.append({r.doc for r in texts.collect()}) or real(texts, *a))
+    words = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words[:-1], "x"]))] + [(10 + k, " ".join(f"t{k}v{j}" for j in range(50))) for k in range(40)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in N.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: (0, 1), 1: (0, 1)} | {10 + k: (10 + k, 0) for k in range(40)}
+    assert len(seen) == 5 and all(s == {0, 1} for s in seen)
+
+
+def test_what_stays_is_not_shuffled(spark, tmp_path):
+    rows = [(i, f"some words of text {i % 7} and some more", "x") for i in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "docs"))
+    left = N.keep_one(spark.read.parquet(str(tmp_path / "docs")))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert sorted(r.doc_id for r in left.collect()) == list(range(7))
