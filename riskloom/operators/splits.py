@@ -120,11 +120,14 @@ def split_by_cut_keys(
     labels: Sequence[str],
     *,
     split_col: str = "split",
+    keys_once: bool = False,
 ) -> DataFrame:
     """Same labels as :func:`ordered_split` without a global position: the keys at the
     cut ranks are found by rank lookup, then each row is labelled by comparing its key
-    with them (a narrow projection, no shuffle of the rows themselves)."""
+    with them (a narrow projection, no shuffle of the rows themselves). The lookup reads the keys about
+    ten times; ``keys_once`` writes them first, for a ``df`` that costs more than a scan."""
     narrow = df.select(*order_cols)
+    narrow = cut(narrow) if keys_once else narrow
     dtypes = {f.name: f.dataType for f in narrow.schema.fields}
     _, keys = keys_at_fractions(narrow, order_cols, fractions)
     expr = None

@@ -7,7 +7,7 @@
    (leaf, feature, bin); the tasks' sums meet in a tree, so what reaches the driver has a fixed size whatever the number of rows and tasks.
 3. *Growth.* Leaves are split best first until the leaf budget is used up or no split gains anything. A numeric split tries missing
    values on both sides and keeps the better one; a categorical split takes a prefix of the levels ordered by their mean gradient,
-   missing among them. A leaf's value is the Newton step ``-G / (H + l2)`` times the learning rate.
+   missing among them, or with the larger side if there are none. A leaf's value is the Newton step ``-G / (H + l2)`` times the learning rate.
 4. *Margins.* A row's margin is that of its block's last writing plus the trees since; blocks are written anew every ``REWRITE`` trees.
 """
 
@@ -31,7 +31,7 @@ from riskloom.session import scratch_path
 
 BINS = 256
 #: Rows of a block, rows for which a pass takes one task, trees after which margins are written anew, partial sums that are added up at once.
-BLOCK_ROWS, TASK_ROWS, REWRITE, FAN_IN = 1 << 14, 1 << 17, 25, 16
+BLOCK_ROWS, TASK_ROWS, REWRITE, FAN_IN = 1 << 14, 1 << 17, 5, 16
 
 #: Parameters and their defaults, with the names other libraries give them.
 DEFAULTS = {"rounds": 20, "learning_rate": 0.1, "max_depth": 5, "max_leaves": 31, "least_rows": 1, "l2": 1e-3, "subsample": 1.0, "seed": 42}
@@ -122,15 +122,14 @@ class Tree:
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each row of bins."""
         at = np.zeros(len(x), np.int64)
-        open_ = [0]
+        open_ = [(0, np.arange(len(x)))]  # a node looks at its own rows only
         while open_:
-            k = open_.pop()
+            k, here = open_.pop()
             if self.feature[k] < 0:
+                at[here] = k
                 continue
-            here = np.flatnonzero(at == k)
-            mask = np.frombuffer(self.goes_left[k], np.uint8).astype(bool)
-            at[here] = np.where(mask[x[here, self.feature[k]]], self.left[k], self.right[k])
-            open_ += [self.left[k], self.right[k]]
+            left = np.frombuffer(self.goes_left[k], np.uint8).astype(bool)[x[here, self.feature[k]]]
+            open_ += [(self.left[k], here[left]), (self.right[k], here[~left])]
         return at
 
     def split(self, k: int, feature: int, mask: np.ndarray, values: tuple[float, float], rows: tuple[int, int]) -> tuple[int, int]:
@@ -321,6 +320,8 @@ def best_split(hist: np.ndarray, n_numeric: int, l2: float, least_rows: int) ->
                 if f < n_numeric:
                     mask[1 : order[k] + 1] = True  # bins without rows here
                     mask[0] = missing_left
+                elif rows[0, 2] == 0:
+                    mask[0] = run[k, 2] > rest[k, 2]  # none missing here: with the larger side
                 best = float(gain[k]), f, mask
     return best
 
@@ -372,8 +373,10 @@ def fit_trees(df: DataFrame, numeric: list[str], categorical: list[str], label:
     model = TreeModel(binning, math.log(share / (1 - share)))
     if not d or pos in (0, n):
         return model
-    blocks = _written(rows.mapInArrow(lambda batches: _blocks(batches, binning, model.base, weight), _BLOCK))
     most = -(-n // TASK_ROWS)
+    blocks = rows.mapInArrow(lambda batches: _blocks(batches, binning, model.base, weight), _BLOCK)
+    # Dealt evenly: else a pass has as many tasks as the table has files, however many rows these hold.
+    blocks = _written(blocks.repartition(most) if most > 1 else blocks)
     passes = _few(blocks, most)
     since: list[Tree] = []
     for number in range(p["rounds"]):
